@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from talkweave.llm import warc
 from talkweave.llm.bpe import op10_bpe
+from talkweave.llm.media import op1_media
 from talkweave.llm.packing import op6_packing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_packing, op10_bpe)}
+    return {f.__name__: f for f in (op1_media, op6_packing, warc.op9_warc, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_warc": warc.ORACLE_SQL}
