@@ -6,16 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from talkweave.llm import warc
+from talkweave.llm import topk, warc
 from talkweave.llm.bpe import op10_bpe
+from talkweave.llm.html_text import op2_html
 from talkweave.llm.langid import op8_langid
 from talkweave.llm.media import op1_media
 from talkweave.llm.packing import op6_packing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_media, op6_packing, op8_langid, warc.op9_warc, op10_bpe)}
+    return {f.__name__: f for f in (op1_media, op2_html, topk.op3_topk, op6_packing, op8_langid, warc.op9_warc, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_warc": warc.ORACLE_SQL}
+    return {"op3_topk": topk.ORACLE_SQL, "op9_warc": warc.ORACLE_SQL}
