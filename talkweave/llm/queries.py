@@ -11,12 +11,13 @@ from talkweave.llm.bpe import op10_bpe
 from talkweave.llm.html_text import op2_html
 from talkweave.llm.langid import op8_langid
 from talkweave.llm.media import op1_media
+from talkweave.llm.near_dedup import op4_near_dedup
 from talkweave.llm.packing import op6_packing
 from talkweave.llm.suffix_dedup import op5_suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_media, op2_html, topk.op3_topk, op5_suffix_dedup, op6_packing, op8_langid, warc.op9_warc, op10_bpe)}
+    return {f.__name__: f for f in (op1_media, op2_html, topk.op3_topk, op4_near_dedup, op5_suffix_dedup, op6_packing, op8_langid, warc.op9_warc, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
