@@ -244,7 +244,8 @@ class TextEncoder(WordEncoder):
 
     def packed(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.as_bytes.__getitem__, self.known(text)))
+        words = self.known(text)
+        return b"".join(map(self.as_bytes.__getitem__, words))
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
         words = self.known(text)
@@ -253,7 +254,8 @@ class TextEncoder(WordEncoder):
         return ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for w in self.known(text) for i in self.ids[w]]
+        words = self.known(text)
+        return [i for w in words for i in self.ids[w]]
 
     def decode(self, ids: list[int]) -> str:
         """The vocabulary has no decoder, so tokens are joined by spaces; unknown ids are left out."""
