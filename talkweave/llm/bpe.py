@@ -92,7 +92,12 @@ class WordEncoder:
         self.word_at = regex.compile(next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
         self.bytes = _byte_symbols()
         self.library = Tokenizer.from_str(source.decode())
-        merges = [m if isinstance(m, list) else m.split(" ", 1) for m in model["merges"]]
+        self.merges = [m if isinstance(m, list) else m.split(" ", 1) for m in model["merges"]]
+        self.ids: dict[str, tuple[int, ...]] = {}
+
+    def build(self) -> None:
+        """What the trie walk needs."""
+        merges = self.merges
         self.ranks = {(self.vocab[a], self.vocab[b]): r for r, (a, b) in enumerate(merges)}
         #: what a token is merged from, and when
         self.halves = {self.vocab[a + b]: (self.vocab[a], self.vocab[b], r) for r, (a, b) in reversed([*enumerate(merges)])}
@@ -104,7 +109,6 @@ class WordEncoder:
         self.inner = {name[i]: i for i in reached if not (self.end and name[i].endswith(self.end))}
         self.final = {name[i][: len(name[i]) - len(self.end)]: i for i in reached if name[i].endswith(self.end)}
         self.longest = max(map(len, [*self.inner, *self.final]), default=1)
-        self.ids: dict[str, tuple[int, ...]] = {}
 
     def _edge(self, token: int, side: int) -> tuple[tuple[int, ...], tuple[float, ...]]:
         """The pieces that stand at the left (0) or right (1) edge of a token while it is merged, and the rank at
@@ -221,20 +225,19 @@ class WordEncoder:
 
 
 class TextEncoder(WordEncoder):
-    """Also keeps each word's ids as text, as packed integers and decoded."""
+    """Also keeps each word's ids as text, and decoded."""
 
     def __init__(self, source: bytes):
         super().__init__(source)
+        self.build()
         self.on_clear()
 
     def on_clear(self) -> None:
         self.as_text: dict[str, str] = {}
-        self.as_bytes: dict[str, bytes] = {}
         self.as_tokens: dict[str, str] = {}
 
     def on_word(self, word: str, ids: tuple[int, ...]) -> None:
         self.as_text[word] = " ".join(map(str, ids))
-        self.as_bytes[word] = b"".join(i.to_bytes(4, "little") for i in ids)
         self.as_tokens[word] = " ".join(self.names[i] for i in ids)
 
     def known(self, text: str | None) -> list[str]:
@@ -242,11 +245,6 @@ class TextEncoder(WordEncoder):
         self.ensure(words)
         return words
 
-    def packed(self, text: str | None) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        words = self.known(text)
-        return b"".join(map(self.as_bytes.__getitem__, words))
-
     def digests(self, text: str | None) -> tuple[int, str, str]:
         words = self.known(text)
         ids = " ".join(map(self.as_text.__getitem__, words))
@@ -262,6 +260,36 @@ class TextEncoder(WordEncoder):
         return " ".join(self.names[i] for i in ids if i in self.names)
 
 
+class PackedEncoder(WordEncoder):
+    """Texts to packed ids only: the library's model encodes each distinct word. Of too many words, those met first are kept,
+    since common words are met early."""
+
+    def __init__(self, source: bytes):
+        super().__init__(source)
+        self.known = {w: i.to_bytes(4, "little") for w, i in self.special.items()}
+
+    def packed(self, text: str | None) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers."""
+        words, known = self.words(text or ""), self.known
+        try:
+            return b"".join([known[w] for w in words])
+        except KeyError:
+            model, symbols = self.library.model, self.bytes
+            for w in set(words).difference(known):
+                spelled = w if w.isascii() and w.isprintable() else "".join([symbols[b] for b in w.encode("utf-8", "surrogatepass")])
+                known[w] = b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(spelled)])
+        out = b"".join([known[w] for w in words])
+        if len(known) > 2 * WORDS_KEPT:
+            for w in [*known][WORDS_KEPT:]:
+                del known[w]
+        return out
+
+
+@lru_cache(maxsize=1)
+def packed_encoder(source: bytes) -> PackedEncoder:
+    return PackedEncoder(source)
+
+
 @lru_cache(maxsize=2)
 def encoder(source: bytes) -> TextEncoder:
     """One encoder per worker, whose words outlive a task."""

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm.bpe import encoder, read_tokenizer, tokenizer_path
+from talkweave.llm.bpe import packed_encoder, read_tokenizer, tokenizer_path
 from talkweave.llm.common import bounded_batches, shards, table
 
 CAPACITY = 4096
@@ -131,7 +131,7 @@ def pack_documents(
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(source.value)
+        enc = packed_encoder(source.value)
         shard = TaskContext.get().partitionId() << 32
 
         def ids() -> Iterator[tuple[object, bytes]]:
