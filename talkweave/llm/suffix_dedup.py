@@ -328,47 +328,70 @@ def _decide(pieces: DataFrame, length: int) -> DataFrame:
     return pieces.select("f", "c", "once", "piece").repartition("f").sortWithinPartitions("f", "c").mapInArrow(run, "f long, c long, spans array<struct<start: int, stop: int>>")
 
 
+#: Packed rows for each task and step of _count_hot, at most.
+BUCKETS = 256
+WINDOW = np.dtype([("h", "<u8"), ("g", "<u8"), ("f", "<i8"), ("c", "<i8"), ("s", "<i4")])
+
+
+def _packed(x: np.ndarray, key: str) -> pa.RecordBatch:
+    """Rows of x by bucket of one of its fields."""
+    k = x[key].view(np.uint64) % np.uint64(BUCKETS) if x.size else np.empty(0, np.uint64)
+    by = np.argsort(k, kind="stable")
+    x, k = x[by], k[by]
+    cut = np.searchsorted(k, np.arange(BUCKETS + 1).astype(np.uint64))
+    full = [i for i in range(BUCKETS) if cut[i] < cut[i + 1]]
+    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([x[cut[i] : cut[i + 1]].tobytes() for i in full], pa.binary())], ["bucket", "packed"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> list[np.ndarray]:
+    data: dict[int, list[np.ndarray]] = {}
+    for b in batches:
+        for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            data.setdefault(k, []).append(np.frombuffer(v, kind))
+    return [np.concatenate(x) for x in data.values()]
+
+
 def _count_hot(pieces: DataFrame, length: int) -> DataFrame:
     """Windows of hot anchors' pieces by 128-bit hash: a task deals its windows to buckets by hash, a packed row for each bucket, so
-    rows stay few; equal windows meet in a bucket, which counts them."""
-    buckets = 256
-    item = np.dtype([("h", "<u8"), ("g", "<u8"), ("f", "<i8"), ("c", "<i8"), ("s", "<i4")])
+    rows stay few; equal windows meet in a bucket, which keeps those that recur, and deals them back by core."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
         for b in batches:
-            parts = []
             for f, c, text in zip(*(col.to_pylist() for col in b.columns)):
                 n = len(text) - length + 1
-                x = np.empty(n, item)
+                x = np.empty(n, WINDOW)
                 h = [xxhash.xxh3_128_intdigest(text[i : i + length]) for i in range(n)]
                 x["h"], x["g"] = [v & 0xFFFFFFFFFFFFFFFF for v in h], [v >> 64 for v in h]
                 x["f"], x["c"], x["s"] = f, c, np.arange(n)
                 parts.append(x)
-            if parts:
-                x = np.concatenate(parts)
-                x = x[np.argsort(x["h"] % buckets, kind="stable")]
-                cut = np.searchsorted(x["h"] % buckets, np.arange(buckets + 1))
-                keys = [k for k in range(buckets) if cut[k] < cut[k + 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([x[cut[k] : cut[k + 1]].tobytes() for k in keys], pa.binary())], ["bucket", "packed"])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data: dict[int, list[np.ndarray]] = {}
-        for b in batches:
-            for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                data.setdefault(k, []).append(np.frombuffer(v, item))
-        for parts in data.values():
-            x = np.concatenate(parts)
-            x = np.unique(x)  # a place once
+                size += n
+            if size > 1 << 20:
+                yield _packed(np.concatenate(parts), "h")
+                parts, size = [], 0
+        if parts:
+            yield _packed(np.concatenate(parts), "h")
+
+    def recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in _unpacked(batches, WINDOW):
+            x = x[np.lexsort((x["s"], x["c"], x["f"], x["g"], x["h"]))]
+            place = np.concatenate(([True], x[1:] != x[:-1]))  # a place once
+            x = x[place]
             same = (x["h"][1:] == x["h"][:-1]) & (x["g"][1:] == x["g"][:-1])
             x = x[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
+            yield _packed(x, "c")
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in _unpacked(batches, WINDOW):
             x = x[np.lexsort((x["s"], x["c"], x["f"]))]
-            cut = np.flatnonzero(np.concatenate(([True], (x["f"][1:] != x["f"][:-1]) | (x["c"][1:] != x["c"][:-1])))) if len(x) else np.empty(0, int)
+            cut = np.flatnonzero(np.concatenate(([True], (x["f"][1:] != x["f"][:-1]) | (x["c"][1:] != x["c"][:-1]))))
             ends = np.append(cut[1:], len(x))
             spans = [[{"start": p, "stop": q} for p, q in zip(*_spans(x["s"][i:j], length))] for i, j in zip(cut, ends)]
             yield pa.RecordBatch.from_arrays([pa.array(x["f"][cut]), pa.array(x["c"][cut]), pa.array(spans, SPANS)], ["f", "c", "spans"])
 
-    packed = pieces.select("f", "c", "piece").mapInArrow(deal, "bucket int, packed binary")
-    return packed.repartition(buckets, "bucket").mapInArrow(count, "f long, c long, spans array<struct<start: int, stop: int>>")
+    dealt = pieces.select("f", "c", "piece").mapInArrow(deal, "bucket int, packed binary")
+    again = dealt.repartition(BUCKETS, "bucket").mapInArrow(recurring, "bucket int, packed binary")
+    return again.repartition(BUCKETS, "bucket").mapInArrow(gather, "f long, c long, spans array<struct<start: int, stop: int>>")
 
 
 def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
