@@ -407,7 +407,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs: key, th, text. Gives key, th, spans array<struct<start, stop>> (bytes; may overlap) of rows with repeated strings."""
     bounded_batches(docs.sparkSession)
     long = docs.where(F.octet_length("text") >= length)
-    twice = _cores(long, length).select("f").groupBy("f").agg(F.count("*").alias("cores")).where("cores > 1").select("f")
+    # written, so that the join below deals both sides anew and can split a very common anchor
+    twice = stored(_cores(long, length).select("f").groupBy("f").agg(F.count("*").alias("cores")).where("cores > 1").select("f"))
     shared = stored(_cores(long, length).join(twice, "f"))
     whole = F.struct(F.col("at").alias("start"), (F.col("at") + F.col("n") + (length - 1)).alias("stop"))
     cores = stored(shared.groupBy("f", "c").agg(F.count("*").alias("copies"), F.min(F.struct("key", "th", "at", "n")).alias("place")))
