@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +48,18 @@ def shards(df: DataFrame, text_col: str, shard_bytes: int) -> int:
     """How many shards of about ``shard_bytes`` of text the table fills, 1 at least."""
     total = df.select(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0
     return max(1, -(-int(total) // shard_bytes))
+
+
+def with_column(df: DataFrame, name: str, kind: str, arrow_type: pa.DataType, of: tuple[str, ...], compute: Callable[..., list]) -> DataFrame:
+    """Adds or replaces a column by what ``compute`` makes of lists of the columns ``of``; all other columns pass unchanged."""
+    bounded_batches(df.sparkSession)
+    ready = df if name in df.columns else df.withColumn(name, F.lit(None).cast(kind))
+    at, inputs = ready.columns.index(name), [ready.columns.index(c) for c in of]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            columns = list(b.columns)
+            columns[at] = pa.array(compute(*(b.column(i).to_pylist() for i in inputs)), arrow_type)
+            yield pa.RecordBatch.from_arrays(columns, b.schema.names)
+
+    return ready.mapInArrow(run, ready.schema)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm.common import bounded_batches, table
+from talkweave.llm.common import bounded_batches, table, with_column
 
 BUCKETS = 1 << 15
 #: Documents of each language that are learned from, about.
@@ -149,6 +149,32 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "d
     return df.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, f"id {kind}, lang_pred string, score double, languages array<struct<lang: string, share: double>>").withColumnRenamed("id", id_col)
 
 
+def keep_identified(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows whose language can be told, with all columns; a missing language is filled in. The model is trained on the
+    rows that have one. Where no row has one, nothing can be told, and rows stay if their text has letters."""
+    model = train(df, text_col, lang_col)
+    langs, logp = model
+    sent = df.sparkSession.sparkContext.broadcast((langs, logp.astype(np.float32)))
+
+    def best(texts: list[str | None]) -> list[str]:
+        names, table_ = sent.value
+        by_bucket = np.ascontiguousarray(table_.T)
+        out = []
+        for text in texts:
+            n = np.bincount(trigrams(text), minlength=BUCKETS)
+            at = np.flatnonzero(n)
+            if not len(at):
+                out.append(UNKNOWN)
+            elif names:
+                out.append(names[int(mixture(n[at].astype(np.float64), by_bucket[at].T.astype(np.float64)).argmax())])
+            else:
+                out.append(None)
+        return out
+
+    told = with_column(df, "__lang", "string", pa.string(), (text_col,), best).where(F.coalesce(F.col("__lang"), F.lit("")) != UNKNOWN)
+    return told.withColumn(lang_col, F.coalesce(F.col(lang_col), "__lang")).select(*df.columns)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 

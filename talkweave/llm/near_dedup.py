@@ -275,5 +275,22 @@ def near_duplicates(df: DataFrame, size: int, percent: int, id_col: str = "doc_i
     return out.withColumn("kept", F.coalesce(F.col("key") == F.col("component_id"), F.lit(False))).withColumnRenamed("key", id_col)
 
 
+def keep_one(df: DataFrame, size: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near duplicates, that of the least id, with all columns. Rows without words all stay."""
+    marked = df.withColumn("__th", F.hash(F.col(text_col).cast("string")))
+    docs = marked.select(F.col(id_col).alias("key"), F.col("__th").alias("th"), F.col(text_col).cast("string").alias("text"))
+    rows, comp = linked_sets(docs, size, percent)
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "th")).alias("first")
+    of_node = rows.where("node IS NOT NULL").groupBy("node").agg(first).join(comp, "node", "left")
+    kept = of_node.groupBy(F.coalesce("comp", "node").alias("comp")).agg(F.min("first").alias("first")).select("first.key", "first.th")
+    kept = stored(kept.unionAll(rows.where("n = 0").select("key", "th").distinct()))
+    out = marked.join(kept, marked[id_col].eqNullSafe(kept["key"]) & (F.col("__th") == F.col("th")), "left_semi")
+    words = F.trim(F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\t\n\x0b\x0c\r", "     ")) != ""
+    if rows.where("n > 0").groupBy("key", "th").count().where("count > 1").head(1):
+        # rows that repeat both id and text: one of them stays
+        out = out.where(words).dropDuplicates([id_col, "__th"]).unionAll(out.where(~words))
+    return out.select(*df.columns)
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85).drop("th")

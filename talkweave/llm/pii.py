@@ -106,7 +106,7 @@ def _votes(kind: str, x: Column) -> list[Column]:
 
 
 def candidates(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds ``found``: array<struct<start, rank, stop, kind, votes array<int>>> of every candidate; rank: the kind's number."""
+    """Adds ``__found``: array<struct<start, rank, stop, kind, votes array<int>>> of every candidate; rank: the kind's number."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     names = {k: (f"__pieces_{k}", f"__matches_{k}") for k in KINDS}
     split = df.select("*", *(c.alias(n) for k in KINDS for c, n in zip(_matches(text, k), names[k])))
@@ -118,7 +118,7 @@ def candidates(df: DataFrame, text_col: str = "text") -> DataFrame:
     placed = split.select(*df.columns, F.concat(*map(of, BASE)).alias("__base"), of("secret").alias("__secret"))
     base = F.col("__base")
     clear = F.filter("__secret", lambda s: ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
-    return placed.select(*df.columns, F.array_sort(F.concat(base, clear)).alias("found"))
+    return placed.select(*df.columns, F.array_sort(F.concat(base, clear)).alias("__found"))
 
 
 def reliabilities(counts: dict[tuple[int, ...], int], steps: int = 50) -> tuple[float, list[float], dict[tuple[int, ...], float]]:
@@ -182,7 +182,7 @@ def _joined(spans: Column) -> Column:
 
 def pii_digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every row."""
-    found = stored(candidates(df.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))).select("key", "found"))
+    found = stored(candidates(df.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))).select("key", F.col("__found").alias("found")))
     weights = train(found)
     base = F.filter("found", lambda x: (x["rank"] < len(BASE)) & (x["votes"][0] == 1))
     out = found.select("key", base.alias("base"), accepted(F.col("found"), weights).alias("all"))
@@ -208,9 +208,9 @@ def masked(text: Column, spans: Column) -> Column:
 def mask_documents(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The same rows with personal data masked in the text; a null text stays null."""
     found = candidates(df, text_col)
-    weights = train(found.select("found"))
-    spans = found.withColumn("found", accepted(F.col("found"), weights))
-    return spans.withColumn(text_col, F.when(F.size("found") > 0, masked(F.col(text_col), F.col("found"))).otherwise(F.col(text_col))).select(*df.columns)
+    weights = train(found.select(F.col("__found").alias("found")))
+    spans = found.withColumn("__found", accepted(F.col("__found"), weights))
+    return spans.withColumn(text_col, F.when(F.size("__found") > 0, masked(F.col(text_col), F.col("__found"))).otherwise(F.col(text_col))).select(*df.columns)
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

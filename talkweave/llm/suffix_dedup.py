@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm.common import bounded_batches, stored, table
+from talkweave.llm.common import bounded_batches, stored, table, with_column
 
 LENGTH = 200
 GRAM = 32
@@ -465,5 +465,29 @@ def dedup_digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return both.mapInArrow(run, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col)
 
 
+def _kept_text(text: str | None, found: list[dict] | None) -> str | None:
+    """Without repeated bytes; a character stays whole if only some of its bytes are repeated."""
+    if not found or text is None:
+        return text
+    raw = text.encode("utf-8", "surrogatepass")
+    runs = []
+    for a, b in merged(found):
+        while a < b and raw[a] & 0xC0 == 0x80:
+            a += 1
+        while a < b < len(raw) and raw[b] & 0xC0 == 0x80:
+            b -= 1
+        runs.append((a, b))
+    return without(raw, runs).decode("utf-8", "surrogatepass")
+
+
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """The same rows with repeated strings taken out of the text."""
+    docs = _rows(df, id_col, text_col)
+    spans = repeated_spans(docs, length).select(F.col("key").alias("__key"), F.col("th").alias("__th"), F.col("spans").alias("__spans"))
+    text_hash = F.hash(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    both = df.join(spans, df[id_col].eqNullSafe(spans["__key"]) & (text_hash == spans["__th"]), "left").select(*(df[c] for c in df.columns), "__spans")
+    return with_column(both, text_col, "string", pa.string(), (text_col, "__spans"), lambda texts, found: list(map(_kept_text, texts, found))).select(*df.columns)
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_digests(table(spark, sf_dir, "documents"))
