@@ -8,8 +8,9 @@ unlike ones hardly any. Paths depend on a node's sketch only, so all trees go do
 
 Nodes that meet at a path are compared: first with one member of the path's group, the hub, and the likeliest such link
 of each is confirmed on full sets. That already joins large groups of near copies, by a link per member. Then groups whose
-members are not yet all connected are compared exhaustively if small, and branched further if not; likely pairs between
-components are confirmed on full sets, too. So no group is ever expanded into all its pairs.
+members are not yet all connected are compared exhaustively: small ones in one task, where likely pairs between components
+are kept for confirmation, larger ones in pairs of blocks on full sets, leaving out blocks of one component. Very large ones
+are branched further first. Only links come out, so no group is ever expanded into all its pairs.
 
 Sets hold 64-bit hashes of shingles. Confirmed links make a graph; its components come from repeated
 minimum labels with pointer jumping. Recall of a pair at the wanted similarity: about 0.9999 with 12 trees.
@@ -22,6 +23,7 @@ a component's rows (null ids are not compared and have no component of their own
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -36,9 +38,9 @@ COORDINATES = 128
 TREES = 12
 #: Trees whose hubs are tried first.
 HUB_TREES = 4
-LEVELS, MORE_LEVELS, ROUNDS = 6, 4, 8
-#: The largest group that is compared exhaustively.
-SMALL = 64
+LEVELS, MORE_LEVELS, ROUNDS = 6, 4, 4
+#: Groups up to SMALL are compared by sketches first; up to LARGE in blocks on full sets; larger ones are branched further.
+SMALL, LARGE, BLOCK = 32, 8192, 256
 #: How far an estimate from sketches may lie below the wanted similarity, in standard deviations.
 SLACK = 4.5
 
@@ -190,6 +192,75 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return left.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
+def _exact_links(left: list[dict], right: list[dict] | None, percent: int) -> list[tuple[bytes, bytes]]:
+    """Links between members of different components, as many as connect them. right None: within left."""
+    both = left + (right or [])
+    sets = [np.frombuffer(m["items"], np.uint64) for m in both]
+    size = np.array([len(x) for x in sets], np.int64)
+    flat = np.concatenate(sets)
+    of = np.repeat(np.arange(len(sets)), size)
+    values, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = n[at] > 1  # others are in no intersection
+    number = np.cumsum(n > 1) - 1
+    of, item = of[shared], number[at[shared]]
+    k = len(left)
+    common = np.zeros((k, len(both) - k if right else k), np.float64)
+    order = np.argsort(item, kind="stable")
+    of, item = of[order], item[order]
+    step = max(1024, (1 << 24) // len(both))
+    for low in range(0, int(item[-1]) + 1 if len(item) else 0, step):
+        i, j = np.searchsorted(item, [low, low + step])
+        m = np.zeros((len(both), step), np.float32)
+        m[of[i:j], item[i:j] - low] = 1
+        common += m[:k] @ (m[k:] if right else m).T
+    a_size, b_size = size[:k], size[k:] if right else size
+    linked = 100 * common >= percent * (a_size[:, None] + b_size[None, :] - common)
+    root: dict[bytes, bytes] = {}
+
+    def find(x: bytes) -> bytes:
+        while (y := root.get(x, x)) != x:
+            root[x] = root.get(y, y)
+            x = y
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(linked)):
+        a, b = left[i], (right or left)[j]
+        x, y = find(a["comp"]), find(b["comp"])
+        if x != y:
+            root[x] = y
+            out.append((a["node"], b["node"]))
+    return out
+
+
+def _block_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """groups: path, node, comp of larger groups. Members are dealt to blocks of about BLOCK, those of one large component to blocks
+    of their own; pairs of blocks are compared on full sets, but for two blocks of one component."""
+    n = groups.groupBy("path", "comp").agg(F.count("*").alias("n"))
+    small = F.col("n") < BLOCK
+    rest = n.groupBy("path").agg(F.sum(F.when(small, F.col("n"))).alias("rest"))
+    dealt = groups.select("path", "node", "comp").join(n, ["path", "comp"]).join(rest, "path")
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.when(small, F.col("rest")).otherwise(F.col("n")) / BLOCK))
+    dealt = stored(dealt.select("path", "node", "comp", F.when(~small, F.col("comp")).alias("own"), part.alias("part")))
+    blocks = stored(dealt.join(sets, "node").groupBy("path", "own", "part").agg(F.collect_list(F.struct("node", "comp", "items")).alias("members")).withColumn("block", F.xxhash64("own", "part")))
+    ids = blocks.select("path", "block", "own")
+    other = ids.select("path", F.col("block").alias("block_b"), F.col("own").alias("own_b"))
+    pairs = ids.join(other, "path").where((F.col("block") <= F.col("block_b")) & (F.col("own").isNull() | ~F.col("own").eqNullSafe(F.col("own_b")))).select("path", "block", "block_b")
+    met = pairs.join(blocks.select("path", "block", F.col("members").alias("x")), ["path", "block"])
+    met = met.join(blocks.select("path", F.col("block").alias("block_b"), F.col("members").alias("y")), ["path", "block_b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                x, y = batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
+                links = _exact_links(x, y if not batch.column(0)[i].as_py() else None, percent)
+                if links:
+                    a, b = zip(*links)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return met.select((F.col("block") == F.col("block_b")).alias("same"), "x", "y").mapInArrow(run, "a binary, b binary")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and comp (the least node reachable) of every node that has a link."""
     both = stored(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
@@ -235,30 +306,25 @@ def linked_sets(docs: DataFrame, size: int, percent: int, trees: int = TREES) ->
     comp = components(links)
 
     # groups that are not one component yet
-    found, levels = None, 0
+    found, direct, depth = [], [], 0
     here = met.select("path", "node")
     while True:
+        depth += 1
         label = here.join(comp, "node", "left").select("path", "node", F.coalesce("comp", "node").alias("comp"))
         mixed = label.groupBy("path").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("path", "size")
         open_ = stored(label.join(mixed, "path"))
         whole = open_.where(F.col("size") <= SMALL).join(sk, "node").groupBy("path").agg(F.collect_list(F.struct("node", "comp", "sketch")).alias("members"))
-        pairs = _crossing(whole, least)
-        found = pairs if found is None else found.unionAll(pairs)
-        large = open_.where(F.col("size") > SMALL)
-        levels += 1
-        if not large.head(1):
-            break
-        if levels == ROUNDS:
-            # each member against up to SMALL hubs of its group, by sketches
-            few = large.groupBy("path").agg(F.array_distinct(F.slice(F.array_sort(F.collect_set(F.expr("CASE WHEN pmod(xxhash64(node), size) < 32 THEN node END"))), 1, SMALL)).alias("hubs"))
-            wide = large.join(few, "path").select(F.col("node").alias("a"), "comp", F.explode("hubs").alias("b")).where("a <> b").select("a", "b").distinct()
-            wide = wide.join(sk.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").join(sk.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
-            found = found.unionAll(_likely(wide, least).select("a", "b"))
+        found.append(_crossing(whole, least))
+        last = depth == ROUNDS
+        direct.append(_block_links(open_.where(F.col("size") > SMALL) if last else open_.where(F.col("size").between(SMALL + 1, LARGE)), sets, percent))
+        large = open_.where(F.col("size") > LARGE)
+        if last or not large.head(1):
             break
         deeper = _more_paths(large.join(sk, "node"), similarity)
         again = deeper.groupBy("path").agg(F.count("*").alias("size")).where("size > 1").select("path")
         here = stored(deeper.join(again, "path"))
-    more = stored(_confirmed(stored(found.distinct()), sets, percent))
+    likely = stored(reduce(DataFrame.unionAll, found).distinct())
+    more = stored(_confirmed(likely, sets, percent).unionAll(reduce(DataFrame.unionAll, direct)))
     if more.head(1):
         comp = components(links.unionAll(more))
     return rows.select("key", "th", "n", "node"), comp
