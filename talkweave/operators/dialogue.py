@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from talkweave.functions import text as tx
 from talkweave.functions import timeline as tl
 
-BY_TURN = Window.partitionBy("conv_id").orderBy("turn")
+
+def by_turn():
+    return Window.partitionBy("conv_id").orderBy("turn")
 
 
 def category(n_turns: Column) -> Column:
@@ -25,7 +27,7 @@ def from_messages(messages: DataFrame) -> DataFrame:
 def timeline(turns: DataFrame, rate: int = 24_000) -> DataFrame:
     """Adds samples, ms, start_ms and end_ms: turns follow each other with a gap."""
     timed = turns.withColumn("samples", tl.turn_samples(tx.space_words(F.col("text")), rate)).withColumn("ms", tl.samples_ms(F.col("samples"), rate))
-    before = F.coalesce(F.sum(F.col("ms") + tl.GAP_MS).over(BY_TURN.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(F.sum(F.col("ms") + tl.GAP_MS).over(by_turn().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return timed.withColumn("start_ms", before).withColumn("end_ms", F.col("start_ms") + F.col("ms"))
 
 
@@ -39,14 +41,14 @@ def overlap_plan(timed: DataFrame, seed: int = 13, backchannel: float = 0.70, in
     """One shifted turn per conversation of three turns or more: conv_id, kind, turn_a, turn_b, shifted start and end of
     turn b, overlap_start_ms, overlap_end_ms. Draws depend on seed and conv_id only. Conversations without a pair of
     speakers, or whose overlap would be empty, have no row."""
-    prior = lambda c: F.lag(c).over(BY_TURN)
+    prior = lambda c: F.lag(c).over(by_turn())
     pairs = timed.select(
         "conv_id", "turn", "start_ms", "end_ms", "ms", prior("turn").alias("turn_a"), prior("start_ms").alias("a_start"), prior("end_ms").alias("a_end"),
         (F.col("speaker") != prior("speaker")).alias("alternates"), F.count("*").over(Window.partitionBy("conv_id")).alias("n_turns"),
     )
     pairs = pairs.where("n_turns >= 3 AND alternates")
     n = F.count("*").over(Window.partitionBy("conv_id"))
-    rank = F.row_number().over(BY_TURN) - 1
+    rank = F.row_number().over(by_turn()) - 1
     chosen = pairs.withColumn("pick", F.floor(tl.draw(seed, F.col("conv_id"), "turn") * n)).withColumn("rank", rank).where("rank = pick")
     kind = tl.overlap_kind(tl.draw(seed, F.col("conv_id"), "kind"), backchannel, interruption)
     shifted = chosen.withColumn("kind", kind).withColumn("new_start", tl.shifted_start(F.col("kind"), F.col("a_start"), F.col("a_end"))).withColumn("new_end", F.col("new_start") + F.col("ms"))
@@ -64,13 +66,13 @@ def shifted_timeline(timed: DataFrame, plan: DataFrame) -> DataFrame:
 
 def order_violations(timed: DataFrame) -> DataFrame:
     """Turns that start before the previous one ends."""
-    last = F.lag("end_ms", 1, -1).over(BY_TURN)
+    last = F.lag("end_ms", 1, -1).over(by_turn())
     return timed.withColumn("previous_end_ms", last).where("start_ms < previous_end_ms").select("conv_id", "turn", "start_ms", "previous_end_ms")
 
 
 def overlap_audit(timed: DataFrame) -> DataFrame:
     """Time that a turn shares with any turn before it, from a running maximum instead of pairs."""
-    reach = F.max("end_ms").over(BY_TURN.rowsBetween(Window.unboundedPreceding, -1))
+    reach = F.max("end_ms").over(by_turn().rowsBetween(Window.unboundedPreceding, -1))
     seen = timed.withColumn("shared_ms", F.when(reach.isNull(), 0).otherwise(F.greatest(F.lit(0), F.least(reach, F.col("end_ms")) - F.col("start_ms"))))
     return seen.groupBy("conv_id").agg(F.sum((F.col("shared_ms") > 0).cast("long")).alias("n_overlaps"), F.coalesce(F.sum("shared_ms"), F.lit(0)).alias("shared_ms"))
 

@@ -210,7 +210,7 @@ def duplicate_ids(spark, d):
 @query(f"WITH {RAW_SQL}, x AS (SELECT conv_id, turn, CASE WHEN conv_id % 6 = 0 THEN 'S0' ELSE speaker END AS speaker FROM rt), y AS (SELECT *, lag(speaker) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM x) SELECT conv_id, turn FROM y WHERE p = speaker")
 def alternation_check(spark, d):
     t = raw_turns(spark, d).withColumn("speaker", F.when(F.col("conv_id") % 6 == 0, "S0").otherwise(F.col("speaker")))
-    return t.withColumn("p", F.lag("speaker").over(dialogue.BY_TURN)).where("p = speaker").select("conv_id", "turn")
+    return t.withColumn("p", F.lag("speaker").over(dialogue.by_turn())).where("p = speaker").select("conv_id", "turn")
 
 
 @query(f"WITH {TURNS_SQL} SELECT conv_id, string_agg(CASE speaker WHEN 'S0' THEN '[S1] ' ELSE '[S2] ' END || text, ' ' ORDER BY turn) AS text FROM t GROUP BY conv_id")

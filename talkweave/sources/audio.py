@@ -53,13 +53,18 @@ def tone(samples: int, speaker: int, rate: int) -> np.ndarray:
     return (0.08 * np.sin(2 * np.pi * (220 if speaker == 0 else 330) * t) * ramp).astype(np.float32)
 
 
-@F.pandas_udf("struct<frames: bigint, rate: int, seconds: double>")
-def wav_header(content: pd.Series) -> pd.DataFrame:
-    def read(c: bytes) -> tuple[int, int, float]:
-        with wave.open(io.BytesIO(c)) as w:
-            return w.getnframes(), w.getframerate(), w.getnframes() / w.getframerate()
-
-    return pd.DataFrame([read(c) for c in content], columns=["frames", "rate", "seconds"])
+def wav_header(content: Column) -> Column:
+    """struct<frames, rate, seconds> from the header of WAV bytes."""
+
+    @F.pandas_udf("struct<frames: bigint, rate: int, seconds: double>")
+    def read(content: pd.Series) -> pd.DataFrame:
+        rows = []
+        for c in content:
+            with wave.open(io.BytesIO(c)) as w:
+                rows.append((w.getnframes(), w.getframerate(), w.getnframes() / w.getframerate()))
+        return pd.DataFrame(rows, columns=["frames", "rate", "seconds"])
+
+    return read(content)
 
 
 def voiced(samples: Column, speaker: Column, rate: int) -> Column:

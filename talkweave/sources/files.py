@@ -26,8 +26,8 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType, whole: bool
 def bad_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """path and text of the records that don't fit the schema."""
     wide = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    rows = spark.read.schema(wide).option("mode", "PERMISSIVE").json(path).select("*", F.col("_metadata.file_path").alias("path"))
-    return rows.where("_corrupt_record IS NOT NULL").select("path", F.col("_corrupt_record").alias("record"))
+    lines = spark.read.text(path).where(F.trim("value") != "").select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("record"))
+    return lines.where(F.from_json("record", wide, {"mode": "PERMISSIVE"})["_corrupt_record"].isNotNull())
 
 
 def read_scripts(spark: SparkSession, path: str) -> DataFrame:
