@@ -28,6 +28,8 @@ from talkweave.llm.common import stored, table
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret")
 LABELERS = ("pattern", "gazetteer", "context", "shape")
+#: Each labeler's chance to vote right as it is believed before any votes, and how many votes that belief weighs.
+TRUST, WEIGHT = (0.97, 0.8, 0.8, 0.8), (200, 10, 10, 10)
 ACCEPT = 0.5
 BEFORE = 32  # characters before a candidate that the context labeler sees
 
@@ -123,7 +125,7 @@ def candidates(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 def reliabilities(counts: dict[tuple[int, ...], int], steps: int = 50) -> tuple[float, list[float], dict[tuple[int, ...], float]]:
     """The share of personal data, each labeler's chance to vote right, and the posterior of each pattern of votes."""
-    prior, right = 0.5, [0.8] * len(LABELERS)
+    prior, right = 0.5, list(TRUST)
     post: dict[tuple[int, ...], float] = {}
     total = sum(counts.values())
     for _ in range(steps):
@@ -134,7 +136,7 @@ def reliabilities(counts: dict[tuple[int, ...], int], steps: int = 50) -> tuple[
         for j in range(len(LABELERS)):
             said = sum(n for v, n in counts.items() if v[j])
             agreed = sum(n * (post[v] if v[j] > 0 else 1 - post[v]) for v, n in counts.items() if v[j])
-            right[j] = min(0.99, max(0.51, (agreed + 8) / (said + 10)))
+            right[j] = min(0.99, max(0.51, (agreed + WEIGHT[j] * TRUST[j]) / (said + WEIGHT[j])))
     return prior, right, post
 
 
