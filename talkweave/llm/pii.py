@@ -30,7 +30,8 @@ KINDS = (*BASE, "secret")
 LABELERS = ("pattern", "gazetteer", "context", "shape")
 #: Each labeler's chance to vote right as it is believed before any votes, and how many votes that belief weighs.
 TRUST, WEIGHT = (0.97, 0.8, 0.8, 0.8), (200, 10, 10, 10)
-ACCEPT = 0.5
+#: A proposed span needs this probability.
+ACCEPT = 0.8
 BEFORE = 32  # characters before a candidate that the context labeler sees
 
 # The candidate patterns, and a cheap condition that any match meets.
@@ -132,7 +133,7 @@ def reliabilities(counts: dict[tuple[int, ...], int], steps: int = 50) -> tuple[
         for votes in counts:
             score = log(prior / (1 - prior)) + sum(v * log(r / (1 - r)) for v, r in zip(votes, right))
             post[votes] = 1 / (1 + exp(-max(-50, min(50, score))))
-        prior = min(0.99, max(0.01, sum(n * post[v] for v, n in counts.items()) / total))
+        prior = min(0.99, max(0.01, (sum(n * post[v] for v, n in counts.items()) + 10) / (total + 20)))
         for j in range(len(LABELERS)):
             said = sum(n for v, n in counts.items() if v[j])
             agreed = sum(n * (post[v] if v[j] > 0 else 1 - post[v]) for v, n in counts.items() if v[j])
