@@ -1,0 +1,322 @@
+"""Edge cases and brute-force comparisons on small tables."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from talkweave.llm import bpe, html_text, langid, media, near_dedup, packing, pii, suffix_dedup, topk, warc
+from talkweave.llm.common import with_column
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+WORDS = "the of and to in that is was he for it with as his on be at by had not are but from or have an they which one you".split()
+
+
+def prose(rng, n):
+    return " ".join(rng.choices(WORDS, k=n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    """Null, empty, long, equal and near texts."""
+    rng = random.Random(5)
+    base = prose(rng, 300)
+    near = base.split()
+    near[10] = "changed"
+    long = prose(rng, 6000)
+    passage = prose(rng, 80)
+    return [
+        None, "", " \n\t", "…", base, base, " ".join(near), long, "é" * 700, "a" * 1000, passage + " x " + prose(rng, 50), prose(rng, 30) + " " + passage, "one", "One  TWO", "one two", "two short", "mail me: bob@a-b.example.com, +1 (555) 010-2030",
+        "ip 10.0.0.256 and 8.8.8.8, card 4111 1111 1111 1111, 1234567890123456", "token = \"6cfd1f1f244d4c4c327ecfd8fd9898497c475388\"",
+    ]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    """With a null id, a row that repeats, and columns named like those that operators use inside."""
+    rows = [(i, t, "en", "s", None) for i, t in enumerate(texts)] + [(4, texts[4], "en", "s", None), (None, "nobody's text here", None, None, None)]
+    return spark.createDataFrame(rows, DOCS).withColumn("key", F.lit("k")).withColumn("id", F.lit("i")).withColumn("found", F.lit(1)).withColumn("n", F.lit(2))
+
+
+def all_rows(docs):
+    return [(r["doc_id"], r["text"]) for r in docs.collect()]
+
+
+def same(got, want):
+    order = lambda rows: sorted(map(str, rows))
+    assert order(got) == order(want)
+
+
+def test_media(docs):
+    out = media.media_digests(media.store_texts(docs, "doc_id", "text")).collect()
+    want = []
+    for i, t in all_rows(docs):
+        raw = (t or "").encode()
+        p = raw + bytes(max(64, -(-len(raw) // 64) * 64) - len(raw))
+        want.append((i, len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), len(p) + 44))
+    same([(r["id"], r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"], r["media_bytes"]) for r in out], want)
+    assert all("audio/wav" in r["feature"] and "corrected=" in r["feature"] for r in out)
+    assert media.store_texts(docs.limit(0), "doc_id", "text").count() == 0
+
+
+def test_sniff(spark):
+    chunk = lambda k, d: len(d).to_bytes(4, "big") + k + d + zlib.crc32(k + d).to_bytes(4, "big")
+    png = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", bytes(13)) + chunk(b"IEND", b"")
+    gif = b"GIF89a" + bytes(7) + b"\x2c" + bytes(9) + b"\x02\x01\x00\x00;"
+    import gzip
+
+    gz = gzip.compress(b"hello")
+    assert media.sniff(png) == ("image/png", []) and media.sniff(gif) == ("image/gif", []) and media.sniff(gz) == ("application/gzip", [])
+    kind, parts = media.sniff(b"text " + png + b"BM GIF89a" + gz + b"tail")
+    assert kind == media.UNKNOWN and [(o, n, k) for o, n, k in parts] == [(5, len(png), "image/png"), (5 + len(png) + 9, len(gz), "application/gzip")]
+    assert media.sniff(png[:-1]) == (media.UNKNOWN, []) and media.sniff(b"") == (media.UNKNOWN, [])
+    df = spark.createDataFrame([(1, png, "image/gif"), (2, None, None), (3, png, "image/png")], "id long, blob binary, kind string")
+    out = {r["id"]: r for r in media.sniff_media(df, "blob", "kind", "id").collect()}
+    assert out[1]["detected"] == "image/png" and out[1]["corrected"] and not out[3]["corrected"] and out[2]["detected"] == media.UNKNOWN
+
+
+HTML = """<title>t</title><style>.x{display:none}</style><p>Hi<p>there <b>bold</b>  <i>x</i><ul><li>one<li>two<ol start=3><li>a<li>b</ol></ul>tail
+<table><tr><th>Name<th>Age<tr><td>Bob<td>5</table><div class=x>no</div><pre> a
+  b</pre>1 &lt; 2 <span hidden>no</span><script>no</script>"""
+
+
+def test_html(spark):
+    assert html_text.page_text(HTML) == "Hi\n\nthere bold x\n\n- one\n- two\n  3. a\n  4. b\n\ntail\n\nName  Age\nBob   5\n\n a\n  b\n\n1 < 2"
+    assert [html_text.page_text(x) for x in (None, "", "<", "<a", "<!-- x", "a</p>b", "<div>" * 3000 + "x")] == ["", "", "<", "", "", "a\n\nb", "x"]
+    df = spark.createDataFrame([(1, None), (1, "<p>a"), (None, "b")], "page_id long, html string").withColumn("id", F.lit(1)).withColumn("text", F.lit(1))
+    same([tuple(r) for r in html_text.extract_text(df).collect()], [(1, ""), (1, "a"), (None, "b")])
+
+
+def test_topk(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 8)).round(2)
+    x[50] = x[60]
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(1000, None), (1100, [1.0, None]), (1200, [float("nan")] * 8), (None, [1.0] * 8), (1300, [1.0, 2.0]), (1400, []), (60, [0.5] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("id", F.lit("x")).repartition(3)
+    out = topk.top_k(df, F.col("vec_id") % 100 == 0, k=10).collect()
+    good = [(i, np.floor(1024 * np.array(r)).astype(int)) for i, r in rows if i is not None and r and len(r) == 8 and all(v is not None and np.isfinite(v) for v in r)]
+    want = []
+    for q, v in good:
+        if q % 100 == 0:
+            s = sorted((-int(v @ w), i) for i, w in good if i != q)[:10]
+            want += [(q, k + 1, i, -n) for k, (n, i) in enumerate(s)]
+    want_ids = {(q, k, n) for q, k, _, n in want}
+    got = [tuple(r) for r in out if r["query_id"] < 1000]
+    assert {(q, k, n) for q, k, _, n in got} == want_ids and len(got) == len(want)
+    assert not [r for r in out if r["query_id"] == 1300]  # nothing else of its length
+    assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
+
+
+def sets_of(rows, size):
+    out = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        out.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+    return out
+
+
+def brute_components(rows, size, percent):
+    sets = sets_of(rows, size)
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    least = defaultdict(list)
+    for i, (k, _) in enumerate(rows):
+        least[find(i)].append(k)
+    return [(k, len(sets[i]), min((x for x in least[find(i)] if x is not None), default=None) if sets[i] else k) for i, (k, _) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("sizes", [(32, 8192, 256), (2, 3, 2)])
+def test_near(spark, docs, sizes, monkeypatch):
+    for name, v in zip(("SMALL", "LARGE", "BLOCK"), sizes):
+        monkeypatch.setattr(near_dedup, name, v)
+    rng = random.Random(8)
+    base = prose(rng, 400).split()
+    cluster = []
+    for i in range(24):
+        w = list(base)
+        for _ in range(rng.randint(0, 14)):
+            w[rng.randrange(400)] = f"w{rng.random()}"
+        cluster.append((100 + i, " ".join(w), None, None, None))
+    more = docs.select("doc_id", "text", "lang", "source", "n_chars").unionAll(spark.createDataFrame(cluster, DOCS)).withColumn("node", F.lit(1))
+    out = near_dedup.near_duplicates(more, 3, 85).collect()
+    want = brute_components(all_rows(more), 3, 85)
+    same([(r["doc_id"], r["n_shingles"], r["component_id"]) for r in out], want)
+    assert all(r["kept"] == (r["doc_id"] is not None and r["doc_id"] == r["component_id"]) for r in out)
+    kept = near_dedup.keep_one(more, 5, 80)
+    assert kept.columns == more.columns
+    groups = {(k if n == 0 else ("g", c)) for k, n, c in brute_components(all_rows(more), 5, 80)}
+    assert kept.count() == len(groups)
+    assert near_dedup.near_duplicates(more.limit(0), 3, 85).count() == 0
+
+
+def brute_removed(rows, length):
+    counts = Counter()
+    for _, t in rows:
+        b = (t or "").encode()
+        counts.update(b[i : i + length] for i in range(len(b) - length + 1))
+    out = []
+    for k, t in rows:
+        b = (t or "").encode()
+        hit = suffix_dedup.merged([{"start": i, "stop": i + length} for i in range(len(b) - length + 1) if counts[b[i : i + length]] > 1])
+        kept = suffix_dedup.without(b, hit)
+        out.append((k, len(b), len(b) - len(kept), len(hit), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("hot", [200, 1])
+def test_suffix(docs, hot, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    same([tuple(r) for r in suffix_dedup.dedup_digests(docs).collect()], brute_removed(all_rows(docs), 200))
+    kept = suffix_dedup.remove_repeats(docs)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+    assert not [r for r in kept.collect() if r["doc_id"] == 4 and r["text"]]
+    assert suffix_dedup.dedup_digests(docs.limit(0)).count() == 0
+
+
+def test_suffix_array():
+    rng = random.Random(3)
+    for _ in range(150):
+        s = np.array([rng.randint(0, rng.choice([1, 2, 200])) for _ in range(rng.randint(1, 60))], np.uint8)
+        b = s.tobytes()
+        sa = suffix_dedup.suffix_array(s)
+        assert sa.tolist() == sorted(range(len(b)), key=lambda i: b[i:])
+        before, common = suffix_dedup.permuted_lcp(s, sa)
+        for i, j in enumerate(before):
+            if j >= 0:
+                n = next((k for k in range(len(b) - max(i, j)) if b[i + k] != b[j + k]), len(b) - max(i, j))
+                assert n == common[i]
+
+
+def test_packing(docs):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(bpe.tokenizer_path())
+    ids = defaultdict(list)
+    for k, x in all_rows(docs):
+        ids[k].append(np.array([*t.encode(x or "", add_special_tokens=False).ids, 2], "<u4"))
+    out = packing.pack_documents(docs, shard_bytes=20_000).collect()
+    windows, cover = defaultdict(list), defaultdict(list)
+    for r in out:
+        windows[r["sequence_id"]].append((r["offset"], r["length"]))
+        cover[r["doc_id"]].append((r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]))
+    for v in windows.values():
+        at = 0
+        for o, n in sorted(v):
+            assert o == at and n > 0
+            at += n
+        assert at <= 4096
+    for k, rows in ids.items():
+        assert sum(n for _, n, *_ in cover[k]) == sum(map(len, rows))
+        for s, n, crc, total in cover[k]:
+            assert any(len(x) == total and zlib.crc32(x[s : s + n].tobytes()) == crc for x in rows)
+    assert packing.pack_documents(docs.limit(0)).count() == 0
+    p = packing.LevelPacker(10)
+    assert [p.place(n) for n in (6, 4, 3, 10, 7)] == [(0, 0), (0, 6), (1, 0), (2, 0), (1, 3)]
+
+
+def test_bpe(docs, texts):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(bpe.tokenizer_path())
+    want = []
+    for k, x in all_rows(docs):
+        e = t.encode(x or "", add_special_tokens=False).ids
+        want.append((k, len(e), hashlib.sha256(" ".join(map(str, e)).encode()).hexdigest(), hashlib.sha256(t.decode(e, skip_special_tokens=False).encode()).hexdigest()))
+    same([tuple(r) for r in bpe.encoding_digests(docs).collect()], want)
+    assert {tuple(r["ids"]) for r in bpe.encode_documents(docs).collect()} == {tuple(t.encode(x or "", add_special_tokens=False).ids) for _, x in all_rows(docs)}
+    enc = bpe.TextEncoder(bpe.read_tokenizer(bpe.tokenizer_path()))
+    packed = bpe.PackedEncoder(bpe.read_tokenizer(bpe.tokenizer_path()))
+    rng = random.Random(1)
+    parts = ["a", "ing", "'s", "'LL", " ", "\n", "é", "Σ", "ΑΣ", "<|endoftext|>", "12", "!!", "…", "ͅ", "漢", "😀", "_", "\x1c", "ß", "İ", "ǅ", "՘"]
+    for _ in range(3000):
+        x = "".join(rng.choices(parts, k=rng.randint(0, 25)))
+        ids = t.encode(x, add_special_tokens=False).ids
+        assert enc.encode(x) == ids and packed.packed(x) == np.array(ids, "<u4").tobytes()
+
+
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def passes(kind, m):
+    d = re.sub("[^0-9]", "", m)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in m.split("."))
+    if kind == "card":
+        return 14 <= len(d) <= 19 and sum(int(c) if i % 2 == 0 else sum(map(int, str(2 * int(c)))) for i, c in enumerate(reversed(d))) % 10 == 0
+    return kind == "email" or 10 <= len(d) <= 15
+
+
+def test_pii(spark, docs):
+    rng = random.Random(2)
+    bits = ["a@b.com", "_x@y.org", "@", ".", "..", "1.2.3.4", "999.1.1.1", ".5", "4111 1111-1111 1111", "4111111111111111", "7", " ", "-", "+1 (555) 010-2030", "+", "é", "😀", "0000001.02.3.255", "a" * 40]
+    extra = spark.createDataFrame([(1000 + i, "".join(rng.choices(bits, k=rng.randint(1, 12))), None, None, None) for i in range(400)] + [(9999, "1" * 60000 + " " + "a" * 60000 + "@", None, None, None)], DOCS)
+    both = docs.select(extra.columns).unionAll(extra)
+    out = {(r["doc_id"], i): r for i, r in enumerate(pii.pii_digests(both).orderBy("doc_id").collect())}
+    want = []
+    for k, t in all_rows(both):
+        spans = sorted((m.start(), i, f"{kind}:{m.start()}:{m.end()}") for i, (kind, p) in enumerate(PATTERNS.items()) for m in re.finditer(p, t or "") if passes(kind, m[0]))
+        s = ",".join(x[2] for x in spans)
+        want.append((k, *(sum(x[1] == i for x in spans) for i in range(4)), hashlib.sha256(s.encode()).hexdigest()))
+    same([(r["doc_id"], r["n_email"], r["n_ip"], r["n_card"], r["n_phone"], r["base_sha256"]) for r in out.values()], want)
+    assert [r["spans"] for r in out.values() if r["doc_id"] == 18][0].startswith("secret:")
+    hidden = {r["doc_id"]: r["text"] for r in pii.mask_documents(docs).collect()}
+    assert hidden[16] == "mail me: [EMAIL], [PHONE]" and hidden[18] == 'token = "[SECRET]"' and hidden[0] is None and "[CARD]" in hidden[17] and "10.0.0.256" in hidden[17]
+    assert pii.pii_digests(docs.limit(0)).count() == 0
+
+
+def test_langid(spark, docs):
+    assert {r["lang_pred"] for r in langid.predict(docs, ([], np.zeros((0, langid.BUCKETS)))).collect()} == {"und"}
+    kinds = {"aa": "alpha beta gamma delta".split(), "bb": "uno dos tres cuatro cinco".split()}
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(kinds[k], k=40)), k, None, None) for i, k in enumerate(["aa", "bb"] * 40)]
+    train = spark.createDataFrame(rows, DOCS)
+    model = langid.train(train)
+    ask = [(0, "beta beta delta", None, None, None), (1, "DOS tres", None, None, None), (2, None, None, None, None), (3, "12 !", None, None, None), (4, " ".join(["alpha gamma"] * 60 + ["cuatro cinco"] * 30), None, None, None)]
+    out = {r["doc_id"]: r for r in langid.predict(spark.createDataFrame(ask, DOCS).withColumn("lang_pred", F.lit("x")), model).collect()}
+    assert [out[i]["lang_pred"] for i in range(4)] == ["aa", "bb", "und", "und"] and out[2]["score"] == 0.0
+    assert [x["lang"] for x in out[4]["languages"]] == ["aa", "bb"] and 0.5 < out[4]["score"] < 0.9
+    kept = langid.keep_identified(train.unionAll(spark.createDataFrame(ask, DOCS)))
+    assert {r["doc_id"] for r in kept.where("doc_id < 5").collect()} == {0, 1, 2, 3, 4} and kept.count() == 80 + 3
+    assert langid.keep_identified(docs.limit(0)).count() == 0
+
+
+def test_warc(spark):
+    big = "<p>" + "x" * 1200
+    rows = [(1, "http://a.example/x?y", big), (2, "http://a.example", big), (3, None, big + "é"), (4, "http://b.example/\nq", None), (5, "u", "small"), (6, "u", "small"), (2, "again", big), (7, "v", "a\r\n\r\nWARC/1.1\r\n" * 100), (None, "w", big)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("size", F.lit(1)).repartition(2)
+    path = warc.write_pages(df)
+    records = warc.read_archives(spark, path)
+    assert records.count() == 3 * len(rows)
+    captures = warc.assemble(records)
+    out = captures.select("page_id", "response.payload_bytes", "response.payload_digest", "response.record_type", "response.refers_to").collect()
+    want = []
+    for k, _, h in rows:
+        b = (h or "").encode()
+        newest = max(x[0] or -1 for x in rows if (x[2] or "").encode() == b)
+        first = len(b) < 1000 or k == newest
+        want.append((k, len(b), hashlib.sha1(b).hexdigest(), "response" if first else "revisit", None if first else newest))
+    same([tuple(r) for r in out], want)
+    assert captures.where("request IS NULL OR metadata IS NULL").count() == 0
+    assert warc.assemble(warc.read_archives(spark, warc.write_pages(df.limit(0)))).count() == 0
+
+
+def test_with_column(spark):
+    import pyarrow as pa
+
+    df = spark.createDataFrame([(1, "a"), (2, None)], "x int, t string")
+    same([tuple(r) for r in with_column(df, "n", "long", pa.int64(), ("t",), lambda t: [len(v or "") for v in t]).collect()], [(1, "a", 1), (2, None, 0)])
