@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from talkweave.llm import near_dedup, topk, warc
+from talkweave.llm import near_dedup, suffix_dedup, topk, warc
 from talkweave.llm.bpe import op10_bpe
 from talkweave.llm.html_text import op2_html
 from talkweave.llm.langid import op8_langid
@@ -22,4 +22,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": topk.ORACLE_SQL, "op4_near_dedup": near_dedup.ORACLE_SQL, "op9_warc": warc.ORACLE_SQL}
+    return {"op3_topk": topk.ORACLE_SQL, "op4_near_dedup": near_dedup.ORACLE_SQL, "op5_suffix_dedup": suffix_dedup.ORACLE_SQL, "op9_warc": warc.ORACLE_SQL}

@@ -491,3 +491,18 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_digests(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+w AS (SELECT doc_id, i, md5(b[i + 1:i + 200]) AS k FROM d, unnest(range(0, n - 199)) t(i)),
+c AS (SELECT doc_id, i FROM w QUALIFY count(*) OVER (PARTITION BY k) > 1),
+f AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS fresh FROM c),
+g AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM f),
+s AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS z FROM g GROUP BY doc_id, run),
+p AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM s),
+k AS (SELECT doc_id, count(*) AS n_spans, sum(z - a) AS removed, max(z) AS last, string_agg(hex(b[before + 1:a]), '' ORDER BY a) AS head FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       CASE WHEN removed IS NULL THEN sha256(b) ELSE sha256(unhex(head || hex(b[last + 1:n]))) END AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
