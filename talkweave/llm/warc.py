@@ -4,7 +4,7 @@ Each page is written as three records: the request, the response (or a revisit,
 Request and metadata name the response's record in WARC-Concurrent-To. Reading gives one row per record;
 assembly joins the records of a transaction through these identifiers into one nested row per capture.
 
-Archives are text files in the shared folder, a bounded number of pages in each. Only digests and page ids are joined to
+Archives are compressed text files in the shared folder, a bounded number of pages in each. Only digests and page ids are joined to
 find equal payloads, by a join that Spark splits where one payload is very common.
 
 Results for edge cases: null html is an empty payload; a null url has an empty target; line ends in a url are
@@ -15,6 +15,7 @@ keeps nulls there.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -77,7 +78,7 @@ def write_pages(df: DataFrame, id_col: str = "page_id", url_col: str = "url", ht
     metadata = _record("metadata", urn("metadata"), uri, "application/warc-fields", F.concat(F.lit("page: "), F.coalesce(F.col("page").cast("string"), F.lit("")), F.lit("\r\n")), beside)
     # the writer ends each row by the line feed that ends the last record
     whole = F.concat(request, response, metadata)
-    pages.select(F.substring(whole, F.lit(1), F.length(whole) - 1).alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", PAGES_PER_FILE).text(path)
+    pages.select(F.substring(whole, F.lit(1), F.length(whole) - 1).alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", PAGES_PER_FILE).option("compression", "gzip").text(path)
     return path
 
 
@@ -119,7 +120,8 @@ def read_archives(spark: SparkSession, path: str, id_type: str = "long", with_pa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for data in b.column(0):
-                rows = [row(*r) for r in _records(data.as_py())]
+                raw = data.as_py()
+                rows = [row(*r) for r in _records(gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
