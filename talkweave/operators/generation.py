@@ -31,8 +31,9 @@ def dry_run(spark: SparkSession, bucket: Bucket, count: int) -> DataFrame:
 def request_prompts(bucket: Bucket, topics: DataFrame, per_request: int) -> DataFrame:
     """topics: request_id, topic. One prompt per request, with its topics numbered in hash order."""
     rules = (
-        "Write natural two-person English dialogue scripts for speech synthesis.\nUse exactly [S1] and [S2] speaker tags, alternating speakers every turn.\n"
-        f"Write {per_request} scripts separated by a line of ---.\nEach has {bucket.turn_min}-{bucket.turn_max} turns and {bucket.words_min}-{bucket.words_max} words. {bucket.description}\nTopics:\n"
+        f"Please write {per_request} conversations between two people, in everyday English, to be read aloud. Put a line of --- between conversations. Start each turn on a new line with [S1] or [S2], "
+        f"taking turns; write only what is said, each turn ending in a full stop, question mark or exclamation mark. A conversation has {bucket.turn_min} to {bucket.turn_max} turns and {bucket.words_min} to {bucket.words_max} words. "
+        f"{bucket.description}\nOne conversation on each of these:\n"
     )
     listed = F.array_sort(F.collect_list(F.struct(F.xxhash64("topic").alias("h"), "topic")))
     numbered = F.transform(listed, lambda x, i: F.format_string("%d. %s", i + 1, x["topic"]))
