@@ -39,6 +39,8 @@ TREES = 12
 #: Trees whose hubs are tried first.
 HUB_TREES = 4
 LEVELS, MORE_LEVELS, ROUNDS = 6, 4, 4
+#: Independent trees below a very large group, so that branching it further loses hardly any pair.
+AGAIN = 3
 #: Groups up to SMALL are compared by sketches first; up to LARGE in blocks on full sets; larger ones are branched further.
 SMALL, LARGE, BLOCK = 32, 8192, 256
 #: How far an estimate from sketches may lie below the wanted similarity, in standard deviations.
@@ -138,7 +140,9 @@ def _more_paths(met: DataFrame, similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                paths, rows = descend(b.column(0).to_numpy().view(np.uint64), np.arange(b.num_rows), _sketches(b.column(2)), MORE_LEVELS, similarity)
+                above, sk = b.column(0).to_numpy().view(np.uint64), _sketches(b.column(2))
+                parts = [descend(_mix(above + np.uint64(k)), np.arange(b.num_rows), sk, MORE_LEVELS, similarity) for k in range(AGAIN)]
+                paths, rows = map(np.concatenate, zip(*parts))
                 yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), b.column(1).take(pa.array(rows))], ["path", "node"])
 
     return met.select("path", "node", "sketch").mapInArrow(run, "path long, node binary")
