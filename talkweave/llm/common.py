@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from talkweave.storage import shared_dir, stored  # noqa: F401
+
 #: Rows and bytes that one Arrow batch handed to Python may hold; this bounds a worker's memory when texts are long.
 BATCH_ROWS = 512
 BATCH_BYTES = 16 << 20
@@ -21,25 +21,6 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new path in the folder that all machines share: the session's ``spark.checkpoint.dir``, or, where
-    that is unset (tests on one machine), a temporary folder which then also takes checkpoints."""
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="spark-shared-")
-        sc.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """Cuts the lineage by writing ``df`` to the shared folder and reading it back; a lost executor then
-    costs only a new read."""
-    path = shared_dir(df.sparkSession)
-    df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

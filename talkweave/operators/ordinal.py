@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from talkweave.storage import stored
+
 
 def ordinal(df: DataFrame, *order: str, name: str = "idx") -> DataFrame:
     """Adds a number from 0 in the given order. Rows are range-partitioned and numbered in their partition; the partitions'
-    sizes, one row each, give the offsets. The order must tell all rows apart, so that a task that runs again numbers alike."""
-    part = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    sizes, one row each, give the offsets. The order must tell all rows apart, so that a task that runs again numbers alike.
+    Rows are written with their partition once: evaluated again for the sizes, other bounds could hold."""
+    part = stored(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
     sizes = part.groupBy("__part").agg(F.count("*").alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))

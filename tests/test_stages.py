@@ -79,6 +79,14 @@ def test_numbers(spark):
     assert sorted((r["g"], r["shard"], r["count"]) for r in shards) == [("cold", 3, 100), ("hot", 3, 500), ("hot", 4, 400)]
 
 
+def test_numbers_of_wide_rows(spark):
+    """The shuffled payload fills several partitions, its keys alone only one."""
+    wide = F.concat(*(F.sha2(F.concat(F.col("id").cast("string"), F.lit(f":{i}")), 512) for i in range(4)))
+    df = spark.range(40000).select((F.col("id") * 7919 % 40000).alias("k"), wide.alias("text"))
+    out = ordinal(df, "k").select("k", "idx", F.length("text").alias("n")).collect()
+    assert len(out) == 40000 and all(r["k"] == r["idx"] and r["n"] == 512 for r in out)
+
+
 def test_generation_resumes(spark, tmp_path):
     c = Config(buckets=[Bucket("short", 5, 4, 6, 12, 20, 16, 28, 55), Bucket("medium", 20, 6, 8, 25, 40, 30, 70, 115)])
     path = str(tmp_path / "scripts")
