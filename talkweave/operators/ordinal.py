@@ -21,7 +21,7 @@ def ordinal(df: DataFrame, *order: str, name: str = "idx") -> DataFrame:
 
 
 def ordinal_within(df: DataFrame, group: str, *order: str, name: str = "idx") -> DataFrame:
-    """Numbers from 0 within each group; a large group is spread like a whole table. Groups are few."""
+    """Numbers from 0 within each group, null being one; a large group is spread like a whole table. Groups are few."""
     all_ = ordinal(df, group, *order, name="__all")
-    first = all_.groupBy(group).agg(F.min("__all").alias("__first"))
-    return all_.join(first, group).withColumn(name, F.col("__all") - F.col("__first")).drop("__all", "__first")
+    first = all_.groupBy(F.col(group).alias("__group")).agg(F.min("__all").alias("__first"))
+    return all_.join(first, F.col(group).eqNullSafe(F.col("__group"))).withColumn(name, F.col("__all") - F.col("__first")).drop("__all", "__group", "__first")

@@ -87,6 +87,12 @@ def test_numbers_of_wide_rows(spark):
     assert len(out) == 40000 and all(r["k"] == r["idx"] and r["n"] == 512 for r in out)
 
 
+def test_numbers_in_a_null_group(spark):
+    df = spark.createDataFrame([(0, None), (1, "en"), (2, None), (3, "en"), (4, None)], "k int, g string")
+    out = {r["k"]: (r["g"], r["shard"]) for r in corpus.sharded(df, "g", "k", size=2, offset=1).collect()}
+    assert out == {0: (None, 1), 1: ("en", 1), 2: (None, 1), 3: ("en", 1), 4: (None, 2)}
+
+
 def test_generation_resumes(spark, tmp_path):
     c = Config(buckets=[Bucket("short", 5, 4, 6, 12, 20, 16, 28, 55), Bucket("medium", 20, 6, 8, 25, 40, 30, 70, 115)])
     path = str(tmp_path / "scripts")
