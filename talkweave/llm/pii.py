@@ -120,7 +120,7 @@ def candidates(df: DataFrame, text_col: str = "text") -> DataFrame:
 
     placed = split.select(*df.columns, F.concat(*map(of, BASE)).alias("__base"), of("secret").alias("__secret"))
     base = F.col("__base")
-    clear = F.filter("__secret", lambda s: ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
+    clear = F.filter("__secret", lambda s: ~F.exists(base, lambda b: (b["votes"][0] == 1) & (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
     return placed.select(*df.columns, F.array_sort(F.concat(base, clear)).alias("__found"))
 
 

@@ -281,6 +281,16 @@ def test_pii(spark, docs):
     assert pii.pii_digests(docs.limit(0)).count() == 0
 
 
+def test_pii_secret_over_a_failing_card(spark):
+    """Digits in a key that fail the card's checks don't keep it from being a secret; a valid card does."""
+    key, held = "deadbeef12345678901234cafe0a1b2c3d4e5f67", "deadbeef4111111111111111cafe0a1b2c3d4e5f"
+    assert re.search(PATTERNS["card"], key) and not passes("card", "12345678901234") and passes("card", "4111111111111111")
+    df = spark.createDataFrame([(0, f'token = "{key}"'), (1, f'token = "{held}"')], "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in pii.pii_digests(df).collect()}
+    assert spans == {0: "secret:9:49", 1: "card:17:33"}
+    assert {r["doc_id"]: r["text"] for r in pii.mask_documents(df).collect()}[0] == 'token = "[SECRET]"'
+
+
 def test_langid(spark, docs):
     assert {r["lang_pred"] for r in langid.predict(docs, ([], np.zeros((0, langid.BUCKETS)))).collect()} == {"und"}
     kinds = {"aa": "alpha beta gamma delta".split(), "bb": "uno dos tres cuatro cinco".split()}
