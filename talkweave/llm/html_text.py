@@ -4,7 +4,9 @@ A tokenizer feeds a tree builder, which opens and closes tags that authors may l
 option, table sections, rows and cells). A renderer walks the tree without recursion and emits the visible text: blocks stand
 on lines of their own, paragraphs apart by an empty line, list items behind a bullet or number and indented, table
 cells in aligned columns, preformatted text as it is. Invisible are head, scripts and the like, and elements that an
-attribute, a style or a simple rule of a style sheet hides.
+attribute, a style or a simple rule of a style sheet hides: of the simple rules for an element the one that browsers
+prefer. Rules in media blocks count where the block applies to a screen of 1280 x 800 pixels; blocks with a condition
+that isn't known don't count. Of SVG the text elements and foreign objects are visible, of MathML all but annotations.
 
 Results for edge cases: null html, or html without visible text, gives an empty string. An unclosed comment or tag
 at the end is dropped. Rows are independent; other columns are ignored.
@@ -25,7 +27,12 @@ from talkweave.llm.common import bounded_batches, table
 # Elements by how they behave.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
-UNSEEN = frozenset("head script style template noscript iframe noembed noframes title object svg math canvas audio video datalist meta link base param source track area map".split())
+UNSEEN = frozenset("head script style template noscript iframe noembed noframes title object canvas audio video datalist meta link base param source track area annotation annotation-xml mphantom".split())
+# Where svg draws text and where it never does; HTML elements that end SVG and MathML, and where they may stand in them.
+SVG_TEXT = frozenset("text foreignobject".split())
+SVG_UNSEEN = frozenset("defs desc metadata symbol clippath mask pattern marker".split())
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+POINT = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
 HEAD = frozenset("title meta link base style script noscript template".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure fieldset hr menu".split())
 BLOCK = SPACED | frozenset("html body div article section nav aside header footer main address form li dt dd tr caption thead tbody tfoot figcaption details summary legend center dialog hgroup search option optgroup".split())
@@ -45,11 +52,49 @@ DEPTH = 512
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])))*+)>")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+SHEET = re.compile(r"\"(?:[^\"\\\n]|\\.)*+\"|'(?:[^'\\\n]|\\.)*+'|[{};]", re.S)
+SHOWN = re.compile(r"\s*(display|visibility)\s*:\s*([a-z-]+(?:\s+[a-z-]+)*)\s*(!\s*important)?\s*", re.I)
 SIMPLE = re.compile(r"[a-zA-Z][\w-]*|[.#][\w-]+")
+# A screen, for media blocks.
+SIZES = {"width": 1280, "height": 800}
+UNITS = {"px": 1, "em": 16, "rem": 16, "pt": 4 / 3, "": 1}
+FEATURES = {"orientation": "landscape", "hover": "hover", "any-hover": "hover", "pointer": "fine", "any-pointer": "fine", "prefers-color-scheme": "light", "prefers-reduced-motion": "no-preference"}
+MEDIA = re.compile(r"(?:(not|only)\s+)?([a-z]+)", re.I)
+BOUND = re.compile(r"(min|max)-(width|height)\s*:\s*([0-9]*\.?[0-9]+)\s*(px|em|rem|pt|)")
+RANGE = re.compile(r"(width|height)\s*([<>]=?|=)\s*([0-9]*\.?[0-9]+)\s*(px|em|rem|pt|)")
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
+def _feature(x: str) -> bool | None:
+    """Whether a media condition holds on the screen; None if it isn't known."""
+    x = x.strip().lower()
+    if m := BOUND.fullmatch(x):
+        size = float(m[3]) * UNITS[m[4]]
+        return SIZES[m[2]] >= size if m[1] == "min" else SIZES[m[2]] <= size
+    if m := RANGE.fullmatch(x):
+        have, size = SIZES[m[1]], float(m[3]) * UNITS[m[4]]
+        return {"<": have < size, "<=": have <= size, ">": have > size, ">=": have >= size, "=": have == size}[m[2]]
+    name, _, value = map(str.strip, x.partition(":"))
+    return FEATURES[name] == (value or FEATURES[name]) if name in FEATURES else None
+
+
+def _on_screen(media: str) -> bool:
+    """Whether a list of media queries applies to the screen."""
+    for query in media.split(","):
+        kind, *conditions = re.split(r"\s+and\b\s*", query.strip(), flags=re.I)
+        negated, holds = False, True
+        if m := MEDIA.fullmatch(kind):
+            negated, holds = (m[1] or "").lower() == "not", m[2].lower() in ("screen", "all")
+        elif kind[:3].lower() == "not" and not conditions:
+            negated, conditions = True, [kind[3:].strip()]
+        elif kind:
+            conditions.insert(0, kind)
+        known = [_feature(c[1:-1]) if c[:1] == "(" and c[-1:] == ")" else None for c in conditions]
+        if None not in known and (holds and all(known)) != negated:
+            return True
+    return False
+
+
 class Node:
     __slots__ = ("tag", "attrs", "kids")
 
@@ -71,7 +116,8 @@ class Builder:
         self.root = Node("html")
         self.stack = [self.root]
         self.names = ["html"]
-        self.hidden: set[str] = set()  # simple selectors that a style sheet hides
+        self.shown: dict[str, dict[str, tuple[bool, int, int, bool]]] = {}  # by simple selector and property, the rule that wins: important, kind, place, hides
+        self.rules = 0
 
     def push(self, tag: str, attrs: dict[str, str] | None = None) -> None:
         node = Node(tag, attrs)
@@ -131,6 +177,9 @@ class Builder:
                 self.body()
         elif tag == "head":
             return
+        if tag in BREAKOUT and ("svg" in self.names or "math" in self.names):
+            while self.foreign():
+                self.pop_to(len(self.stack) - 1)
         if tag in CLOSES:
             wanted, stop = CLOSES[tag]
             if at := self.find(wanted, stop, outermost=tag in ("tr", *SECTION)):
@@ -159,10 +208,43 @@ class Builder:
             if at and self.names[at] == tag:
                 self.pop_to(at)
 
-    def styles(self, sheet: str) -> None:
-        for selectors, rules in RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
-            if HIDES.search(rules):
-                self.hidden.update(s for s in map(str.strip, selectors.split(",")) if SIMPLE.fullmatch(s))
+    def foreign(self) -> bool:
+        """Whether what comes next stands in SVG or MathML, where any tag can close itself."""
+        return next((n not in POINT for n in reversed(self.names) if n in ("svg", "math") or n in POINT), False)
+
+    def declare(self, selectors: list[str], declaration: str) -> None:
+        if m := SHOWN.fullmatch(declaration):
+            name, value = m[1].lower(), m[2].lower()
+            self.rules += 1
+            for x in selectors:
+                rule = (bool(m[3]), " .#".find(x[0]), self.rules, value == "none" if name == "display" else value in ("hidden", "collapse"))
+                won = self.shown.setdefault(x, {})
+                won[name] = max(won.get(name, rule), rule)
+
+    def styles(self, sheet: str, media: str) -> None:
+        if not _on_screen(media):
+            return
+        sheet = re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)
+        blocks: list[list[str] | None] = [None]  # the simple selectors of each open block; None: a block of rules that count
+        at = 0
+        for m in SHEET.finditer(sheet):
+            if m[0] not in "{};":
+                continue
+            part, at, inside = sheet[at : m.start()].strip(), m.end(), blocks[-1]
+            if m[0] == "{":
+                if part[:1] == "@":
+                    name, rest = re.match(r"@([\w-]*)(.*)", part.lower(), re.S).groups()
+                    counts = _on_screen(rest) if name == "media" else name == "layer" or name == "supports" and rest.split()[:1] != ["not"]
+                    blocks.append(inside if counts else [])
+                else:
+                    blocks.append([x for x in map(str.strip, part.split(",")) if SIMPLE.fullmatch(x)] if inside is None else [])
+                continue
+            if inside:
+                self.declare(inside, part)
+            if m[0] == "}" and len(blocks) > 1:
+                blocks.pop()
+        if blocks[-1]:
+            self.declare(blocks[-1], sheet[at:])
 
 
 def build(page: str) -> Builder:
@@ -191,14 +273,18 @@ def build(page: str) -> Builder:
             if m[1]:
                 b.end(tag)
                 continue
-            b.start(tag, _attributes(m[3]), m[3].endswith("/"))
+            attrs, closed = _attributes(m[3]), m[3].endswith("/")
+            if closed and tag not in BREAKOUT and b.foreign():
+                b.stack[-1].kids.append(Node(tag, attrs))
+                continue
+            b.start(tag, attrs, closed)
             if tag in RAW:
                 if lower is None:
                     lower = page.lower() if len(page.lower()) == n else page
                 end = lower.find(f"</{tag}", at)
                 raw = page[at : end if end >= 0 else n]
                 if tag == "style":
-                    b.styles(raw)
+                    b.styles(raw, attrs.get("media", ""))
                 elif tag == "textarea":
                     b.text(raw)
                 b.end(tag)
@@ -218,14 +304,20 @@ def build(page: str) -> Builder:
     return b
 
 
-def _unseen(node: Node, hidden: set[str]) -> bool:
+def _unseen(node: Node, shown: dict[str, dict[str, tuple[bool, int, int, bool]]]) -> bool:
     a = node.attrs
     if node.tag in UNSEEN or node.tag == "dialog" and "open" not in a or node.tag == "input":
         return True
     if a and ("hidden" in a or "style" in a and HIDES.search(a["style"])):
         return True
-    if hidden:
-        return node.tag in hidden or "id" in a and "#" + a["id"] in hidden or "class" in a and any("." + c in hidden for c in a["class"].split())
+    if shown:
+        names = [node.tag, "#" + a.get("id", ""), *("." + c for c in a.get("class", "").split())]
+        if found := [shown[x] for x in names if x in shown]:
+            own = {m[1].lower() for m in map(SHOWN.fullmatch, a.get("style", "").split(";")) if m}
+            for name in ("display", "visibility"):
+                rule = max((x[name] for x in found if name in x), default=None)
+                if rule and rule[-1] and (rule[0] or name not in own):
+                    return True
     return False
 
 
@@ -321,11 +413,14 @@ def render(b: Builder) -> str:
     tables: list[list[list[tuple[str, int, int]]]] = []
     lists: list[list] = []  # [ordered, next number]
     pre = 0
+    svg: list[bool] = []  # for each open svg and each text in it: whether text is drawn
     todo: list[tuple[bool, Node | str]] = [(True, b.root)]
     while todo:
         enter, node = todo.pop()
         out = outs[-1]
         if isinstance(node, str):
+            if svg and not svg[-1]:
+                continue
             if pre:
                 first, *more = node.split("\n")
                 out.line.append(first)
@@ -337,8 +432,13 @@ def render(b: Builder) -> str:
             continue
         tag = node.tag
         if enter:
-            if _unseen(node, b.hidden):
+            if _unseen(node, b.shown):
+                continue
+            if svg and (tag in SVG_UNSEEN or node.attrs.get("display") == "none" or node.attrs.get("visibility") in ("hidden", "collapse")):
                 continue
+            if tag == "svg" or svg and tag in SVG_TEXT:
+                svg.append(tag != "svg")
+                out.room = bool(out.line)
             if tag == "br":
                 out.end_line(always=True)
                 continue
@@ -379,8 +479,13 @@ def render(b: Builder) -> str:
             kids = node.kids
             if tag == "details" and "open" not in node.attrs:
                 kids = [k for k in kids if isinstance(k, Node) and k.tag == "summary"][:1]
+            elif svg and tag == "switch":
+                kids = [k for k in kids if isinstance(k, Node)][:1]
             todo += ((True, k) for k in reversed(kids))
             continue
+        if tag == "svg" or svg and tag in SVG_TEXT:
+            svg.pop()
+            out.room = bool(out.line)
         if tag in CELL and tables and len(outs) > 1:
             outs.pop()
             if not tables[-1]:

@@ -85,6 +85,27 @@ HTML = """<title>t</title><style>.x{display:none}</style><p>Hi<p>there <b>bold</
   b</pre>1 &lt; 2 <span hidden>no</span><script>no</script>"""
 
 
+def test_html_style_sheets():
+    text = lambda sheet, body="<p class=x>a</p><p id=y>b</p>", attrs="": html_text.page_text(f"<style{attrs}>{sheet}</style>{body}")
+    for sheet in (
+        "@media print { .w, .x { display: none } }", "@media (max-width: 600px) { .x{display:none} } .z{color:red}", "@media only screen and (max-width:40em){.x{display:none}}", "@media not all{.x{display:none}}",
+        "@media screen{@media (width < 500px){.x{display:none}}}", ".x{display:none}.x{display:block}", "p{display:none} .x,#y{display:block}", "@media (odd: 1){.x{display:none}}", ".x{@media print{display:none}}", '@font-face{src:"}"} .x:hover{display:none}',
+    ):
+        assert text(sheet) == "a\n\nb", sheet
+    for sheet in ("@media screen { .x { display: none } }", "@media print, (min-width: 600px) {.x{display:none}}", ".x{display:block}.x{color:red;display:none", ".x{display:none!important}.x{display:block}", ".x{display:none}p{display:block}", "@media print{.q{a:b}} .x{visibility:hidden}", "/* } */.x{DISPLAY:NONE}"):
+        assert text(sheet) == "b", sheet
+    assert text(".x{display:none}", attrs=" media=print") == "a\n\nb" and text(".x{display:none}", "<p class=x style='display:block'>a") == "a"
+
+
+def test_html_drawings():
+    text = html_text.page_text
+    assert text("<p>a <svg><title>t</title><defs><text>no</text></defs>no<rect/><g><text x=1>Jan</text><text>F<tspan>eb</tspan></text></g></svg> b") == "a Jan Feb b"
+    assert text("<svg><foreignObject><p>in</p></foreignObject><script/><text>out</text></svg>after") == "in\n\nout after"
+    assert text("<svg><switch><foreignObject><div>one</div></foreignObject><text>two</text></switch><path><p>next") == "one\n\nnext"
+    assert text("<p>x <math><semantics><mrow><mi>a</mi><mo>=</mo><mn>2</mn></mrow><annotation>a=2</annotation></semantics></math> y") == "x a=2 y"
+    assert text("<map name=m><area alt=q><a href=z>link</a></map>") == "link"
+
+
 def test_html(spark):
     assert html_text.page_text(HTML) == "Hi\n\nthere bold x\n\n- one\n- two\n  3. a\n  4. b\n\ntail\n\nName  Age\nBob   5\n\n a\n  b\n\n1 < 2"
     assert [html_text.page_text(x) for x in (None, "", "<", "<a", "<!-- x", "a</p>b", "<div>" * 3000 + "x")] == ["", "", "<", "", "", "a\n\nb", "x"]
