@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 GAP_MS = 100
 BACKCHANNEL_OFFSET_MS = 250
 KINDS = ("backchannel", "interruption", "simultaneous_start")
-#: Shortest and longest overlap in ms, and the part of the earlier turn that it takes.
+#: Shortest and longest overlap in ms, and the part of the shifted turn that it takes.
 LENGTHS = {"backchannel": (300, 900, 2), "interruption": (500, 1400, 2), "simultaneous_start": (350, 1000, 3)}
 
 
@@ -23,17 +23,17 @@ def samples_ms(samples: Column, rate: int) -> Column:
     return F.rint(samples / F.lit(rate) * 1000).cast("long")
 
 
-def overlap_ms(kind: Column, earlier_ms: Column) -> Column:
+def overlap_ms(kind: Column, turn_ms: Column) -> Column:
     def of(k: str) -> Column:
         low, high, part = LENGTHS[k]
-        return F.least(F.greatest(F.floor(earlier_ms / part), F.lit(low)), F.lit(high)).cast("long")
+        return F.least(F.greatest(F.floor(turn_ms / part), F.lit(low)), F.lit(high)).cast("long")
 
     return F.when(kind == KINDS[0], of(KINDS[0])).when(kind == KINDS[1], of(KINDS[1])).otherwise(of(KINDS[2]))
 
 
-def shifted_start(kind: Column, a_start: Column, a_end: Column) -> Column:
-    """Where the later turn starts after its shift."""
-    early = a_end - overlap_ms(kind, a_end - a_start)
+def shifted_start(kind: Column, a_start: Column, a_end: Column, turn_ms: Column) -> Column:
+    """Where the later turn starts after its shift; the overlap's length comes from a turn of ``turn_ms``."""
+    early = a_end - overlap_ms(kind, turn_ms)
     return F.when(kind == KINDS[2], a_start).when(kind == KINDS[1], F.greatest(a_start, early)).otherwise(F.greatest(a_start + BACKCHANNEL_OFFSET_MS, early))
 
 

@@ -52,8 +52,13 @@ def timed(spark: SparkSession, d: str) -> DataFrame:
     return dialogue.timeline(raw_turns(spark, d))
 
 
+def _planned(t: DataFrame) -> DataFrame:
+    """As in PLAN_SQL, the overlap's length comes from turn a's; the reference, and the stages, take turn b's."""
+    return dialogue.overlap_plan(t, length=F.col("a_end") - F.col("a_start"))
+
+
 def plan(spark: SparkSession, d: str) -> DataFrame:
-    return dialogue.overlap_plan(timed(spark, d))
+    return _planned(timed(spark, d))
 
 
 # --- SQL parts
@@ -277,7 +282,7 @@ def overlap_stats(spark, d):
 
 def _shifted(spark, d):
     t = timed(spark, d)
-    return dialogue.shifted_timeline(t, dialogue.overlap_plan(t))
+    return dialogue.shifted_timeline(t, _planned(t))
 
 
 @query(f"WITH {SHIFTED_SQL}, o AS (SELECT *, lag(end_ms, 1, -1) OVER (PARTITION BY conv_id ORDER BY turn) AS previous_end_ms FROM st) SELECT conv_id, turn, start_ms, previous_end_ms FROM o WHERE start_ms < previous_end_ms")

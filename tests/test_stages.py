@@ -44,6 +44,17 @@ def test_stage3_and_4(spark, scripts):
     assert "metadata duration does not match WAV" in errors and "missing turn audio audio/short_000000/turn_000.wav" in errors
 
 
+def test_overlap_of_a_short_turn(spark):
+    """The overlap's length comes from the shifted turn: half of 600 ms for a backchannel, not half of the 3000 ms before it."""
+    turns = [(0, "a", "", 0, 1000), (0, "b", "", 1100, 4100), (1, "c", "", 4200, 4800)]
+    c = Config()
+    c.overlap.backchannel_ratio, c.overlap.interruption_ratio = 1.0, 0.0
+    r = stages.inject_overlaps(spark.createDataFrame([("x", "short", "en", 4.8, None, "", turns, [])], schemas.CONVERSATION), c).first()
+    (o,) = r["overlaps"]
+    assert (o["turn_a"], o["turn_b"], o["type"], o["overlap_start_ms"], o["overlap_end_ms"]) == (1, 2, "backchannel", 3800, 4100)
+    assert (r["turns"][2]["start_ms"], r["turns"][2]["end_ms"]) == (3800, 4400)
+
+
 def test_tokens(spark, scripts):
     c = Config()
     done = stages.synthesize(scripts, c).where("accepted").drop("accepted")
