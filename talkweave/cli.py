@@ -79,7 +79,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> Any:
     if a.command == "assemble-shards":
         from talkweave.schemas import TOKENS
 
-        done = stages.assemble(files.read_json(spark, a.tokens, TOKENS), files.read_stage(spark, a.stage).drop("path"))
+        done = stages.assemble(files.read_json(spark, a.tokens, TOKENS), files.read_stage(spark, a.stage).drop("path"), a.stage)
         done.write.mode("overwrite").json(a.output)
         return {"written": done.count()}
     if a.command == "validate":

@@ -23,11 +23,11 @@ def previous(codes: DataFrame, id_col: str = "conv_id") -> DataFrame:
     return codes.withColumn("prev", F.lag("code", 1, tk.START_CODE).over(Window.partitionBy(id_col, "cb").orderBy("frame")))
 
 
-def sequences(tokens: DataFrame, conversations: DataFrame, keys: list[str]) -> DataFrame:
-    """Training sequences: token records (codes_training) with their conversation's turns."""
+def sequences(tokens: DataFrame, conversations: DataFrame, keys: list[str], *carry: str) -> DataFrame:
+    """Training sequences: token records (codes_training) with their conversation's turns; ``carry`` names columns of the records to keep."""
     both = tokens.join(conversations.select(*keys, "turns"), keys)
     codes = F.col("codes_training")
-    return both.select(*keys, tk.sequence_tokens(F.col("turns"), codes).alias("tokens"), tk.sequence_mask(F.col("turns"), codes).alias("loss_mask"))
+    return both.select(*keys, *carry, tk.sequence_tokens(F.col("turns"), codes).alias("tokens"), tk.sequence_mask(F.col("turns"), codes).alias("loss_mask"))
 
 
 def collated(rows: DataFrame, batch: Column, budget: int = 192, id_col: str = "conv_id") -> DataFrame:

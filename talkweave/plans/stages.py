@@ -83,7 +83,17 @@ def tokenize(conversations: DataFrame, config: Config, stage: str, limit: int |
     return out.select("conversation_id", "source_json", F.lit(CODEBOOKS).alias("codebook_count"), F.lit(k).alias("training_codebooks"), "codes_full", tk.first_codebooks(F.col("codes_full"), k).alias("codes_training"))
 
 
-def assemble(tokens: DataFrame, conversations: DataFrame) -> DataFrame:
-    """Training sequences of token records with the conversations of their stage."""
+def assemble(tokens: DataFrame, conversations: DataFrame, stage: str | None = None) -> DataFrame:
+    """Training sequences, one for each token record, with the conversations of ``stage``. Records are matched by stage, which their
+    source_json names, and id (by id alone without a stage); raises where a record has no conversation."""
     named = tokens.select("conversation_id", "source_json", "codes_training")
-    return corpus.sequences(named, conversations, ["conversation_id"]).join(named.select("conversation_id", "source_json"), "conversation_id").select("conversation_id", "source_json", "tokens", "loss_mask")
+    keys = ["conversation_id"]
+    if stage is not None:
+        named = named.withColumn("stage", F.regexp_extract("source_json", "^(.*?)/+conversations/[^/]*$", 1))
+        conversations = conversations.withColumn("stage", F.lit(stage.rstrip("/")))
+        keys = ["stage", *keys]
+    lost = named.join(conversations.select(*keys), keys, "left_anti")
+    if n := lost.count():
+        some = ", ".join(sorted(str(r["source_json"]) for r in lost.select("source_json").limit(5).collect()))
+        raise ValueError(f"{n} token records without a conversation, as {some}")
+    return corpus.sequences(named, conversations, keys, "source_json").select("conversation_id", "source_json", "tokens", "loss_mask")

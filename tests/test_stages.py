@@ -69,6 +69,17 @@ def test_tokens(spark, scripts):
     assert validate.sequence_violations(spoiled).count() == 4
 
 
+def test_assemble_matches_stage_and_id(spark, scripts):
+    c = Config()
+    done = stages.synthesize(scripts, c).where("accepted").drop("accepted")
+    t = stages.tokenize(done, c, "d/3")
+    twice = stages.assemble(t.unionAll(t).unionAll(t), done, "d/3/").collect()
+    assert [r["source_json"] for r in twice] == ["d/3/conversations/short_000000.json"] * 3
+    for lost in (t.withColumn("conversation_id", F.lit("gone")), t.unionAll(stages.tokenize(done, c, "d/4"))):
+        with pytest.raises(ValueError, match="1 token records without a conversation"):
+            stages.assemble(lost, done, "d/3")
+
+
 def test_code_columns(spark):
     x = lambda codes, f: spark.range(1).select(f(F.lit(codes).cast("array<array<int>>")).alias("x")).first()["x"]
     assert x([[1, 2, 3], [4, 5, 6, 7]], tk.frame_major) == [1, 4, 2, 5, 3, 6]
