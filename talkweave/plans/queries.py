@@ -249,7 +249,7 @@ SELECT conv_id || '.wav' AS wav, 'I am ' || a AS s1_prompt_transcription, a || '
 def tsv_export(spark, d):
     bank = spark.read.parquet(f"{d}/region.parquet").select(F.col("r_name").alias("path"), F.concat(F.lit("I am "), "r_name").alias("s1_prompt_transcription"), F.concat("r_name", F.lit(".wav")).alias("s1_prompt_wav"))
     t = raw_turns(spark, d)
-    scripts = dialogue.linear_texts(t).join(t.where("turn <= 1").groupBy("conv_id").agg(F.first("category").alias("category")), "conv_id")
+    scripts = dialogue.linear_texts(t).join(t.groupBy("conv_id").agg(F.first("category").alias("category")), "conv_id")
     return corpus.with_prompts(scripts, bank, "conv_id").where("category <> 'other'").select(F.concat(F.col("conv_id").cast("string"), F.lit(".wav")).alias("wav"), "s1_prompt_transcription", "s1_prompt_wav", "text")
 
 

@@ -28,6 +28,17 @@ def test_same_as_sql(spark, duck, name):
     assert rows(QUERIES[name](spark, DATA).toPandas()) == rows(duck.execute(SQL[name]).df())
 
 
+def test_tsv_export_of_late_turns(spark, tmp_path):
+    """A conversation whose first user or assistant turn is its third keeps its row, as in the SQL."""
+    c = duckdb.connect()
+    c.execute("CREATE TABLE conversations AS SELECT CAST(c AS BIGINT) AS conv_id, CAST(t + 2 * (c % 2) AS INTEGER) AS turn, CASE t % 2 WHEN 0 THEN 'user' ELSE 'assistant' END AS role, 'Turn ' || t || '.' AS text FROM range(6) a(c), range(4) b(t)")
+    c.execute("CREATE TABLE region AS SELECT 'r' || i AS r_name FROM range(3) x(i)")
+    for t in ("conversations", "region"):
+        c.execute(f"COPY {t} TO '{tmp_path}/{t}.parquet' (FORMAT parquet)")
+    got = rows(QUERIES["tsv_export"](spark, str(tmp_path)).toPandas())
+    assert len(got[1]) == 6 and got == rows(c.execute(SQL["tsv_export"]).df())
+
+
 def test_entry_without_llm(spark):
     import __spark_entry__
 
