@@ -15,6 +15,7 @@ from talkweave.config import bucket_table, load_config
 from talkweave.operators import corpus, generation, validate
 from talkweave.plans import stages
 from talkweave.sources import files
+from talkweave.storage import stored
 
 SUBSETS = ("scripts", "stage3", "stage4", "shards")
 
@@ -91,7 +92,9 @@ def run(spark: SparkSession, a: argparse.Namespace) -> Any:
             rows = files.read_sequences(spark, a.path)
             return validate.report(rows, validate.sequence_violations(rows), "shard records")
         rows = files.read_stage(spark, a.path)
-        return validate.report(rows, validate.stage_violations(rows, buckets, require_overlaps=a.subset == "stage4"), "conversation metadata")
+        audio = files.stage_audio(spark, a.path)
+        found = validate.stage_violations(rows, buckets, None if audio is None else stored(audio), require_overlaps=a.subset == "stage4")
+        return validate.report(rows, found, "conversation metadata") | {"audio_checked": audio is not None}
     if not a.dry_run:
         raise RuntimeError("uploading is left to the hub's own tools; use --dry-run for the plan")
     repo = os.environ.get(config.hub.repo_env, "")

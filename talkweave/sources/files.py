@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkweave import schemas
 from talkweave.functions.text import beside, safe_split
+from talkweave.sources.audio import wav_header
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -60,6 +63,16 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length")
 
 
+def stage_audio(spark: SparkSession, path: str) -> DataFrame | None:
+    """path (below the stage's folder, as in the records) and seconds of the WAV files in the stage's audio folder; None without such a folder."""
+    if not exists(spark, where := f"{path.rstrip('/')}/audio"):
+        return None
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = re.sub("^file:/+", "/", p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()).rstrip("/")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.wav").load(where)
+    return found.select(F.expr(f"substring(regexp_replace(path, '^file:/+', '/'), {len(root) + 2})").alias("path"), wav_header(F.col("content"))["seconds"].alias("seconds"))
+
+
 def read_splits(spark: SparkSession, path: str, splits: list[str] | str = "all") -> DataFrame:
     """Codec rows of the splits of a corpus, which are folders or shards named by split, with source_split."""
     if splits == "all":

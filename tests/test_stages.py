@@ -80,6 +80,18 @@ def test_assemble_matches_stage_and_id(spark, scripts):
             stages.assemble(lost, done, "d/3")
 
 
+def test_validate_reads_audio(spark, scripts, tmp_path, capsys):
+    stage = tmp_path / "3"
+    files.write_stage(stages.synthesize(scripts, Config()).where("accepted").drop("accepted"), str(stage))
+    (stage / "audio/short_000000").mkdir(parents=True)
+    (stage / "audio/short_000000.wav").write_bytes(audio.encode(audio.tone(24000, 0, 24000), 24000))
+    for i in range(3):
+        (stage / f"audio/short_000000/turn_{i:03d}.wav").write_bytes(audio.encode(audio.tone(2400, 0, 24000), 24000))
+    assert cli.main(["validate", "--path", str(stage)]) == 1
+    out = json.loads(capsys.readouterr().out)
+    assert out["audio_checked"] and out["errors"] == ["short_000000: metadata duration does not match WAV", "short_000000: missing turn audio audio/short_000000/turn_003.wav"]
+
+
 def test_code_columns(spark):
     x = lambda codes, f: spark.range(1).select(f(F.lit(codes).cast("array<array<int>>")).alias("x")).first()["x"]
     assert x([[1, 2, 3], [4, 5, 6, 7]], tk.frame_major) == [1, 4, 2, 5, 3, 6]
