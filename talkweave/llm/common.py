@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.storage import shared_dir, stored  # noqa: F401
+from talkweave.storage import removed, shared_dir, stored  # noqa: F401
 
 #: Rows and bytes that one Arrow batch handed to Python may hold; this bounds a worker's memory when texts are long.
 BATCH_ROWS = 512
@@ -25,6 +25,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_hash(*of: Column) -> tuple[Column, Column]:
+    """128 bits that tell rows apart, as two independent columns."""
+    return F.xxhash64(*of).alias("r1"), F.xxhash64(F.lit(1), *of).alias("r2")
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns of our own that no column of df has, whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    mark = "__"
+    while any(f"{mark}{n}".lower() in taken for n in names):
+        mark += "_"
+    return [f"{mark}{n}" for n in names]
+
+
 def shards(df: DataFrame, text_col: str, shard_bytes: int) -> int:
     """How many shards of about ``shard_bytes`` of text the table fills, 1 at least."""
     total = df.select(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0

@@ -4,21 +4,25 @@ A byte goes if a string of ``length`` bytes that covers it starts anywhere else
 the input, and never cross documents.
 
 Which strings can be equal at all is found first: every window of ``length`` bytes picks the k-gram of least hash in it
-(an anchor), so equal windows have equal anchors. The windows of one anchor make a core. Cores that
-occur twice are repeated as a whole; this pre-aggregates groups of copies, however large. A core that occurs once, but whose
-anchor stands in other cores too, may share some windows with them: one copy of each such core goes to a shard by its
-anchor, and the shard's suffix array decides.
+(an anchor), so equal windows have equal anchors. The windows of one anchor make a core. Only cores whose anchor
+stands in another place too go on. Cores of equal bytes (by a 128-bit hash) are counted, so a group of copies, however large, costs two
+pieces: those of its first and of its last place. All pieces of an anchor meet in one shard, and the shard's suffix array decides
+which windows recur; nothing is removed that no array has found twice. Cores of an anchor without other bytes beside them are
+joined to runs first, as far as their first and last places run in parallel, so that long copies are not cut into many overlapping pieces.
 
 Suffix arrays are made by induced sorting: suffixes are classified, the substrings between leftmost-smaller (LMS) suffixes
-are sorted by induction and named, the string of names is sorted recursively (by rank doubling once names are many), and
-all suffixes are induced from the sorted LMS suffixes in linear time. Permuted common prefixes come from the suffix before
-each in the array: they are compared only where the preceding bytes differ, and follow from their neighbour elsewhere.
-
-An anchor with more than ``HOT`` different cores (the edge of a very common passage) isn't gathered in one shard: its windows
-are hashed, dealt out by hash in packed rows, and counted.
-
-Results for edge cases: a null text counts as empty; texts shorter than ``length`` keep all bytes. Rows that repeat an id
-and text are different places, so they lose what is long enough. Null ids are ids like others. Other columns are ignored.
+are sorted by induction and named, the string of names is sorted recursively in the same way, and all suffixes are induced from the sorted
+LMS suffixes in linear time. Induction goes over several buckets at once as long as none of them induces into another of them. Permuted
+common prefixes come from the suffix before each in the array: they are compared only where the preceding bytes differ, and follow
+from their neighbour elsewhere.
+
+The pieces of one anchor may be too many for a shard (the edge of a passage in very many contexts). They are then dealt out by window: windows
+are counted by 128-bit hash with partial sums, and of those that recur two places each go to a shard, whose suffix array decides as above.
+
+Results for edge cases: a null text counts as empty; texts shorter than ``length`` keep all bytes. Rows are told apart by a
+128-bit hash of id and text: rows that repeat an id and text are different places with the same result, so they lose
+what is long enough. Null ids are ids like others. A text of any length is one row of its task; its pieces are cut to a bounded
+length. An empty table gives an empty one. Other columns are ignored by the digests, and kept by remove_repeats(), whatever their names.
 """
 
 from __future__ import annotations
@@ -29,63 +33,55 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from talkweave.llm.common import bounded_batches, stored, table, with_column
+from talkweave.llm.common import bounded_batches, free_names, removed, row_hash, shared_dir, stored, table, with_column
 
 LENGTH = 200
-GRAM = 32
-HOT = 200
-SHARD_BYTES = 1 << 20
-#: Alphabets up to this size are sorted by induction.
-SMALL = 300
+GRAM = 64
+#: Bytes of pieces that one suffix array takes; the pieces of an anchor that has more are dealt out by window.
+SHARD_BYTES = 2 << 20
+#: Runs of cores are cut at multiples of so many bytes.
+RUN_BYTES = 1 << 16
 SEPARATOR = 0xFF  # no byte of UTF-8
 
 
 # --- suffix arrays
 
 
-def suffix_array(s: np.ndarray, depth: int | None = None) -> np.ndarray:
-    """Sorted suffixes of an integer string; depth: how many symbols at least decide the order (None: all)."""
+def suffix_array(s: np.ndarray) -> np.ndarray:
+    """Sorted suffixes of a string of small integers, of any alphabet."""
     n = len(s)
     if n < 2:
         return np.arange(n)
-    top = int(s.max()) + 1
-    if top > SMALL:
-        return _by_doubling(s, depth)
     # S: smaller than the next suffix; L: larger. Equal symbols have the type of the next; the last suffix is L.
-    step = np.sign(np.diff(s.astype(np.int64), append=-1))
-    nearest = np.where(step != 0, np.arange(n), n)
-    nearest = np.minimum.accumulate(nearest[::-1])[::-1]
-    small = step[nearest] > 0
+    step = np.empty(n, np.int8)
+    step[:-1] = (s[1:] > s[:-1]).view(np.int8) - (s[1:] < s[:-1]).view(np.int8)
+    step[-1] = -1
+    decided = np.flatnonzero(step)
+    small = np.repeat(step[decided] > 0, np.diff(decided, prepend=-1))
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    sizes = np.bincount(s, minlength=top)
+    sizes = np.bincount(s)
     heads = np.concatenate(([0], np.cumsum(sizes)))
+    first = np.repeat(np.arange(len(sizes)).astype(s.dtype), sizes)
     if len(lms) > 1:
-        order = _induce(s, small, lms[np.argsort(s[lms], kind="stable")], heads, top)
+        order = _induce(s, small, lms, heads, first)
         is_lms = np.zeros(n, bool)
         is_lms[lms] = True
         ranked = order[is_lms[order]]
-        names = _names(s, small, lms, ranked)
-        if names.max() + 1 < len(lms):
-            inner = suffix_array(names, depth)
-            lms = lms[inner]
-        else:
-            lms = ranked
-    return _induce(s, small, lms, heads, top)
+        names = _names(s, lms, ranked)
+        lms = lms[suffix_array(names)] if names.max() + 1 < len(lms) else ranked
+    return _induce(s, small, lms, heads, first)
 
 
-def _names(s: np.ndarray, small: np.ndarray, lms: np.ndarray, ranked: np.ndarray) -> np.ndarray:
+def _names(s: np.ndarray, lms: np.ndarray, ranked: np.ndarray) -> np.ndarray:
     """Numbers for the LMS substrings in order; equal ones get the same. In text order."""
     n = len(s)
-    end = np.append(lms[1:], n - 1)  # with the symbol at which the next begins
-    size = np.zeros(n, np.int64)
-    size[lms] = end - lms + 1
+    size = np.zeros(n, np.int32)
+    size[lms] = np.append(lms[1:], n - 1) - lms + 1  # with the symbol at which the next begins
     a, b = ranked[:-1], ranked[1:]
-    same = size[a] == size[b]
-    last = lms[-1]
-    same &= (a != last) & (b != last)
+    same = (size[a] == size[b]) & (a != lms[-1]) & (b != lms[-1])
     todo = np.flatnonzero(same)
     k = 0
     while len(todo):
@@ -94,77 +90,93 @@ def _names(s: np.ndarray, small: np.ndarray, lms: np.ndarray, ranked: np.ndarray
         todo = todo[equal]
         k += 1
         todo = todo[size[a[todo]] > k]
-    number = np.zeros(n, np.int64)
+    number = np.zeros(n, np.int32)
     number[ranked] = np.concatenate(([0], np.cumsum(~same)))
     return number[lms]
 
 
-def _induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, heads: np.ndarray, top: int) -> np.ndarray:
-    """The suffix array from LMS suffixes in order, bucket by bucket; the entries of a bucket are handled at once."""
+def _induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, heads: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The suffix array from LMS suffixes in order. heads: where each symbol's bucket begins; first: the symbol of each place."""
     n = len(s)
-    sa = np.full(n, -1, np.int64)
-
-    def deal(items: np.ndarray, at: np.ndarray, sign: int) -> None:
-        """Puts items, in order, where their buckets are open."""
-        c = s[items]
-        by = np.argsort(c, kind="stable")
-        sorted_c = c[by]
-        first = np.searchsorted(sorted_c, sorted_c)
-        sa[at[sorted_c] + sign * (np.arange(len(items)) - first)] = items[by]
-        at += sign * np.bincount(c, minlength=top)
-
-    # where the sorted LMS suffixes of a bucket stand among themselves
-    lms_c = s[lms]
-    lms_by = lms[np.argsort(lms_c, kind="stable")]
-    lms_heads = np.concatenate(([0], np.cumsum(np.bincount(lms_c, minlength=top))))
-
+    sa = np.full(n, -1, np.int32)
+    c = s[lms]
+    by = np.argsort(c, kind="stable")
+    c = c[by].astype(np.int64)
+    sa[heads[c + 1] - (np.searchsorted(c, c, "right") - np.arange(len(c)))] = lms[by]  # at the ends of their buckets
     at = heads[:-1].copy()
-    deal(np.array([n - 1]), at, 1)  # the suffix before the end of the string
-    for c in range(top):
-        done = heads[c]
-        while done < at[c]:  # entries that induce into their own bucket come in rounds
-            items = sa[done : at[c]]
-            done = at[c]
-            items = items[items > 0] - 1
-            items = items[~small[items]]
-            if len(items):
-                deal(items, at, 1)
-        items = lms_by[lms_heads[c] : lms_heads[c + 1]]
-        items = items[items > 0] - 1
-        if len(items):
-            deal(items, at, 1)
-    ends_of_l = at
-    at = heads[1:] - 1
-    for c in range(top - 1, -1, -1):
-        done = heads[c + 1] - 1
-        while done > at[c]:
-            items = sa[at[c] + 1 : done + 1][::-1]
-            done = at[c]
-            items = items[items > 0] - 1
-            items = items[small[items]]
-            if len(items):
-                deal(items, at, -1)
-        items = sa[heads[c] : ends_of_l[c]][::-1]
-        items = items[items > 0] - 1
-        items = items[small[items]]
-        if len(items):
-            deal(items, at, -1)
+    sa[at[s[-1]]] = n - 1  # the suffix before the end of the string
+    at[s[-1]] += 1
+    _scan(sa, heads, first, at, s, ~small)
+    filled = np.flatnonzero(sa >= 0)
+    sa[filled[small[sa[filled]]]] = -1
+    # S suffixes are induced from the right: the same, mirrored
+    last = first[-1]
+    _scan(sa[::-1], n - heads[::-1], (last - first)[::-1], n - heads[:0:-1], last - s, small)
     return sa
 
 
-def _by_doubling(s: np.ndarray, depth: int | None) -> np.ndarray:
+def _scan(sa: np.ndarray, heads: np.ndarray, first: np.ndarray, at: np.ndarray, s: np.ndarray, wanted: np.ndarray) -> None:
+    """Goes over the array once from the left; each suffix puts the one before it, if wanted, at the next open place (at) of its bucket.
+    As many buckets as don't induce into one another are handled at once."""
     n = len(s)
-    rank = np.unique(s, return_inverse=True)[1].astype(np.int64) + 1
-    k = 1
-    while True:
-        key = rank * (n + 1)
-        key[: n - k] += rank[k:] if k < n else 0
-        order = np.argsort(key, kind="stable")
-        fresh = np.concatenate(([1], np.cumsum(np.diff(key[order]) != 0) + 1))
-        rank[order] = fresh
-        k *= 2
-        if fresh[-1] == n or k >= n or depth is not None and k >= depth:
-            return order
+    ramp = np.arange(n)
+
+    def deal(items: np.ndarray, to: np.ndarray) -> None:
+        by = to.argsort(kind="stable")
+        to = to[by]
+        m = len(to)
+        fresh = np.empty(m, bool)
+        fresh[0] = True
+        np.not_equal(to[1:], to[:-1], out=fresh[1:])
+        begin = fresh.nonzero()[0]
+        count = np.empty(len(begin), np.int64)
+        np.subtract(begin[1:], begin[:-1], out=count[:-1])
+        count[-1] = m - begin[-1]
+        of = to[begin]
+        place = at[of]
+        sa[(place - begin).repeat(count) + ramp[:m]] = items[by]
+        at[of] = place + count
+
+    def induced(part: np.ndarray) -> None:
+        items = part[part > 0] - 1
+        items = items[wanted[items]]
+        if len(items):
+            deal(items, s[items])
+
+    p, chunk = 0, 1 << 12
+    while p < n:
+        c = int(first[p])
+        q = int(heads[int(first[min(n, p + chunk) - 1]) + 1])
+        slots = sa[p:q]
+        use = (slots > 0).nonzero()[0]
+        items = slots[use] - 1
+        keep = wanted[items]
+        items, here = items[keep], first[p:q][use[keep]]
+        to = s[items]
+        end = int(first[q - 1]) + 1  # buckets below end can be handled
+        if len(to):
+            low = np.minimum.accumulate(to)
+            k = int((low <= here).argmax())
+            if low[k] <= here[k]:
+                end = int(low[k])
+                m = int(np.searchsorted(here[:k], end))
+                items, to = items[:m], to[:m]
+            else:
+                end = min(end, int(low[-1]))
+        if end > c:
+            if len(to):
+                deal(items, to)
+            done = int(heads[end])
+            chunk = min(1 << 16, 2 * chunk) if done == q else max(64, 2 * (done - p))
+            p = done
+            continue
+        # a bucket that induces into itself, in rounds; then the suffixes at its end
+        while p < at[c]:
+            part = sa[p : at[c]]
+            p = int(at[c])
+            induced(part)
+        induced(sa[p : heads[c + 1]])
+        p = int(heads[c + 1])
 
 
 def permuted_lcp(b: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,8 +220,7 @@ def repeated_starts(pieces: list[bytes], length: int) -> np.ndarray:
     joined = np.frombuffer(bytes([SEPARATOR]).join(pieces), np.uint8)
     out = np.zeros(len(joined), bool)
     if len(joined) > length:
-        # strings of the recursion have two bytes a symbol at least, and only ``length`` bytes matter
-        before, common = permuted_lcp(joined, suffix_array(joined, length))
+        before, common = permuted_lcp(joined, suffix_array(joined))
         hit = np.flatnonzero(common >= length)
         out[hit] = True
         out[before[hit]] = True
@@ -252,10 +263,9 @@ def anchors(texts: list[bytes], length: int, k: int) -> tuple[np.ndarray, ...]:
         return tuple(np.empty(0, np.int64) for _ in range(5))
     starts = np.cumsum(sizes) - sizes
     grams = _gram_hashes(joined, k)
-    bits = np.uint64(int(len(grams)).bit_length())
-    place = np.arange(len(grams), dtype=np.uint64)
-    v = ((grams >> bits) << bits) | place
-    picked = (_sliding_min(v, length - k + 1) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    # the upper half of the hash, then the place: of grams alike in it the leftmost is picked, in every batch
+    low = np.uint64(0xFFFFFFFF)
+    picked = (_sliding_min((grams & ~low) | np.arange(len(grams), dtype=np.uint64), length - k + 1) & low).astype(np.int64)
     of = np.repeat(np.arange(len(texts)), sizes)[: len(picked)]
     valid = np.flatnonzero(np.arange(len(picked)) + length <= (starts + sizes)[of])
     if not len(valid):
@@ -268,162 +278,141 @@ def anchors(texts: list[bytes], length: int, k: int) -> tuple[np.ndarray, ...]:
 
 
 def _cores(docs: DataFrame, length: int) -> DataFrame:
-    """key, th, at, n, f, c of every core: its text, first start, number of windows, anchor's hash and own hash."""
+    """r1, r2, at, n, f, c, g of every core: its row, first start, number of windows, anchor's hash and own hash (128 bits in two)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(2).to_pylist()
             doc, at, n, f, offset = anchors(texts, length, GRAM)
-            c = np.fromiter(
-                (xxhash.xxh3_64_intdigest(texts[d][x : x + m + length - 1], seed=o) for d, x, m, o in zip(doc.tolist(), at.tolist(), n.tolist(), offset.tolist())), np.uint64, len(doc)
-            ).view(np.int64)
+            own = b"".join(xxhash.xxh3_128_digest(texts[d][x : x + m + length - 1], seed=o) for d, x, m, o in zip(doc.tolist(), at.tolist(), n.tolist(), offset.tolist()))
+            cg = np.frombuffer(own, np.int64).reshape(-1, 2)
             rows = pa.array(doc)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(f), pa.array(c)], ["key", "th", "at", "n", "f", "c"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(f), pa.array(cg[:, 0]), pa.array(cg[:, 1])], ["r1", "r2", "at", "n", "f", "c", "g"])
 
-    kind = docs.schema["key"].dataType.simpleString()
-    return docs.select("key", "th", F.col("text").cast("binary")).mapInArrow(run, f"key {kind}, th int, at int, n int, f long, c long")
+    return docs.select("r1", "r2", "text").mapInArrow(run, "r1 long, r2 long, at int, n int, f long, c long, g long")
 
 
-def _spans(starts: np.ndarray, length: int) -> tuple[list[int], list[int]]:
-    """Maximal runs of bytes covered by strings at sorted starts."""
-    cut = np.flatnonzero(np.diff(starts) > length)
-    return starts[np.concatenate(([0], cut + 1))].tolist(), (starts[np.concatenate((cut, [len(starts) - 1]))] + length).tolist()
+RANGES = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+UNIT = ("uf", "uc", "ug")
 
 
-SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+def _ranges(starts: np.ndarray) -> list[dict[str, int]]:
+    """Runs of starts that follow one another."""
+    cut = np.flatnonzero(np.diff(starts) > 1)
+    return [{"first": a, "last": b} for a, b in zip(starts[np.concatenate(([0], cut + 1))].tolist(), starts[np.concatenate((cut, [len(starts) - 1]))].tolist())]
 
 
 def _decide(pieces: DataFrame, length: int) -> DataFrame:
-    """Sorts pieces by anchor and runs a suffix array over about SHARD_BYTES of whole anchors' pieces at a time."""
+    """pieces: uf, uc, ug, piece; a unit has one piece or two. Sorts them by uf and runs a suffix array over about SHARD_BYTES of whole uf's pieces
+    at a time. Gives the starts in each unit at which a string begins that another piece, or place, of its shard has too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            texts = [r[3] for r in held]
-            hit = repeated_starts(texts, length)
-            out, at = [], 0
-            for f, c, once, text in held:
+            hit = repeated_starts([r[3] for r in held], length)
+            out, at, last = [], 0, None
+            for *unit, text in held:
                 starts = np.flatnonzero(hit[at : at + len(text)])
                 at += len(text) + 1
-                if once and len(starts):
-                    a, b = _spans(starts, length)
-                    out.append((f, c, [{"start": x, "stop": y} for x, y in zip(a, b)]))
-            cols = list(zip(*out)) if out else [(), (), ()]
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], SPANS)], ["f", "c", "spans"])
+                if len(starts) and unit != last:
+                    out.append((*unit, _ranges(starts)))
+                last = unit
+            cols = list(zip(*out)) if out else [()] * 4
+            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], RANGES)], [*UNIT, "ranges"])
 
         for b in batches:
             for row in zip(*(col.to_pylist() for col in b.columns)):
                 if size >= SHARD_BYTES and held[-1][0] != row[0]:
                     yield flush()
                     held, size = [], 0
-                if held and held[-1][:2] == row[:2]:
-                    continue  # the same place twice
+                if len(held) > 1 and held[-1][:3] == row[:3] == held[-2][:3]:
+                    continue  # a row that repeats more than twice
                 held.append(row)
                 size += len(row[3])
         if held:
             yield flush()
 
-    return pieces.select("f", "c", "once", "piece").repartition("f").sortWithinPartitions("f", "c").mapInArrow(run, "f long, c long, spans array<struct<start: int, stop: int>>")
-
-
-#: Packed rows for each task and step of _count_hot, at most.
-BUCKETS = 256
-WINDOW = np.dtype([("h", "<u8"), ("g", "<u8"), ("f", "<i8"), ("c", "<i8"), ("s", "<i4")])
+    return pieces.select(*UNIT, "piece").repartition("uf").sortWithinPartitions(*UNIT).mapInArrow(run, "uf long, uc long, ug long, ranges array<struct<first: int, last: int>>")
 
 
-def _packed(x: np.ndarray, key: str) -> pa.RecordBatch:
-    """Rows of x by bucket of one of its fields."""
-    k = x[key].view(np.uint64) % np.uint64(BUCKETS) if x.size else np.empty(0, np.uint64)
-    by = np.argsort(k, kind="stable")
-    x, k = x[by], k[by]
-    cut = np.searchsorted(k, np.arange(BUCKETS + 1).astype(np.uint64))
-    full = [i for i in range(BUCKETS) if cut[i] < cut[i + 1]]
-    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([x[cut[i] : cut[i + 1]].tobytes() for i in full], pa.binary())], ["bucket", "packed"])
+def _by_window(pieces: DataFrame, length: int) -> DataFrame:
+    """As _decide, for anchors of more pieces than a shard takes; pieces: also twice, whether the unit has copies."""
 
-
-def _unpacked(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> list[np.ndarray]:
-    data: dict[int, list[np.ndarray]] = {}
-    for b in batches:
-        for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            data.setdefault(k, []).append(np.frombuffer(v, kind))
-    return [np.concatenate(x) for x in data.values()]
-
-
-def _count_hot(pieces: DataFrame, length: int) -> DataFrame:
-    """Windows of hot anchors' pieces by 128-bit hash: a task deals its windows to buckets by hash, a packed row for each bucket, so
-    rows stay few; equal windows meet in a bucket, which keeps those that recur, and deals them back by core."""
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for f, c, text in zip(*(col.to_pylist() for col in b.columns)):
-                n = len(text) - length + 1
-                x = np.empty(n, WINDOW)
-                h = [xxhash.xxh3_128_intdigest(text[i : i + length]) for i in range(n)]
-                x["h"], x["g"] = [v & 0xFFFFFFFFFFFFFFFF for v in h], [v >> 64 for v in h]
-                x["f"], x["c"], x["s"] = f, c, np.arange(n)
-                parts.append(x)
-                size += n
-            if size > 1 << 20:
-                yield _packed(np.concatenate(parts), "h")
-                parts, size = [], 0
-        if parts:
-            yield _packed(np.concatenate(parts), "h")
-
-    def recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in _unpacked(batches, WINDOW):
-            x = x[np.lexsort((x["s"], x["c"], x["f"], x["g"], x["h"]))]
-            place = np.concatenate(([True], x[1:] != x[:-1]))  # a place once
-            x = x[place]
-            same = (x["h"][1:] == x["h"][:-1]) & (x["g"][1:] == x["g"][:-1])
-            x = x[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
-            yield _packed(x, "c")
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in _unpacked(batches, WINDOW):
-            x = x[np.lexsort((x["s"], x["c"], x["f"]))]
-            cut = np.flatnonzero(np.concatenate(([True], (x["f"][1:] != x["f"][:-1]) | (x["c"][1:] != x["c"][:-1]))))
-            ends = np.append(cut[1:], len(x))
-            spans = [[{"start": p, "stop": q} for p, q in zip(*_spans(x["s"][i:j], length))] for i, j in zip(cut, ends)]
-            yield pa.RecordBatch.from_arrays([pa.array(x["f"][cut]), pa.array(x["c"][cut]), pa.array(spans, SPANS)], ["f", "c", "spans"])
-
-    dealt = pieces.select("f", "c", "piece").mapInArrow(deal, "bucket int, packed binary")
-    again = dealt.repartition(BUCKETS, "bucket").mapInArrow(recurring, "bucket int, packed binary")
-    return again.repartition(BUCKETS, "bucket").mapInArrow(gather, "f long, c long, spans array<struct<start: int, stop: int>>")
+            texts = b.column(4).to_pylist()
+            n = np.array([len(t) - length + 1 for t in texts], np.int64)
+            rows = pa.array(np.repeat(np.arange(len(texts)), n))
+            start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(t[i : i + length]) for t in texts for i in range(len(t) - length + 1)), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([*(b.column(i).take(rows) for i in range(4)), pa.array(start, pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1])], [*UNIT, "twice", "s", "h1", "h2"])
+
+    windows = stored(pieces.select(*UNIT, "twice", "piece").mapInArrow(run, "uf long, uc long, ug long, twice boolean, s int, h1 long, h2 long"))
+    place = F.struct(*UNIT, "s")
+    recur = windows.groupBy("h1", "h2").agg(F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("n"), F.min(place).alias("a"), F.max(place).alias("z")).where("n > 1")
+    places = recur.select("h1", "h2", F.explode(F.array("a", "z")).alias("x")).select("h1", "h2", "x.*")
+    texts = places.join(pieces.select(*UNIT, "piece"), list(UNIT)).select(F.col("h1").alias("uf"), F.col("h2").alias("uc"), F.lit(0).cast("long").alias("ug"), F.substring("piece", F.col("s") + 1, F.lit(length)).alias("piece"))
+    found = _decide(texts, length).select(F.col("uf").alias("h1"), F.col("uc").alias("h2"))
+    return windows.join(found, ["h1", "h2"]).groupBy(*UNIT).agg(F.collect_list(F.struct(F.col("s").alias("first"), F.col("s").alias("last"))).alias("ranges"))
 
 
 def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    raw = df.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return raw.withColumn("th", F.hash("text"))
-
-
-def _same_row(a: DataFrame, b: DataFrame) -> Column:
-    return a["key"].eqNullSafe(b["key"]) & (a["th"] == b["th"])
+    """key, text (bytes), and r1 and r2, which tell rows apart."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return df.select(F.col(id_col).alias("key"), *row_hash(F.col(id_col), text), text.cast("binary").alias("text"))
+
+
+def _units(cores: DataFrame, length: int) -> DataFrame:
+    """cores: f, c, g, n, copies, a, z (first and last place: r1, r2, at). Adds the unit that each core is decided in, the core's offset in it, and, on the
+    unit's first core, its number of windows, and whether it must be dealt out by window."""
+    twice = F.col("copies") > 1
+    size = (F.col("n") + (length - 1)) * F.when(twice, 2).otherwise(1)
+    kinds = cores.groupBy("f").agg(F.count("*").alias("kinds"), F.sum(size).alias("bytes"))
+    cores = cores.join(kinds, "f").withColumn("twice", twice)
+    self = [F.col(k).alias(u) for k, u in zip("fcg", UNIT)]
+    beside = cores.where("kinds > 1").select("f", "c", "g", "n", "twice", "a", "z", *self, F.lit(0).alias("off"), F.col("n").cast("long").alias("windows"), (F.col("bytes") > SHARD_BYTES).alias("split"))
+    pair = Window.partitionBy("a.r1", "a.r2", "z.r1", "z.r2")
+    along = pair.orderBy("a.at")
+    goes_on = (F.lag(F.col("a.at") + F.col("n")).over(along) == F.col("a.at")) & (F.lag(F.col("z.at") + F.col("n")).over(along) == F.col("z.at"))
+    goes_on &= F.lag(F.floor(F.col("a.at") / RUN_BYTES)).over(along) == F.floor(F.col("a.at") / RUN_BYTES)
+    alone = cores.where("kinds = 1").withColumn("new", ~F.coalesce(goes_on, F.lit(False)))
+    head = F.last(F.when(F.col("new"), F.struct(F.col("a.at").alias("start"), *self)), ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    alone = alone.withColumn("head", head)
+    windows = F.sum("n").over(Window.partitionBy("a.r1", "a.r2", "z.r1", "z.r2", "head"))
+    runs = alone.select("f", "c", "g", "n", "twice", "a", "z", *(F.col(f"head.{u}") for u in UNIT), (F.col("a.at") - F.col("head.start")).alias("off"), windows.alias("windows"), F.lit(False).alias("split"))
+    return beside.unionAll(runs)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """docs: key, th, text. Gives key, th, spans array<struct<start, stop>> (bytes; may overlap) of rows with repeated strings."""
-    bounded_batches(docs.sparkSession)
-    long = docs.where(F.octet_length("text") >= length)
-    # written, so that the join below deals both sides anew and can split a very common anchor
-    twice = stored(_cores(long, length).select("f").groupBy("f").agg(F.count("*").alias("cores")).where("cores > 1").select("f"))
-    shared = stored(_cores(long, length).join(twice, "f"))
-    whole = F.struct(F.col("at").alias("start"), (F.col("at") + F.col("n") + (length - 1)).alias("stop"))
-    cores = stored(shared.groupBy("f", "c").agg(F.count("*").alias("copies"), F.min(F.struct("key", "th", "at", "n")).alias("place")))
-    kinds = cores.groupBy("f").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    open_cores = cores.join(kinds, "f").select("f", "c", "copies", (F.col("kinds") > HOT).alias("hot"), "place.*")
-    wanted = open_cores.groupBy("key", "th").agg(F.collect_list(F.struct("f", "c", "copies", "hot", "at", "n")).alias("cuts"))
-    pieces = stored(
-        long.join(wanted, _same_row(long, wanted)).select(F.col("text").cast("binary").alias("bytes"), F.explode("cuts").alias("x"))
-        .select("x.f", "x.c", (F.col("x.copies") == 1).alias("once"), "x.hot", F.substring("bytes", F.col("x.at") + 1, F.col("x.n") + (length - 1)).alias("piece"))
-    )
-    found = _decide(pieces.where("NOT hot"), length).unionAll(_count_hot(pieces.where("hot"), length))
-    alone = cores.where("copies = 1").select("f", "c", "place.*").join(found, ["f", "c"])
-    of_alone = alone.select("key", "th", F.explode("spans").alias("x"), "at").select("key", "th", F.struct((F.col("at") + F.col("x.start")).alias("start"), (F.col("at") + F.col("x.stop")).alias("stop")).alias("span"))
-    of_copies = shared.join(cores.where("copies > 1").select("f", "c"), ["f", "c"]).select("key", "th", whole.alias("span"))
-    return of_alone.unionAll(of_copies).groupBy("key", "th").agg(F.collect_list("span").alias("spans"))
+    """docs: r1, r2, text (bytes). Gives r1, r2, spans array<struct<start, stop>> (may overlap) of rows with repeated strings."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    long = docs.where(F.octet_length("text") >= length).select("r1", "r2", "text")
+    scratch = shared_dir(spark)
+    all_cores = stored(_cores(long, length), scratch)
+    recurring = all_cores.groupBy("f").agg(F.count("*").alias("cores")).where("cores > 1").select("f")
+    shared = stored(all_cores.join(recurring, "f"))
+    removed(spark, scratch)
+    place = F.struct("r1", "r2", "at")
+    cores = stored(shared.groupBy("f", "c", "g").agg(F.first("n").alias("n"), F.count("*").alias("copies"), F.min(place).alias("a"), F.max(place).alias("z")))
+    units = stored(_units(cores, length))
+    cut = lambda p: F.struct(F.col(f"{p}.r1").alias("r1"), F.col(f"{p}.r2").alias("r2"), F.col(f"{p}.at").alias("at"))
+    both = F.when(F.col("twice") & ~F.col("split"), F.array(cut("a"), cut("z"))).otherwise(F.array(cut("a")))
+    cuts = units.where("off = 0").select(*UNIT, "twice", "split", (F.col("windows") + (length - 1)).cast("int").alias("size"), F.explode(both).alias("p"))
+    wanted = cuts.groupBy("p.r1", "p.r2").agg(F.collect_list(F.struct(*UNIT, "twice", "split", "size", "p.at")).alias("cuts"))
+    pieces = stored(long.join(wanted, ["r1", "r2"]).select("text", F.explode("cuts").alias("x")).select(*(f"x.{c}" for c in (*UNIT, "twice", "split")), F.substring("text", F.col("x.at") + 1, F.col("x.size")).alias("piece")))
+    found = _decide(pieces.where("NOT split"), length)
+    if pieces.where("split").head(1):
+        found = found.unionAll(_by_window(pieces.where("split"), length))
+    # a core's part of its unit's starts
+    clipped = F.filter(
+        F.transform("ranges", lambda x: F.struct(F.greatest(x["first"] - F.col("off"), F.lit(0)).alias("first"), F.least(x["last"] - F.col("off"), F.col("n") - 1).alias("last"))), lambda x: x["first"] <= x["last"]
+    )
+    hits = units.join(found, list(UNIT)).select("f", "c", "g", clipped.alias("ranges")).where(F.size("ranges") > 0)
+    spans = shared.join(hits, ["f", "c", "g"]).select("r1", "r2", "at", F.explode("ranges").alias("x"))
+    return spans.groupBy("r1", "r2").agg(F.collect_list(F.struct((F.col("at") + F.col("x.first")).alias("start"), (F.col("at") + F.col("x.last") + length).alias("stop"))).alias("spans"))
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -448,8 +437,7 @@ def without(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 def dedup_digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     docs = _rows(df, id_col, text_col)
-    spans = repeated_spans(docs, length)
-    both = docs.join(spans, _same_row(docs, spans), "left").select(docs["key"], F.col("text").cast("binary"), "spans")
+    both = docs.join(repeated_spans(docs, length), ["r1", "r2"], "left").select("key", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -482,11 +470,11 @@ def _kept_text(text: str | None, found: list[dict] | None) -> str | None:
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """The same rows with repeated strings taken out of the text."""
-    docs = _rows(df, id_col, text_col)
-    spans = repeated_spans(docs, length).select(F.col("key").alias("__key"), F.col("th").alias("__th"), F.col("spans").alias("__spans"))
-    text_hash = F.hash(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    both = df.join(spans, df[id_col].eqNullSafe(spans["__key"]) & (text_hash == spans["__th"]), "left").select(*(df[c] for c in df.columns), "__spans")
-    return with_column(both, text_col, "string", pa.string(), (text_col, "__spans"), lambda texts, found: list(map(_kept_text, texts, found))).select(*df.columns)
+    r1, r2, spans = free_names(df, "r1", "r2", "spans")
+    found = repeated_spans(_rows(df, id_col, text_col), length).toDF(r1, r2, spans)
+    h1, h2 = row_hash(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    both = df.select("*", h1.alias(r1), h2.alias(r2)).join(found, [r1, r2], "left")
+    return with_column(both, text_col, "string", pa.string(), (text_col, spans), lambda texts, found: list(map(_kept_text, texts, found))).select(*df.columns)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -201,18 +201,54 @@ def brute_removed(rows, length):
     return out
 
 
-@pytest.mark.parametrize("hot", [200, 1])
-def test_suffix(docs, hot, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+@pytest.mark.parametrize("shard, run", [(2 << 20, 1 << 16), (400, 1 << 16), (2 << 20, 300)])
+def test_suffix(docs, shard, run, monkeypatch):
+    """As brute force; with one shard, with anchors dealt out by window, and with short runs."""
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", shard)
+    monkeypatch.setattr(suffix_dedup, "RUN_BYTES", run)
     same([tuple(r) for r in suffix_dedup.dedup_digests(docs).collect()], brute_removed(all_rows(docs), 200))
-    kept = suffix_dedup.remove_repeats(docs)
-    assert kept.columns == docs.columns and kept.count() == docs.count()
+    if run != 300:
+        return
+    kept = suffix_dedup.remove_repeats(docs.withColumn("__r1", F.lit("own")).withColumn("__spans", F.lit("s")).withColumn("R2", F.lit(2)))
+    assert kept.columns == [*docs.columns, "__r1", "__spans", "R2"] and kept.count() == docs.count() == kept.where("__r1 = 'own'").count()
     assert not [r for r in kept.collect() if r["doc_id"] == 4 and r["text"]]
     assert suffix_dedup.dedup_digests(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shard", [2 << 20, 3000])
+def test_suffix_contexts(spark, shard, monkeypatch):
+    """A passage in many contexts, copies of them, repeats inside a text, null ids, and a very long text."""
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", shard)
+    rng = random.Random(21)
+    passage = prose(rng, 120)
+    rows = [(i, prose(rng, rng.randint(0, 30)) + passage[rng.randint(0, 80) :] + prose(rng, rng.randint(0, 30))) for i in range(40)]
+    rows += [(None, rows[k][1]) for k in range(4)] + [(None, prose(rng, 60)) for _ in range(4)] + [(99, prose(rng, 70) * 3), (100, "ab" * 600), (101, prose(rng, 40_000))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    same([tuple(r) for r in suffix_dedup.dedup_digests(df).collect()], brute_removed(rows, 200))
+
+
+def test_suffix_rows_of_one_hash(spark):
+    """Rows without an id whose texts share a 32-bit hash keep their own results."""
+    text = F.concat(*(F.sha2(F.concat(F.lit(f"{k} "), F.col("id").cast("string")), 256) for k in range(5)))
+    many = spark.range(300_000).select(text.alias("t")).withColumn("h", F.hash("t"))
+    one, other = many.groupBy("h").agg(F.collect_list("t").alias("t")).where("size(t) > 1").first()["t"][:2]
+    rows = [(None, one), (None, other), (7, one)]
+    want = brute_removed(rows, 200)
+    assert [r[2] for r in want] == [320, 0, 320]
+    same([tuple(r) for r in suffix_dedup.dedup_digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()], want)
+
+
+def test_suffix_arrays_decide(docs, monkeypatch):
+    """Nothing is removed that no suffix array has found."""
+    monkeypatch.setattr(suffix_dedup, "_decide", lambda pieces, length: pieces.where("false").select("uf", "uc", "ug", F.lit(None).cast("array<struct<first: int, last: int>>").alias("ranges")))
+    assert {r["n_removed"] for r in suffix_dedup.dedup_digests(docs).collect()} == {0}
+
+
 def test_suffix_array():
     rng = random.Random(3)
+    for _ in range(300):
+        wide = np.array([rng.randint(0, rng.choice([1, 2, 5000])) for _ in range(rng.randint(1, 200))], np.int32)
+        assert suffix_dedup.suffix_array(wide).tolist() == sorted(range(len(wide)), key=lambda i: wide[i:].tolist())
     for _ in range(150):
         s = np.array([rng.randint(0, rng.choice([1, 2, 200])) for _ in range(rng.randint(1, 60))], np.uint8)
         b = s.tobytes()
