@@ -8,15 +8,22 @@ attribute, a style or a simple rule of a style sheet hides: of the simple rules
 prefer. Rules in media blocks count where the block applies to a screen of 1280 x 800 pixels; blocks with a condition
 that isn't known don't count. Of SVG the text elements and foreign objects are visible, of MathML all but annotations.
 
+Elements may be nested to any depth, and the work is linear in a page's length. Only the layout is bounded: lists beyond INDENTS levels are not indented
+further, of tables nested beyond NESTED levels the cells stand on lines of their own, and REACHING cells of several rows at a time shift the
+columns of further rows; no text is lost.
+
 Results for edge cases: null html, or html without visible text, gives an empty string. An unclosed comment or tag
-at the end is dropped. Rows are independent; other columns are ignored.
+at the end is dropped. Rows are independent, so rows that repeat get equal texts; an empty table gives an empty one; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,13 +53,17 @@ CLOSES = {
 }
 SCOPE = frozenset(("html", "table", "td", "th", "caption", "template", "object", "button"))
 
-#: Elements below this depth become neighbours of their contents, as in browsers.
-DEPTH = 512
+#: Levels of lists that are indented, and of tables whose cells are aligned.
+INDENTS, NESTED = 32, 16
+#: Cells that keep columns of further rows free at the same time.
+REACHING = 1000
+#: The largest spans of a cell, as in browsers.
+SPANS = {"colspan": 1000, "rowspan": 65534}
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])))*+)>")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-SHEET = re.compile(r"\"(?:[^\"\\\n]|\\.)*+\"|'(?:[^'\\\n]|\\.)*+'|[{};]", re.S)
+SHEET = re.compile(r"\"(?:[^\"\\\n]|\\.)*+\"?|'(?:[^'\\\n]|\\.)*+'?|[{};]", re.S)
 SHOWN = re.compile(r"\s*(display|visibility)\s*:\s*([a-z-]+(?:\s+[a-z-]+)*)\s*(!\s*important)?\s*", re.I)
 SIMPLE = re.compile(r"[a-zA-Z][\w-]*|[.#][\w-]+")
 # A screen, for media blocks.
@@ -78,6 +89,16 @@ def _feature(x: str) -> bool | None:
     return FEATURES[name] == (value or FEATURES[name]) if name in FEATURES else None
 
 
+def _without_comments(sheet: str) -> str:
+    """An unclosed comment takes the rest."""
+    out, at = [], 0
+    while (begin := sheet.find("/*", at)) >= 0:
+        out.append(sheet[at:begin])
+        end = sheet.find("*/", begin + 2)
+        at = end + 2 if end >= 0 else len(sheet)
+    return "".join([*out, sheet[at:]])
+
+
 def _on_screen(media: str) -> bool:
     """Whether a list of media queries applies to the screen."""
     for query in media.split(","):
@@ -116,30 +137,35 @@ class Builder:
         self.root = Node("html")
         self.stack = [self.root]
         self.names = ["html"]
+        self.places: dict[str, list[int]] = {}  # where the open elements of each name stand in the stack
         self.shown: dict[str, dict[str, tuple[bool, int, int, bool]]] = {}  # by simple selector and property, the rule that wins: important, kind, place, hides
         self.rules = 0
 
     def push(self, tag: str, attrs: dict[str, str] | None = None) -> None:
         node = Node(tag, attrs)
         self.stack[-1].kids.append(node)
-        if len(self.stack) < DEPTH:
-            self.stack.append(node)
-            self.names.append(tag)
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(node)
+        self.names.append(tag)
 
     def pop_to(self, at: int) -> None:
+        for name in self.names[at:]:
+            self.places[name].pop()
         del self.stack[at:], self.names[at:]
 
+    def open(self, tag: str) -> bool:
+        return bool(self.places.get(tag))
+
+    def last(self, tags: Iterable[str]) -> int:
+        """Where the innermost open element of these stands; 0 if none."""
+        return max((at[-1] for t in tags if (at := self.places.get(t))), default=0)
+
     def find(self, wanted: set[str] | frozenset[str], stop: set[str] | frozenset[str], outermost: bool = False) -> int:
         """Where the nearest (or outermost) open element of these stands above any of ``stop``; 0 if none."""
-        found = 0
-        for i in range(len(self.names) - 1, 0, -1):
-            if self.names[i] in wanted:
-                found = i
-                if not outermost:
-                    break
-            if self.names[i] in stop:
-                break
-        return found
+        least, found = self.last(stop), self.last(wanted)
+        if found < least or not outermost:
+            return found if found >= least else 0
+        return min(at[bisect_right(at, least)] for t in wanted if (at := self.places.get(t)) and at[-1] > least)
 
     def body(self) -> None:
         if len(self.names) == 2 and self.names[1] == "head":
@@ -177,16 +203,16 @@ class Builder:
                 self.body()
         elif tag == "head":
             return
-        if tag in BREAKOUT and ("svg" in self.names or "math" in self.names):
+        if tag in BREAKOUT and (self.open("svg") or self.open("math")):
             while self.foreign():
                 self.pop_to(len(self.stack) - 1)
         if tag in CLOSES:
             wanted, stop = CLOSES[tag]
             if at := self.find(wanted, stop, outermost=tag in ("tr", *SECTION)):
                 self.pop_to(at)
-        if tag in BLOCK and "p" in self.names and (at := self.find({"p"}, SCOPE)):
+        if tag in BLOCK and self.open("p") and (at := self.find({"p"}, SCOPE)):
             self.pop_to(at)
-        if tag in CELL and self.names[-1] != "tr" and "table" in self.names:
+        if tag in CELL and self.names[-1] != "tr" and self.open("table"):
             self.start("tr", {}, False)
         if tag == "tr" and self.names[-1] == "table":
             self.push("tbody")
@@ -200,17 +226,17 @@ class Builder:
             return
         if tag == "br":
             self.start("br", {}, False)
-        elif tag == "p" and "p" not in self.names:
+        elif tag == "p" and not self.open("p"):
             self.body()
             self.stack[-1].kids.append(Node("p"))
-        elif tag in self.names:
+        elif self.open(tag):
             at = self.find({tag}, {"table"} if tag not in ("table", *SECTION) else frozenset())
             if at and self.names[at] == tag:
                 self.pop_to(at)
 
     def foreign(self) -> bool:
         """Whether what comes next stands in SVG or MathML, where any tag can close itself."""
-        return next((n not in POINT for n in reversed(self.names) if n in ("svg", "math") or n in POINT), False)
+        return self.last(("svg", "math")) > self.last(POINT)
 
     def declare(self, selectors: list[str], declaration: str) -> None:
         if m := SHOWN.fullmatch(declaration):
@@ -224,7 +250,7 @@ class Builder:
     def styles(self, sheet: str, media: str) -> None:
         if not _on_screen(media):
             return
-        sheet = re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)
+        sheet = _without_comments(sheet)
         blocks: list[list[str] | None] = [None]  # the simple selectors of each open block; None: a block of rules that count
         at = 0
         for m in SHEET.finditer(sheet):
@@ -350,7 +376,7 @@ class Out:
                 self.lines += [""] * self.gap
             self.gap = 0
             lead = ""
-            for i, (first, further) in enumerate(self.lead):
+            for i, (first, further) in enumerate(self.lead[:INDENTS]):
                 lead += first if self.fresh[i] else further
                 self.fresh[i] = False
             self.lines.append((lead + "".join(self.line)).rstrip() if not always or self.line else "")
@@ -374,45 +400,56 @@ class Out:
 
 def _table(rows: list[list[tuple[str, int, int]]]) -> str:
     """Cells as (text, colspan, rowspan), in columns two spaces apart."""
-    grid: dict[tuple[int, int], list[str]] = {}
-    taken: set[tuple[int, int]] = set()
+    placed: list[list[tuple[int, list[str]]]] = []
     wide: dict[int, int] = {}
+    busy: list[tuple[int, int, int]] = []  # cells that reach further rows: first column, column after, row after
     for r, row in enumerate(rows):
-        c = 0
+        busy = [x for x in busy if x[2] > r]
+        reach, line, c, k = [], [], 0, 0
         for text, cols, down in row:
-            while (r, c) in taken:
-                c += 1
-            taken.update((r + i, c + j) for i in range(down) for j in range(cols))
-            grid[r, c] = lines = text.split("\n")
+            while k < len(busy) and busy[k][0] <= c:
+                c = max(c, busy[k][1])
+                k += 1
+            lines = text.split("\n")
+            line.append((c, lines))
             if cols == 1:
                 wide[c] = max(wide.get(c, 0), *map(len, lines))
+            after = min(r + down, len(rows))
+            if after > r + 1:
+                if reach and reach[-1][1:] == (c, after):
+                    reach[-1] = reach[-1][0], c + cols, after
+                else:
+                    reach.append((c, c + cols, after))
             c += cols
-    last = max((c for _, c in taken), default=-1) + 1
-    starts = [0]
-    for c in range(last):
-        starts.append(starts[-1] + (wide.get(c, 0) + 2 if wide.get(c) else 0))
+        placed.append(line)
+        if reach:
+            busy = sorted(busy + reach)[:REACHING]
+    used = sorted(c for c, n in wide.items() if n)
+    starts = [0, *accumulate(wide[c] + 2 for c in used)]
     out = []
-    for r, row in enumerate(rows):
-        cells = sorted((c, grid[r, c]) for c in range(last) if (r, c) in grid)
+    for cells in placed:
         for k in range(max((len(x) for _, x in cells), default=0)):
-            line = ""
+            line, size = [], 0
             for c, lines in cells:
                 if k < len(lines) and lines[k]:
-                    line = (line + "  " if line and len(line) > starts[c] - 2 else line.ljust(starts[c])) + lines[k]
-            out.append(line.rstrip())
+                    start = starts[bisect_left(used, c)]
+                    gap = 2 if size and size > start - 2 else start - size
+                    line.append(" " * gap + lines[k])
+                    size += gap + len(lines[k])
+            out.append("".join(line).rstrip())
     return "\n".join(out)
 
 
 def _span(node: Node, name: str) -> int:
     v = node.attrs.get(name, "1").strip()
-    return min(max(int(v), 1), 100) if v.isdecimal() and len(v) < 4 else 1
+    return min(max(int(v), 1), SPANS[name]) if v.isdecimal() and len(v) < 10 else 1
 
 
 def render(b: Builder) -> str:
     outs = [Out()]
     tables: list[list[list[tuple[str, int, int]]]] = []
     lists: list[list] = []  # [ordered, next number]
-    pre = 0
+    pre = deep = 0  # deep: open tables that are too deep to be laid out
     svg: list[bool] = []  # for each open svg and each text in it: whether text is drawn
     todo: list[tuple[bool, Node | str]] = [(True, b.root)]
     while todo:
@@ -470,7 +507,13 @@ def render(b: Builder) -> str:
             elif tag == "pre":
                 pre += 1
             elif tag == "table":
-                tables.append([])
+                deep += len(tables) >= NESTED
+                if not deep:
+                    tables.append([])
+            elif deep and tag in CELL:
+                out.block(False)
+            elif deep and tag == "tr":
+                pass
             elif tag == "tr" and tables:
                 tables[-1].append([])
             elif tag in CELL and tables:
@@ -486,13 +529,15 @@ def render(b: Builder) -> str:
         if tag == "svg" or svg and tag in SVG_TEXT:
             svg.pop()
             out.room = bool(out.line)
-        if tag in CELL and tables and len(outs) > 1:
+        if tag in CELL and tables and len(outs) > 1 and not deep:
             outs.pop()
             if not tables[-1]:
                 tables[-1].append([])
             tables[-1][-1].append((out.value(), _span(node, "colspan"), _span(node, "rowspan")))
             continue
-        if tag == "table":
+        if tag == "table" and deep:
+            deep -= 1
+        elif tag == "table":
             text = _table(tables.pop())
             out.end_line()
             if text.strip():

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -106,6 +107,99 @@ def test_html_drawings():
     assert text("<map name=m><area alt=q><a href=z>link</a></map>") == "link"
 
 
+def test_html_hard_input():
+    """Any depth, and time linear in the length."""
+    text = html_text.page_text
+    assert text("<div>" * 600 + "<div hidden>secret</div>after") == "after"
+    assert text("<div>" * 3000 + "<b hidden>no</b>" + "</div>" * 3000 + "<p hidden>no</p>end") == "end"
+    assert text("<ul><li>a" * 100).replace("- ", "").split() == ["a"] * 100 and text("<table><tr><td>a<td>b" * 100).split().count("a") == 100
+    assert text("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td colspan=2>dd<td>e</table>") == "a  b\n   c\ndd    e"
+    n = 300_000
+    hard = {
+        "depth": "<div>" * (n // 5) + "x", "paragraph": "<p><button>" + "<div>" * (n // 5) + "x", "sheet": f"<style>{'a' * n}</style>x", "comments": f"<style>{'/*' * (n // 2)}</style>x",
+        "strings": "<style>\"" + '\\"' * (n // 2) + "</style>x", "spans": "<table>" + "<tr><td colspan=1000 rowspan=65534>a" * (n // 36), "svg": "<svg>" + "<g>" * (n // 3) + "<p>x", "quotes": '<a b="' * (n // 6), "list": "<ul><li>a" * (n // 9),
+    }
+    for name, page in hard.items():
+        begin = time.process_time()
+        text(page)
+        assert time.process_time() - begin < 10, name
+
+
+def random_tree(rng, depth=0):
+    """A block: (tag, what it holds), for the slow renderer below."""
+    kind = rng.choice(["p", "p", "div", "ul", "ol", "pre", "hidden", "style", "table", "br"] if depth < 4 else ["p"])
+    words = lambda: " ".join(rng.choices(WORDS, k=rng.randint(1, 4)))
+    if kind in ("div", "hidden", "style"):
+        return kind, [random_tree(rng, depth + 1) for _ in range(rng.randint(1, 3))]
+    if kind in ("ul", "ol"):
+        return kind, [(words(), [random_tree(rng, 4 if rng.random() < 0.7 else depth + 1) for _ in range(rng.randint(0, 2))] if rng.random() < 0.5 else []) for _ in range(rng.randint(1, 3))]
+    if kind == "table":
+        return kind, [[words() for _ in range(3)] for _ in range(rng.randint(1, 3))]
+    return kind, [words() for _ in range(2)]
+
+
+def markup(rng, node):
+    """The tree as HTML, with end tags left out here and there."""
+    kind, held = node
+    end = lambda tag: f"</{tag}>" if rng.random() < 0.5 else ""
+    if kind in ("div", "hidden", "style"):
+        return "<div" + {"div": "", "hidden": " hidden", "style": ' style="display: none"'}[kind] + ">" + "".join(markup(rng, k) for k in held) + "</div>"
+    if kind in ("ul", "ol"):
+        return f"<{kind}>" + "".join(f"<li>{text}" + "".join(markup(rng, k) for k in kids) + end("li") for text, kids in held) + f"</{kind}>"
+    if kind == "table":
+        return "<table>" + "".join("<tr>" + "".join(f"<td>{c}" + end("td") for c in row) + end("tr") for row in held) + "</table>"
+    if kind == "pre":
+        return "<pre>" + "\n".join(held) + "</pre>"
+    if kind == "br":
+        return "<div>" + "<br>".join(held) + "</div>"
+    return "<p>" + " \n ".join(held) + "</p>"
+
+
+def slow_lines(node, listed=False):
+    """(empty line before, lines, empty line after) of a block, by recursion over the tree; None where nothing is visible."""
+    kind, held = node
+    if kind in ("hidden", "style"):
+        return None
+    if kind == "table":
+        width = [max(len(row[c]) for row in held) for c in range(3)]
+        return True, ["  ".join(row[c].ljust(width[c]) for c in range(3)).rstrip() for row in held], True
+    if kind == "p":
+        return True, [" ".join(held)], True
+    if kind in ("pre", "br"):
+        return kind == "pre", list(held), kind == "pre"
+    if kind == "div":
+        return slow_stack([slow_lines(k, listed) for k in held])
+    out = []
+    for i, (text, kids) in enumerate(held):
+        mark = "- " if kind == "ul" else f"{i + 1}. "
+        inner = slow_stack([(False, [text], False)] + [slow_lines(k, True) for k in kids])
+        out.append((inner[0], [(mark if j == 0 else " " * len(mark) if line else "") + line for j, line in enumerate(inner[1])], inner[2]))
+    before, lines, after = slow_stack(out)
+    return (before, lines, after) if listed else (True, lines, True)
+
+
+def slow_stack(blocks):
+    lines, first, gap = [], False, False
+    for b in filter(None, blocks):
+        if not b[1]:
+            gap = gap or b[0] or b[2]
+            continue
+        if lines and (gap or b[0]):
+            lines.append("")
+        elif not lines:
+            first = gap or b[0]
+        lines += b[1]
+        gap = b[2]
+    return first, lines, gap
+
+
+def test_html_against_a_slow_renderer():
+    rng = random.Random(12)
+    for _ in range(1500):
+        tree = [random_tree(rng) for _ in range(rng.randint(1, 4))]
+        assert html_text.page_text("".join(markup(rng, t) for t in tree)) == "\n".join(slow_stack([slow_lines(t) for t in tree])[1]), tree
+
+
 def test_html(spark):
     assert html_text.page_text(HTML) == "Hi\n\nthere bold x\n\n- one\n- two\n  3. a\n  4. b\n\ntail\n\nName  Age\nBob   5\n\n a\n  b\n\n1 < 2"
     assert [html_text.page_text(x) for x in (None, "", "<", "<a", "<!-- x", "a</p>b", "<div>" * 3000 + "x")] == ["", "", "<", "", "", "a\n\nb", "x"]
