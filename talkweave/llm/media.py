@@ -2,18 +2,23 @@
 
 Signature sniffing: an Aho-Corasick automaton finds all magic bytes of a blob in one pass; a validator of
 each format then confirms structure and length at that place. What holds at the start of the blob decides its type and
-corrects the declared one; what holds further inside is carved out as embedded media.
+corrects the declared one; what holds further inside is carved out as embedded media. Validators share what they find out about a blob
+(where end marks stand, where chains of parts lead), so that many magic bytes in one long blob aren't checked to its end again and again.
 
-Results for edge cases: a null blob counts as empty; an empty or unknown blob is ``application/octet-stream``
+Results for edge cases: a null blob or text counts as empty; an empty or unknown blob is ``application/octet-stream``
 with no parts; magic bytes whose structure doesn't hold are no media. Rows are independent, so equal blobs get equal
-results, and other columns are ignored.
+results, also where ids repeat or are null; an empty table gives an empty one; other columns, whatever their names, are ignored. Features
+are made of whole numbers until they are written, so no worker's arithmetic shows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+import re
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -46,7 +51,43 @@ MAGIC = {
 }
 
 
-def _riff(d: bytes, at: int) -> tuple[str, int] | None:
+class Blob:
+    """Bytes, with what is known about them so far."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+        self.marks: dict[bytes, list[int]] = {}
+        self.ends: dict[str, dict[int, int | None]] = {}
+
+    def after(self, mark: bytes, at: int) -> int:
+        """Where the first mark from a place on stands; the blob's length if there is none."""
+        if mark not in self.marks:
+            self.marks[mark] = [m.start() for m in re.finditer(re.escape(mark), self.data)]
+        places = self.marks[mark]
+        k = bisect_left(places, at)
+        return places[k] if k < len(places) else len(self.data)
+
+    def end(self, kind: str, at: int, step: Callable[[int], tuple[int, bool] | None]) -> int | None:
+        """Where a chain of parts ends; None if it breaks. step gives the place after a part, and whether it was the last; None: no
+        part. Chains that meet share their end."""
+        known = self.ends.setdefault(kind, {})
+        path = []
+        while at not in known:
+            path.append(at)
+            part = step(at)
+            if part is None:
+                known[at] = None
+            elif part[1]:
+                known[at] = part[0]
+            else:
+                at = part[0]
+        for p in path:
+            known[p] = known[at]
+        return known[at]
+
+
+def _riff(b: Blob, at: int) -> tuple[str, int] | None:
+    d = b.data
     if len(d) < at + 12:
         return None
     size = struct.unpack_from("<I", d, at + 4)[0] + 8
@@ -60,79 +101,89 @@ def _riff(d: bytes, at: int) -> tuple[str, int] | None:
     return (kind, size) if chunk in (at + size, at + size + 1) else None
 
 
-def _png(d: bytes, at: int) -> tuple[str, int] | None:
-    chunk = at + 8
-    while chunk + 12 <= len(d):
-        n = struct.unpack_from(">I", d, chunk)[0]
-        end = chunk + 12 + n
-        if end > len(d) or zlib.crc32(d[chunk + 4 : end - 4]) != struct.unpack_from(">I", d, end - 4)[0]:
+def _png(b: Blob, at: int) -> tuple[str, int] | None:
+    d = b.data
+
+    def chunk(p: int) -> tuple[int, bool] | None:
+        if p + 12 > len(d):
             return None
-        if d[chunk + 4 : chunk + 8] == b"IEND":
-            return "image/png", end - at
-        chunk = end
-    return None
+        end = p + 12 + struct.unpack_from(">I", d, p)[0]
+        if end > len(d) or zlib.crc32(d[p + 4 : end - 4]) != struct.unpack_from(">I", d, end - 4)[0]:
+            return None
+        return end, d[p + 4 : p + 8] == b"IEND"
 
+    end = b.end("png", at + 8, chunk)
+    return ("image/png", end - at) if end else None
 
-def _gif(d: bytes, at: int) -> tuple[str, int] | None:
-    if len(d) < at + 13:
-        return None
-    p = at + 13 + (3 << (d[at + 10] & 7) + 1 if d[at + 10] & 128 else 0)
-    while p < len(d):
+
+def _gif(b: Blob, at: int) -> tuple[str, int] | None:
+    d = b.data
+    colors = lambda flags: 3 << (flags & 7) + 1 if flags & 128 else 0
+
+    def piece(p: int) -> tuple[int, bool] | None:
+        return None if p >= len(d) else (p + 1 + d[p], not d[p])
+
+    def block(p: int) -> tuple[int, bool] | None:
+        if p >= len(d):
+            return None
         if d[p] == 0x3B:
-            return "image/gif", p + 1 - at
+            return p + 1, True
         if d[p] == 0x21:
-            p += 2
+            data = p + 2
         elif d[p] == 0x2C and p + 10 < len(d):
-            p += 11 + (3 << (d[p + 9] & 7) + 1 if d[p + 9] & 128 else 0)
+            data = p + 11 + colors(d[p + 9])
         else:
             return None
-        while p < len(d) and d[p]:
-            p += 1 + d[p]
-        p += 1
-    return None
+        end = b.end("gif data", data, piece)
+        return None if end is None else (end, False)
+
+    end = b.end("gif", at + 13 + colors(d[at + 10]), block) if len(d) >= at + 13 else None
+    return ("image/gif", end - at) if end else None
 
 
-def _jpeg(d: bytes, at: int) -> tuple[str, int] | None:
-    p, scans = at + 2, 0
-    while p + 4 <= len(d) and d[p] == 0xFF and d[p + 1] not in (0, 0xFF):
-        if d[p + 1] == 0xD9:
-            break
-        n = struct.unpack_from(">H", d, p + 2)[0]
-        if n < 2:
+def _jpeg(b: Blob, at: int) -> tuple[str, int] | None:
+    d = b.data
+
+    def segment(p: int) -> tuple[int, bool] | None:
+        if p + 4 > len(d) or d[p] != 0xFF or d[p + 1] in (0, 0xD9, 0xFF) or (n := struct.unpack_from(">H", d, p + 2)[0]) < 2:
+            return None
+        if d[p + 1] != 0xDA:
+            return p + 2 + n, False
+        # picture data: up to a marker that is neither a stuffed byte nor a restart
+        m = MARKER.search(d, p + 2 + n)
+        if m is None:
             return None
-        scan = d[p + 1] == 0xDA
-        p += 2 + n
-        if scan:
-            scans += 1
-            while (p := d.find(b"\xff", p)) >= 0 and p + 1 < len(d) and (d[p + 1] == 0 or 0xD0 <= d[p + 1] <= 0xD7):
-                p += 2
-            if p < 0:
-                return None
-    return ("image/jpeg", p + 2 - at) if scans and d[p : p + 2] == b"\xff\xd9" else None
-
-
-def _bmp(d: bytes, at: int) -> tuple[str, int] | None:
-    if len(d) < at + 26:
+        return (m.start() + 2, True) if d[m.start() + 1] == 0xD9 else (m.start(), False)
+
+    end = b.end("jpeg", at + 2, segment)
+    return ("image/jpeg", end - at) if end else None
+
+
+MARKER = re.compile(rb"\xff[^\x00\xd0-\xd7]", re.S)
+
+
+def _bmp(b: Blob, at: int) -> tuple[str, int] | None:
+    if len(b.data) < at + 26:
         return None
-    size, spare, pixels, header = struct.unpack_from("<IIII", d, at + 2)
-    return ("image/bmp", size) if not spare and header in (12, 40, 108, 124) and 14 + header <= pixels <= size <= len(d) - at else None
+    size, spare, pixels, header = struct.unpack_from("<IIII", b.data, at + 2)
+    return ("image/bmp", size) if not spare and header in (12, 40, 108, 124) and 14 + header <= pixels <= size <= len(b.data) - at else None
 
 
-def _pdf(d: bytes, at: int) -> tuple[str, int] | None:
-    end = d.find(b"%%EOF", at)
-    return ("application/pdf", end + 5 - at) if end > 0 and d.find(b"startxref", at, end) > 0 else None
+def _pdf(b: Blob, at: int) -> tuple[str, int] | None:
+    end = b.after(b"%%EOF", at)
+    return ("application/pdf", end + 5 - at) if b.after(b"startxref", at) < end < len(b.data) else None
 
 
-def _zip(d: bytes, at: int) -> tuple[str, int] | None:
-    end = d.find(b"PK\x05\x06", at)
-    if end < 0 or end + 22 > len(d):
+def _zip(b: Blob, at: int) -> tuple[str, int] | None:
+    d, end = b.data, b.after(b"PK\x05\x06", at)
+    if end + 22 > len(d):
         return None
     size, start, note = struct.unpack_from("<IIH", d, end + 12)
     return ("application/zip", end + 22 + note - at) if start + size == end - at and end + 22 + note <= len(d) and d[at + start : at + start + 4] in (b"PK\x01\x02", b"PK\x05\x06") else None
 
 
-def _gzip(d: bytes, at: int) -> tuple[str, int] | None:
-    z = zlib.decompressobj(31)
+def _gzip(b: Blob, at: int) -> tuple[str, int] | None:
+    d, z = b.data, zlib.decompressobj(31)
     try:
         for k in range(at, len(d), 1 << 16):
             part = d[k : k + (1 << 16)]
@@ -146,41 +197,48 @@ def _gzip(d: bytes, at: int) -> tuple[str, int] | None:
     return None
 
 
-def _ogg(d: bytes, at: int) -> tuple[str, int] | None:
-    p = at
-    while d[p : p + 4] == b"OggS" and p + 27 <= len(d):
+def _ogg(b: Blob, at: int) -> tuple[str, int] | None:
+    d = b.data
+
+    def page(p: int) -> tuple[int, bool] | None:
+        if d[p : p + 4] != b"OggS" or p + 27 > len(d) or d[p + 4]:
+            return None
         n = d[p + 26]
         end = p + 27 + n + sum(d[p + 27 : p + 27 + n])
-        if p + 27 + n > len(d) or end > len(d) or d[p + 4]:
-            return None
-        last, p = d[p + 5] & 4, end
-        if last:
-            return "audio/ogg", p - at
-    return None
+        return None if p + 27 + n > len(d) or end > len(d) else (end, bool(d[p + 5] & 4))
 
+    end = b.end("ogg", at, page) if d[at + 5 : at + 6] and d[at + 5] & 2 else None  # the first page of a stream says so
+    return ("audio/ogg", end - at) if end else None
 
-def _flac(d: bytes, at: int) -> tuple[str, int] | None:
-    p, last = at + 4, 0
-    while not last and p + 4 <= len(d):
-        last, n = d[p] & 128, int.from_bytes(d[p + 1 : p + 4], "big")
-        if p == at + 4 and (d[p] & 127 or n != 34):
-            return None
-        p += 4 + n
-    return ("audio/flac", len(d) - at) if last and p < len(d) and d[p : p + 1] == b"\xff" else None
+
+def _flac(b: Blob, at: int) -> tuple[str, int] | None:
+    d = b.data
+    if len(d) < at + 8 or d[at + 4] & 127 or int.from_bytes(d[at + 5 : at + 8], "big") != 34:
+        return None
+
+    def block(p: int) -> tuple[int, bool] | None:
+        return None if p + 4 > len(d) else (p + 4 + int.from_bytes(d[p + 1 : p + 4], "big"), d[p] >= 128)
+
+    end = b.end("flac", at + 4, block)
+    return ("audio/flac", len(d) - at) if end and d[end : end + 1] == b"\xff" else None
 
 
-def _mp4(d: bytes, at: int) -> tuple[str, int] | None:
-    p, kinds = at, []
-    while p + 8 <= len(d):
+def _mp4(b: Blob, at: int) -> tuple[str, int] | None:
+    d = b.data
+
+    def box(p: int, until: bytes) -> tuple[int, bool] | None:
+        if p + 8 > len(d):
+            return None
         n, kind = struct.unpack_from(">I", d, p)[0], d[p + 4 : p + 8]
-        if n < 8 or p + n > len(d) or not kind.isalnum():
-            break
-        kinds.append(kind)
-        p += n
-    return ("video/mp4", p - at) if kinds[:1] == [b"ftyp"] and b"moov" in kinds else None
+        return None if n < 8 or p + n > len(d) or not kind.isalnum() else (p + n, kind == until)
+
+    if b.end("mp4 movie", at, lambda p: box(p, b"moov")) is None:
+        return None
+    end = b.end("mp4", at, lambda p: box(p, b"") or (p, True))
+    return "video/mp4", end - at
 
 
-VALID: dict[str, Callable[[bytes, int], tuple[str, int] | None]] = {
+VALID: dict[str, Callable[[Blob, int], tuple[str, int] | None]] = {
     "riff": _riff, "png": _png, "gif": _gif, "jpeg": _jpeg, "bmp": _bmp, "pdf": _pdf, "zip": _zip, "gzip": _gzip, "ogg": _ogg, "flac": _flac, "mp4": _mp4,
 }
 
@@ -197,12 +255,12 @@ def _automaton() -> ahocorasick.Automaton:
 def sniff(blob: bytes) -> tuple[str, list[tuple[int, int, str]]]:
     """The type of a blob, and (offset, length, type) of the media inside it, the leftmost first and none
     overlapping. Media that fill the blob from its start are no part."""
-    kind, parts, end = UNKNOWN, [], 0
+    kind, parts, end, b = UNKNOWN, [], 0, Blob(blob)
     places = sorted({(stop + 1 - into, name) for stop, (name, into) in _automaton().iter(blob.decode("latin-1"))})
     for at, name in places:
         if at < 0 or at and at < end:
             continue
-        if found := VALID[name](blob, at):
+        if found := VALID[name](b, at):
             if at == 0:
                 kind = found[0]
                 if found[1] < len(blob):
@@ -283,8 +341,8 @@ def media_digests(stored: DataFrame) -> DataFrame:
         rate, bits = struct.unpack_from("<I", blob, 24)[0], struct.unpack_from("<H", blob, 34)[0]
         payload = blob[44 : 44 + struct.unpack_from("<I", blob, 40)[0]]
         x = np.frombuffer(payload, np.uint8)
-        level = x.astype(np.float32) - 128
-        feature = f"{found};declared={declared};corrected={int(found != declared)};rate={rate};bits={bits};frames={len(x)};zeros={len(x) - np.count_nonzero(x)};mean={int(x.sum(dtype=np.int64)) / len(x):.4f};rms={float(np.sqrt(np.dot(level, level) / len(x))):.3f};embedded={','.join(f'{k}@{o}+{n}' for o, n, k in parts)}"
+        squares = int((np.square(x.astype(np.int32) - 128)).sum(dtype=np.int64))
+        feature = f"{found};declared={declared};corrected={int(found != declared)};rate={rate};bits={bits};frames={len(x)};zeros={len(x) - np.count_nonzero(x)};mean={int(x.sum(dtype=np.int64)) / len(x):.4f};rms={math.sqrt(squares / len(x)):.3f};embedded={','.join(f'{k}@{o}+{n}' for o, n, k in parts)}"
         return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(blob), hashlib.sha256(blob).hexdigest(), feature
 
     names = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string()}

@@ -81,6 +81,37 @@ def test_sniff(spark):
     assert out[1]["detected"] == "image/png" and out[1]["corrected"] and not out[3]["corrected"] and out[2]["detected"] == media.UNKNOWN
 
 
+def test_sniff_formats():
+    """A small medium of each format, alone and inside a text, and with a byte too few."""
+    import gzip
+    import struct
+
+    chunk = lambda k, d: len(d).to_bytes(4, "big") + k + d + zlib.crc32(k + d).to_bytes(4, "big")
+    box = lambda k, d=b"": (8 + len(d)).to_bytes(4, "big") + k + d
+    page = lambda flags, d: b"OggS\0" + bytes([flags]) + bytes(20) + bytes([1, len(d)]) + d
+    wav = b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, 1, 8000, 8000, 1, 8) + b"data" + struct.pack("<I", 2) + b"ab"
+    media_of = {
+        "image/png": b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", bytes(13)) + chunk(b"IEND", b""), "image/gif": b"GIF89a" + bytes(7) + b"\x21\xf9\x01a\0\x2c" + bytes(9) + b"\x02\x01x\x01y\0;",
+        "image/jpeg": b"\xff\xd8\xff\xe0\0\x04ab\xff\xda\0\x03a" + b"xy\xff\0z\xff\xd0z\xff\xd9", "image/bmp": b"BM" + struct.pack("<IIII", 60, 0, 54, 40) + bytes(42),
+        "application/pdf": b"%PDF-1.4 x startxref 3 %%EOF", "application/zip": b"PK\x05\x06".join([b"PK\x03\x04abPK\x01\x02cd", bytes(8) + struct.pack("<IIH", 6, 6, 0)]), "application/gzip": gzip.compress(b"hello" * 50),
+        "audio/ogg": page(2, b"abc") + page(4, b"d"), "video/mp4": box(b"ftyp", b"isom") + box(b"free") + box(b"moov", b"abc"), "audio/wav": b"RIFF" + struct.pack("<I", len(wav)) + wav,
+    }
+    for kind, d in media_of.items():
+        assert media.sniff(d) == (kind, []), kind
+        assert media.sniff(b"some text " + d + b" more\xfe") == (media.UNKNOWN, [(10, len(d), kind)]), kind
+        assert media.sniff(d[:-1])[0] != kind or kind == "video/mp4", kind
+    assert media.sniff(b"fLaC\x80\0\0\x22" + bytes(34) + b"\xff\xf8") == ("audio/flac", [])
+    assert media.sniff(b"".join(media_of.values()))[1] == [(sum(len(x) for x in list(media_of.values())[:i]), len(d), k) for i, (k, d) in enumerate(media_of.items()) if i]
+
+
+def test_sniff_hard_input():
+    n = 2_000_000
+    for part in (b"%PDF-", b"PK\x03\x04", b"GIF89a" + b",!" * 8, b"RIFF    WAVE", b"\0\0\0\x08ftyp", b"OggS", b"fLaC\0\0\0\x22", b"BM", b"%PDF-startxref", b"\xff\xd8\xff\xe0\0\x02"):
+        begin = time.process_time()
+        media.sniff(part * (n // len(part)))
+        assert time.process_time() - begin < 10, part
+
+
 HTML = """<title>t</title><style>.x{display:none}</style><p>Hi<p>there <b>bold</b>  <i>x</i><ul><li>one<li>two<ol start=3><li>a<li>b</ol></ul>tail
 <table><tr><th>Name<th>Age<tr><td>Bob<td>5</table><div class=x>no</div><pre> a
   b</pre>1 &lt; 2 <span hidden>no</span><script>no</script>"""
