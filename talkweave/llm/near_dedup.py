@@ -9,15 +9,20 @@ unlike ones hardly any. Paths depend on a node's sketch only, so all trees go do
 Nodes that meet at a path are compared: first with one member of the path's group, the hub, and the likeliest such link
 of each is confirmed on full sets. That already joins large groups of near copies, by a link per member. Then groups whose
 members are not yet all connected are compared exhaustively: small ones in one task, where likely pairs between components
-are kept for confirmation, larger ones in pairs of blocks on full sets, leaving out blocks of one component. Very large ones
-are branched further first. Only links come out, so no group is ever expanded into all its pairs.
+are kept for confirmation, larger ones in pairs of blocks on full sets, leaving out blocks of one component. Groups of more than LARGE
+are branched further instead, as long as that splits them into few parts of their size; sets that stay together are compared in blocks. Only links come out, so no group is ever expanded into all its pairs.
+
+A path may be shared by very many nodes: its rows are dealt over SALTS tasks wherever they meet what is known of the path. Blocks are
+bounded by members and by bytes.
 
 Sets hold 64-bit hashes of shingles. Confirmed links make a graph; its components come from repeated
 minimum labels with pointer jumping. Recall of a pair at the wanted similarity: about 0.9999 with 12 trees.
 
-Results for edge cases: without words or text the set is empty, and the document is linked with nothing; fewer
-words than a shingle make one shingle. Rows that repeat an id are rows of their own; component_id is the least id of
-a component's rows (null ids are not compared and have no component of their own).
+Results for edge cases: without words or text (null too) the set is empty, and the document is linked with nothing; fewer
+words than a shingle make one shingle. Rows that repeat an id are rows of their own, told apart by a 128-bit hash of id and text; component_id is the
+least id of a component's rows (null ids are not compared and have no component of their own). A text of any length is one row of its task; its set
+is a block of its own where it is large. An empty table gives an empty one. Other columns are ignored by near_duplicates(), and kept by
+keep_one(), whatever their names.
 """
 
 from __future__ import annotations
@@ -32,17 +37,24 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm.common import bounded_batches, stored, table
+from talkweave.llm.common import bounded_batches, free_names, row_hash, stored, table
 
 COORDINATES = 128
 TREES = 12
 #: Trees whose hubs are tried first.
 HUB_TREES = 4
-LEVELS, MORE_LEVELS, ROUNDS = 6, 4, 4
+LEVELS, MORE_LEVELS = 6, 4
 #: Independent trees below a very large group, so that branching it further loses hardly any pair.
 AGAIN = 3
 #: Groups up to SMALL are compared by sketches first; up to LARGE in blocks on full sets; larger ones are branched further.
 SMALL, LARGE, BLOCK = 32, 8192, 256
+#: Bytes of sets in a block, about.
+BLOCK_BYTES = 4 << 20
+#: A round of branching makes about six rows of one (AGAIN trees, 1 / similarity at each level), so it saves comparisons only where a branch holds less than this
+#: share of the group above; a larger branch is compared in blocks.
+WHOLE = 0.15
+#: Tasks over which the rows of one path are dealt.
+SALTS = 8
 #: How far an estimate from sketches may lie below the wanted similarity, in standard deviations.
 SLACK = 4.5
 
@@ -104,20 +116,26 @@ def _sketches(col: pa.Array) -> np.ndarray:
 
 
 def set_rows(df: DataFrame, size: int) -> DataFrame:
-    """df: key, text. Gives key, n, node (null for an empty set), sketch."""
+    """df: key, r1, r2, text. Adds n, node (null for an empty set) and sketch in place of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, node, sk = [], [], []
-            for text in b.column(2).to_pylist():
+            for text in b.column(3).to_pylist():
                 items = shingle_set(text, size)
                 n.append(len(items))
                 node.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
                 sk.append(sketch(items).tobytes() if len(items) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(sk, pa.binary())], ["key", "th", "n", "node", "sketch"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(sk, pa.binary())], ["key", "r1", "r2", "n", "node", "sketch"])
 
     kind = df.schema["key"].dataType.simpleString()
-    return df.select("key", "th", "text").mapInArrow(run, f"key {kind}, th int, n long, node binary, sketch binary")
+    return df.select("key", "r1", "r2", "text").mapInArrow(run, f"key {kind}, r1 long, r2 long, n long, node binary, sketch binary")
+
+
+def _spread(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """rows (with node) joined to what is known of each key; the rows of one key are dealt over SALTS tasks."""
+    salted = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.hash("node"), F.lit(SALTS))).join(salted, [key, "salt"]).drop("salt")
 
 
 def _first_paths(nodes: DataFrame, trees: int, similarity: float) -> DataFrame:
@@ -135,17 +153,17 @@ def _first_paths(nodes: DataFrame, trees: int, similarity: float) -> DataFrame:
 
 
 def _more_paths(met: DataFrame, similarity: float) -> DataFrame:
-    """met: path, node, sketch."""
+    """met: path, size, node, sketch. Gives up, the size of the group above, too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                above, sk = b.column(0).to_numpy().view(np.uint64), _sketches(b.column(2))
+                above, sk = b.column(0).to_numpy().view(np.uint64), _sketches(b.column(3))
                 parts = [descend(_mix(above + np.uint64(k)), np.arange(b.num_rows), sk, MORE_LEVELS, similarity) for k in range(AGAIN)]
                 paths, rows = map(np.concatenate, zip(*parts))
-                yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), b.column(1).take(pa.array(rows))], ["path", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), b.column(1).take(pa.array(rows)), b.column(2).take(pa.array(rows))], ["path", "up", "node"])
 
-    return met.select("path", "node", "sketch").mapInArrow(run, "path long, node binary")
+    return met.select("path", "size", "node", "sketch").mapInArrow(run, "path long, up long, node binary")
 
 
 def _likely(pairs: DataFrame, least: float) -> DataFrame:
@@ -238,13 +256,14 @@ def _exact_links(left: list[dict], right: list[dict] | None, percent: int) -> li
 
 
 def _block_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """groups: path, node, comp of larger groups. Members are dealt to blocks of about BLOCK, those of one large component to blocks
-    of their own; pairs of blocks are compared on full sets, but for two blocks of one component."""
-    n = groups.groupBy("path", "comp").agg(F.count("*").alias("n"))
-    small = F.col("n") < BLOCK
-    rest = n.groupBy("path").agg(F.sum(F.when(small, F.col("n"))).alias("rest"))
-    dealt = groups.select("path", "node", "comp").join(n, ["path", "comp"]).join(rest, "path")
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.when(small, F.col("rest")).otherwise(F.col("n")) / BLOCK))
+    """groups: path, node, comp, n of larger groups. Members are dealt to blocks of about BLOCK (or BLOCK_BYTES), those of one large component to
+    blocks of their own; pairs of blocks are compared on full sets, but for two blocks of one component."""
+    weight = F.greatest(F.lit(1 / BLOCK), F.col("n") * 8 / BLOCK_BYTES)  # in blocks
+    w = groups.groupBy("path", "comp").agg(F.sum(weight).alias("w"))
+    small = F.col("w") < 1
+    rest = w.groupBy("path").agg(F.sum(F.when(small, F.col("w"))).alias("rest"))
+    dealt = _spread(groups.select("path", "node", "comp").join(w, ["path", "comp"]), rest, "path")
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.when(small, F.col("rest")).otherwise(F.col("w"))))
     dealt = stored(dealt.select("path", "node", "comp", F.when(~small, F.col("comp")).alias("own"), part.alias("part")))
     blocks = stored(dealt.join(sets, "node").groupBy("path", "own", "part").agg(F.collect_list(F.struct("node", "comp", "items")).alias("members")).withColumn("block", F.xxhash64("own", "part")))
     ids = blocks.select("path", "block", "own")
@@ -280,17 +299,17 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def linked_sets(docs: DataFrame, size: int, percent: int, trees: int = TREES) -> tuple[DataFrame, DataFrame]:
-    """docs: key, th, text. Gives the rows' sets (key, th, n, node) and node, comp of the nodes that have links."""
+    """docs: key, r1, r2, text. Gives the rows' sets (key, r1, r2, n, node) and node, comp of the nodes that have links."""
     spark = docs.sparkSession
     bounded_batches(spark)
     similarity = percent / 100
     least = similarity - SLACK * (similarity * (1 - similarity) / COORDINATES) ** 0.5
     rows = stored(set_rows(docs, size))
-    nodes = stored(rows.where("n > 0").groupBy("node").agg(F.first("sketch").alias("sketch"), F.min(F.struct("key", "th")).alias("place")))
+    nodes = stored(rows.where("n > 0").groupBy("node").agg(F.first("sketch").alias("sketch"), F.first("n").alias("n"), F.min(F.struct("r1", "r2")).alias("place")))
     sk = nodes.select("node", "sketch")
     paths = _first_paths(nodes, trees, similarity)
     groups = paths.groupBy("path").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1")
-    met = stored(paths.join(groups, "path"))
+    met = stored(_spread(paths, groups, "path"))
 
     # full sets of the nodes that met any other
     some = nodes.join(met.select("node").distinct(), "node").select("node", "place.*")
@@ -299,7 +318,7 @@ def linked_sets(docs: DataFrame, size: int, percent: int, trees: int = TREES) ->
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, size).tobytes() for t in b.column(1).to_pylist()], pa.binary())], ["node", "items"])
 
-    texts = docs.join(some, docs["key"].eqNullSafe(some["key"]) & (docs["th"] == some["th"])).select("node", "text")
+    texts = docs.join(some, ["r1", "r2"]).select("node", "text")
     sets = stored(texts.mapInArrow(items, "node binary, items binary").dropDuplicates(["node"]))
 
     # the likeliest hub of each node
@@ -310,60 +329,61 @@ def linked_sets(docs: DataFrame, size: int, percent: int, trees: int = TREES) ->
     comp = components(links)
 
     # groups that are not one component yet
-    found, direct, depth = [], [], 0
-    here = met.select("path", "node")
+    found, direct = [], []
+    here = met.select("path", F.lit(None).cast("long").alias("up"), "node")
     while True:
-        depth += 1
-        label = here.join(comp, "node", "left").select("path", "node", F.coalesce("comp", "node").alias("comp"))
+        label = here.join(comp, "node", "left").select("path", "up", "node", F.coalesce("comp", "node").alias("comp"))
         mixed = label.groupBy("path").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("path", "size")
-        open_ = stored(label.join(mixed, "path"))
+        open_ = stored(_spread(label, mixed, "path").join(nodes.select("node", "n"), "node"))
         whole = open_.where(F.col("size") <= SMALL).join(sk, "node").groupBy("path").agg(F.collect_list(F.struct("node", "comp", "sketch")).alias("members"))
         found.append(_crossing(whole, least))
-        last = depth == ROUNDS
-        direct.append(_block_links(open_.where(F.col("size") > SMALL) if last else open_.where(F.col("size").between(SMALL + 1, LARGE)), sets, percent))
-        large = open_.where(F.col("size") > LARGE)
-        if last or not large.head(1):
+        large = (F.col("size") > LARGE) & F.coalesce(F.col("size") <= F.col("up") * WHOLE, F.lit(True))
+        direct.append(_block_links(open_.where((F.col("size") > SMALL) & ~large), sets, percent))
+        more = open_.where(large)
+        if not more.head(1):
             break
-        deeper = _more_paths(large.join(sk, "node"), similarity)
+        deeper = _more_paths(more.join(sk, "node"), similarity)
         again = deeper.groupBy("path").agg(F.count("*").alias("size")).where("size > 1").select("path")
-        here = stored(deeper.join(again, "path"))
+        here = stored(_spread(deeper, again, "path"))
     likely = stored(reduce(DataFrame.unionAll, found).distinct())
     more = stored(_confirmed(likely, sets, percent).unionAll(reduce(DataFrame.unionAll, direct)))
     if more.head(1):
         comp = components(links.unionAll(more))
-    return rows.select("key", "th", "n", "node"), comp
+    return rows.select("key", "r1", "r2", "n", "node"), comp
 
 
 def near_duplicates(df: DataFrame, size: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, th (hash of the text), n_shingles, component_id and kept of every row."""
-    docs = df.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")).withColumn("th", F.hash("text"))
-    rows, comp = linked_sets(docs, size, percent)
+    """id, n_shingles, component_id and kept of every row."""
+    text = F.col(text_col).cast("string")
+    rows, comp = linked_sets(df.select(F.col(id_col).alias("key"), *row_hash(F.col(id_col), text), text.alias("text")), size, percent)
     of_node = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("key").alias("first")).join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = of_node.groupBy("comp").agg(F.min("first").alias("component_id"))
     label = stored(of_node.join(least, "comp").select("node", "component_id"))
-    out = rows.join(label, "node", "left").select("key", "th", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"))
+    out = rows.join(label, "node", "left").select("key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("key") == F.col("component_id"), F.lit(False))).withColumnRenamed("key", id_col)
 
 
 def keep_one(df: DataFrame, size: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group of near duplicates, that of the least id, with all columns. Rows without words all stay."""
-    marked = df.withColumn("__th", F.hash(F.col(text_col).cast("string")))
-    docs = marked.select(F.col(id_col).alias("key"), F.col("__th").alias("th"), F.col(text_col).cast("string").alias("text"))
-    rows, comp = linked_sets(docs, size, percent)
-    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "th")).alias("first")
+    """One row of each group of near duplicates, that of the least id (a null id last), with all columns. Rows without words all stay."""
+    k1, k2 = free_names(df, "r1", "r2")
+    text = F.col(text_col).cast("string")
+    h1, h2 = row_hash(F.col(id_col), text)
+    marked = df.select("*", h1.alias(k1), h2.alias(k2))
+    rows, comp = linked_sets(df.select(F.col(id_col).alias("key"), h1, h2, text.alias("text")), size, percent)
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "r1", "r2")).alias("first")
     of_node = rows.where("node IS NOT NULL").groupBy("node").agg(first).join(comp, "node", "left")
-    kept = of_node.groupBy(F.coalesce("comp", "node").alias("comp")).agg(F.min("first").alias("first")).select("first.key", "first.th")
-    kept = stored(kept.unionAll(rows.where("n = 0").select("key", "th").distinct()))
-    out = marked.join(kept, marked[id_col].eqNullSafe(kept["key"]) & (F.col("__th") == F.col("th")), "left_semi")
-    words = F.trim(F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\t\n\x0b\x0c\r", "     ")) != ""
-    if rows.where("n > 0").groupBy("key", "th").count().where("count > 1").head(1):
+    kept = of_node.groupBy(F.coalesce("comp", "node").alias("comp")).agg(F.min("first").alias("first")).select("first.r1", "first.r2")
+    kept = stored(kept.unionAll(rows.where("n = 0").select("r1", "r2").distinct()).toDF(k1, k2))
+    out = marked.join(kept, [k1, k2], "left_semi")
+    words = F.trim(F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")) != ""
+    if rows.where("n > 0").groupBy("r1", "r2").count().where("count > 1").head(1):
         # rows that repeat both id and text: one of them stays
-        out = out.where(words).dropDuplicates([id_col, "__th"]).unionAll(out.where(~words))
+        out = out.where(words).dropDuplicates([k1, k2]).unionAll(out.where(~words))
     return out.select(*df.columns)
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85).drop("th")
+    return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
 ORACLE_SQL = """

@@ -305,13 +305,27 @@ def test_near(spark, docs, sizes, monkeypatch):
     assert all(r["kept"] == (r["doc_id"] is not None and r["doc_id"] == r["component_id"]) for r in out)
     if sizes[0] == 2:
         return
-    kept = near_dedup.keep_one(more, 5, 80)
-    assert kept.columns == more.columns
+    clashing = more.withColumn("th", F.lit("th")).withColumn("__r1", F.lit("own")).withColumn("comp", F.lit(0))
+    kept = near_dedup.keep_one(clashing, 5, 80)
+    assert kept.columns == clashing.columns and kept.where("th = 'th' AND __r1 = 'own'").count() == kept.count()
     groups = {(k if n == 0 else ("g", c)) for k, n, c in brute_components(all_rows(more), 5, 80)}
     assert kept.count() == len(groups)
     assert near_dedup.near_duplicates(more.limit(0), 3, 85).count() == 0
 
 
+def test_near_recall(spark):
+    """Pairs just above the threshold (182 of 214 shingles, 0.8505) are found, and pairs just below (0.8419) are not linked."""
+    rng = random.Random(14)
+    rows = []
+    for i in range(2000):
+        w = [f"{rng.randrange(1 << 40):x}" for _ in range(200)]
+        cut = 16 if i % 4 else 17
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:-cut] + [f"{rng.randrange(1 << 40):x}" for _ in range(cut)]))]
+    out = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
+    linked = [out[2 * i + 1] == 2 * i for i in range(2000)]
+    assert sum(x for i, x in enumerate(linked) if i % 4) >= 0.99 * 1500 and not any(linked[::4])
+
+
 def brute_removed(rows, length):
     counts = Counter()
     for _, t in rows:
