@@ -521,6 +521,32 @@ def test_warc(spark):
     same([tuple(r) for r in out], want)
     assert captures.where("request IS NULL OR metadata IS NULL").count() == 0
     assert warc.assemble(warc.read_archives(spark, warc.write_pages(df.limit(0)))).count() == 0
+    # every record is a gzip member of its own
+    import gzip
+    from pathlib import Path
+
+    members = 0
+    for f in Path(path).glob("part*"):
+        raw = f.read_bytes()
+        while raw:
+            z = zlib.decompressobj(31)
+            assert z.decompress(raw).startswith(b"WARC/1.1\r\nWARC-Type: ") and z.eof
+            raw, members = z.unused_data, members + 1
+    assert members == 3 * len(rows)
+    with pytest.raises(ValueError):
+        list(warc._records(gzip.compress(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc")))
+
+
+def test_warc_large_pages(spark, tmp_path):
+    """Archives are bounded by bytes, but for a single large page."""
+    rng = random.Random(3)
+    rows = [(i, "u", rng.randbytes(2000).hex()) for i in range(60)] + [(100, "big", "ab" * 25_000_000), (101, "big", rng.randbytes(400_000).hex())]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    path = warc.write_pages(df, path=str(tmp_path / "w"), file_bytes=20_000)
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "w").glob("part*"))
+    assert len(sizes) > 6 and sizes[-3] < 30_000
+    out = {r["page_id"]: r for r in warc.assemble(warc.read_archives(spark, path, with_payload=False).drop("payload")).select("page_id", "response.payload_bytes", "response.payload_digest").collect()}
+    assert {(k, len(h), hashlib.sha1(h.encode()).hexdigest()) for k, _, h in rows} == {tuple(r) for r in out.values()}
 
 
 def test_with_column(spark):
