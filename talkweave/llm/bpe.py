@@ -9,7 +9,9 @@ The last token of a prefix is the token that ends there and may follow the last
 neighbours may stand side by side if no merge crosses their border while both are being merged, nor afterwards.
 
 Results for edge cases: a null text counts as empty; an empty text has no ids, and both digests are those of the
-empty string. Rows are independent, so repeated rows give repeated results. Other columns are ignored.
+empty string. A text of any length is encoded whole, word by word. Rows are independent, so repeated rows give repeated results; an
+empty table gives an empty one. Other columns, whatever their names, are ignored. A tokenizer file whose rules of normalising, splitting and
+decoding aren't RULES is an error, since its ids would be wrong.
 """
 
 from __future__ import annotations
@@ -37,6 +39,18 @@ ASCII_WORDS = re.compile(r"[a-z]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\sa-z0-9]+", r
 LATIN_WORDS = re.compile(r"[a-zß-öø-ÿœ]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\sa-z0-9ß-öø-ÿœ]+")
 #: Beyond letters of Latin-1 with œ, common punctuation and the euro sign; some signs of Latin-1 count as letters or numbers.
 BEYOND_LATIN = re.compile(r"[^\n\t -~¡-©«-±´¶-¸»¿-Ýß-ÿœ–—‘-‟†-…€]|[\x7f-\xa0]")
+# The rules that a tokenizer file must have: one character's case at a time, words of letters, single digits, other signs; no decoder.
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "decoder": None,
+}
 SPACES = regex.compile(r"\p{White_Space}+")
 
 
@@ -83,6 +97,10 @@ class WordEncoder:
     def __init__(self, source: bytes):
         spec = json.loads(source)
         model = spec["model"]
+        if other := [k for k, rule in RULES.items() if spec.get(k) != rule]:
+            raise ValueError(f"the tokenizer file has other rules than expected: {', '.join(other)}")
+        if model["type"] != "BPE" or any(not t["content"].startswith("<|") for t in spec["added_tokens"]):
+            raise ValueError("the tokenizer file has another kind of model, or special tokens that don't begin with <|")
         self.end = model.get("end_of_word_suffix") or ""
         self.vocab: dict[str, int] = model["vocab"]
         self.names = {i: t for t, i in self.vocab.items()}

@@ -5,12 +5,14 @@ giving smoothed log probabilities. Prediction: a document's trigrams are a mixtu
 estimates its proportions from the trigrams' likelihoods; then, adding languages by proportion, the set is chosen whose
 likelihood, less a penalty for each language, is greatest. The predicted language is the largest of the set.
 
-The sample is about ``sample_docs`` documents of each language (by a hash of the text, whole texts), a documented bound;
+The sample is about ``sample_docs`` documents of each language, a documented bound: whole texts, chosen by a hash of the text, so copies of a text are
+in it all or not at all. The ``LANGUAGES`` most frequent values of the language column are learned, which bounds what the model takes;
 every document is predicted from its whole text.
 
 Results for edge cases: a null text, or one without letters, is ``und`` with score 0; so are all where no labelled document
 exists. Words of fewer letters than three count with their borders. Languages are tried in alphabetical order on
-ties. Rows are independent; other columns are ignored.
+ties. A text of any length is read whole. Rows are independent, so rows that repeat an id or text are predicted alike; an empty table gives an
+empty one. Other columns are ignored by predict(), and kept by keep_identified(), whatever their names.
 """
 
 from __future__ import annotations
@@ -23,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm.common import bounded_batches, table, with_column
+from talkweave.llm.common import bounded_batches, free_names, table, with_column
 
 BUCKETS = 1 << 15
 #: Documents of each language that are learned from, about.
 SAMPLE_DOCS = 2000
+#: Values of the language column that are learned, the most frequent first.
+LANGUAGES = 256
 #: Steps of expectation-maximisation, and the change in proportions at which it ends.
 STEPS, CLOSE = 15, 1e-3
 #: What each further language must add to the log likelihood, times the log of the number of trigrams.
@@ -62,7 +66,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_
     spark = df.sparkSession
     bounded_batches(spark)
     known = df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return [], np.zeros((0, BUCKETS))
     share = F.element_at(F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample_docs / n)))), F.col("lang"))
@@ -171,8 +175,9 @@ def keep_identified(df: DataFrame, text_col: str = "text", lang_col: str = "lang
                 out.append(None)
         return out
 
-    told = with_column(df, "__lang", "string", pa.string(), (text_col,), best).where(F.coalesce(F.col("__lang"), F.lit("")) != UNKNOWN)
-    return told.withColumn(lang_col, F.coalesce(F.col(lang_col), "__lang")).select(*df.columns)
+    (name,) = free_names(df, "lang")
+    told = with_column(df, name, "string", pa.string(), (text_col,), best).where(F.coalesce(F.col(name), F.lit("")) != UNKNOWN)
+    return told.withColumn(lang_col, F.coalesce(F.col(lang_col), name)).select(*df.columns)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -5,12 +5,16 @@ A query goes down all lists at once, from the end that its own component favours
 components at the depth reached bound the score of every row not yet met; when this bound is less than the
 k-th score so far, the rest of the block can't enter the result. The k-th score is carried from block to block.
 
-Queries are a stated set. They are sent in groups of at most ``QUERIES_AT_ONCE``, so a broadcast has a fixed bound however
-many there are; each task returns k rows a query at most, which are merged by query.
+Queries are a stated set. They are sent in groups of about ``QUERY_BYTES``, so a broadcast has a fixed bound however
+many there are and however long; each task returns k rows a query at most, which are merged by query.
+
+Scores are exact: they are computed in floating point where every sum stays below 2^53, and in 64-bit integers beyond. A score that
+could leave 64 bits is an error, as there is no column to hold it.
 
 Results for edge cases: vectors that are null, empty, or hold null or non-finite components, and rows with a null id, take no
 part. A query meets only vectors of its own length, and no row of its own id. A repeated query row is answered
-once more; repeated candidate rows count each. Ties go to the smaller id. Empty tables give no rows.
+once more; repeated candidate rows count each. Ties go to the smaller id. Empty tables give no rows. Other columns, whatever their names,
+are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pyspark.sql import functions as F
 
 from talkweave.llm.common import bounded_batches, table
 
-QUERIES_AT_ONCE = 1 << 15
+QUERY_BYTES = 32 << 20
 BLOCK_ROWS = 8192
 #: Rows of each list in the first step down; each next step goes four times as deep.
 FIRST_DEPTH = 16
@@ -50,10 +54,19 @@ class Block:
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         self.ids, self.x = ids, x
         self.lists = np.argsort(x, axis=0, kind="stable").T  # by dimension, ascending
+        self.largest = float(np.abs(x).max()) * x.shape[1] if x.size else 0.0
+        self.whole: np.ndarray | None = None
 
     def search(self, q: np.ndarray, own: int, k: int, ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids, scores: the best so far, the best first; returns the new ones."""
         n, dims = self.x.shape
+        x, most = self.x, self.largest * float(np.abs(q).max())
+        if most >= 2.0**53:
+            if most >= 2.0**63:
+                raise OverflowError("scores of these vectors may need more than 64 bits")
+            if self.whole is None:
+                self.whole = self.x.astype(np.int64)
+            x, q = self.whole, q.astype(np.int64)
         up = np.where(q > 0, -1, 1)  # from which end
         met = np.zeros(n, bool)
         met[self.ids == own] = True
@@ -69,13 +82,13 @@ class Block:
             met |= new
             rows = np.flatnonzero(new)
             if len(rows):
-                s = self.x[rows] @ q
+                s = x[rows] @ q
                 if len(scores) == k:
                     rows, s = rows[s >= scores[-1]], s[s >= scores[-1]]
-                ids, scores = np.concatenate((ids, self.ids[rows])), np.concatenate((scores, s))
+                ids, scores = np.concatenate((ids, self.ids[rows])), np.concatenate((scores.astype(s.dtype), s))
                 best = np.lexsort((ids, -scores))[:k]
                 ids, scores = ids[best], scores[best]
-            edge = self.x[np.where(up > 0, self.lists[:, to - 1], self.lists[:, n - to]), every]
+            edge = x[np.where(up > 0, self.lists[:, to - 1], self.lists[:, n - to]), every]
             if len(scores) == k and edge @ q < scores[-1]:
                 break
             at, depth = to, 4 * depth
@@ -88,7 +101,8 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
     bounded_batches(spark)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"), is_query.alias("asked"))
     asked = rows.where("asked").select("id", "x")
-    groups = max(1, -(-asked.count() // QUERIES_AT_ONCE))
+    size = asked.agg(F.sum(F.coalesce(F.size("x"), F.lit(0)) * 8).alias("n")).first()["n"] or 0
+    groups = max(1, -(-size // QUERY_BYTES))
     parts = []
     for g in range(groups):
         part = asked if groups == 1 else asked.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(groups)) == g)

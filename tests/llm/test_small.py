@@ -258,6 +258,16 @@ def test_topk(spark):
     assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_topk_large_components(spark):
+    """Exact above 2^53, where floating point is not; beyond 64 bits an error."""
+    big = [(0, [float(2**20 + 1), 3.0]), (1, [float(2**21 + 1), 5.0]), (2, [float(2**21 + 1), 4.0]), (3, [1.0, 1.0])]
+    out = topk.top_k(spark.createDataFrame(big, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=2).collect()
+    x = {i: [int(1024 * c) for c in v] for i, v in big}
+    assert [(r["vec_id"], r["score"]) for r in sorted(out, key=lambda r: r["rank"])] == [(i, sum(a * b for a, b in zip(x[0], x[i]))) for i in (1, 2)]
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(spark.createDataFrame([(0, [1e16]), (1, [1e16])], "vec_id long, embedding array<double>"), F.lit(True)).collect()
+
+
 def sets_of(rows, size):
     out = []
     for _, t in rows:
@@ -447,6 +457,13 @@ def test_bpe(docs, texts):
         assert enc.encode(x) == ids and packed.packed(x) == np.array(ids, "<u4").tobytes()
 
 
+def test_bpe_refuses_other_rules():
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="other rules"):
+        bpe.TextEncoder(bpe.read_tokenizer(public_tokenizers.path("byte_bpe_50k.json")))
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
@@ -503,6 +520,55 @@ def test_langid(spark, docs):
     assert langid.keep_identified(docs.limit(0)).count() == 0
 
 
+def slow_mixture(n, p):
+    """Proportions by expectation-maximisation, and the set with the greatest penalised likelihood, in plain loops."""
+    from math import log
+
+    def fit(langs):
+        share = [1 / len(langs)] * len(langs)
+        for _ in range(langid.STEPS if len(langs) > 1 else 0):
+            new = [0.0] * len(langs)
+            for j, count in enumerate(n):
+                total = sum(s * p[k][j] for s, k in zip(share, langs))
+                for i, k in enumerate(langs):
+                    new[i] += count * share[i] * p[k][j] / total / sum(n)
+            done = max(abs(a - b) for a, b in zip(new, share)) < langid.CLOSE
+            share = new
+            if done:
+                break
+        return share, sum(c * log(sum(s * p[k][j] for s, k in zip(share, langs))) for j, c in enumerate(n))
+
+    everyone, _ = fit(range(len(p)))
+    order = sorted(range(len(p)), key=lambda k: (-everyone[k], k))
+    best = None
+    for size in range(1, len(p) + 1):
+        if size > 1 and everyone[order[size - 1]] < langid.SMALL:
+            break
+        share, likelihood = fit(order[:size])
+        value = likelihood - langid.PENALTY * log(sum(n) + 1) * (size - 1)
+        if best is None or value > best[0]:
+            best = value, {k: s for k, s in zip(order, share)}
+    return [best[1].get(k, 0.0) for k in range(len(p))]
+
+
+def test_langid_against_plain_loops():
+    rng = np.random.default_rng(9)
+    for _ in range(60):
+        k, m = int(rng.integers(1, 5)), int(rng.integers(2, 30))
+        p = rng.dirichlet(np.full(m, 0.3), k) + 1e-6
+        p /= p.sum(1, keepdims=True)
+        n = rng.multinomial(int(rng.integers(5, 900)), rng.dirichlet(np.full(k, 0.4)) @ p).astype(float)
+        used = np.flatnonzero(n)
+        got = langid.mixture(n[used], np.log(p[:, used]))
+        assert np.allclose(got, slow_mixture(n[used].tolist(), p[:, used].tolist()), atol=1e-9)
+
+
+def test_langid_keeps_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "alpha beta gamma", "aa"), (2, "uno dos tres", "bb"), (3, "dos tres", None)], "doc_id long, text string, lang string").withColumn("__lang", F.lit("mine")).withColumn("Languages", F.lit(1))
+    kept = langid.keep_identified(df)
+    assert kept.columns == df.columns and {(r["doc_id"], r["lang"], r["__lang"]) for r in kept.collect()} == {(1, "aa", "mine"), (2, "bb", "mine"), (3, "bb", "mine")}
+
+
 def test_warc(spark):
     big = "<p>" + "x" * 1200
     rows = [(1, "http://a.example/x?y", big), (2, "http://a.example", big), (3, None, big + "é"), (4, "http://b.example/\nq", None), (5, "u", "small"), (6, "u", "small"), (2, "again", big), (7, "v", "a\r\n\r\nWARC/1.1\r\n" * 100), (None, "w", big)]
