@@ -1,17 +1,20 @@
 """Personal data by weak supervision, in DataFrame functions only.
 
-Patterns propose candidate spans of each kind. Labelers vote on a candidate (1: personal data, -1: not, 0: no opinion): the strict
-pattern with its checks, a gazetteer of prefixes and endings, the words before it, and its shape. Votes are counted per
-kind over all documents; from these counts, whose number is bounded by kinds and votes, expectation-maximisation
+Patterns propose candidate spans: of the base kinds (email, ip, card, phone), and of others: secrets, bank accounts, names after a title,
+street addresses, and email addresses, phone numbers and IP addresses that are written in other ways. Labelers vote on a candidate (1: personal data,
+-1: not, 0: no opinion): the strict pattern with its checks, a gazetteer (endings, prefixes, country codes, given names), the
+words before it, and its shape; gazetteers and words are those of English, German, French and Spanish. Votes are counted per
+candidate pattern over all documents; from these counts, whose number is bounded by patterns and votes, expectation-maximisation
 estimates how reliable each labeler is, and a logistic span classifier is trained on the posteriors. A candidate is a span
-if its strict pattern holds (base spans always stay) or the classifier accepts it.
+if it is of a base kind and its strict pattern holds (base spans always stay), or if the classifier accepts it.
 
 Base spans are matches of the kind's pattern, leftmost and without overlap, that pass its checks; a failing match is dropped.
 Patterns are written with possessive runs and look-behinds that change no match but keep long runs linear.
 
-Offsets count code points; ends are exclusive. Results for edge cases: a null text counts as empty and has no spans; overlaps between
-kinds all stay, but a proposed secret that overlaps a base span is dropped. Rows are independent but for the reliabilities;
-without any candidate, no classifier is needed. Other columns are ignored.
+Offsets count code points; ends are exclusive. Results for edge cases: a null text counts as empty and has no spans (masked, it stays null); overlaps between
+kinds all stay, but a proposed span that overlaps a base span is dropped. A text of any length is read whole. Rows are independent but for the
+reliabilities, so rows that repeat an id or text get equal spans; without any candidate, no classifier is needed; an empty table gives an empty one. Other
+columns are ignored by pii_digests(), and kept by mask_documents(), whatever their names.
 """
 
 from __future__ import annotations
@@ -23,10 +26,12 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm.common import stored, table
+from talkweave.llm.common import free_names, stored, table
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "secret")
+#: Candidate patterns; what a proposed span of each is called.
+KINDS = (*BASE, "secret", "account", "name", "address", "odd_email", "odd_phone", "odd_ip")
+LABEL = {k: k.removeprefix("odd_") for k in KINDS}
 LABELERS = ("pattern", "gazetteer", "context", "shape")
 #: Each labeler's chance to vote right as it is believed before any votes, and how many votes that belief weighs.
 TRUST, WEIGHT = (0.97, 0.8, 0.8, 0.8), (200, 10, 10, 10)
@@ -41,14 +46,32 @@ MATCH = {
     "card": r"[0-9](?:[\x20-]?[0-9]){13,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "secret": r"(?<![A-Za-z0-9_+/-])(?=[0-9_+/-]*+[A-Za-z])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{16,}+(?![@.][A-Za-z0-9])",
+    "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "name": r"(?<![\p{L}.])(?:(?:Mr|Mrs|Ms|Dr|Prof|M|Mme|Mlle|Sr|Sra|Srta|Hr|Fr)\.|Mister|Miss|Doctor|Herrn?|Frau|Doktor|Monsieur|Madame|Mademoiselle|Docteur|Se\x{f1}ora?|Se\x{f1}orita|Don|Do\x{f1}a)\x20\p{Lu}[\p{L}'-]{1,24}(?:\x20\p{Lu}[\p{L}'-]{1,24}){0,2}",
+    "address": r"(?<![\p{L}0-9])(?:[0-9]{1,5}\x20\p{Lu}\p{L}{1,24}(?:\x20\p{Lu}\p{L}{1,24})?\x20(?:Street|Avenue|Road|Lane|Drive|Boulevard|Square)(?!\p{L})|\p{Lu}\p{L}{1,24}(?:stra\x{df}e|strasse|weg|platz|gasse|allee)(?!\p{L})(?:\x20[0-9]{1,4}[a-z]?(?![\p{L}0-9]))?|[0-9]{1,5},?\x20(?:rue|avenue|boulevard|place|chemin)\x20(?:(?:de|du|des|la)\x20){0,2}\p{Lu}\p{L}{1,24}|(?:Calle|Avenida|Plaza|Paseo)\x20(?:(?:de|del|la)\x20){0,2}\p{Lu}\p{L}{1,24}(?:,?\x20[0-9]{1,4})?)",
+    "odd_email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:[\[({<]\x20?(?:at|AT|arroba|\x{e4}t)\x20?[\])}>]|(?<=\x20)(?:at|AT|arroba)(?=\x20))\x20?[A-Za-z0-9-]{1,63}(?:(?:\x20?[\[({<]\x20?(?:dot|DOT|punkt|point|punto)\x20?[\])}>]\x20?|\x20(?:dot|DOT|punkt|point|punto)\x20|\.)[A-Za-z0-9-]{2,63}){1,4}",
+    "odd_phone": r"(?<![A-Za-z0-9+./-])(?<![0-9][\x20)])(?:\(0?[0-9]{2,4}\)|0?[0-9]{2,4})[\x20./-][0-9]{2,4}(?:[\x20./-]?[0-9]{2,4}){1,3}(?![\x20./-]?[0-9])(?![A-Za-z])",
+    "odd_ip": r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){2,7}(?::(?:[0-9A-Fa-f]{1,4}:){0,5})?[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:.])",
 }
-MAYBE = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9][\x20().0-9-]", "secret": r"[A-Za-z0-9_+/-]{16}"}
-# Gazetteers and context words.
+MAYBE = MATCH | {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9][\x20().0-9-]", "secret": r"[A-Za-z0-9_+/-]{16}"}
+# Gazetteers and context words, in four languages.
 ENDINGS = "com|net|org|edu|gov|io|info|biz|co|uk|de|fr|es|it|nl|eu|ch|at|ca|us|au"
 ISSUERS = "4|5[1-5]|2[2-7]|3[47]|6(?:011|5)|35|30|36|38"
 COUNTRIES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 KEYS = "AKIA|ASIA|ghp_|gho_|sk-|pk-|xox[abp]-|AIza|glpat-"
-WORDS = {"email": "mail|contact|write to", "ip": "ip|host|server|address", "card": "card|visa|credit|payment", "phone": "phone|tel|call|mobile|fax", "secret": "token|passw(?:or)?d|pwd|secret|key|credential"}
+BANKS = "AD|AT|BE|BG|CH|CY|CZ|DE|DK|EE|ES|FI|FR|GB|GR|HR|HU|IE|IS|IT|LI|LT|LU|LV|MC|MT|NL|NO|PL|PT|RO|SE|SI|SK|SM"
+GIVEN = (
+    "James|John|Robert|Michael|William|David|Richard|Joseph|Thomas|Mary|Patricia|Jennifer|Linda|Elizabeth|Susan|Sarah|Karen|Emma|Anna|Alice|Hans|Peter|Klaus|J\\x{fc}rgen|Stefan|Andreas|Wolfgang|Ursula|Monika|Petra|Sabine|Heike|Julia"
+    "|Jean|Pierre|Michel|Philippe|Alain|Luc|Marie|Nathalie|Isabelle|Sylvie|Catherine|Camille|Jos\\x{e9}|Antonio|Manuel|Francisco|Juan|Carlos|Javier|Mar\\x{ed}a|Carmen|Ana|Isabel|Laura|Luc\\x{ed}a|Pilar"
+)
+TITLES = "Mr|Mrs|Ms|Dr|Prof|Mme|Mlle|Sra|Srta|Mister|Herrn?|Frau|Monsieur|Madame|Mademoiselle|Se\\x{f1}ora?|Se\\x{f1}orita"
+WORDS = {
+    "email": "mail|contact|write to|kontakt|schreib\\p{L}*|courriel|\\p{L}*cri\\p{L}*|correo|escrib\\p{L}*", "ip": "ip|host|server|address|adresse|rechner|serveur|servidor|direcci\\x{f3}n",
+    "card": "card|visa|credit|payment|karte|zahlung|carte|paiement|tarjeta|pago", "phone": "phone|tel|call|mobile|fax|telefon|handy|anruf|t\\x{e9}l\\x{e9}phone|portable|appel\\p{L}*|tel\\x{e9}fono|m\\x{f3}vil|llam\\p{L}*",
+    "secret": "token|passw(?:or)?d|pwd|secret|key|credential|schl\\x{fc}ssel|kennwort|passwort|cl\\x{e9}|mot de passe|jeton|clave|contrase\\x{f1}a",
+    "account": "iban|account|bank|transfer|konto|bankverbindung|compte|virement|cuenta", "name": "name|called|signed|from|dear|hei\\x{df}e|liebe[r]?|von|appelle|cher|ch\\x{e8}re|llamo|estimad[oa]",
+    "address": "address|live[s]? at|street|adresse|wohn[te]\\p{L}*|anschrift|habite|domicile|direcci\\x{f3}n|viv[eo] en|domicilio",
+}
 BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]?)(?<=[0-9])"
 
 
@@ -79,6 +102,14 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), lambda acc, i: acc + part(i)) % 10 == 0
 
 
+def _mod97(account: Column) -> Column:
+    """Whether a bank account's check digits hold: its first four signs go to the end, letters count from 10, and the number leaves 1."""
+    turned = F.concat(F.substring(account, F.lit(5), F.length(account)), F.substring(account, 1, 4))
+    sign = lambda i: F.instr(F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.substring(turned, i, F.lit(1))) - 1
+    step = lambda acc, i: (acc * F.when(sign(i) > 9, 100).otherwise(10) + sign(i)) % 97
+    return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), step) == 1
+
+
 def _valid(kind: str, m: Column) -> Column:
     """Whether a match passes the checks of its kind."""
     if kind == "email":
@@ -88,8 +119,18 @@ def _valid(kind: str, m: Column) -> Column:
     digits = F.regexp_replace(m, "[^0-9]", "")
     if kind == "card":
         return F.when(F.length(digits).between(14, 19), _luhn(digits)).otherwise(False)
-    if kind == "phone":
-        return F.length(digits).between(10, 15)
+    if kind in ("phone", "odd_phone"):
+        return F.length(digits).between(9 if kind == "odd_phone" else 10, 15)
+    if kind == "account":
+        return _mod97(F.regexp_replace(m, " ", ""))
+    if kind == "name":
+        return m.rlike(f"^(?:{TITLES})\\b")
+    if kind == "address":
+        return m.rlike("[0-9]")
+    if kind == "odd_email":
+        return m.rlike(r"[\[({<]") & m.rlike(f"(?i)[^A-Za-z0-9](?:{ENDINGS})$")
+    if kind == "odd_ip":
+        return m.rlike("^(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}$") | (m.contains("::") & m.rlike("[0-9]") & m.rlike("[A-Fa-f]"))
     return m.rlike("^(?:AKIA|ASIA)[A-Z0-9]{16}$|^[0-9a-f]{18,64}$|^gh[po]_[A-Za-z0-9]{36}$")
 
 
@@ -99,29 +140,34 @@ def _votes(kind: str, x: Column) -> list[Column]:
     digits = F.regexp_replace(m, "[^0-9]", "")
     gazetteer = {
         "email": vote(m.rlike(f"(?i)\\.(?:{ENDINGS})$")), "ip": F.when(m.rlike(r"^0*(?:0|127|255)\."), -1).otherwise(0), "card": vote(digits.rlike(f"^(?:{ISSUERS})"), -1),
-        "phone": vote(digits.rlike(f"^(?:{COUNTRIES})")), "secret": vote(m.rlike(f"^(?:{KEYS})")),
+        "phone": vote(digits.rlike(f"^(?:{COUNTRIES})")), "secret": vote(m.rlike(f"^(?:{KEYS})")), "account": vote(m.rlike(f"^(?:{BANKS})"), -1), "name": vote(m.rlike(f"\\b(?:{GIVEN})\\b")),
+        "address": vote(m.rlike(r"(?:Street|Avenue|Road|stra\x{df}e|strasse)\b|\brue\b|^Calle")), "odd_email": vote(m.rlike(f"(?i)[^A-Za-z0-9](?:{ENDINGS})$"), -1),
+        "odd_phone": vote(m.rlike(r"^\(?0"), 0), "odd_ip": F.when(m.rlike("^(?i:fe80|::1|0+:0+)"), -1).otherwise(0),
     }
     shape = {
         "email": vote(~m.contains("..") & (F.instr(m, "@") <= 65), -1), "ip": vote(~m.rlike(r"(?:^|\.)0[0-9]"), -1), "card": vote(F.length(digits).isin(15, 16)),
-        "phone": vote(m.rlike(r"[\x20().-]")), "secret": vote(F.length(digits) * 5 >= F.length(m), -1),
+        "phone": vote(m.rlike(r"[\x20().-]")), "secret": vote(F.length(digits) * 5 >= F.length(m), -1), "account": vote(F.length(F.regexp_replace(m, " ", "")).between(15, 34), -1),
+        "name": vote(m.rlike(r"\p{Ll}(?:$|\x20\p{Lu}\p{Ll}+)*$") & ~m.rlike(r"\p{Lu}{3}"), -1), "address": vote(~m.rlike("[0-9]{5}")), "odd_email": vote(~m.rlike("(?:^|[^A-Za-z])(?:AT|DOT)(?:$|[^A-Za-z])") & ~m.contains(".."), -1),
+        "odd_phone": vote(F.length(F.regexp_replace(m, "[^/.]", "")) != 2, -1), "odd_ip": vote(F.length(F.regexp_replace(m, "[^:]", "")) >= 3, -1),
     }
-    return [F.when(_valid(kind, m), 1).otherwise(-1), gazetteer[kind], vote(x["before"].rlike(f"(?i)(?:{WORDS[kind]})[^A-Za-z0-9]{{0,4}}(?:is|no|=|:)?[^A-Za-z0-9]{{0,4}}$")), shape[kind]]
+    words = WORDS[LABEL[kind]]
+    return [F.when(_valid(kind, m), 1).otherwise(-1), gazetteer[kind], vote(x["before"].rlike(f"(?iu)\\b(?:{words})[^\\p{{L}}0-9]{{0,4}}(?:is|no|ist|est|es|=|:)?[^\\p{{L}}0-9+]{{0,4}}$")), shape[kind]]
 
 
-def candidates(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds ``__found``: array<struct<start, rank, stop, kind, votes array<int>>> of every candidate; rank: the kind's number."""
+def candidates(df: DataFrame, text_col: str, found_col: str) -> DataFrame:
+    """Adds array<struct<start, rank, stop, kind, votes array<int>>> of every candidate; rank: the pattern's number."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    names = {k: (f"__pieces_{k}", f"__matches_{k}") for k in KINDS}
-    split = df.select("*", *(c.alias(n) for k in KINDS for c, n in zip(_matches(text, k), names[k])))
+    base, others, *names = free_names(df, "base", "others", *(f"{what}_{k}" for k in KINDS for what in ("pieces", "matches")))
+    pieces, matches = dict(zip(KINDS, names[::2])), dict(zip(KINDS, names[1::2]))
+    split = df.select("*", *(c.alias(n) for k in KINDS for c, n in zip(_matches(text, k), (pieces[k], matches[k]))))
 
     def of(k: str) -> Column:
-        places = F.when(F.col(names[k][1]).isNotNull(), _places(*map(F.col, names[k]))).otherwise(F.array().cast("array<struct<start: int, stop: int, match: string, before: string>>"))
+        places = F.when(F.col(matches[k]).isNotNull(), _places(F.col(pieces[k]), F.col(matches[k]))).otherwise(F.array().cast("array<struct<start: int, stop: int, match: string, before: string>>"))
         return F.transform(places, lambda x: F.struct(x["start"].alias("start"), F.lit(KINDS.index(k)).alias("rank"), x["stop"].alias("stop"), F.lit(k).alias("kind"), F.array(*(v.cast("int") for v in _votes(k, x))).alias("votes")))
 
-    placed = split.select(*df.columns, F.concat(*map(of, BASE)).alias("__base"), of("secret").alias("__secret"))
-    base = F.col("__base")
-    clear = F.filter("__secret", lambda s: ~F.exists(base, lambda b: (b["votes"][0] == 1) & (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
-    return placed.select(*df.columns, F.array_sort(F.concat(base, clear)).alias("__found"))
+    placed = split.select(*df.columns, F.concat(*map(of, BASE)).alias(base), F.concat(*map(of, KINDS[len(BASE) :])).alias(others))
+    clear = F.filter(others, lambda s: ~F.exists(base, lambda b: (b["votes"][0] == 1) & (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
+    return placed.select(*df.columns, F.array_sort(F.concat(F.col(base), clear)).alias(found_col))
 
 
 def reliabilities(counts: dict[tuple[int, ...], int], steps: int = 50) -> tuple[float, list[float], dict[tuple[int, ...], float]]:
@@ -166,7 +212,7 @@ def train(found: DataFrame) -> dict[str, list[float]]:
 
 
 def accepted(found: Column, weights: dict[str, list[float]]) -> Column:
-    """Base spans, and candidates that the classifier accepts."""
+    """Base spans, and candidates that the classifier accepts, by the kind that each is called."""
     limit = log(ACCEPT / (1 - ACCEPT))
     base = lambda x: (x["rank"] < len(BASE)) & (x["votes"][0] == 1)
 
@@ -176,7 +222,8 @@ def accepted(found: Column, weights: dict[str, list[float]]) -> Column:
     def keep(x: Column) -> Column:
         return reduce(or_, [base(x), *((x["kind"] == k) & (score(x, w) >= limit) for k, w in weights.items())])
 
-    return F.filter(found, keep)
+    label = lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), F.regexp_replace(x["kind"], "^odd_", "").alias("kind"))
+    return F.transform(F.filter(found, keep), label)
 
 
 def _joined(spans: Column) -> Column:
@@ -185,7 +232,7 @@ def _joined(spans: Column) -> Column:
 
 def pii_digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every row."""
-    found = stored(candidates(df.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))).select("key", F.col("__found").alias("found")))
+    found = stored(candidates(df.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")), "text", "found").select("key", "found"))
     weights = train(found)
     base = F.filter("found", lambda x: (x["rank"] < len(BASE)) & (x["votes"][0] == 1))
     out = found.select("key", base.alias("base"), accepted(F.col("found"), weights).alias("all"))
@@ -209,11 +256,11 @@ def masked(text: Column, spans: Column) -> Column:
 
 
 def mask_documents(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """The same rows with personal data masked in the text; a null text stays null."""
-    found = candidates(df, text_col)
-    weights = train(found.select(F.col("__found").alias("found")))
-    spans = found.withColumn("__found", accepted(F.col("__found"), weights))
-    return spans.withColumn(text_col, F.when(F.size("__found") > 0, masked(F.col(text_col), F.col("__found"))).otherwise(F.col(text_col))).select(*df.columns)
+    """The same rows with personal data masked in the text; a null text stays null. Rows are written with their candidates once, for training and masking."""
+    (name,) = free_names(df, "found")
+    found = stored(candidates(df, text_col, name))
+    spans = found.withColumn(name, accepted(F.col(name), train(found.select(F.col(name).alias("found")))))
+    return spans.withColumn(text_col, F.when(F.size(name) > 0, masked(F.col(text_col), F.col(name))).otherwise(F.col(text_col))).select(*df.columns)
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
