@@ -47,13 +47,22 @@ MATCH = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "secret": r"(?<![A-Za-z0-9_+/-])(?=[0-9_+/-]*+[A-Za-z])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{16,}+(?![@.][A-Za-z0-9])",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "name": r"(?<![\p{L}.])(?:(?:Mr|Mrs|Ms|Dr|Prof|M|Mme|Mlle|Sr|Sra|Srta|Hr|Fr)\.|Mister|Miss|Doctor|Herrn?|Frau|Doktor|Monsieur|Madame|Mademoiselle|Docteur|Se\x{f1}ora?|Se\x{f1}orita|Don|Do\x{f1}a)\x20\p{Lu}[\p{L}'-]{1,24}(?:\x20\p{Lu}[\p{L}'-]{1,24}){0,2}",
-    "address": r"(?<![\p{L}0-9])(?:[0-9]{1,5}\x20\p{Lu}\p{L}{1,24}(?:\x20\p{Lu}\p{L}{1,24})?\x20(?:Street|Avenue|Road|Lane|Drive|Boulevard|Square)(?!\p{L})|\p{Lu}\p{L}{1,24}(?:stra\x{df}e|strasse|weg|platz|gasse|allee)(?!\p{L})(?:\x20[0-9]{1,4}[a-z]?(?![\p{L}0-9]))?|[0-9]{1,5},?\x20(?:rue|avenue|boulevard|place|chemin)\x20(?:(?:de|du|des|la)\x20){0,2}\p{Lu}\p{L}{1,24}|(?:Calle|Avenida|Plaza|Paseo)\x20(?:(?:de|del|la)\x20){0,2}\p{Lu}\p{L}{1,24}(?:,?\x20[0-9]{1,4})?)",
-    "odd_email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:[\[({<]\x20?(?:at|AT|arroba|\x{e4}t)\x20?[\])}>]|(?<=\x20)(?:at|AT|arroba)(?=\x20))\x20?[A-Za-z0-9-]{1,63}(?:(?:\x20?[\[({<]\x20?(?:dot|DOT|punkt|point|punto)\x20?[\])}>]\x20?|\x20(?:dot|DOT|punkt|point|punto)\x20|\.)[A-Za-z0-9-]{2,63}){1,4}",
+    "name": r"(?=[DFHMPS])(?<![\p{L}.])(?:(?:Mr|Mrs|Ms|Dr|Prof|M|Mme|Mlle|Sr|Sra|Srta|Hr|Fr)\.|Mister|Miss|Doctor|Herrn?|Frau|Doktor|Monsieur|Madame|Mademoiselle|Docteur|Se\x{f1}ora?|Se\x{f1}orita|Don|Do\x{f1}a)\x20\p{Lu}[\p{L}'-]{1,24}(?:\x20\p{Lu}[\p{L}'-]{1,24}){0,2}",
+    "address": r"(?=[0-9\p{Lu}])(?<![\p{L}0-9])(?:[0-9]{1,5}\x20\p{Lu}\p{L}{1,24}(?:\x20\p{Lu}\p{L}{1,24})?\x20(?:Street|Avenue|Road|Lane|Drive|Boulevard|Square)(?!\p{L})|\p{Lu}\p{L}{1,24}(?:stra\x{df}e|strasse|weg|platz|gasse|allee)(?!\p{L})(?:\x20[0-9]{1,4}[a-z]?(?![\p{L}0-9]))?|[0-9]{1,5},?\x20(?:rue|avenue|boulevard|place|chemin)\x20(?:(?:de|du|des|la)\x20){0,2}\p{Lu}\p{L}{1,24}|(?:Calle|Avenida|Plaza|Paseo)\x20(?:(?:de|del|la)\x20){0,2}\p{Lu}\p{L}{1,24}(?:,?\x20[0-9]{1,4})?)",
+    "odd_email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:[\[({<]\x20?(?:at|AT|arroba|\x{e4}t)\x20?[\])}>]|(?<=\x20)(?:at|AT|arroba)(?=\x20))\x20?[A-Za-z0-9-]{1,63}(?:(?:\x20?[\[({<]\x20?(?:dot|DOT|punkt|point|punto)\x20?[\])}>]\x20?|\x20(?:dot|DOT|punkt|point|punto)\x20|\.)[A-Za-z0-9-]{2,63}){1,4}",
     "odd_phone": r"(?<![A-Za-z0-9+./-])(?<![0-9][\x20)])(?:\(0?[0-9]{2,4}\)|0?[0-9]{2,4})[\x20./-][0-9]{2,4}(?:[\x20./-]?[0-9]{2,4}){1,3}(?![\x20./-]?[0-9])(?![A-Za-z])",
     "odd_ip": r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){2,7}(?::(?:[0-9A-Fa-f]{1,4}:){0,5})?[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:.])",
 }
-MAYBE = MATCH | {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9][\x20().0-9-]", "secret": r"[A-Za-z0-9_+/-]{16}"}
+# What a text must match, or one of what it must contain, to hold any match at all.
+MAYBE = {
+    "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9][\x20().0-9-]", "secret": r"[A-Za-z0-9_+/-]{16}", "account": r"[A-Z]{2}[0-9]{2}",
+    "odd_email": r"[\[({<]\x20?(?:at|AT|arroba|\x{e4}t)\x20?[\])}>]|\x20(?:at|AT|arroba)\x20[A-Za-z0-9-]++(?:\.[A-Za-z]|\x20(?:dot|DOT|punkt|point|punto)\x20|\x20?[\[({<])", "odd_phone": r"[0-9][\x20)./-]++[0-9]", "odd_ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]{0,4}:",
+}
+HOLDS = {
+    "email": "@",
+    "name": "Mr.|Mrs.|Ms.|Dr.|Prof.|M.|Mme.|Mlle.|Sr.|Sra.|Srta.|Hr.|Fr.|Mister |Miss |Doctor |Herr|Frau |Doktor |Monsieur |Madame |Mademoiselle |Docteur |Se\xf1or|Don |Do\xf1a ",
+    "address": "Street|Avenue|Road|Lane|Drive|Boulevard|Square|stra\xdfe|strasse|weg|platz|gasse|allee| rue | avenue | boulevard | place | chemin |Calle|Avenida|Plaza|Paseo",
+}
 # Gazetteers and context words, in four languages.
 ENDINGS = "com|net|org|edu|gov|io|info|biz|co|uk|de|fr|es|it|nl|eu|ch|at|ca|us|au"
 ISSUERS = "4|5[1-5]|2[2-7]|3[47]|6(?:011|5)|35|30|36|38"
@@ -77,7 +86,7 @@ BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]?)(?<=[0-9])"
 
 def _matches(text: Column, kind: str) -> tuple[Column, Column]:
     """The pieces between matches, and the matches; null where there are none for sure."""
-    maybe = text.contains("@") if kind == "email" else text.rlike(MAYBE[kind])
+    maybe = text.rlike(MAYBE[kind]) if kind in MAYBE else reduce(or_, map(text.contains, HOLDS[kind].split("|")))
     return F.when(maybe, F.split(text, MATCH[kind], -1)), F.when(maybe, F.regexp_extract_all(text, F.lit(MATCH[kind]), F.lit(0)))
 
 
