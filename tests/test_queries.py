@@ -1,4 +1,8 @@
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -39,8 +43,21 @@ def test_tsv_export_of_late_turns(spark, tmp_path):
     assert len(got[1]) == 6 and got == rows(c.execute(SQL["tsv_export"]).df())
 
 
-def test_entry_without_llm(spark):
+def test_entry(spark):
     import __spark_entry__
 
     assert set(SQL) <= set(__spark_entry__.queries()) and set(SQL) <= set(__spark_entry__.oracle_sql())
     assert __spark_entry__.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("gone", [("talkweave/llm", "tests/llm"), ("talkweave/llm", "tests/llm", "corpus_pipeline.py")])
+def test_entry_without_llm(tmp_path, gone):
+    """A copy without the training-data operators, with or without the pipeline's module, still lists all other queries."""
+    root = Path(__file__).resolve().parents[1]
+    away = {root / g for g in gone}
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=lambda d, names: [n for n in names if n in (".git", "__pycache__") or Path(d, n) in away])
+    code = "import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); print(len(q), len(s), [k for k in [*q, *s] if k[:2] == 'op' and k[2].isdigit() or k == 'pipeline'])"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=copy, env=env, capture_output=True, text=True)
+    assert out.stdout.split("\n")[0] == f"{len(QUERIES)} {len(SQL)} []", out.stderr
