@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. n_chars follows
 the text where a stage changes it.
+
+For all stages: an empty table gives an empty one; further columns, whatever their names, pass unchanged (but for packing, which has columns of its
+own); texts are read whole, however long; rows without an id (null) and rows that repeat an id are rows like others.
 """
 
 from __future__ import annotations
@@ -21,27 +24,30 @@ def _counted(docs: DataFrame, n_chars: str = "n_chars") -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language that can be told go."""
+    """Documents without a language that can be told go: a null or empty text, and one without letters. A null language is filled in; where no document has
+    one, texts with letters stay. Rows that repeat are told alike."""
     return langid.keep_identified(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays, that of the least id (a null id last; ties by a hash of id and text). Texts without words (null too) are
+    duplicates of nothing and all stay; of rows that repeat id and text one stays."""
     return near_dedup.keep_one(docs, SHINGLE, PERCENT)
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Long strings that occur more than once are taken out."""
+    """Strings of 200 bytes and more that occur more than once are taken out, at all their places; a character stays whole. All rows stay, a text of which
+    nothing is left as an empty one; a null text stays null, with n_chars 0. Rows that repeat lose what is long enough."""
     return _counted(suffix_dedup.remove_repeats(docs))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is masked."""
+    """Personal data is masked. All rows stay; a null text stays null, with n_chars 0; rows that repeat are masked alike."""
     return _counted(pii.mask_documents(docs))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences; a row for each piece."""
+    """Token sequences; a row for each piece. A null or empty text has one piece, its end mark; rows that repeat are packed each."""
     return packing.pack_documents(docs)
 
 
