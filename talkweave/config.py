@@ -27,45 +27,61 @@ class Bucket:
     description: str = ""
 
 
+# The names of sections and settings in published settings files, and their defaults.
+
+
 @dataclass
 class Generation:
+    base_url: str | None = None
+    api_key_env: str = "LLM_API_KEY"
+    model: str | None = None
     temperature: float = 0.9
     top_p: float = 1.0
     max_tokens: int | None = 4096
-    timeout_sec: float = 240.0
-    retries: int = 5
-    retry_backoff_sec: float = 5.0
+    api_timeout_sec: float = 240.0
+    api_retries: int = 5
+    api_retry_backoff_sec: float = 5.0
     requests_per_minute: int = 35
     conversations_per_request: int = 5
     concurrency: int = 1
-    progress_interval: int = 500
+    progress_every: int = 500
     max_retries: int = 3
     topics: list[str] = field(default_factory=list)
 
 
 @dataclass
 class Synthesis:
+    model_id: str = "nari-labs/Dia-1.6B"
+    sample_rate: int = 44_100
     output_sample_rate: int = 24_000
+    precision: str = "bfloat16"
+    compile: bool = True
     duration_regen_limit: int = 2
 
 
 @dataclass
 class Overlap:
+    target_hours: float = 200.0
     backchannel_ratio: float = 0.70
     interruption_ratio: float = 0.25
     simultaneous_start_ratio: float = 0.05
-    attenuation: float = 0.82
+    overlap_attenuation: float = 0.82
+
+    @property
+    def attenuation(self) -> float:
+        return self.overlap_attenuation
 
 
 @dataclass
 class Codec:
+    model_id: str = "kyutai/mimi"
     training_codebooks: int = 8
-    codebook_size: int = 2048
+    token_count: int = 2048
 
 
 @dataclass
 class Hub:
-    repo_env: str = "HF_REPO_ID"
+    repo_env: str = "HF_DATASET_REPO"
     token_env: str = "HF_TOKEN"
 
 
@@ -80,6 +96,7 @@ DEFAULT_BUCKETS = (
 
 @dataclass
 class Config:
+    output_dir: str = "data"
     buckets: list[Bucket] = field(default_factory=lambda: [*DEFAULT_BUCKETS])
     generation: Generation = field(default_factory=Generation)
     synthesis: Synthesis = field(default_factory=Synthesis)
@@ -88,20 +105,26 @@ class Config:
     hub: Hub = field(default_factory=Hub)
 
     def as_dict(self) -> dict[str, Any]:
-        return asdict(self)
+        """By the published names of sections."""
+        return {SECTIONS.get(k, k): v for k, v in asdict(self).items()}
 
 
-def _filled(kind: type, raw: dict[str, Any]) -> Any:
-    """Unknown keys are accepted and ignored."""
-    return kind(**{k: v for k, v in raw.items() if k in {f.name for f in fields(kind)}})
+#: What each section is called in settings files (its own name will do, too), and earlier names of settings.
+SECTIONS = {"generation": "script_generation", "synthesis": "dia", "overlap": "overlap", "codec": "mimi", "hub": "huggingface"}
+EARLIER = {"timeout_sec": "api_timeout_sec", "retries": "api_retries", "retry_backoff_sec": "api_retry_backoff_sec", "progress_interval": "progress_every", "attenuation": "overlap_attenuation", "codebook_size": "token_count"}
 
 
-#: Names that sections also go by in settings files.
-ALIASES = {"generation": ("script_generation",), "synthesis": ("dia",), "overlap": (), "codec": ("mimi",), "hub": ("huggingface",)}
+def _filled(kind: type, raw: dict[str, Any], where: str) -> Any:
+    """A setting that isn't known is an error, so that none is dropped unseen."""
+    known = {f.name for f in fields(kind)}
+    named = {k if k in known else EARLIER.get(k, k): v for k, v in raw.items()}
+    if unknown := sorted(named.keys() - known):
+        raise ValueError(f"unknown settings in {where}: {', '.join(unknown)}")
+    return kind(**named)
 
 
 def load_config(path: str | Path | None = None) -> Config:
-    """Settings from .json, .toml or .tml; defaults for None and for absent sections."""
+    """Settings from .json, .toml or .tml; defaults for None and for absent sections and settings. Unknown names raise."""
     if path is None:
         return Config()
     path = Path(path)
@@ -113,12 +136,17 @@ def load_config(path: str | Path | None = None) -> Config:
     else:
         raise ValueError(f"Unsupported config format: {path}")
     out = Config()
-    if "buckets" in raw:
-        out.buckets = [_filled(Bucket, b) for b in raw["buckets"]]
-    for name, other in ALIASES.items():
-        for key in (name, *other):
-            if key in raw:
-                setattr(out, name, _filled(type(getattr(out, name)), raw[key]))
+    by_key = {key: name for name, published in SECTIONS.items() for key in (name, published)}
+    for key, value in raw.items():
+        if key == "output_dir":
+            out.output_dir = str(value)
+        elif key == "buckets":
+            out.buckets = [_filled(Bucket, b, "buckets") for b in value]
+        elif key in by_key:
+            name = by_key[key]
+            setattr(out, name, _filled(type(getattr(out, name)), value, key))
+        else:
+            raise ValueError(f"unknown section {key}")
     return out
 
 

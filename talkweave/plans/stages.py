@@ -75,7 +75,7 @@ def tokenize(conversations: DataFrame, config: Config, stage: str, limit: int |
     rows = corpus.first_rows(conversations, limit, "conversation_id") if limit is not None else conversations
     rate = config.synthesis.output_sample_rate
     n = tk.frame_count(F.rint(F.col("duration_sec") * rate), rate)
-    code = lambda c, f: F.pmod(F.xxhash64("conversation_id", c, f), F.lit(config.codec.codebook_size)).cast("int")
+    code = lambda c, f: F.pmod(F.xxhash64("conversation_id", c, f), F.lit(config.codec.token_count)).cast("int")
     codes = F.transform(F.sequence(F.lit(0), F.lit(CODEBOOKS - 1)), lambda c: F.transform(F.sequence(F.lit(0), n - 1), lambda f: code(c, f)))
     path = F.format_string("%s/conversations/%s.json", F.lit(stage), "conversation_id")
     out = rows.where("mixed_audio_path IS NOT NULL AND mixed_audio_path <> ''").select("conversation_id", path.alias("source_json"), codes.alias("codes_full"))

@@ -73,3 +73,21 @@ def test_config(tmp_path):
     assert load_config(p).overlap.attenuation == 0.5 and load_config(p).codec.training_codebooks == 4 and len(load_config(p).buckets) == 4
     with pytest.raises(ValueError):
         load_config(tmp_path / "c.yaml")
+
+
+def test_published_settings(tmp_path):
+    """Every published name is taken, and an unknown one is an error."""
+    p = tmp_path / "c.toml"
+    p.write_text(
+        'output_dir = "out"\n[script_generation]\nbase_url = "http://x"\nmodel = "m"\napi_retries = 2\napi_timeout_sec = 9\napi_retry_backoff_sec = 1\nprogress_every = 7\n'
+        '[dia]\nsample_rate = 8000\n[overlap]\noverlap_attenuation = 0.4\ntarget_hours = 3.0\n[mimi]\ntoken_count = 64\n[huggingface]\nrepo_env = "R"\n'
+    )
+    c = load_config(p)
+    g = c.generation
+    assert (c.output_dir, g.base_url, g.model, g.api_retries, g.api_timeout_sec, g.api_retry_backoff_sec, g.progress_every) == ("out", "http://x", "m", 2, 9, 1, 7)
+    assert (c.synthesis.sample_rate, c.overlap.overlap_attenuation, c.overlap.target_hours, c.codec.token_count, c.hub.repo_env) == (8000, 0.4, 3.0, 64, "R")
+    assert list(c.as_dict()) == ["output_dir", "buckets", "script_generation", "dia", "overlap", "mimi", "huggingface"] and load_config(None).hub.repo_env == "HF_DATASET_REPO"
+    for text in ("[mimi]\ntoken_counts = 1\n", "[other]\nx = 1\n"):
+        p.write_text(text)
+        with pytest.raises(ValueError, match="unknown"):
+            load_config(p)
