@@ -37,9 +37,9 @@ def mixed_duration(turns: DataFrame, rate: int = 24_000) -> DataFrame:
     return turns.groupBy("conv_id").agg(F.first("category").alias("category"), F.count("*").alias("n_turns"), (F.sum(samples) + (F.count("*") - 1) * (rate // 10)).alias("total_samples"))
 
 
-def overlap_plan(timed: DataFrame, seed: int = 13, backchannel: float = 0.70, interruption: float = 0.25, length: Column | None = None) -> DataFrame:
+def overlap_plan(timed: DataFrame, seed: int = 13, backchannel: float = 0.70, interruption: float = 0.25) -> DataFrame:
     """One shifted turn per conversation of three turns or more: conv_id, kind, turn_a, turn_b, shifted start and end of
-    turn b, overlap_start_ms, overlap_end_ms. The overlap's length comes from turn b's, or from ``length``. Draws depend on seed and conv_id only. Conversations without a pair of
+    turn b, overlap_start_ms, overlap_end_ms. The overlap's length comes from turn b's. Draws depend on seed and conv_id only. Conversations without a pair of
     speakers, or whose overlap would be empty, have no row."""
     prior = lambda c: F.lag(c).over(by_turn())
     pairs = timed.select(
@@ -51,7 +51,7 @@ def overlap_plan(timed: DataFrame, seed: int = 13, backchannel: float = 0.70, in
     rank = F.row_number().over(by_turn()) - 1
     chosen = pairs.withColumn("pick", F.floor(tl.draw(seed, F.col("conv_id"), "turn") * n)).withColumn("rank", rank).where("rank = pick")
     kind = tl.overlap_kind(tl.draw(seed, F.col("conv_id"), "kind"), backchannel, interruption)
-    shifted = chosen.withColumn("kind", kind).withColumn("new_start", tl.shifted_start(F.col("kind"), F.col("a_start"), F.col("a_end"), F.col("ms") if length is None else length)).withColumn("new_end", F.col("new_start") + F.col("ms"))
+    shifted = chosen.withColumn("kind", kind).withColumn("new_start", tl.shifted_start(F.col("kind"), F.col("a_start"), F.col("a_end"), F.col("ms"))).withColumn("new_end", F.col("new_start") + F.col("ms"))
     window = shifted.withColumn("overlap_start_ms", F.greatest("a_start", "new_start")).withColumn("overlap_end_ms", F.least("a_end", "new_end"))
     return window.where("overlap_end_ms > overlap_start_ms").select("conv_id", "kind", "turn_a", F.col("turn").alias("turn_b"), "new_start", "new_end", "overlap_start_ms", "overlap_end_ms")
 

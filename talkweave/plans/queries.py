@@ -52,13 +52,8 @@ def timed(spark: SparkSession, d: str) -> DataFrame:
     return dialogue.timeline(raw_turns(spark, d))
 
 
-def _planned(t: DataFrame) -> DataFrame:
-    """As in PLAN_SQL, the overlap's length comes from turn a's; the reference, and the stages, take turn b's."""
-    return dialogue.overlap_plan(t, length=F.col("a_end") - F.col("a_start"))
-
-
 def plan(spark: SparkSession, d: str) -> DataFrame:
-    return _planned(timed(spark, d))
+    return dialogue.overlap_plan(timed(spark, d))
 
 
 # --- SQL parts
@@ -132,8 +127,8 @@ ca AS (SELECT *, count(*) OVER (PARTITION BY conv_id) AS c, row_number() OVER (P
 ch AS (SELECT *, {DRAW_SQL.format("kind")} AS u FROM ca WHERE r = floor({DRAW_SQL.format("turn")} * c)),
 ki AS (SELECT *, CASE WHEN u < 0.7::DOUBLE THEN 'backchannel' WHEN u < 0.7::DOUBLE + 0.25::DOUBLE THEN 'interruption' ELSE 'simultaneous_start' END AS kind FROM ch),
 sh AS (SELECT *, CASE kind WHEN 'simultaneous_start' THEN a_start
-    WHEN 'interruption' THEN greatest(a_start, a_end - least(greatest((a_end - a_start) // 2, 500), 1400))
-    ELSE greatest(a_start + 250, a_end - least(greatest((a_end - a_start) // 2, 300), 900)) END AS new_start FROM ki),
+    WHEN 'interruption' THEN greatest(a_start, a_end - least(greatest(ms // 2, 500), 1400))
+    ELSE greatest(a_start + 250, a_end - least(greatest(ms // 2, 300), 900)) END AS new_start FROM ki),
 pl AS (SELECT conv_id, kind, turn_a, turn AS turn_b, new_start, new_start + ms AS new_end, greatest(a_start, new_start) AS overlap_start_ms, least(a_end, new_start + ms) AS overlap_end_ms FROM sh
        WHERE least(a_end, new_start + ms) > greatest(a_start, new_start))"""
 SHIFTED_SQL = f"""{PLAN_SQL},
@@ -205,10 +200,10 @@ def bucket_fill_limit(spark, d):
     return b.select(F.col("name").alias("category"), F.greatest(F.lit(0), F.least(F.col("count"), F.lit(total) - before)).alias("target"))
 
 
-@query(f"WITH {RAW_SQL}, x AS (SELECT conv_id, turn FROM rt WHERE turn < 3 UNION ALL SELECT conv_id, turn + 100 FROM rt WHERE turn = 1 AND conv_id % 7 = 0), o AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS occurrence FROM x) SELECT conv_id, turn, occurrence FROM o WHERE occurrence > 1")
+@query(f"WITH {RAW_SQL}, x AS (SELECT conv_id, turn FROM rt UNION ALL SELECT conv_id, turn + 100 FROM rt WHERE turn = 1 AND conv_id % 7 = 0), o AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS occurrence FROM x) SELECT conv_id, turn, occurrence FROM o WHERE occurrence > 1")
 def duplicate_ids(spark, d):
     t = raw_turns(spark, d).select("conv_id", "turn")
-    both = t.where("turn < 3").unionAll(t.where("turn = 1 AND conv_id % 7 = 0").select("conv_id", (F.col("turn") + 100).alias("turn")))
+    both = t.unionAll(t.where("turn = 1 AND conv_id % 7 = 0").select("conv_id", (F.col("turn") + 100).alias("turn")))
     return validate.duplicates(both, "conv_id", "turn").withColumn("occurrence", F.col("occurrence").cast("long"))
 
 
@@ -282,7 +277,7 @@ def overlap_stats(spark, d):
 
 def _shifted(spark, d):
     t = timed(spark, d)
-    return dialogue.shifted_timeline(t, _planned(t))
+    return dialogue.shifted_timeline(t, dialogue.overlap_plan(t))
 
 
 @query(f"WITH {SHIFTED_SQL}, o AS (SELECT *, lag(end_ms, 1, -1) OVER (PARTITION BY conv_id ORDER BY turn) AS previous_end_ms FROM st) SELECT conv_id, turn, start_ms, previous_end_ms FROM o WHERE start_ms < previous_end_ms")
@@ -341,10 +336,9 @@ def codes_slice(spark, d):
     return c.select("conv_id", "codebooks", F.aggregate("x", F.lit(0).cast("long"), lambda a, v: a + v).alias("total"), F.array_min("x").alias("least"), F.array_max("x").alias("largest"))
 
 
-@query(f"WITH {CODES_SQL} SELECT conv_id, cb, frame, code, lag(code, 1, 2048) OVER (PARTITION BY conv_id, cb ORDER BY frame) AS prev FROM cd WHERE cb < 4")
+@query(f"WITH {CODES_SQL} SELECT conv_id, cb, frame, code, lag(code, 1, 2048) OVER (PARTITION BY conv_id, cb ORDER BY frame) AS prev FROM cd")
 def prev_frame(spark, d):
-    c = coded(spark, d).select("conv_id", F.slice("codes", 1, 4).alias("codes"))
-    return corpus.previous(corpus.long_codes(c)).select("conv_id", F.col("cb").cast("long").alias("cb"), F.col("frame").cast("long").alias("frame"), "code", "prev")
+    return corpus.previous(corpus.long_codes(coded(spark, d))).select("conv_id", F.col("cb").cast("long").alias("cb"), F.col("frame").cast("long").alias("frame"), "code", "prev")
 
 
 @query(f"""WITH {CODES_SQL}, n AS (SELECT conv_id, conv_id // 8 AS batch, least(5 + conv_id % 11, min(m)) AS own FROM (SELECT conv_id, cb, count(*) AS m FROM cd GROUP BY ALL) GROUP BY conv_id),
