@@ -61,6 +61,22 @@ def sharded(rows: DataFrame, split: str, *order: str, size: int = SHARD_ROWS, of
     return ordinal_within(rows, split, *order).withColumn("shard", F.floor(F.col("idx") / size) + offset)
 
 
+def first_of_each(rows: DataFrame, split: str, n: int, *order: str) -> DataFrame:
+    """The first n rows of each split, in order; tasks keep their own first n before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy(split).orderBy(*order))
+    return rows.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")
+
+
+def mean_loss(losses: DataFrame) -> DataFrame:
+    """losses: loss of each batch. Their mean; 0 without any batch."""
+    return losses.agg((F.coalesce(F.sum("loss"), F.lit(0.0)) / F.greatest(F.count("loss"), F.lit(1))).alias("loss"), F.count("loss").alias("batches"))
+
+
+def wall_hours(mean_sec: Column, rows: Column, speed: float) -> Column:
+    """Hours that so many rows take at so many times the speed of their audio, carried on from their mean length."""
+    return mean_sec * rows / F.lit(speed) / 3600
+
+
 def first_rows(rows: DataFrame, n: int, *order: str) -> DataFrame:
     """The first n rows in order, before any other filter."""
     return rows.orderBy(*order).limit(n)

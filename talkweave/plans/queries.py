@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from talkweave.config import DEFAULT_BUCKETS, Bucket, bucket_table
 from talkweave.functions import text as tx
 from talkweave.functions import tokens as tk
-from talkweave.operators import corpus, dialogue, validate
+from talkweave.operators import corpus, dialogue, generation, rules, validate
 from talkweave.operators.ordinal import ordinal, ordinal_within
 from talkweave.operators.rules import judged_turns
 
@@ -228,12 +228,17 @@ h AS (SELECT response_id, block, speaker, i, {ended_sql("s")} AS text FROM g)
 SELECT response_id, CAST(block AS BIGINT) AS block, CAST(row_number() OVER (PARTITION BY response_id, block ORDER BY i) - 1 AS BIGINT) AS turn, speaker, text FROM h"""
 
 
-@query(BLOCKS_SQL)
-def block_split_parse(spark, d):
+def _responses(spark, d) -> DataFrame:
+    """response_id, response: three conversations each, in blocks."""
     line = F.struct("turn", F.concat(F.lit("["), F.when(F.col("speaker") == "S0", "S1").otherwise("S2"), F.lit("]: "), F.col("text")).alias("s"))
     block = turns(spark, d).groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["s"]), "\n").alias("block"))
     response = block.groupBy(F.floor(F.col("conv_id") / 3).alias("response_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("conv_id", "block"))), lambda x: x["block"]), "\n --- \n").alias("response"))
-    each = response.select("response_id", F.posexplode(tx.blocks(F.col("response"))).alias("block", "text"))
+    return response
+
+
+@query(BLOCKS_SQL)
+def block_split_parse(spark, d):
+    each = _responses(spark, d).select("response_id", F.posexplode(tx.blocks(F.col("response"))).alias("block", "text"))
     return each.select("response_id", F.col("block").cast("long").alias("block"), F.posexplode(tx.parse_turns(F.col("text"))).alias("turn", "x")).select("response_id", "block", F.col("turn").cast("long").alias("turn"), "x.speaker", "x.text")
 
 
@@ -424,3 +429,48 @@ def row_ordinal(spark, d):
 @query("SELECT doc_id, '<speech_text> ' || regexp_replace(text, '^" + WS + "+|" + WS + "+$', '', 'g') || chr(10) || '<audio_codes>' AS prompt FROM documents")
 def speech_prompts(spark, d):
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", tx.prompt(F.col("text")).alias("prompt"))
+
+
+@query("SELECT doc_id, lang FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY doc_id) <= 20")
+def split_limit(spark, d):
+    return corpus.first_of_each(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang"), "lang", 20, "doc_id")
+
+
+@query(BLOCKS_SQL.replace("SELECT response_id, CAST(block AS BIGINT) AS block, CAST(row_number()", "SELECT response_id, CAST(block AS BIGINT) AS block, CASE WHEN block = 0 THEN 'one' ELSE 'two' END AS topic, count(*) AS n_turns FROM (SELECT response_id, block, (row_number()").replace("speaker, text FROM h", "speaker, text FROM h) GROUP BY ALL").replace("AS BIGINT) AS turn", ") AS turn"))
+def topics_by_block(spark, d):
+    """The last topic goes on for further blocks."""
+    parsed = generation.parsed(_responses(spark, d).withColumn("category", F.lit("x")), ("one", "two"))
+    return parsed.select("response_id", F.col("block").cast("long").alias("block"), "topic", F.size("turns").cast("long").alias("n_turns"))
+
+
+@query(rf"WITH {RAW_SQL}, l AS (SELECT conv_id, turn, regexp_replace(regexp_replace('turn ' || turn || ': ' || text || ' ' || text || ' ' || text, '(?s)^[^:]*:', ''), '^{WS}+|{WS}+$', '', 'g') AS r FROM rt) SELECT conv_id, turn, CASE WHEN length(r) > 140 THEN left(r, 137) || '...' ELSE r END AS reason FROM l")
+def short_reasons(spark, d):
+    long = F.concat(F.lit("turn "), F.col("turn").cast("string"), F.lit(": "), F.concat_ws(" ", "text", "text", "text"))
+    return raw_turns(spark, d).select("conv_id", "turn", tx.short_reason(long).alias("reason"))
+
+
+@query(rf"WITH {TIMED_SQL}, s AS (SELECT conv_id, CASE WHEN conv_id % 4 = 0 AND turn = 1 THEN chr(9) || ' ' ELSE text END AS text, start_ms, CASE WHEN conv_id % 5 = 0 AND turn = 2 THEN start_ms ELSE end_ms END AS end_ms FROM ti) SELECT conv_id, bool_or(regexp_full_match(text, '{WS}*')) AS empty_turn, bool_and(end_ms > start_ms) AS times_hold FROM s GROUP BY conv_id")
+def turn_shape(spark, d):
+    t = timed(spark, d)
+    text = F.when((F.col("conv_id") % 4 == 0) & (F.col("turn") == 1), "\t ").otherwise(F.col("text"))
+    end = F.when((F.col("conv_id") % 5 == 0) & (F.col("turn") == 2), F.col("start_ms")).otherwise(F.col("end_ms"))
+    nested = t.groupBy("conv_id").agg(F.collect_list(F.struct(text.alias("text"), "start_ms", end.alias("end_ms"))).alias("turns"))
+    return nested.select("conv_id", rules.has_empty_turn(F.col("turns")).alias("empty_turn"), rules.times_hold(F.col("turns")).alias("times_hold"))
+
+
+@query(f"WITH {TIMED_SQL}, s AS (SELECT category, conv_id, (sum(samples) + (count(*) - 1) * 2400) / 24000::DOUBLE AS sec FROM ti GROUP BY ALL) SELECT category, count(*) AS n, round(avg(sec) * count(*) / 20::DOUBLE / 3600, 6) AS hours FROM s GROUP BY category")
+def encode_hours(spark, d):
+    s = dialogue.mixed_duration(raw_turns(spark, d)).groupBy("category").agg(F.count("*").alias("n"), F.avg(F.col("total_samples") / 24000).alias("mean"))
+    return s.select("category", "n", F.round(corpus.wall_hours(F.col("mean"), F.col("n"), 20.0), 6).alias("hours"))
+
+
+@query(f"WITH {CODES_SQL}, l AS (SELECT conv_id // 8 AS batch, avg(code) / 2048 AS loss FROM cd WHERE cb < 8 GROUP BY ALL) SELECT round(sum(loss) / greatest(count(*), 1), 6) AS loss, count(*) AS batches FROM l")
+def eval_loss(spark, d):
+    per = corpus.long_codes(coded(spark, d)).where("cb < 8").groupBy(F.floor(F.col("conv_id") / 8).alias("batch")).agg((F.avg("code") / 2048).alias("loss"))
+    return corpus.mean_loss(per).select(F.round("loss", 6).alias("loss"), "batches")
+
+
+@query("WITH o AS (SELECT page_id, url, row_number() OVER (ORDER BY page_id) - 1 AS idx FROM pages) SELECT page_id, translate(url, '/.-', '___') AS name, (idx // 500 + 1) * 500 AS mark FROM o")
+def progress_marks(spark, d):
+    pages = ordinal(spark.read.parquet(f"{d}/pages.parquet").select("page_id", "url"), "page_id")
+    return pages.select("page_id", tx.safe_split(F.col("url")).alias("name"), tx.next_mark(F.col("idx"), 500).alias("mark"))
