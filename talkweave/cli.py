@@ -8,7 +8,7 @@ import os
 import sys
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkweave.config import bucket_table, load_config
@@ -17,6 +17,8 @@ from talkweave.plans import stages
 from talkweave.sources import files
 from talkweave.storage import stored
 
+# The names that commands were published by.
+PUBLISHED = {"generate-zipvoice-dialog-scripts": "generate-dialog-scripts", "export-zipvoice-dialog-tsv": "export-dialog-tsv", "tokenize-mimi": "tokenize"}
 SUBSETS = ("scripts", "stage3", "stage4", "shards")
 
 
@@ -25,28 +27,36 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
 
     def command(name: str, *options: tuple[tuple[str, ...], dict[str, Any]]) -> None:
-        c = sub.add_parser(name)
+        c = sub.add_parser(name, aliases=[k for k, v in PUBLISHED.items() if v == name])
         c.add_argument("--config", "-c")
         for names, kw in options:
             c.add_argument(*names, **kw)
 
     limit = (("--limit",), {"type": int})
+    mock = (("--mock",), {"action": "store_true", "help": "the stand-in, which is what runs in any case: voices and codecs plug in as functions"})
     out = lambda default: (("--output", "-o"), {"default": default})
     command("show-config")
     command("generate-scripts", out("data/scripts/dialogues"), limit, (("--dry-run",), {"action": "store_true"}))
     command("generate-dialog-scripts", (("--output-dir", "-o"), {"default": "data/scripts/dialog"}), limit, (("--dry-run",), {"action": "store_true"}))
     command("export-dialog-tsv", (("--scripts",), {"required": True}), (("--voice-prompts",), {"default": "voice_prompts"}), out("data/dialog/test.tsv"), (("--bucket",), {}))
-    command("synth-stage3", (("--scripts",), {"required": True}), out("data/stage3"), limit)
+    command("synth-stage3", (("--scripts",), {"required": True}), out("data/stage3"), limit, mock)
     command("inject-overlap", (("--stage3",), {"default": "data/stage3"}), out("data/stage4"), limit, (("--seed",), {"type": int, "default": 13}))
-    command("tokenize", (("--stage",), {"default": "data/stage3"}), out("data/tokens/stage3"), limit)
+    command("tokenize", (("--stage",), {"default": "data/stage3"}), out("data/tokens/stage3"), limit, mock)
     command("assemble-shards", (("--tokens",), {"required": True}), (("--stage",), {"default": "data/stage3"}), out("data/shards/stage3_train"))
-    command("validate", (("--subset",), {"default": "stage3", "choices": SUBSETS}), (("--path",), {"default": "data/stage3"}))
+    command("validate", (("--subset",), {"default": "stage3", "choices": SUBSETS}), (("--path",), {"default": "data/stage3"}), (("--errors",), {"help": "a folder that takes every violation, as JSON; the report itself lists 1000 at most"}))
     command("upload-hf", (("--data-dir",), {"default": "data"}), (("--subset",), {"default": "all", "choices": ("all", *SUBSETS)}), (("--dry-run",), {"action": "store_true"}))
     return p
 
 
 def run(spark: SparkSession, a: argparse.Namespace) -> Any:
     config = load_config(a.config)
+    a.command = PUBLISHED.get(a.command, a.command)
+
+    def report(rows: DataFrame, found: DataFrame, what: str) -> dict[str, Any]:
+        if a.errors:
+            found.write.mode("overwrite").json(a.errors)
+        return validate.report(rows, found, what)
+
     if a.command == "show-config":
         return config.as_dict()
     if a.command in ("generate-scripts", "generate-dialog-scripts"):
@@ -87,14 +97,14 @@ def run(spark: SparkSession, a: argparse.Namespace) -> Any:
         buckets = bucket_table(spark, config.buckets)
         if a.subset == "scripts":
             rows = files.read_scripts(spark, a.path)
-            return validate.report(rows, validate.script_violations(rows, buckets), "scripts")
+            return report(rows, validate.script_violations(rows, buckets), "scripts")
         if a.subset == "shards":
             rows = files.read_sequences(spark, a.path)
-            return validate.report(rows, validate.sequence_violations(rows), "shard records")
+            return report(rows, validate.sequence_violations(rows), "shard records")
         rows = files.read_stage(spark, a.path)
         audio = files.stage_audio(spark, a.path)
         found = validate.stage_violations(rows, buckets, None if audio is None else stored(audio), require_overlaps=a.subset == "stage4")
-        return validate.report(rows, found, "conversation metadata") | {"audio_checked": audio is not None}
+        return report(rows, found, "conversation metadata") | {"audio_checked": audio is not None}
     if not a.dry_run:
         raise RuntimeError("uploading is left to the hub's own tools; use --dry-run for the plan")
     repo = os.environ.get(config.hub.repo_env, "")

@@ -225,3 +225,29 @@ def test_cli(spark, tmp_path, capsys):
     assert call("assemble-shards", "--tokens", p("t"), "--stage", p("3"), "-o", p("sh")) == 0
     assert call("validate", "--subset", "shards", "--path", p("sh")) == 0
     assert '"written": 3' in capsys.readouterr().out
+
+
+def test_cli_published_names(spark, tmp_path, capsys):
+    p = lambda x: str(tmp_path / x)
+    call = lambda *a: cli.main(list(a))
+    assert call("generate-zipvoice-dialog-scripts", "-o", p("s"), "--limit", "2", "--dry-run") == 0
+    assert call("synth-stage3", "--scripts", p("s/dialog_scripts"), "-o", p("3"), "--mock") == 0 and call("tokenize-mimi", "--stage", p("3"), "-o", p("t"), "--mock") == 0
+    assert call("validate", "--subset", "stage4", "--path", p("3"), "--errors", p("e")) == 1
+    assert {(r["conversation_id"], r["error"]) for r in spark.read.json(p("e")).collect()} == {(f"short_00000{i}", "missing overlaps") for i in range(2)}
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("parts", ["1", "8", "50"])
+def test_numbers_of_many_rows(spark, adaptive, parts):
+    """Exact numbers whatever the partitions, with adaptive execution on and off."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        n = 300_000
+        df = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("wide"))
+        out = ordinal(df, "k").agg(F.count("*"), F.countDistinct("idx"), F.sum((F.col("k") != F.col("idx")).cast("long"))).first()
+        assert tuple(out) == (n, n, 0)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
