@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from talkweave.config import bucket_table, load_config
 from talkweave.operators import corpus, generation, validate
-from talkweave.plans import stages
-from talkweave.sources import files
+from talkweave.plans import stage_audio, stages
+from talkweave.sources import client, files
 from talkweave.storage import stored
 
 # The names that commands were published by.
@@ -39,7 +39,8 @@ def parser() -> argparse.ArgumentParser:
     command("generate-scripts", out("data/scripts/dialogues"), limit, (("--dry-run",), {"action": "store_true"}))
     command("generate-dialog-scripts", (("--output-dir", "-o"), {"default": "data/scripts/dialog"}), limit, (("--dry-run",), {"action": "store_true"}))
     command("export-dialog-tsv", (("--scripts",), {"required": True}), (("--voice-prompts",), {"default": "voice_prompts"}), out("data/dialog/test.tsv"), (("--bucket",), {}))
-    command("synth-stage3", (("--scripts",), {"required": True}), out("data/stage3"), limit, mock)
+    silent = (("--metadata-only",), {"action": "store_true", "help": "times and paths, no audio files"})
+    command("synth-stage3", (("--scripts",), {"required": True}), out("data/stage3"), limit, mock, silent)
     command("inject-overlap", (("--stage3",), {"default": "data/stage3"}), out("data/stage4"), limit, (("--seed",), {"type": int, "default": 13}))
     command("tokenize", (("--stage",), {"default": "data/stage3"}), out("data/tokens/stage3"), limit, mock)
     command("assemble-shards", (("--tokens",), {"required": True}), (("--stage",), {"default": "data/stage3"}), out("data/shards/stage3_train"))
@@ -60,10 +61,11 @@ def run(spark: SparkSession, a: argparse.Namespace) -> Any:
     if a.command == "show-config":
         return config.as_dict()
     if a.command in ("generate-scripts", "generate-dialog-scripts"):
-        if not a.dry_run:
-            raise RuntimeError("no client is configured; call talkweave.operators.generation.generate with a source, or use --dry-run")
+        complete = None if a.dry_run else client.from_settings(config.generation)
+        if not a.dry_run and complete is None:
+            raise RuntimeError(f"no client is configured: set base_url, model and {config.generation.api_key_env}, or use --dry-run")
         path = a.output if a.command == "generate-scripts" else f"{a.output_dir}/dialog_scripts"
-        done = generation.generate(spark, config, path, a.limit)
+        done = generation.generate(spark, config, path, a.limit, complete and generation.client_source(config, complete))
         if a.command == "generate-dialog-scripts":
             files.write_by_bucket(files.read_scripts(spark, path), [b.name for b in config.buckets], f"{a.output_dir}/buckets")
         return {"completed": done}
@@ -73,13 +75,16 @@ def run(spark: SparkSession, a: argparse.Namespace) -> Any:
         files.write_tsv(rows.orderBy("idx").drop("idx", "category"), a.output)
         return {"written": rows.count(), "output": a.output}
     if a.command == "synth-stage3":
-        done = stages.synthesize(files.read_scripts(spark, a.scripts), config, a.limit)
+        scripts = files.read_scripts(spark, a.scripts)
+        done = stages.synthesize(scripts, config, a.limit) if a.metadata_only else stored(stage_audio.render(scripts, config, a.output, limit=a.limit))
         files.write_stage(done.where("accepted").drop("accepted"), a.output)
         n = done.agg(F.sum(F.col("accepted").cast("long")).alias("written"), F.sum((~F.col("accepted")).cast("long")).alias("skipped")).first()
         return {k: n[k] or 0 for k in ("written", "skipped")}
     if a.command == "inject-overlap":
         before = files.read_stage(spark, a.stage3).drop("path")
         done = stages.inject_overlaps(before, config, a.seed, a.limit)
+        if stage_audio.has_audio(spark, a.stage3):
+            done = stage_audio.remix(done, config, a.stage3, a.output)
         files.write_stage(done, a.output)
         written = files.read_stage(spark, a.output).count()
         return {"written": written, "skipped": min(before.count(), a.limit if a.limit is not None else 1 << 62) - written}

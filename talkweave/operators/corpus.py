@@ -61,6 +61,16 @@ def sharded(rows: DataFrame, split: str, *order: str, size: int = SHARD_ROWS, of
     return ordinal_within(rows, split, *order).withColumn("shard", F.floor(F.col("idx") / size) + offset)
 
 
+def codec_rows(rows: DataFrame, dataset: str, rate: int) -> DataFrame:
+    """Rows of a codec corpus from id, speaker, text, split, idx (the row's number in its split), codes and n_samples: an absent id is made from
+    split and number, an absent speaker is 'unknown'."""
+    return rows.select(
+        tx.row_id(F.col("id"), F.col("split"), F.col("idx")).alias("id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("speaker", F.lit("unknown")).alias("speaker_id"),
+        F.col("codes").cast("array<array<smallint>>").alias("codes"), F.size(F.get("codes", F.lit(0))).alias("n_frames"), F.size("codes").alias("k_codebooks"), F.lit(rate).alias("sampling_rate"),
+        (F.col("n_samples") / rate).cast("float").alias("duration_sec"), F.lit(dataset).alias("source_dataset"), F.col("split").alias("source_split"),
+    )
+
+
 def first_of_each(rows: DataFrame, split: str, n: int, *order: str) -> DataFrame:
     """The first n rows of each split, in order; tasks keep their own first n before the shuffle."""
     rank = F.row_number().over(Window.partitionBy(split).orderBy(*order))

@@ -1,10 +1,11 @@
 """Generation of scripts: from responses to accepted rows, resumable.
 
-The concurrency of requests is that of partitions; ids come from row numbers within a bucket; what exists is left out by an anti join.
+Requests run in as many partitions as ``concurrency`` says; ids come from row numbers within a bucket; what exists is left out by an anti join.
 """
 
 from __future__ import annotations
 
+import sys
 import time
 from collections.abc import Callable, Iterator
 
@@ -16,6 +17,7 @@ from talkweave.config import Bucket, Config, bucket_table
 from talkweave.functions import text as tx
 from talkweave.operators.ordinal import ordinal_within
 from talkweave.operators.rules import judged_scripts
+from talkweave.storage import stored
 
 EMPTY_BATCHES = 5
 
@@ -40,6 +42,17 @@ def request_prompts(bucket: Bucket, topics: DataFrame, per_request: int) -> Data
     return topics.groupBy("request_id").agg(F.concat(F.lit(rules), F.array_join(numbered, "\n")).alias("prompt"))
 
 
+def sampled_topics(requests: DataFrame, topics: list[str] | tuple[str, ...], per_request: int, seed: int) -> DataFrame:
+    """Adds topics to request_id: so many different ones, drawn by hash of seed and request; where there are fewer, each place draws from all."""
+    listed = F.array(*map(F.lit, topics))
+    h = lambda x: F.xxhash64(F.lit(seed), "request_id", x)
+    if len(topics) >= per_request:
+        order = F.array_sort(F.transform(listed, lambda t: F.struct(h(t).alias("h"), t.alias("topic"))))
+        return requests.withColumn("topics", F.slice(order, 1, per_request)["topic"])
+    places = F.sequence(F.lit(0), F.lit(per_request - 1))
+    return requests.withColumn("topics", F.transform(places, lambda i: F.get(listed, F.pmod(h(i), F.lit(len(topics))).cast("int"))))
+
+
 def completions(requests: DataFrame, complete: Callable[[str], str], per_minute: int, partitions: int, retries: int = 5, backoff: float = 5.0) -> DataFrame:
     """request_id, prompt to request_id, response through any client. Each of ``partitions`` keeps its share of the rate, and
     tries again after a linearly growing pause."""
@@ -65,10 +78,31 @@ def completions(requests: DataFrame, complete: Callable[[str], str], per_minute:
     return requests.select(F.col("request_id").cast("long"), "prompt").repartition(partitions, "request_id").mapInArrow(run, "request_id long, response string")
 
 
+def client_source(config: Config, complete: Callable[[str], str]) -> Callable[[SparkSession, Bucket, int], DataFrame]:
+    """A source for ``generate``: requests of ``conversations_per_request`` scripts, each with its own topics, to a client, in ``concurrency`` partitions."""
+    g = config.generation
+    round_no = 0
+
+    def source(spark: SparkSession, bucket: Bucket, count: int) -> DataFrame:
+        nonlocal round_no
+        round_no += 1
+        each = max(1, min(g.conversations_per_request, count))
+        requests = sampled_topics(spark.range(-(-count // each)).withColumnRenamed("id", "request_id"), g.topics or tx.TOPICS, each, round_no)
+        asked = request_prompts(bucket, requests.select("request_id", F.explode("topics").alias("topic")), each)
+        got = completions(asked, complete, g.requests_per_minute, max(1, g.concurrency), g.api_retries, g.api_retry_backoff_sec)
+        # The prompt numbers its topics in hash order, and so does the list here.
+        shown = F.transform(F.array_sort(F.transform("topics", lambda t: F.struct(F.xxhash64(t).alias("h"), t.alias("topic")))), lambda x: x["topic"])
+        return got.join(requests.select("request_id", shown.alias("topics")), "request_id").select(F.lit(bucket.name).alias("category"), F.col("request_id").alias("response_id"), "response", "topics")
+
+    return source
+
+
 def parsed(responses: DataFrame, topics: tuple[str, ...] = tx.TOPICS) -> DataFrame:
-    """category, response_id, response to one script per block, the topic by the block's place."""
-    each = responses.select("category", "response_id", F.posexplode(tx.blocks(F.col("response"))).alias("block", "text"))
-    topic = F.element_at(F.array(*map(F.lit, topics)), F.least(F.col("block") + 1, F.lit(len(topics))))
+    """category, response_id, response to one script per block, the topic by the block's place: of the response's own topics, if it has
+    such a column."""
+    own = F.col("topics") if "topics" in responses.columns else F.array(*map(F.lit, topics))
+    each = responses.select("category", "response_id", own.alias("topics"), F.posexplode(tx.blocks(F.col("response"))).alias("block", "text"))
+    topic = F.element_at("topics", F.least(F.col("block") + 1, F.size("topics")))
     return each.select("category", "response_id", "block", topic.alias("topic"), tx.parse_turns(F.col("text")).alias("turns")).withColumn("estimated_duration_sec", tx.script_estimate(F.col("turns")))
 
 
@@ -91,28 +125,51 @@ def targets(config: Config, limit: int | None) -> dict[str, int]:
     return out
 
 
+def rejections(judged: DataFrame) -> str:
+    """Short reasons of rejected scripts and how often each was met."""
+    reasons = judged.where("reason IS NOT NULL").groupBy(tx.short_reason(F.col("reason")).alias("reason")).agg(F.count("*").alias("n"))
+    return reasons.agg(F.collect_list(F.struct("reason", "n")).alias("r")).select(tx.reason_list(F.col("r")).alias("r")).first()["r"]
+
+
 def generate(spark: SparkSession, config: Config, path: str, limit: int | None = None, source: Callable[[SparkSession, Bucket, int], DataFrame] | None = None) -> dict[str, int]:
     """Appends accepted scripts to JSON files in ``path`` until each bucket has its share; running it again adds what is missing
-    only. Raises after five batches in a row without an accepted script."""
+    only. A round asks for all that a bucket lacks and keeps what is accepted of it. Five rounds in a row without an accepted script end it with
+    an error; each such round is tried ``max_retries`` times first. Progress and rejected scripts are told on stderr, and ``path``.manifest
+    has a row: target, completed, failed (rounds without a script). What exists is counted once, then kept by bucket."""
     from talkweave.sources import files
 
     source = source or dry_run
     wanted = targets(config, limit)
     buckets = bucket_table(spark, config.buckets)
-    done: dict[str, int] = {}
+    found = {r["category"]: r["n"] for r in files.read_scripts(spark, path).groupBy("category").agg(F.count("*").alias("n")).join(F.broadcast(buckets), F.col("category") == F.col("name"), "left_semi").collect()}
+    done = {b.name: found.get(b.name, 0) for b in config.buckets}
+    failed, every = 0, config.generation.progress_every
+    told = sum(done.values())
+
+    def manifest() -> None:
+        row = [(sum(wanted.values()), sum(done.values()), failed)]
+        spark.createDataFrame(row, "target long, completed long, failed long").coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}.manifest")
+
     for b in config.buckets:
-        empty = 0
-        while True:
-            have = files.read_scripts(spark, path)
-            n = have.where(F.col("category") == b.name).count()
-            done[b.name] = n
-            if n >= wanted[b.name]:
-                break
-            fresh = judged_scripts(parsed(source(spark, b, wanted[b.name] - n)).withColumn("conversation_id", F.lit("new")), buckets)
-            good = numbered(fresh.where("reason IS NULL").drop("conversation_id"), have)
-            good = good.orderBy("conversation_id").limit(wanted[b.name] - n)
-            files.append_json(good.select("conversation_id", "category", "topic", "turns", "estimated_duration_sec"), path)
-            empty = empty + 1 if files.read_scripts(spark, path).where(F.col("category") == b.name).count() == n else 0
+        empty = tries = 0
+        while (lack := wanted[b.name] - done[b.name]) > 0:
+            asked = stored(judged_scripts(parsed(source(spark, b, lack)).withColumn("conversation_id", F.lit("new")), buckets))
+            good = numbered(asked.where("reason IS NULL").drop("conversation_id"), files.read_scripts(spark, path).where(F.col("category") == b.name))
+            good = stored(good.orderBy("conversation_id").limit(lack).select("conversation_id", "category", "topic", "turns", "estimated_duration_sec"))
+            n = good.count()
+            if n < lack:
+                print(f"bucket {b.name}: accepted {n} of {lack}; rejected {rejections(asked)}", file=sys.stderr)
+            if n:
+                files.append_json(good, path)
+                done[b.name] += n
+                empty = tries = 0
+                if every > 0 and sum(done.values()) // every > told // every:
+                    told = sum(done.values())
+                    print(f"completed {told} of {sum(wanted.values())}, {done[b.name]} in bucket {b.name}", file=sys.stderr)
+            elif (tries := tries + 1) > config.generation.max_retries:
+                empty, tries, failed = empty + 1, 0, failed + 1
+            manifest()
             if empty >= EMPTY_BATCHES:
                 raise RuntimeError(f"bucket {b.name}: {EMPTY_BATCHES} batches in a row without an accepted script")
+    manifest()
     return done

@@ -112,9 +112,41 @@ def joined(chunks: list[np.ndarray], rate: int, gap_sec: float = 0.1) -> np.ndar
     return np.concatenate([p for i, c in enumerate(chunks) for p in ((silence, c) if i else (c,))]) if chunks else silence[:0]
 
 
-def encoded(audio: DataFrame, encoder, sample_rate: int) -> DataFrame:
+def peak_limited(x: np.ndarray) -> np.ndarray:
+    """Decoded samples, one-dimensional, divided by their peak where it is over 1."""
+    x = np.asarray(x, np.float32)
+    while x.ndim > 1:
+        x = x[0]
+    peak = float(np.abs(x).max()) if x.size else 0.0
+    return x / np.float32(peak) if peak > 1 else x
+
+
+def checked_codes(codes, codebooks: int | None) -> np.ndarray:
+    """codes[codebook][frame], from that or from a batch of one; an error where the number of codebooks isn't ``codebooks``."""
+    codes = np.asarray(codes)
+    shape = codes.shape
+    if codes.ndim == 3 and shape[0] == 1:
+        codes = codes[0]
+    if codes.ndim != 2 or (codebooks is not None and codes.shape[0] != codebooks):
+        raise ValueError(f"codes have shape {shape}")
+    return codes
+
+
+def decoded(rows: DataFrame, decoder, rate: int) -> DataFrame:
+    """id, codes to id, audio (WAV) by any codec: ``decoder()`` is called once per task and gives a function from codes[codebook][frame] to samples."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = decoder()
+        for pdf in frames:
+            for i, codes in zip(pdf["id"], pdf["codes"]):
+                yield pd.DataFrame({"id": [i], "audio": [encode(peak_limited(model(np.array([list(c) for c in codes]))), rate)]})
+
+    return rows.select("id", "codes").mapInPandas(run, f"id {rows.schema['id'].dataType.simpleString()}, audio binary")
+
+
+def encoded(audio: DataFrame, encoder, sample_rate: int, codebooks: int | None = None) -> DataFrame:
     """id, audio (WAV) to id, codes, n_samples by any codec: ``encoder()`` is called once per task and gives a function from samples and
-    rate to codes[codebook][frame]. Rows that fail are returned with the error, not dropped unseen."""
+    rate to codes[codebook][frame], or a batch of one such; their shape is checked. Rows that fail are returned with the error, not dropped unseen."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = encoder()
@@ -123,7 +155,7 @@ def encoded(audio: DataFrame, encoder, sample_rate: int) -> DataFrame:
             for i, content in zip(pdf["id"], pdf["audio"]):
                 try:
                     x, rate = decode(content)
-                    rows.append((i, [list(map(int, c)) for c in model(strict_mono(x), rate)], len(x), None))
+                    rows.append((i, [list(map(int, c)) for c in checked_codes(model(strict_mono(x), rate), codebooks)], len(x), None))
                 except Exception as e:  # noqa: BLE001  any failure of a model becomes the row's error
                     rows.append((i, None, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["id", "codes", "n_samples", "error"])

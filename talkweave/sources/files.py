@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,29 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The folder with its file system, for tasks that read and write single files in it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return re.sub("^file:/+", "file:///", p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()).rstrip("/")
+
+
+def put(root: str, path: str, content: bytes) -> None:
+    """Writes one file below a qualified folder; it gets its name when complete."""
+    store, base = fs.FileSystem.from_uri(root)
+    folder, name = f"{base}/{path}".rsplit("/", 1)
+    store.create_dir(folder, recursive=True)
+    draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    with store.open_output_stream(draft) as f:
+        f.write(content)
+    store.move(draft, f"{folder}/{name}")
+
+
+def get(root: str, path: str) -> bytes:
+    store, base = fs.FileSystem.from_uri(root)
+    with store.open_input_stream(f"{base}/{path}") as f:
+        return f.read()
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType, whole: bool = False) -> DataFrame:
     """Typed JSON lines (or one document per file if ``whole``); nothing at the path is an empty table. A malformed
     record stops the read; see bad_records() for where."""
@@ -67,8 +92,7 @@ def stage_audio(spark: SparkSession, path: str) -> DataFrame | None:
     """path (below the stage's folder, as in the records) and seconds of the WAV files in the stage's audio folder; None without such a folder."""
     if not exists(spark, where := f"{path.rstrip('/')}/audio"):
         return None
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    root = re.sub("^file:/+", "/", p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()).rstrip("/")
+    root = re.sub("^file:/+", "/", qualified(spark, path))
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.wav").load(where)
     return found.select(F.expr(f"substring(regexp_replace(path, '^file:/+', '/'), {len(root) + 2})").alias("path"), wav_header(F.col("content"))["seconds"].alias("seconds"))
 
@@ -109,6 +133,14 @@ def write_shards(rows: DataFrame, path: str, size: int = 500) -> None:
     rows.withColumn("split", safe_split(F.col("source_split"))).write.mode("overwrite").option("maxRecordsPerFile", size).partitionBy("split").parquet(path)
 
 
+def write_numbered_shards(rows: DataFrame, path: str, split: str, *order: str, size: int = 500, offset: int = 0) -> None:
+    """Parquet shards of ``size`` rows in order (the last of a split may be smaller), in folders by split and running number: one task writes a shard."""
+    from talkweave.operators.corpus import sharded
+
+    named = sharded(rows, split, *order, size=size, offset=offset).drop("idx").withColumn("split", safe_split(F.col(split)))
+    named.repartition("split", "shard").write.mode("append" if offset else "overwrite").partitionBy("split", "shard").parquet(path)
+
+
 def upload_plan(files: DataFrame, repo: str, subset: str) -> DataFrame:
     """repo_id, subset, file_count and total_bytes of an inventory."""
     return files.agg(F.count("*").alias("file_count"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes")).select(F.lit(repo).alias("repo_id"), F.lit(subset).alias("subset"), "file_count", "total_bytes")

@@ -1,4 +1,6 @@
+import http.server
 import json
+import threading
 
 import numpy as np
 import pytest
@@ -9,8 +11,9 @@ from talkweave.config import Bucket, Config, bucket_table
 from talkweave.functions import tokens as tk
 from talkweave.operators import corpus, generation, validate
 from talkweave.operators.ordinal import ordinal, ordinal_within
-from talkweave.plans import stages
-from talkweave.sources import audio, files
+from talkweave.plans import stage_audio, stages
+from talkweave.sources import audio, client, files
+from talkweave.storage import stored
 from talkweave.streaming.ingest import ingest
 from tests.test_text import GOOD, bad
 
@@ -92,6 +95,58 @@ def test_validate_reads_audio(spark, scripts, tmp_path, capsys):
     assert out["audio_checked"] and out["errors"] == ["short_000000: metadata duration does not match WAV", "short_000000: missing turn audio audio/short_000000/turn_003.wav"]
 
 
+def test_stages_write_audio(spark, scripts, tmp_path, capsys):
+    c, three, four = Config(), str(tmp_path / "3"), str(tmp_path / "4")
+    scripts.coalesce(1).write.json(str(tmp_path / "s"))
+    call = lambda *a: (cli.main(list(a)), json.loads(capsys.readouterr().out))
+    assert call("synth-stage3", "--scripts", str(tmp_path / "s"), "-o", three) == (0, {"written": 1, "skipped": 2})
+    (r,) = files.read_stage(spark, three).collect()
+    (plan,) = stages.synthesize(scripts, c).where("accepted").collect()
+    assert r["turns"] == plan["turns"] and r["duration_sec"] == plan["duration_sec"]  # the closed form agrees with the audio
+    assert sorted(p.name for p in (tmp_path / "3/audio").rglob("*.wav")) == ["short_000000.wav", *(f"turn_{i:03d}.wav" for i in range(4))]
+    assert call("validate", "--path", three)[1] == {"ok": True, "checked": 1, "n_errors": 0, "errors": [], "audio_checked": True}
+    assert call("inject-overlap", "--stage3", three, "-o", four) == (0, {"written": 1, "skipped": 0})
+    assert call("validate", "--subset", "stage4", "--path", four)[1]["ok"]
+    (q,) = files.read_stage(spark, four).collect()
+    mix, rate = audio.decode((tmp_path / "4" / q["mixed_audio_path"]).read_bytes())
+    assert len(mix) / rate == q["duration_sec"] >= r["duration_sec"]
+    for t in q["turns"]:
+        assert (tmp_path / "4" / t["audio_path"]).read_bytes() == (tmp_path / "3" / t["audio_path"]).read_bytes()
+    (tmp_path / "4/audio/short_000000/turn_002.wav").unlink()
+    assert call("validate", "--subset", "stage4", "--path", four)[1]["errors"] == ["short_000000: missing turn audio audio/short_000000/turn_002.wav"]
+
+
+def test_voices_plug_in(spark, scripts, tmp_path):
+    """The first attempts are too long; the third lies in the bucket. A voice that never does leaves nothing."""
+    c = Config()
+    rate = c.synthesis.output_sample_rate
+    place = str(tmp_path / "v")
+    r = stored(stage_audio.render(scripts.where("conversation_id = 'short_000000'"), c, place, lambda: lambda speaker, text, attempt: np.zeros(rate * (9 - 2 * attempt - (attempt == 2)), np.float32))).first()
+    assert r["accepted"] and r["duration_sec"] == 4 * 4 + 0.3 and r["turns"][3]["start_ms"] == 12300
+    never = stored(stage_audio.render(scripts, c, str(tmp_path / "n"), lambda: lambda speaker, text, attempt: np.zeros(rate, np.float32)))
+    assert never.where("accepted").count() == 0 and never.count() == 3 and not list(tmp_path.glob("n/audio/*"))
+    assert list(stage_audio.tagged(lambda text: [len(text)])(1, "abc", 0)) == [8]
+    with pytest.raises(Exception, match="no file name"):
+        stage_audio.render(scripts.limit(1).withColumn("conversation_id", F.lit("../x")), c, str(tmp_path / "x")).collect()
+
+
+def test_codec_leaves(spark, tmp_path):
+    assert audio.peak_limited([[[1.0, -4.0]]]).tolist() == [0.25, -1.0] and audio.peak_limited([0.5]).tolist() == [0.5] and audio.peak_limited([]).tolist() == []
+    assert audio.checked_codes(np.zeros((1, 32, 5)), 32).shape == (32, 5)
+    for codes in (np.zeros((2, 32, 5)), np.zeros((31, 5)), np.zeros(5)):
+        with pytest.raises(ValueError):
+            audio.checked_codes(codes, 32)
+    rows = spark.createDataFrame([(None, None, None, "a/b", i, [[i, 2], [3, 4]], 4800) for i in range(5)], "id string, speaker string, text string, split string, idx int, codes array<array<int>>, n_samples long")
+    sound = audio.decoded(rows.select(F.col("idx").alias("id"), "codes"), lambda: lambda codes: codes.sum(axis=0) / 4, 24_000).where("id = 1").first()["audio"]
+    assert np.allclose(audio.decode(sound)[0], [4 / 6, 1.0], atol=1e-4)
+    made = corpus.codec_rows(rows, "d", 24_000)
+    assert made.schema.simpleString() == schemas.CODEC_ROW.simpleString()
+    files.write_numbered_shards(made, str(tmp_path / "sh"), "source_split", "id", size=2, offset=7)
+    back = spark.read.parquet(str(tmp_path / "sh"))
+    assert sorted((r["shard"], r["id"], r["split"], r["speaker_id"], r["n_frames"], r["k_codebooks"]) for r in back.collect()) == [(7 + i // 2, f"a_b_{i:09d}", "a_b", "unknown", 2, 2) for i in range(5)]
+    assert len(list((tmp_path / "sh").rglob("*.parquet"))) == 3
+
+
 def test_code_columns(spark):
     x = lambda codes, f: spark.range(1).select(f(F.lit(codes).cast("array<array<int>>")).alias("x")).first()["x"]
     assert x([[1, 2, 3], [4, 5, 6, 7]], tk.frame_major) == [1, 4, 2, 5, 3, 6]
@@ -156,6 +211,59 @@ def test_completions_retry(spark):
     assert sorted(r["response"] for r in got) == ["P0", "P1", "P2", "P3"]
 
 
+def test_sampled_topics(spark):
+    draw = lambda topics, n, seed=1: {r["request_id"]: r["topics"] for r in generation.sampled_topics(spark.range(40).withColumnRenamed("id", "request_id"), topics, n, seed).collect()}
+    many = [f"t{i}" for i in range(12)]
+    first = draw(many, 5)
+    assert all(len(set(t)) == 5 for t in first.values()) and {x for t in first.values() for x in t} == set(many) and first != draw(many, 5, 2)
+    assert all(len(t) == 3 and set(t) <= {"a", "b"} for t in draw(["a", "b"], 3).values())
+
+
+class _Server(http.server.BaseHTTPRequestHandler):
+    """429 at first, then answers; refuses a wrong key."""
+
+    calls: list = []
+
+    def do_POST(self):
+        body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+        self.calls.append(body)
+        status = 400 if self.headers["Authorization"] != "Bearer k" else 429 if len(self.calls) == 1 else 200
+        topics = [x.split(". ", 1)[1] for x in body["messages"][0]["content"].splitlines() if x[:1].isdigit()]
+        block = "\n".join(f"[S{i % 2 + 1}] {' '.join(['word'] * 10)}." for i in range(4))
+        out = json.dumps({"choices": [{"message": {"content": "\n---\n".join([block, "no script", *[block] * (len(topics) - 2)])}}]}).encode()
+        self.send_response(status)
+        self.end_headers()
+        self.wfile.write(out)
+
+    def log_message(self, *a):
+        pass
+
+
+def test_client(spark, tmp_path, monkeypatch, capfd):
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), _Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    c = Config(buckets=[Bucket("short", 7, 4, 6, 12, 20, 16, 28, 55)])
+    g = c.generation
+    g.base_url, g.model, g.api_key_env, g.api_retry_backoff_sec, g.requests_per_minute, g.conversations_per_request, g.concurrency = f"http://127.0.0.1:{server.server_port}/v1", "m", "TEST_KEY", 0.0, 0, 4, 2
+    g.topics, g.progress_every = [f"topic {i}" for i in range(9)], 5
+    monkeypatch.delenv("TEST_KEY", raising=False)
+    assert client.from_settings(g) is None
+    monkeypatch.setenv("TEST_KEY", "bad")
+    with pytest.raises(RuntimeError, match="status 400"):
+        client.from_settings(g)("1. x")
+    _Server.calls.clear()
+    monkeypatch.setenv("TEST_KEY", "k")
+    path = str(tmp_path / "s")
+    assert generation.generate(spark, c, path, source=generation.client_source(c, client.from_settings(g))) == {"short": 7}
+    rows = files.read_scripts(spark, path).collect()
+    assert len({r["conversation_id"] for r in rows}) == 7 and {r["topic"] for r in rows} <= set(g.topics) and len({r["topic"] for r in rows}) > 1
+    assert spark.read.json(f"{path}.manifest").first().asDict() == {"target": 7, "completed": 7, "failed": 0}
+    told = capfd.readouterr().err
+    assert "accepted 6 of 7; rejected" in told and "completed 6 of 7, 6 in bucket short" in told
+    assert all(b["model"] == "m" and b["max_tokens"] == 4096 for b in _Server.calls)
+    server.shutdown()
+
+
 def test_export(spark, tmp_path):
     for i, who in enumerate(("a", "b")):
         d = tmp_path / "prompts" / f"pair_{i}"
