@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from talkweave.config import DEFAULT_BUCKETS, Bucket, bucket_table
@@ -316,18 +316,27 @@ def rtf_estimate(spark, d):
     return a.select("samples", "turns", F.round(sec, 6).alias("audio_sec"), "frames", F.round(sec / F.greatest(F.col("turns") * F.lit(0.01).cast("double"), F.lit(1e-6)), 6).alias("speed"))
 
 
-# --- codes and sequences: code = (conv_id * 31 + codebook * 17 + frame * 7) % 2048, frames = 5 + conv_id % 11 (the last codebook one more)
+# --- codes and sequences, of embeddings (conv_id is vec_id): the component x at codebook * 17 + frame * 7 (around the vector) gives floor(1024 * x) modulo 2048, and 0 where it is
+# null or not finite; frames = 5 + conv_id % 11 (codebook 15 one more)
 
-CODES_SQL = """cd AS (SELECT conv_id, cb, f AS frame, CAST((conv_id * 31 + cb * 17 + f * 7) % 2048 AS INTEGER) AS code
-  FROM (SELECT DISTINCT conv_id FROM conversations WHERE role IN ('user', 'assistant')), range(16) a(cb), range(16) b(f) WHERE f < 5 + conv_id % 11 + CASE WHEN cb = 15 THEN 1 ELSE 0 END)"""
+
+def codes_sql(k: int = 16) -> str:
+    return f"""cd AS (SELECT conv_id, cb, frame, CAST(((c % 2048) + 2048) % 2048 AS INTEGER) AS code FROM (
+  SELECT conv_id, cb, frame, CAST(floor(1024 * CASE WHEN isfinite(x) THEN CAST(x AS DOUBLE) ELSE 0 END) AS BIGINT) AS c FROM (
+    SELECT vec_id AS conv_id, cb, f AS frame, embedding[1 + (cb * 17 + f * 7) % len(embedding)] AS x FROM embeddings, range({k}) a(cb), range(16) b(f) WHERE f < 5 + vec_id % 11 + CASE WHEN cb = 15 THEN 1 ELSE 0 END)))"""
+
+
+CODES_SQL = codes_sql()
 
 
 def coded(spark, d, k: int = 16) -> DataFrame:
-    ids = raw_turns(spark, d).select("conv_id").distinct()
-    n = 5 + F.col("conv_id") % 11
-    code = lambda cb, f: ((F.col("conv_id") * 31 + cb * 17 + f * 7) % tk.CODES).cast("int")
+    n = 5 + F.col("vec_id") % 11
+    at = lambda cb, f: F.get("embedding", ((cb * 17 + f * 7) % F.size("embedding")).cast("int")).cast("double")
+    finite = lambda x: F.when(F.abs(x) < float("inf"), x).otherwise(0.0)
+    code = lambda cb, f: F.pmod(F.floor(1024 * finite(at(cb, f))), F.lit(tk.CODES)).cast("int")
     row = lambda cb: F.transform(F.sequence(F.lit(0), n - F.when(cb == 15, 0).otherwise(1)), lambda f: code(cb, f))
-    return ids.select("conv_id", n.alias("n_frames"), F.transform(F.sequence(F.lit(0), F.lit(k - 1)), row).alias("codes"))
+    vectors = spark.read.parquet(f"{d}/embeddings.parquet")
+    return vectors.select(F.col("vec_id").alias("conv_id"), n.alias("n_frames"), F.transform(F.sequence(F.lit(0), F.lit(k - 1)), row).alias("codes"))
 
 
 @query(f"WITH {CODES_SQL} SELECT conv_id, string_agg(code, ' ' ORDER BY frame, cb) AS flat FROM cd WHERE cb < 8 GROUP BY conv_id")
@@ -347,8 +356,9 @@ def prev_frame(spark, d):
 
 
 @query(f"""WITH {CODES_SQL}, n AS (SELECT conv_id, conv_id // 8 AS batch, least(5 + conv_id % 11, min(m)) AS own FROM (SELECT conv_id, cb, count(*) AS m FROM cd GROUP BY ALL) GROUP BY conv_id),
-f AS (SELECT *, least(max(own) OVER (PARTITION BY batch), 12) AS frames FROM n)
-SELECT conv_id, batch, frames, (SELECT string_agg(CASE WHEN i < own THEN CAST((conv_id * 31 + i * 7) % 2048 AS VARCHAR) ELSE '-100' END, ' ' ORDER BY i) FROM range(16) r(i) WHERE i < frames) AS first_codes,
+z AS (SELECT conv_id, list(code ORDER BY frame) AS l FROM cd WHERE cb = 0 GROUP BY conv_id),
+f AS (SELECT *, least(max(own) OVER (PARTITION BY batch), 12) AS frames FROM n JOIN z USING (conv_id))
+SELECT conv_id, batch, frames, (SELECT string_agg(CASE WHEN i < own THEN CAST(l[i + 1] AS VARCHAR) ELSE '-100' END, ' ' ORDER BY i) FROM range(16) r(i) WHERE i < frames) AS first_codes,
        least(own, frames) AS kept FROM f""")
 def collate_mask(spark, d):
     out = corpus.collated(coded(spark, d), F.floor(F.col("conv_id") / 8), budget=12)
@@ -360,11 +370,11 @@ tx AS (SELECT conv_id, string_agg('<|s' || right(speaker, 1) || '_text|> ' || ar
 cs AS (SELECT conv_id, string_agg('<|mimi_' || code || '|>', ' ' ORDER BY frame, cb) AS b, count(*) AS k FROM cd WHERE cb < 8 GROUP BY conv_id)"""
 
 
-def _sequences(spark, d) -> DataFrame:
+def _sequences(spark, d, codes: Column | None = None) -> DataFrame:
     t = F.struct("turn", F.when(F.col("speaker") == "S0", 0).otherwise(1).alias("speaker"), "text")
     nested = raw_turns(spark, d).groupBy("conv_id").agg(F.array_sort(F.collect_list(t)).alias("turns"))
-    codes = coded(spark, d).select("conv_id", tk.first_codebooks(F.col("codes"), 8).alias("codes_training"))
-    return corpus.sequences(codes, nested, ["conv_id"])
+    codes = tk.first_codebooks(F.col("codes"), 8) if codes is None else codes
+    return corpus.sequences(coded(spark, d).select("conv_id", codes.alias("codes_training")), nested, ["conv_id"])
 
 
 @query(f"WITH {SEQUENCE_SQL} SELECT conv_id, md5(a || ' ' || b) AS tokens_md5, n + k AS n_tokens FROM tx JOIN cs USING (conv_id)")
@@ -372,13 +382,16 @@ def training_sequence(spark, d):
     return _sequences(spark, d).select("conv_id", F.md5(F.array_join("tokens", " ")).alias("tokens_md5"), F.size("tokens").cast("long").alias("n_tokens"))
 
 
-@query(f"WITH {SEQUENCE_SQL} SELECT conv_id, n + k AS mask_size, k AS mask_sum, 0 AS n_faults FROM tx JOIN cs USING (conv_id)")
+@query(f"""WITH {SEQUENCE_SQL}, kept AS (SELECT conv_id, n, CASE WHEN conv_id % 5 = 0 THEN 0 ELSE k END AS k FROM tx JOIN cs USING (conv_id))
+SELECT conv_id, n + k AS mask_size, k AS mask_sum, CASE WHEN n + k = 0 THEN 1 ELSE 0 END + CASE WHEN k = 0 THEN 1 ELSE 0 END AS n_faults FROM kept""")
 def mask_totals(spark, d):
-    s = _sequences(spark, d)
+    """Every fifth conversation loses its codes, so that its mask has nothing to train on."""
+    s = _sequences(spark, d, F.when(F.col("conv_id") % 5 == 0, F.array().cast("array<array<int>>")).otherwise(tk.first_codebooks(F.col("codes"), 8)))
     return s.select("conv_id", F.size("loss_mask").cast("long").alias("mask_size"), F.aggregate("loss_mask", F.lit(0).cast("long"), lambda a, v: a + v).alias("mask_sum"), F.size(validate.sequence_faults(F.col("tokens"), F.col("loss_mask"))).alias("n_faults"))
 
 
-@query("SELECT DISTINCT conv_id, 5 + conv_id % 11 AS n_frames, conv_id % 9 <> 0 AND conv_id % 10 <> 0 AS valid FROM conversations WHERE role IN ('user', 'assistant')")
+@query(f"""WITH {codes_sql(32)}, s AS (SELECT conv_id, cb, frame, code + CASE WHEN conv_id % 9 <> 0 AND conv_id % 10 = 0 THEN 2048 ELSE 0 END AS code FROM cd WHERE NOT (conv_id % 9 = 0 AND cb = 31))
+SELECT conv_id, 5 + conv_id % 11 AS n_frames, count(DISTINCT cb) = 32 AND bool_and(code BETWEEN 0 AND 2047) AND count(*) FILTER (WHERE cb = 0) = 5 + conv_id % 11 AS valid FROM s GROUP BY conv_id""")
 def codec_row_checks(spark, d):
     rows = coded(spark, d, 32)
     spoiled_ = F.when(F.col("conv_id") % 9 == 0, F.slice("codes", 1, 31)).when(F.col("conv_id") % 10 == 0, F.transform("codes", lambda c: F.transform(c, lambda v: v + tk.CODES))).otherwise(F.col("codes"))
