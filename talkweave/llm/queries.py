@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from talkweave.llm import near_dedup, suffix_dedup, topk, warc
+from talkweave.llm import line_dedup, near_dedup, suffix_dedup, topk, warc
 from talkweave.llm.bpe import op10_bpe
 from talkweave.llm.html_text import op2_html
 from talkweave.llm.langid import op8_langid
@@ -18,8 +18,14 @@ from talkweave.llm.suffix_dedup import op5_suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_media, op2_html, topk.op3_topk, op4_near_dedup, op5_suffix_dedup, op6_packing, op7_pii, op8_langid, warc.op9_warc, op10_bpe)}
+    return {f.__name__: f for f in (op1_media, op2_html, topk.op3_topk, op4_near_dedup, op5_suffix_dedup, op6_packing, op7_pii, op8_langid, warc.op9_warc, op10_bpe, line_dedup.op13_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": topk.ORACLE_SQL, "op4_near_dedup": near_dedup.ORACLE_SQL, "op5_suffix_dedup": suffix_dedup.ORACLE_SQL, "op9_warc": warc.ORACLE_SQL}
+    return {
+        "op3_topk": topk.ORACLE_SQL,
+        "op4_near_dedup": near_dedup.ORACLE_SQL,
+        "op5_suffix_dedup": suffix_dedup.ORACLE_SQL,
+        "op9_warc": warc.ORACLE_SQL,
+        "op13_line_dedup": line_dedup.ORACLE_SQL,
+    }
