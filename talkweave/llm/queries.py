@@ -14,11 +14,12 @@ from talkweave.llm.media import op1_media
 from talkweave.llm.near_dedup import op4_near_dedup
 from talkweave.llm.packing import op6_packing
 from talkweave.llm.pii import op7_pii
+from talkweave.llm.resample import op11_resample
 from talkweave.llm.suffix_dedup import op5_suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_media, op2_html, topk.op3_topk, op4_near_dedup, op5_suffix_dedup, op6_packing, op7_pii, op8_langid, warc.op9_warc, op10_bpe, line_dedup.op13_line_dedup)}
+    return {f.__name__: f for f in (op1_media, op2_html, topk.op3_topk, op4_near_dedup, op5_suffix_dedup, op6_packing, op7_pii, op8_langid, warc.op9_warc, op10_bpe, op11_resample, line_dedup.op13_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
