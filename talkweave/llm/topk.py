@@ -1,12 +1,13 @@
 """Exact top-k inner-product search by the threshold algorithm.
 
-Candidates are searched where they lie, in blocks of rows. A block keeps one list per dimension, sorted by that component.
+Candidates are searched where the grid of vectors.py brings them, in blocks of rows. A block keeps one list per dimension, sorted by that component.
 A query goes down all lists at once, from the end that its own component favours, and scores the rows that it meets. The
 components at the depth reached bound the score of every row not yet met; when this bound is less than the
-k-th score so far, the rest of the block can't enter the result. The k-th score is carried from block to block.
+k-th score so far, the rest of the block can't enter the result. The k-th score is carried from block to block, and all but the first chunk of rows begin with
+that of the first.
 
-Queries are a stated set. They are sent in groups of about ``QUERY_BYTES``, so a broadcast has a fixed bound however
-many there are and however long; each task returns k rows a query at most, which are merged by query.
+Queries are a stated set; they are dealt into groups and meet the chunks of rows in the cells of the grid, so nothing goes through the driver. A cell returns k
+rows a query at most, which are merged by query.
 
 Scores are exact: they are computed in floating point where every sum stays below 2^53, and in 64-bit integers beyond. A score that
 could leave 64 bits is an error, as there is no column to hold it.
@@ -19,54 +20,27 @@ are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from talkweave.llm.common import bounded_batches, table
+from talkweave.llm.common import stored, table
+from talkweave.llm.vectors import Scores, grid, merged, prepared, searched
 
-QUERY_BYTES = 32 << 20
-BLOCK_ROWS = 8192
 #: Rows of each list in the first step down; each next step goes four times as deep.
 FIRST_DEPTH = 16
 
 
-def quantised(column: pa.Array, ids: pa.Array, scale: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, floor(scale * x)) of the rows that take part, by length of vector."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    flat = column.flatten()
-    starts = np.concatenate(([0], np.cumsum(np.where(column.is_null().to_numpy(zero_copy_only=False), 0, column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))).astype(np.int64)
-    x = flat.cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False)
-    bad = np.concatenate(([0], np.cumsum(~np.isfinite(x))))
-    size = np.diff(starts)
-    good = (size > 0) & (bad[starts[1:]] == bad[starts[:-1]]) & ~ids.is_null().to_numpy(zero_copy_only=False)
-    key = ids.fill_null(0).to_numpy(zero_copy_only=False)
-    for d in np.unique(size[good]):
-        rows = np.flatnonzero(good & (size == d))
-        yield key[rows], np.floor(scale * x[starts[rows][:, None] + np.arange(d)])
-
-
-class Block:
+class Block(Scores):
     def __init__(self, ids: np.ndarray, x: np.ndarray):
-        self.ids, self.x = ids, x
+        super().__init__(x)
+        self.ids = ids
         self.lists = np.argsort(x, axis=0, kind="stable").T  # by dimension, ascending
-        self.largest = float(np.abs(x).max()) * x.shape[1] if x.size else 0.0
-        self.whole: np.ndarray | None = None
 
-    def search(self, q: np.ndarray, own: int, k: int, ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """ids, scores: the best so far, the best first; returns the new ones."""
+    def search(self, q: np.ndarray, own: int, k: int, ids: np.ndarray, scores: np.ndarray, least: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """ids, scores: the best so far, the best first; returns the new ones. Rows below ``least`` aren't wanted."""
         n, dims = self.x.shape
-        x, most = self.x, self.largest * float(np.abs(q).max())
-        if most >= 2.0**53:
-            if most >= 2.0**63:
-                raise OverflowError("scores of these vectors may need more than 64 bits")
-            if self.whole is None:
-                self.whole = self.x.astype(np.int64)
-            x, q = self.whole, q.astype(np.int64)
+        x, q = self.exact(q)
         up = np.where(q > 0, -1, 1)  # from which end
         met = np.zeros(n, bool)
         met[self.ids == own] = True
@@ -81,70 +55,48 @@ class Block:
             new &= ~met
             met |= new
             rows = np.flatnonzero(new)
+            if len(scores) == k:
+                least = max(least, scores[-1])
             if len(rows):
                 s = x[rows] @ q
+                ids, scores = merged(ids, scores, self.ids[rows[s >= least]], s[s >= least], k)
                 if len(scores) == k:
-                    rows, s = rows[s >= scores[-1]], s[s >= scores[-1]]
-                ids, scores = np.concatenate((ids, self.ids[rows])), np.concatenate((scores.astype(s.dtype), s))
-                best = np.lexsort((ids, -scores))[:k]
-                ids, scores = ids[best], scores[best]
+                    least = max(least, scores[-1])
             edge = x[np.where(up > 0, self.lists[:, to - 1], self.lists[:, n - to]), every]
-            if len(scores) == k and edge @ q < scores[-1]:
+            if edge @ q < least:
                 break
             at, depth = to, 4 * depth
         return ids, scores
 
 
+class TopK:
+    """given: the first bound, if there is one."""
+
+    def __init__(self, k: int, keys: np.ndarray, ids: np.ndarray, labels: np.ndarray, x: np.ndarray, given: list):
+        self.k, self.keys, self.ids, self.x = k, keys, ids, x
+        self.least = [g[0] if g else -np.inf for g in given]
+        self.best = [(np.empty(0, np.int64), np.empty(0))] * len(ids)
+
+    def block(self, ids: np.ndarray, labels: np.ndarray, x: np.ndarray) -> None:
+        block = Block(ids, x)
+        self.best = [block.search(q, own, self.k, *b, least) for q, own, b, least in zip(self.x, self.ids, self.best, self.least)]
+
+    def found(self) -> list[tuple]:
+        return [(int(key), int(own), int(i), int(s)) for key, own, best in zip(self.keys, self.ids, self.best) for i, s in zip(*best)]
+
+
 def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, scale: int = 1024) -> DataFrame:
     """query_id, rank, vec_id and score of the k best rows for each row where ``is_query`` holds."""
-    spark = df.sparkSession
-    bounded_batches(spark)
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"), is_query.alias("asked"))
-    asked = rows.where("asked").select("id", "x")
-    size = asked.agg(F.sum(F.coalesce(F.size("x"), F.lit(0)) * 8).alias("n")).first()["n"] or 0
-    groups = max(1, -(-size // QUERY_BYTES))
-    parts = []
-    for g in range(groups):
-        part = asked if groups == 1 else asked.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(groups)) == g)
-        parts.append(_answers(spark, part.toArrow(), rows.select("id", "x"), k, scale).withColumn("part", F.lit(g)))
-    found = reduce(DataFrame.unionAll, parts)
-    order = Window.partitionBy("part", "query").orderBy(F.desc("score"), "vec_id")
+    queries, rows, groups, chunks = grid(prepared(df, F.col(id_col), F.col(vector_col), F.lit(None), is_query, scale))
+    cells = lambda asked, which: searched(asked, rows, groups, which, lambda *q: TopK(k, *q), "key long, query_id long, vec_id long, score long", ["key", "query_id", "vec_id", "score"])
+    found = stored(cells(queries.withColumn("given", F.array().cast("array<long>")), range(1)))
+    if chunks > 1:
+        bounds = found.groupBy("key").agg(F.when(F.count("*") >= k, F.array(F.min("score"))).alias("given"))
+        found = found.unionAll(cells(queries.join(bounds, "key", "left"), range(1, chunks)))
+    order = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _answers(spark: SparkSession, asked: pa.Table, rows: DataFrame, k: int, scale: int) -> DataFrame:
-    by_size = {x.shape[1]: (ids, x) for ids, x in quantised(asked["x"], asked["id"].combine_chunks(), scale)} if asked.num_rows else {}
-    sent = spark.sparkContext.broadcast(by_size)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries = sent.value
-        best = {d: [(np.empty(0, np.int64), np.empty(0))] * len(ids) for d, (ids, _) in queries.items()}
-        waiting: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {d: [] for d in queries}
-
-        def flush(d: int) -> None:
-            block = Block(*map(np.concatenate, zip(*waiting[d])))
-            waiting[d] = []
-            ids, xs = queries[d]
-            best[d] = [block.search(q, own, k, *b) for q, own, b in zip(xs, ids, best[d])]
-
-        for b in batches:
-            for ids, x in quantised(b.column(1), b.column(0), scale):
-                if (d := x.shape[1]) in queries:
-                    waiting[d].append((ids, x))
-                    if sum(map(len, (i for i, _ in waiting[d]))) >= BLOCK_ROWS:
-                        flush(d)
-        for d in queries:
-            if waiting[d]:
-                flush(d)
-            for n, (own, (ids, scores)) in enumerate(zip(queries[d][0], best[d])):
-                if len(ids):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([f"{d}/{n}"] * len(ids)), pa.array([int(own)] * len(ids), pa.int64()), pa.array(ids, pa.int64()), pa.array(scores.astype(np.int64))], ["query", "query_id", "vec_id", "score"]
-                    )
-
-    return rows.mapInArrow(run, "query string, query_id long, vec_id long, score long")
-
-
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
