@@ -50,6 +50,35 @@ def codebook_report(codes: DataFrame) -> DataFrame:
     )
 
 
+def code_runs(codes: DataFrame, id_col: str = "conv_id") -> DataFrame:
+    """Runs of equal codes in a codebook of a row: id, cb, start, code, length. Gaps and islands: a run begins where the code isn't that of the frame before; its number is
+    a running count of such beginnings."""
+    by = Window.partitionBy(id_col, "cb").orderBy("frame")
+    begins = F.coalesce((F.col("code") != F.lag("code").over(by)) | (F.col("frame") != F.lag("frame").over(by) + 1), F.lit(True))
+    numbered = codes.withColumn("begins", begins.cast("int")).withColumn("island", F.sum("begins").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(id_col, "cb", "island").agg(F.min("frame").alias("start"), F.min("code").alias("code"), F.count("*").alias("length")).drop("island")
+
+
+def frame_runs(rows: DataFrame, id_col: str = "conv_id") -> DataFrame:
+    """Runs of equal whole frames: id, start, length; only those of two frames or more. Frames go as far as the shortest codebook."""
+    some = rows.where(tk.shortest(F.col("codes")) > 0)
+    each = some.select(id_col, F.posexplode(F.transform(F.sequence(F.lit(0), tk.shortest(F.col("codes")) - 1), lambda f: F.transform("codes", lambda c: F.get(c, f)))).alias("frame", "whole"))
+    by = Window.partitionBy(id_col).orderBy("frame")
+    begins = F.coalesce(F.col("whole") != F.lag("whole").over(by), F.lit(True))
+    numbered = each.select(id_col, "frame", begins.cast("int").alias("begins")).withColumn("island", F.sum("begins").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(id_col, "island").agg(F.min("frame").alias("start"), F.count("*").alias("length")).where("length > 1").drop("island")
+
+
+def collapse_report(codes: DataFrame, id_col: str = "conv_id") -> DataFrame:
+    """By codebook: n codes, distinct ones, n_runs, longest run, in_repeats (codes that lie in runs of two or more), top (how often the most frequent code occurs) and entropy in bits. Counts by
+    code are summed up in parts, so one codebook isn't one task's."""
+    counts = codes.groupBy("cb", "code").agg(F.count("*").alias("k"))
+    sums = counts.groupBy("cb").agg(F.sum("k").alias("n"), F.count("*").alias("distinct_codes"), F.max("k").alias("top"), F.sum(F.col("k") * F.log2(F.col("k"))).alias("s"))
+    runs = code_runs(codes, id_col).groupBy("cb").agg(F.count("*").alias("n_runs"), F.max("length").alias("longest"), F.sum(F.when(F.col("length") > 1, F.col("length")).otherwise(0)).alias("in_repeats"))
+    entropy = F.log2(F.col("n")) - F.col("s") / F.col("n")
+    return sums.join(runs, "cb").select("cb", "n", "distinct_codes", "top", "n_runs", "longest", "in_repeats", entropy.alias("entropy"))
+
+
 def weighted_loss(losses: DataFrame, first_weight: float = 8.0) -> DataFrame:
     """losses: cb, loss. The mean over codebooks, the first weighing more."""
     w = F.when(F.col("cb") == 0, F.lit(first_weight)).otherwise(F.lit(1.0))

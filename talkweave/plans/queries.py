@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from talkweave.config import DEFAULT_BUCKETS, Bucket, bucket_table
 from talkweave.functions import text as tx
 from talkweave.functions import tokens as tk
-from talkweave.operators import corpus, dialogue, generation, rules, validate
+from talkweave.operators import corpus, dialogue, duplex, generation, quantiles, rules, validate
 from talkweave.operators.ordinal import ordinal, ordinal_within
 from talkweave.operators.rules import judged_turns
 
@@ -487,3 +487,101 @@ def eval_loss(spark, d):
 def progress_marks(spark, d):
     pages = ordinal(spark.read.parquet(f"{d}/pages.parquet").select("page_id", "url"), "page_id")
     return pages.select("page_id", tx.safe_split(F.col("url")).alias("name"), tx.next_mark(F.col("idx"), 500).alias("mark"))
+
+
+# --- two channels, on the planned conversations with their shift
+
+
+SEGMENTS_SQL = f"""{SHIFTED_SQL},
+said AS (SELECT * FROM st WHERE end_ms > start_ms),
+mo AS (SELECT conv_id, mo_ms, sum(u) AS u, sum(a) AS a FROM (
+  SELECT conv_id, start_ms AS mo_ms, CASE speaker WHEN 'S0' THEN 1 ELSE 0 END AS u, CASE speaker WHEN 'S1' THEN 1 ELSE 0 END AS a FROM said
+  UNION ALL SELECT conv_id, end_ms, CASE speaker WHEN 'S0' THEN -1 ELSE 0 END, CASE speaker WHEN 'S1' THEN -1 ELSE 0 END FROM said
+  UNION ALL SELECT conv_id, 0, 0, 0 FROM said) GROUP BY conv_id, mo_ms),
+sw AS (SELECT conv_id, mo_ms, sum(u) OVER w > 0 AS u, sum(a) OVER w > 0 AS a, max(mo_ms) OVER (PARTITION BY conv_id) AS fin FROM mo WINDOW w AS (PARTITION BY conv_id ORDER BY mo_ms)),
+sx AS (SELECT *, lag(u) OVER w AS pu, lag(a) OVER w AS pa FROM sw WINDOW w AS (PARTITION BY conv_id ORDER BY mo_ms)),
+sc AS (SELECT conv_id, mo_ms AS start_ms, lead(mo_ms) OVER (PARTITION BY conv_id ORDER BY mo_ms) AS end_ms, u, a FROM sx WHERE pu IS NULL OR pu <> u OR pa <> a OR mo_ms = fin),
+sn AS (SELECT *, CASE WHEN u AND a THEN 'B' WHEN u THEN 'U' WHEN a THEN 'A' ELSE 'N' END AS s FROM sc WHERE end_ms IS NOT NULL),
+sl AS (SELECT *, lag(s) OVER w AS p, lag(s, 2) OVER w AS pp, lead(s) OVER w AS n, row_number() OVER w - 1 AS seq FROM sn WINDOW w AS (PARTITION BY conv_id ORDER BY start_ms)),
+sg AS (SELECT conv_id, seq, start_ms, end_ms, u AS user, a AS assistant, CASE
+  WHEN s = 'N' THEN 'silence'
+  WHEN s = 'B' AND (p IS NULL OR p NOT IN ('U', 'A')) THEN 'simultaneous_start'
+  WHEN s = 'B' AND n IN ('U', 'A') AND n <> p THEN 'interruption'
+  WHEN s = 'B' THEN 'backchannel'
+  WHEN p = 'B' AND pp = s THEN 'continue_speaking'
+  WHEN p = 'B' THEN 'yield'
+  ELSE 'normal_turn' END AS label FROM sl)"""
+RESPONSES_SQL = f"""{SEGMENTS_SQL},
+us AS (SELECT conv_id, start_ms AS user_start_ms, arg_max(turn, turn) AS user_turn, arg_max(end_ms, turn) AS user_end_ms FROM said WHERE speaker = 'S0' GROUP BY ALL),
+re AS (SELECT o.conv_id, o.turn, o.start_ms, user_turn, user_end_ms, o.start_ms - user_end_ms AS latency_ms, coalesce(o.start_ms < user_end_ms, false) AS interrupts
+  FROM (SELECT * FROM said WHERE speaker = 'S1') o ASOF LEFT JOIN us ON o.conv_id = us.conv_id AND o.start_ms >= us.user_start_ms)"""
+
+
+@query(f"WITH {SEGMENTS_SQL} SELECT * FROM sg")
+def duplex_segments(spark, d):
+    return duplex.segments(_shifted(spark, d))
+
+
+@query(f"WITH {SEGMENTS_SQL} SELECT label, count(*) AS n, CAST(sum(end_ms - start_ms) AS BIGINT) AS total_ms, count(DISTINCT conv_id) AS conversations FROM sg GROUP BY label")
+def duplex_labels(spark, d):
+    s = duplex.segments(_shifted(spark, d))
+    return s.groupBy("label").agg(F.count("*").alias("n"), F.sum(F.col("end_ms") - F.col("start_ms")).alias("total_ms"), F.countDistinct("conv_id").alias("conversations"))
+
+
+@query(f"WITH {RESPONSES_SQL} SELECT * FROM re")
+def turn_latency(spark, d):
+    """Recordings are cut into stretches of 20 seconds, as long ones of a corpus would be."""
+    return duplex.responses(_shifted(spark, d), width=20_000)
+
+
+@query(f"""WITH {RESPONSES_SQL},
+fi AS (SELECT conv_id, user_turn, count(*) AS starts, count(*) FILTER (WHERE interrupts) AS early, min(latency_ms) FILTER (WHERE NOT interrupts AND user_turn IS NOT NULL) AS ms FROM re GROUP BY ALL),
+an AS (SELECT conv_id, sum(starts) AS assistant_turns, sum(early) AS false_interruptions, count(ms) AS answered, sum(ms) AS latency_ms, min(ms) AS least_ms, max(ms) AS most_ms FROM fi GROUP BY conv_id),
+uc AS (SELECT conv_id, count(*) FILTER (WHERE speaker = 'S0') AS user_turns FROM said GROUP BY conv_id),
+ut AS (SELECT conv_id, sum(end_ms - start_ms) AS user_ms, sum(CASE WHEN assistant THEN 0 ELSE end_ms - start_ms END) AS silent_ms FROM sg WHERE user GROUP BY conv_id)
+SELECT conv_id, user_turns, CAST(coalesce(assistant_turns, 0) AS BIGINT) AS assistant_turns, CAST(coalesce(false_interruptions, 0) AS BIGINT) AS false_interruptions, coalesce(answered, 0) AS answered,
+  CAST(coalesce(latency_ms, 0) AS BIGINT) AS latency_ms, least_ms, most_ms, CAST(coalesce(user_ms, 0) AS BIGINT) AS user_ms, CAST(coalesce(silent_ms, 0) AS BIGINT) AS silent_ms
+FROM uc LEFT JOIN an USING (conv_id) LEFT JOIN ut USING (conv_id)""")
+def turn_taking(spark, d):
+    return duplex.turn_taking(_shifted(spark, d))
+
+
+def _least_sql(x: str) -> str:
+    """The least number of the bucket of x."""
+    shift = f"greatest(0, length(bin({x})) - 6)"
+    return f"(({x} >> {shift}) << {shift})"
+
+
+@query(f"""WITH {SEGMENTS_SQL}, ov AS (SELECT label, end_ms - start_ms AS ms FROM sg WHERE user AND assistant),
+ra AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY ms) AS r, count(*) OVER (PARTITION BY label) AS n FROM ov)
+SELECT label, any_value(n) AS n, {", ".join(f"min({_least_sql('ms')}) FILTER (WHERE r * 1000 >= n * {q}) AS p{q}" for q in (100, 500, 900, 990))}, count(*) FILTER (WHERE ms > 1000) AS failed_to_stop FROM ra GROUP BY label""")
+def overlap_quantiles(spark, d):
+    """Of how long both speak, by label; the SQL ranks all rows."""
+    o = duplex.overlaps(_shifted(spark, d))
+    failed = o.groupBy("label").agg(F.sum(F.col("failed_to_stop").cast("long")).alias("failed_to_stop"))
+    return quantiles.quantiles(quantiles.sketch(o, "overlap_ms", "label"), 100, 500, 900, 990).join(failed, "label")
+
+
+RUNS_SQL = f"""{CODES_SQL},
+ru AS (SELECT *, sum(CASE WHEN code = pc AND frame = pf + 1 THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id, cb ORDER BY frame) AS island
+  FROM (SELECT *, lag(code) OVER w AS pc, lag(frame) OVER w AS pf FROM cd WINDOW w AS (PARTITION BY conv_id, cb ORDER BY frame))),
+rl AS (SELECT conv_id, cb, min(frame) AS start, min(code) AS code, count(*) AS length FROM ru GROUP BY conv_id, cb, island)"""
+
+
+def coarse(spark, d) -> DataFrame:
+    """Codes in steps of 512, so that frames repeat."""
+    return corpus.long_codes(coded(spark, d).withColumn("codes", F.transform("codes", lambda c: F.transform(c, lambda v: F.floor(v / 512).cast("int")))))
+
+
+@query(f"WITH {RUNS_SQL.replace('AS INTEGER) AS code', 'AS INTEGER) // 512 AS code')} SELECT cb, conv_id, start, code, length FROM rl WHERE length > 1")
+def code_runs(spark, d):
+    return corpus.code_runs(coarse(spark, d)).where("length > 1").select(F.col("cb").cast("long").alias("cb"), "conv_id", F.col("start").cast("long").alias("start"), "code", "length")
+
+
+@query(f"""WITH {RUNS_SQL.replace('AS INTEGER) AS code', 'AS INTEGER) // 512 AS code')},
+co AS (SELECT cb, code, count(*) AS k FROM cd GROUP BY ALL),
+su AS (SELECT cb, CAST(sum(k) AS BIGINT) AS n, count(*) AS distinct_codes, max(k) AS top, sum(k * log2(k)) AS s FROM co GROUP BY cb),
+rs AS (SELECT cb, count(*) AS n_runs, max(length) AS longest, CAST(sum(CASE WHEN length > 1 THEN length ELSE 0 END) AS BIGINT) AS in_repeats FROM rl GROUP BY cb)
+SELECT cb, n, distinct_codes, top, n_runs, longest, in_repeats, round(log2(n) - s / n, 6) AS entropy FROM su JOIN rs USING (cb)""")
+def collapse_report(spark, d):
+    return corpus.collapse_report(coarse(spark, d)).withColumns({"cb": F.col("cb").cast("long"), "entropy": F.round("entropy", 6)})
