@@ -3,9 +3,10 @@
 A tokenizer feeds a tree builder, which opens and closes tags that authors may leave out (html, head, body, p, li, dt, dd,
 option, table sections, rows and cells). A renderer walks the tree without recursion and emits the visible text: blocks stand
 on lines of their own, paragraphs apart by an empty line, list items behind a bullet or number and indented, table
-cells in aligned columns, preformatted text as it is. Invisible are head, scripts and the like, and elements that an
-attribute, a style or a simple rule of a style sheet hides: of the simple rules for an element the one that browsers
-prefer. Rules in media blocks count where the block applies to a screen of 1280 x 800 pixels; blocks with a condition
+cells in aligned columns, preformatted text as it is, form fields as the text that they show. Invisible are head, scripts and the like, and elements that an
+attribute, a style or a rule of a style sheet hides: of the rules for an element the one that browsers
+prefer. Rules are known by tags, classes, ids and attributes, of the element, its parents and ancestors; others, of states or siblings, don't count. What is
+hidden by display stays so with all that is in it; visibility can be given back inside. Rules in media blocks count where the block applies to a screen of 1280 x 800 pixels; blocks with a condition
 that isn't known don't count. Of SVG the text elements and foreign objects are visible, of MathML all but annotations.
 
 Elements may be nested to any depth, and the work is linear in a page's length. Only the layout is bounded: lists beyond INDENTS levels are not indented
@@ -22,6 +23,7 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
@@ -60,12 +62,19 @@ REACHING = 1000
 #: The largest spans of a cell, as in browsers.
 SPANS = {"colspan": 1000, "rowspan": 65534}
 
-TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])))*+)>")
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+# A tag as the standard's tokenizer reads it: names end at space, slash, > and =; a value is quoted, or goes to the next space or >.
+_W, _VALUE = r"[ \t\n\f\r]", r"\"[^\"]*+\"|'[^']*+'|(?=>)|(?![\"'])[^ \t\n\f\r>]++"
+TAG = re.compile(rf"<(/?)([a-zA-Z][^ \t\n\f\r/>]*+)((?:(?:{_W}|/)++|[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+(?:{_W}*+={_W}*+(?:{_VALUE})|(?!{_W}*+=)))*+)>")
+ATTRIBUTE = re.compile(rf"([^ \t\n\f\r/>][^ \t\n\f\r/>=]*+)(?:{_W}*+={_W}*+({_VALUE}|$))?+")
+END = {tag: re.compile(rf"</{tag}(?=[ \t\n\f\r/>])", re.I | re.A) for tag in RAW}
+COMMENT = re.compile(r"<!--(?:-?>|.*?--!?>)", re.S)
+# Types of input that show no value of theirs.
+BLANK = frozenset("hidden checkbox radio file image password color range".split())
 SHEET = re.compile(r"\"(?:[^\"\\\n]|\\.)*+\"?|'(?:[^'\\\n]|\\.)*+'?|[{};]", re.S)
 SHOWN = re.compile(r"\s*(display|visibility)\s*:\s*([a-z-]+(?:\s+[a-z-]+)*)\s*(!\s*important)?\s*", re.I)
-SIMPLE = re.compile(r"[a-zA-Z][\w-]*|[.#][\w-]+")
+COMPOUND = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+|\[[^\]]*\])*)")
+PIECE = re.compile(r"([.#])([\w-]+)|\[\s*([\w-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([\w-]+))\s*)?\]")
+PART = re.compile(r">|(?:\[[^\]]*\]|[^\s>\[])+")
 # A screen, for media blocks.
 SIZES = {"width": 1280, "height": 800}
 UNITS = {"px": 1, "em": 16, "rem": 16, "pt": 4 / 3, "": 1}
@@ -89,6 +98,72 @@ def _feature(x: str) -> bool | None:
     return FEATURES[name] == (value or FEATURES[name]) if name in FEATURES else None
 
 
+class Compound:
+    """What one element must be: keys (a tag, .class or #id) and attributes, each with a value or any."""
+
+    def __init__(self, keys: list[str], attrs: list[tuple[str, str | None]], child: bool):
+        self.keys, self.attrs, self.child = keys, attrs, child  # child: directly below the one before
+
+    def fits(self, node: Node, keys: set[str]) -> bool:
+        return keys.issuperset(self.keys) and all(k in node.attrs and v in (None, node.attrs[k]) for k, v in self.attrs)
+
+
+def selector(text: str) -> list[Compound] | None:
+    """The compounds of a selector, the element's own last; None if it isn't known."""
+    out, child = [], False
+    for part in PART.findall(text):
+        if part == ">":
+            if child or not out:
+                return None
+            child = True
+            continue
+        m = COMPOUND.fullmatch(part)
+        pieces = list(PIECE.finditer(m[2])) if m else []
+        if not m or "".join(x[0] for x in pieces) != m[2]:
+            return None
+        keys = [m[1].lower()] if m[1] and m[1] != "*" else []
+        keys += [x[1] + x[2] for x in pieces if x[1]]
+        out.append(Compound(keys, [(x[3].lower(), next((v for v in x.groups()[3:] if v is not None), None)) for x in pieces if x[3]], child))
+        child = False
+    return out if out and not child else None
+
+
+def _keys(node: Node) -> set[str]:
+    a = node.attrs
+    return {node.tag, "#" + a.get("id", ""), *("." + c for c in a.get("class", "").split())}
+
+
+class Path:
+    """The open elements, the outermost first, and how many of them have each key."""
+
+    def __init__(self) -> None:
+        self.nodes: list[tuple[Node, set[str]]] = []
+        self.count: Counter[str] = Counter()
+
+    def enter(self, node: Node, keys: set[str]) -> None:
+        self.nodes.append((node, keys))
+        self.count.update(keys)
+
+    def leave(self) -> None:
+        self.count.subtract(self.nodes.pop()[1])
+
+    def fits(self, parts: list[Compound], node: Node, keys: set[str]) -> bool:
+        *above, own = parts
+        if not own.fits(node, keys):
+            return False
+        if not above:
+            return True
+        if not all(self.count[k] > 0 for x in above for k in x.keys):
+            return False
+        if len(above) == 1 and not own.child and len(above[0].keys) == 1 and not above[0].attrs:
+            return True
+        ever, just = [False] * len(above), [False] * len(above)  # whether the parts up to each fit, ending anywhere above or right here
+        for x, x_keys in self.nodes:
+            just = [c.fits(x, x_keys) and (i == 0 or (just if c.child else ever)[i - 1]) for i, c in enumerate(above)]
+            ever = [a or b for a, b in zip(ever, just)]
+        return (just if own.child else ever)[-1]
+
+
 def _without_comments(sheet: str) -> str:
     """An unclosed comment takes the rest."""
     out, at = [], 0
@@ -127,8 +202,8 @@ def _attributes(text: str) -> dict[str, str]:
     if not text.strip(" \t\n\r\f/"):
         return {}
     out: dict[str, str] = {}
-    for name, *values in ATTRIBUTE.findall(text):
-        out.setdefault(name.lower(), html.unescape(values[0] or values[1] or values[2]))
+    for name, value in ATTRIBUTE.findall(text):
+        out.setdefault(name.lower(), html.unescape(value[1:-1] if value[:1] in ("'", '"') else value))
     return out
 
 
@@ -138,7 +213,8 @@ class Builder:
         self.stack = [self.root]
         self.names = ["html"]
         self.places: dict[str, list[int]] = {}  # where the open elements of each name stand in the stack
-        self.shown: dict[str, dict[str, tuple[bool, int, int, bool]]] = {}  # by simple selector and property, the rule that wins: important, kind, place, hides
+        self.simple: dict[str, dict[str, Rule]] = {}  # of selectors of one key, by key and property the rule that wins
+        self.rest: dict[str, list[tuple[list[Compound], str, Rule]]] = {}  # other selectors and rules, by a key of the element ("" if it has none)
         self.rules = 0
 
     def push(self, tag: str, attrs: dict[str, str] | None = None) -> None:
@@ -238,20 +314,25 @@ class Builder:
         """Whether what comes next stands in SVG or MathML, where any tag can close itself."""
         return self.last(("svg", "math")) > self.last(POINT)
 
-    def declare(self, selectors: list[str], declaration: str) -> None:
+    def declare(self, selectors: list[list[Compound]], declaration: str) -> None:
         if m := SHOWN.fullmatch(declaration):
-            name, value = m[1].lower(), m[2].lower()
+            name, hides = m[1].lower(), _hides(m[1], m[2])
             self.rules += 1
-            for x in selectors:
-                rule = (bool(m[3]), " .#".find(x[0]), self.rules, value == "none" if name == "display" else value in ("hidden", "collapse"))
-                won = self.shown.setdefault(x, {})
-                won[name] = max(won.get(name, rule), rule)
+            for parts in selectors:
+                keys = [k for c in parts for k in c.keys]
+                weight = sum(k[0] == "#" for k in keys), sum(k[0] == "." for k in keys) + sum(len(c.attrs) for c in parts), sum(k[0] not in ".#" for k in keys)
+                rule = (bool(m[3]), weight, self.rules, hides)
+                if len(keys) == 1 == len(parts) and not parts[0].attrs:
+                    won = self.simple.setdefault(keys[0], {})
+                    won[name] = max(won.get(name, rule), rule, key=lambda r: r[:3])
+                else:
+                    self.rest.setdefault(max(parts[-1].keys, key=lambda k: (k[0] == "#", k[0] == "."), default=""), []).append((parts, name, rule))
 
     def styles(self, sheet: str, media: str) -> None:
         if not _on_screen(media):
             return
         sheet = _without_comments(sheet)
-        blocks: list[list[str] | None] = [None]  # the simple selectors of each open block; None: a block of rules that count
+        blocks: list[list[list[Compound]] | None] = [None]  # the known selectors of each open block; None: a block of rules that count
         at = 0
         for m in SHEET.finditer(sheet):
             if m[0] not in "{};":
@@ -263,7 +344,7 @@ class Builder:
                     counts = _on_screen(rest) if name == "media" else name == "layer" or name == "supports" and rest.split()[:1] != ["not"]
                     blocks.append(inside if counts else [])
                 else:
-                    blocks.append([x for x in map(str.strip, part.split(",")) if SIMPLE.fullmatch(x)] if inside is None else [])
+                    blocks.append([x for x in map(selector, part.split(",")) if x] if inside is None else [])
                 continue
             if inside:
                 self.declare(inside, part)
@@ -273,10 +354,20 @@ class Builder:
             self.declare(blocks[-1], sheet[at:])
 
 
+#: important, weight, place in the sheets, and whether it hides (None: as the parent is).
+Rule = tuple[bool, tuple[int, int, int], int, bool | None]
+
+
+def _hides(name: str, value: str) -> bool | None:
+    value = value.lower()
+    if name.lower() == "display":
+        return value == "none"
+    return True if value in ("hidden", "collapse") else False if value in ("visible", "initial") else None
+
+
 def build(page: str) -> Builder:
     b = Builder()
     at, n = 0, len(page)
-    lower = None
     while at < n:
         begin = page.find("<", at)
         if begin < 0:
@@ -287,8 +378,8 @@ def build(page: str) -> Builder:
         after = page[begin + 1 : begin + 2]
         if after == "!" or after == "?":
             if page.startswith("<!--", begin):
-                end = page.find("-->", begin + 2 if page.startswith("<!-->", begin) else begin + 4)
-                at = end + 3 if end >= 0 else n
+                m = COMMENT.match(page, begin)
+                at = m.end() if m else n
             else:
                 end = page.find(">", begin)
                 at = end + 1 if end >= 0 else n
@@ -305,9 +396,7 @@ def build(page: str) -> Builder:
                 continue
             b.start(tag, attrs, closed)
             if tag in RAW:
-                if lower is None:
-                    lower = page.lower() if len(page.lower()) == n else page
-                end = lower.find(f"</{tag}", at)
+                end = m.start() if (m := END[tag].search(page, at)) else -1
                 raw = page[at : end if end >= 0 else n]
                 if tag == "style":
                     b.styles(raw, attrs.get("media", ""))
@@ -319,9 +408,10 @@ def build(page: str) -> Builder:
                 close = page.find(">", end)
                 at = close + 1 if close >= 0 else n
             continue
-        if after.isalpha() or after == "/" and page[begin + 2 : begin + 3].isalpha():
+        first = page[begin + 2 : begin + 3] if after == "/" else after
+        if first.isascii() and first.isalpha():
             break  # an unclosed tag takes the rest
-        if after == "/":
+        if after == "/" and first:  # a comment
             end = page.find(">", begin)
             at = end + 1 if end >= 0 else n
         else:
@@ -330,21 +420,26 @@ def build(page: str) -> Builder:
     return b
 
 
-def _unseen(node: Node, shown: dict[str, dict[str, tuple[bool, int, int, bool]]]) -> bool:
+def _seen(node: Node, b: Builder, path: Path, keys: set[str], drawn: bool) -> tuple[bool, bool | None]:
+    """Whether the element is there at all, and whether it is visible (None: as its parent is)."""
     a = node.attrs
-    if node.tag in UNSEEN or node.tag == "dialog" and "open" not in a or node.tag == "input":
-        return True
-    if a and ("hidden" in a or "style" in a and HIDES.search(a["style"])):
-        return True
-    if shown:
-        names = [node.tag, "#" + a.get("id", ""), *("." + c for c in a.get("class", "").split())]
-        if found := [shown[x] for x in names if x in shown]:
-            own = {m[1].lower() for m in map(SHOWN.fullmatch, a.get("style", "").split(";")) if m}
-            for name in ("display", "visibility"):
-                rule = max((x[name] for x in found if name in x), default=None)
-                if rule and rule[-1] and (rule[0] or name not in own):
-                    return True
-    return False
+    if node.tag in UNSEEN or node.tag == "dialog" and "open" not in a:
+        return False, None
+    won: dict[str, tuple] = {"display": (False, (-1,), 0, "hidden" in a or drawn and a.get("display") == "none"), "visibility": (False, (-1,), 0, _hides("", a["visibility"]) if drawn and "visibility" in a else None)}
+    if b.rules:
+        found = [x for k in keys if k in b.simple for x in b.simple[k].items()]
+        if b.rest:
+            found += [(name, rule) for k in ("", *keys) if k in b.rest for parts, name, rule in b.rest[k] if path.fits(parts, node, keys)]
+        for name, rule in found:
+            won[name] = max(won[name], rule, key=lambda r: r[:3])
+    if "style" in a:
+        for place, x in enumerate(_without_comments(a["style"]).split(";")):
+            if m := SHOWN.fullmatch(x):
+                name = m[1].lower()
+                # before all sheets, but for what is important in them
+                won[name] = max(won[name], (bool(m[3]), (1 << 30,), place, _hides(name, m[2])), key=lambda r: r[:3])
+    hides = won["visibility"][3]
+    return not won["display"][3], None if hides is None else not hides
 
 
 class Out:
@@ -451,12 +546,13 @@ def render(b: Builder) -> str:
     lists: list[list] = []  # [ordered, next number]
     pre = deep = 0  # deep: open tables that are too deep to be laid out
     svg: list[bool] = []  # for each open svg and each text in it: whether text is drawn
-    todo: list[tuple[bool, Node | str]] = [(True, b.root)]
+    path = Path()
+    todo: list[tuple[bool, Node | str, bool]] = [(True, b.root, True)]
     while todo:
-        enter, node = todo.pop()
+        enter, node, visible = todo.pop()
         out = outs[-1]
         if isinstance(node, str):
-            if svg and not svg[-1]:
+            if svg and not svg[-1] or not visible:
                 continue
             if pre:
                 first, *more = node.split("\n")
@@ -469,16 +565,25 @@ def render(b: Builder) -> str:
             continue
         tag = node.tag
         if enter:
-            if _unseen(node, b.shown):
-                continue
-            if svg and (tag in SVG_UNSEEN or node.attrs.get("display") == "none" or node.attrs.get("visibility") in ("hidden", "collapse")):
+            keys = _keys(node) if b.rules else set()
+            there, own = _seen(node, b, path, keys, bool(svg))
+            if not there or svg and tag in SVG_UNSEEN:
                 continue
+            visible = visible if own is None else own
             if tag == "svg" or svg and tag in SVG_TEXT:
                 svg.append(tag != "svg")
                 out.room = bool(out.line)
+            if tag in VOID and not visible:
+                continue
             if tag == "br":
                 out.end_line(always=True)
                 continue
+            if tag == "input":
+                if node.attrs.get("type", "").lower() not in BLANK and node.attrs.get("value"):
+                    out.room = bool(out.line)
+                    out.inline(node.attrs["value"])
+                    out.room = True
+                continue
             if tag == "hr":
                 out.block(True)
                 out.inline("---")
@@ -518,14 +623,18 @@ def render(b: Builder) -> str:
                 tables[-1].append([])
             elif tag in CELL and tables:
                 outs.append(Out())
-            todo.append((False, node))
+            todo.append((False, node, visible))
+            if b.rest:
+                path.enter(node, keys)
             kids = node.kids
             if tag == "details" and "open" not in node.attrs:
                 kids = [k for k in kids if isinstance(k, Node) and k.tag == "summary"][:1]
             elif svg and tag == "switch":
                 kids = [k for k in kids if isinstance(k, Node)][:1]
-            todo += ((True, k) for k in reversed(kids))
+            todo += ((True, k, visible) for k in reversed(kids))
             continue
+        if b.rest:
+            path.leave()
         if tag == "svg" or svg and tag in SVG_TEXT:
             svg.pop()
             out.room = bool(out.line)
