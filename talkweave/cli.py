@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 import os
 import sys
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from talkweave.config import bucket_table, load_config
 from talkweave.operators import corpus, generation, validate
 from talkweave.plans import stage_audio, stages
+from talkweave.schemas import SCRIPT, SEQUENCE, TOKENS
 from talkweave.sources import client, files
 from talkweave.storage import stored
 
@@ -42,13 +44,19 @@ def parser() -> argparse.ArgumentParser:
     silent = (("--metadata-only",), {"action": "store_true", "help": "times and paths, no audio files"})
     command("synth-stage3", (("--scripts",), {"required": True}), out("data/stage3"), limit, mock, silent)
     command("inject-overlap", (("--stage3",), {"default": "data/stage3"}), out("data/stage4"), limit, (("--seed",), {"type": int, "default": 13}))
-    command("tokenize", (("--stage",), {"default": "data/stage3"}), out("data/tokens/stage3"), limit, mock)
+    command("tokenize", (("--stage",), {"default": "data/stage3"}), out("data/tokens/stage3"), limit, (("--mock",), {"action": "store_true", "help": "stand-in codes, no audio is read"}), (("--codec",), {"help": "module:factory of a function from samples and rate to codes"}))
     command("assemble-shards", (("--tokens",), {"required": True}), (("--stage",), {"default": "data/stage3"}), out("data/shards/stage3_train"))
-    command("validate", (("--subset",), {"default": "stage3", "choices": SUBSETS}), (("--path",), {"default": "data/stage3"}), (("--errors",), {"help": "a folder that takes every violation, as JSON; the report itself lists 1000 at most"}))
+    command("validate", (("--subset",), {"default": "stage3", "choices": SUBSETS}), (("--path",), {"default": "data/stage3"}), (("--metadata-only",), {"action": "store_true", "help": "don't look at audio files"}), (("--errors",), {"help": "a folder that takes every violation, as JSON; the report itself lists 1000 at most"}))
     command("upload-hf", (("--data-dir",), {"default": "data"}), (("--subset",), {"default": "all", "choices": ("all", *SUBSETS)}), (("--dry-run",), {"action": "store_true"}))
     return p
 
 
+def plugged(name: str):
+    """What module:attribute names."""
+    module, _, attribute = name.partition(":")
+    return getattr(importlib.import_module(module), attribute)
+
+
 def run(spark: SparkSession, a: argparse.Namespace) -> Any:
     config = load_config(a.config)
     a.command = PUBLISHED.get(a.command, a.command)
@@ -89,26 +97,28 @@ def run(spark: SparkSession, a: argparse.Namespace) -> Any:
         written = files.read_stage(spark, a.output).count()
         return {"written": written, "skipped": min(before.count(), a.limit if a.limit is not None else 1 << 62) - written}
     if a.command == "tokenize":
-        done = stages.tokenize(files.read_stage(spark, a.stage).drop("path"), config, a.stage, a.limit)
+        if not (a.mock or a.codec):
+            raise RuntimeError("name a codec by --codec module:factory, or use --mock for the stand-in")
+        done = stored(stages.tokenize(files.read_stage(spark, a.stage).drop("path"), config, a.stage, a.limit, a.codec and plugged(a.codec)))
         done.write.mode("overwrite").json(a.output)
         return {"written": done.count()}
     if a.command == "assemble-shards":
-        from talkweave.schemas import TOKENS
-
         done = stages.assemble(files.read_json(spark, a.tokens, TOKENS), files.read_stage(spark, a.stage).drop("path"), a.stage)
         done.write.mode("overwrite").json(a.output)
         return {"written": done.count()}
     if a.command == "validate":
         buckets = bucket_table(spark, config.buckets)
-        if a.subset == "scripts":
-            rows = files.read_scripts(spark, a.path)
-            return report(rows, validate.script_violations(rows, buckets), "scripts")
-        if a.subset == "shards":
-            rows = files.read_sequences(spark, a.path)
-            return report(rows, validate.sequence_violations(rows), "shard records")
-        rows = files.read_stage(spark, a.path)
-        audio = files.stage_audio(spark, a.path)
-        found = validate.stage_violations(rows, buckets, None if audio is None else stored(audio), require_overlaps=a.subset == "stage4")
+        if a.subset in ("scripts", "shards"):
+            kind, needed, broken, what = {
+                "scripts": (SCRIPT, ("conversation_id", "category", "turns"), lambda rows: validate.script_violations(rows, buckets), "scripts"),
+                "shards": (SEQUENCE, ("conversation_id", "tokens", "loss_mask"), validate.sequence_violations, "shard records"),
+            }[a.subset]
+            rows = files.json_lines(spark, a.path, kind, needed)
+            good = rows.where("error IS NULL").drop("error", "path", "line")
+            return report(rows, broken(good).unionAll(validate.line_violations(rows)), what)
+        rows = files.stage_files(spark, a.path)
+        audio = None if a.metadata_only else stored(files.stage_audio(spark, a.path))
+        found = validate.stage_violations(rows, buckets, audio, require_overlaps=a.subset == "stage4")
         return report(rows, found, "conversation metadata") | {"audio_checked": audio is not None}
     if not a.dry_run:
         raise RuntimeError("uploading is left to the hub's own tools; use --dry-run for the plan")

@@ -54,9 +54,10 @@ def sequence_mask(turns: Column, codes: Column) -> Column:
 
 
 def previous_codes(codebook: Column) -> Column:
-    """Codes one frame later, the start code first."""
+    """Codes one frame later, the start code first and wherever the frame itself is padding; a code before that is padding counts as 0."""
     n = F.size(codebook)
-    return F.when(n == 0, codebook).otherwise(F.concat(F.array(F.lit(START_CODE)), F.slice(codebook, F.lit(1), n - 1)))
+    before = F.concat(F.array(F.lit(START_CODE)), F.slice(F.transform(codebook, lambda c: F.greatest(c, F.lit(0))), F.lit(1), n - 1))
+    return F.when(n == 0, codebook).otherwise(F.zip_with(codebook, before, lambda c, p: F.when(c == PADDING, START_CODE).otherwise(p)))
 
 
 def padded_codes(codebook: Column, frames: Column) -> Column:

@@ -21,8 +21,11 @@ def script_violations(scripts: DataFrame, buckets: DataFrame) -> DataFrame:
 
 
 def stage_violations(conversations: DataFrame, buckets: DataFrame, files: DataFrame | None = None, require_overlaps: bool = False) -> DataFrame:
-    """Every violation in a stage's conversations. files: path and seconds of the audio that exists, by paths as in the records; missing
-    audio is found by anti joins."""
+    """Every violation in a stage's conversations. files: path and seconds of the audio that exists (null where it is no WAV), by paths as in the records; missing
+    audio is found by anti joins. Without it audio isn't looked at. A conversation with an ``error`` (see stage_files) has only that, under its file's name."""
+    every = conversations
+    if "error" in conversations.columns:
+        conversations = conversations.where("error IS NULL")
     b = F.broadcast(buckets.select(F.col("name").alias("b_name"), "duration_min_sec", "duration_max_sec"))
     rows = conversations.join(b, F.col("category") == F.col("b_name"), "left")
     bad = lambda cond, text: F.when(cond, text)
@@ -35,11 +38,14 @@ def stage_violations(conversations: DataFrame, buckets: DataFrame, files: DataFr
     )
     errors = F.concat(F.array_compact(own), F.when(F.lit(not require_overlaps) & (F.size(turns) > 1), late).otherwise(F.array().cast("array<string>")))
     out = rows.select("conversation_id", F.explode(errors).alias("error"))
+    if "error" in conversations.columns:
+        name = F.regexp_extract("path", "[^/]*$", 0)
+        out = out.unionAll(every.where("error IS NOT NULL").select(name.alias("conversation_id"), F.concat(F.lit("invalid metadata: "), "error").alias("error")))
     if files is None:
         return out
     named = conversations.where("mixed_audio_path IS NOT NULL AND mixed_audio_path <> ''").select("conversation_id", "duration_sec", F.col("mixed_audio_path").alias("path"))
     gone = named.join(files, "path", "left_anti").select("conversation_id", F.concat(F.lit("missing mixed audio "), "path").alias("error"))
-    off = named.join(files, "path").where(F.abs(F.col("seconds") - F.col("duration_sec")) > 0.1).select("conversation_id", F.lit("metadata duration does not match WAV").alias("error"))
+    off = named.join(files, "path").where(F.coalesce(F.abs(F.col("seconds") - F.col("duration_sec")) > 0.1, F.lit(True))).select("conversation_id", F.lit("metadata duration does not match WAV").alias("error"))
     spoken = conversations.select("conversation_id", F.explode("turns.audio_path").alias("path"))
     silent = spoken.join(files, "path", "left_anti").select("conversation_id", F.concat(F.lit("missing turn audio "), "path").alias("error"))
     return out.unionAll(gone).unionAll(off).unionAll(silent)
@@ -56,6 +62,11 @@ def sequence_violations(sequences: DataFrame) -> DataFrame:
     return sequences.select("conversation_id", F.explode(sequence_faults(F.col("tokens"), F.col("loss_mask"))).alias("error"))
 
 
+def line_violations(lines: DataFrame) -> DataFrame:
+    """Records that don't fit, by file and line, of what json_lines gives."""
+    return lines.where("error IS NOT NULL").select(F.concat_ws(":", "path", "line").alias("conversation_id"), F.concat(F.lit("invalid record: "), "error").alias("error"))
+
+
 def report(records: DataFrame, violations: DataFrame, what: str, most: int = 1000) -> dict:
     """ok, checked and the first errors (a report for people: at most ``most`` lines, with their whole number)."""
     checked = records.count()

@@ -3,6 +3,11 @@ voice or codec that gives lengths and codes can take its place through talkweave
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +17,9 @@ from talkweave.functions import timeline as tl
 from talkweave.functions import tokens as tk
 from talkweave.operators import corpus, dialogue
 from talkweave.schemas import CONVERSATION
+from talkweave.sources import audio, files
 
+Encoder = Callable[[], Callable[[np.ndarray, int], "np.ndarray | list"]]
 CODEBOOKS = 16
 TURN = "array<struct<speaker: int, text: string, audio_path: string, start_ms: bigint, end_ms: bigint>>"
 
@@ -70,17 +77,41 @@ def _mixed_samples(turns: Column, least_sec: Column, rate: int) -> Column:
     return F.greatest(F.floor(least_sec * rate), ends)
 
 
-def tokenize(conversations: DataFrame, config: Config, stage: str, limit: int | None = None) -> DataFrame:
-    """Token records with stand-in codes, a hash of conversation, codebook and frame."""
+def stand_in_codes(path: str, frames: int, codes: int = tk.CODES) -> np.ndarray:
+    """The stand-in of a codec: codes[codebook][frame] drawn by a generator that the audio's path seeds."""
+    seed = int(hashlib.sha1(path.encode()).hexdigest()[:8], 16)
+    return np.random.default_rng(seed).integers(0, codes, size=(CODEBOOKS, frames))
+
+
+def tokenize(conversations: DataFrame, config: Config, stage: str, limit: int | None = None, encoder: Encoder | None = None) -> DataFrame:
+    """Token records, all codebooks and the first ones for training. ``encoder()`` is called once per task and gives a function from samples and rate to codes[codebook][frame]; it
+    hears the mixed audio below ``stage``, one file at a time, and audio that can't be read or encoded stops the job, named. Without one codes are a stand-in, as
+    many frames as the recorded duration has, and no audio is read. Conversations without mixed audio have no record."""
     rows = corpus.first_rows(conversations, limit, "conversation_id") if limit is not None else conversations
-    rate = config.synthesis.output_sample_rate
-    n = tk.frame_count(F.rint(F.col("duration_sec") * rate), rate)
-    code = lambda c, f: F.pmod(F.xxhash64("conversation_id", c, f), F.lit(config.codec.token_count)).cast("int")
-    codes = F.transform(F.sequence(F.lit(0), F.lit(CODEBOOKS - 1)), lambda c: F.transform(F.sequence(F.lit(0), n - 1), lambda f: code(c, f)))
-    path = F.format_string("%s/conversations/%s.json", F.lit(stage), "conversation_id")
-    out = rows.where("mixed_audio_path IS NOT NULL AND mixed_audio_path <> ''").select("conversation_id", path.alias("source_json"), codes.alias("codes_full"))
-    k = min(config.codec.training_codebooks, CODEBOOKS)
-    return out.select("conversation_id", "source_json", F.lit(CODEBOOKS).alias("codebook_count"), F.lit(k).alias("training_codebooks"), "codes_full", tk.first_codebooks(F.col("codes_full"), k).alias("codes_training"))
+    rate, codes, root = config.synthesis.output_sample_rate, config.codec.token_count, stage.rstrip("/")
+    path = F.format_string("%s/conversations/%s.json", F.lit(root), "conversation_id")
+    frames = tk.frame_count(F.rint(F.col("duration_sec") * rate), rate)
+    heard = rows.where("mixed_audio_path IS NOT NULL AND mixed_audio_path <> ''").select("conversation_id", path.alias("source_json"), F.col("mixed_audio_path").alias("audio"), frames.alias("frames"))
+    place = files.qualified(rows.sparkSession, root) if encoder else ""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = encoder() if encoder else None
+
+        def of(path: str, frames: int) -> list[list[int]]:
+            if model is None:
+                return stand_in_codes(f"{root}/{path}", frames, codes).tolist()
+            try:
+                return audio.checked_codes(model(*audio.decode(files.get(place, path))), None).astype(int).tolist()
+            except Exception as e:
+                raise RuntimeError(f"no codes of {path}: {e}") from e
+
+        for pdf in batches:
+            yield pdf[["conversation_id", "source_json"]].assign(codes_full=[of(*r) for r in zip(pdf["audio"], pdf["frames"])])
+
+    out = heard.mapInPandas(run, "conversation_id string, source_json string, codes_full array<array<int>>")
+    n = F.size("codes_full")
+    k = F.least(F.lit(config.codec.training_codebooks), n)
+    return out.select("conversation_id", "source_json", n.alias("codebook_count"), k.alias("training_codebooks"), "codes_full", F.slice("codes_full", F.lit(1), k).alias("codes_training"))
 
 
 def assemble(tokens: DataFrame, conversations: DataFrame, stage: str | None = None) -> DataFrame:

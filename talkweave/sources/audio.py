@@ -4,8 +4,10 @@ one recording."""
 from __future__ import annotations
 
 import io
+import struct
 import wave
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -53,6 +55,37 @@ def tone(samples: int, speaker: int, rate: int) -> np.ndarray:
     return (0.08 * np.sin(2 * np.pi * (220 if speaker == 0 else 330) * t) * ramp).astype(np.float32)
 
 
+class Layout(NamedTuple):
+    """Where a WAV file's samples are: bytes before them, frames, channels, rate."""
+
+    start: int
+    frames: int
+    channels: int
+    rate: int
+
+
+def wav_layout(f) -> Layout:
+    """The layout of 16-bit PCM in an open file, from its chunk headers; ValueError where it is none. A length that goes beyond the file is cut to what is there."""
+    head = f.read(12)
+    if head[:4] != b"RIFF" or head[8:12] != b"WAVE":
+        raise ValueError("no WAV file")
+    at, channels, rate = 12, 0, 0
+    while len(head := f.read(8)) == 8:
+        size, at = int.from_bytes(head[4:], "little"), at + 8
+        if head[:4] == b"fmt ":
+            kind, channels, rate, _, _, bits = struct.unpack("<HHIIHH", f.read(16))
+            if kind not in (1, 0xFFFE) or bits != 16 or not channels or not rate:
+                raise ValueError("no 16-bit PCM")
+        elif head[:4] == b"data":
+            if not rate:
+                break
+            f.seek(0, 2)
+            return Layout(at, min(size, f.tell() - at) // (2 * channels), channels, rate)
+        at += size + size % 2
+        f.seek(at)
+    raise ValueError("no WAV file")
+
+
 def wav_header(content: Column) -> Column:
     """struct<frames, rate, seconds> from the header of WAV bytes."""
 

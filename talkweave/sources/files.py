@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkweave import schemas
 from talkweave.functions.text import beside, safe_split
-from talkweave.sources.audio import wav_header
+from talkweave.sources.audio import wav_layout
+from talkweave.storage import removed
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -43,6 +47,19 @@ def get(root: str, path: str) -> bytes:
         return f.read()
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """path, line (from 1, of the file) and value of every line of all text files at the path, however large.
+
+    Files are read in byte ranges, which know where they start but not at which line. Row numbers within a task count a range's lines in place; the ranges' line counts, a row
+    each, are summed up in their order within the file and give each range its first line. Lines themselves aren't sorted, nor shuffled where the ranges are few."""
+    at = F.col("_metadata")
+    raw = spark.read.text(path).select(at["file_path"].alias("path"), at["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("n"), "value")
+    ranges = raw.groupBy("path", "start").agg(F.min("n").alias("first"), F.count("*").alias("lines"))
+    before = F.sum("lines").over(Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = ranges.select("path", "start", (F.coalesce(before, F.lit(0)) - F.col("first") + 1).alias("shift"))
+    return raw.join(offsets, ["path", "start"]).select(F.regexp_replace("path", "^file:/+", "/").alias("path"), (F.col("n") + F.col("shift")).alias("line"), "value")
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType, whole: bool = False) -> DataFrame:
     """Typed JSON lines (or one document per file if ``whole``); nothing at the path is an empty table. A malformed
     record stops the read; see bad_records() for where."""
@@ -51,11 +68,30 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType, whole: bool
     return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", whole).json(path)
 
 
-def bad_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """path and text of the records that don't fit the schema."""
+def _parsed(text: Column, schema: T.StructType) -> Column:
+    """The record as a struct, with _corrupt_record where it doesn't fit the schema."""
     wide = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    lines = spark.read.text(path).where(F.trim("value") != "").select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("record"))
-    return lines.where(F.from_json("record", wide, {"mode": "PERMISSIVE"})["_corrupt_record"].isNotNull())
+    return F.from_json(text, wide, {"mode": "PERMISSIVE"})
+
+
+def lacking(record: Column, needed: tuple[str, ...]) -> Column:
+    """Why a parsed record is none: its text doesn't fit, or a field is missing; else null."""
+    missing = F.array_compact(F.array(*(F.when(record[c].isNull(), c) for c in needed)))
+    return F.when(record.isNull() | record["_corrupt_record"].isNotNull(), "not of the schema").when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ", ")))
+
+
+def json_lines(spark: SparkSession, path: str, schema: T.StructType, needed: tuple[str, ...] = ()) -> DataFrame:
+    """The schema's columns, path, line and error of every line that isn't blank: records that don't fit are rows, too."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("path", T.StringType()), T.StructField("line", T.LongType()), T.StructField("error", T.StringType())]))
+    lines = numbered_lines(spark, path).where(F.trim("value") != "").withColumn("r", _parsed(F.col("value"), schema))
+    return lines.select(*(F.col(f"r.{c}").alias(c) for c in schema.names), "path", "line", lacking(F.col("r"), needed).alias("error"))
+
+
+def bad_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """path, line and text of the records that don't fit the schema."""
+    lines = numbered_lines(spark, path).where(F.trim("value") != "").withColumnRenamed("value", "record")
+    return lines.where(lacking(_parsed(F.col("record"), schema), ()).isNotNull())
 
 
 def read_scripts(spark: SparkSession, path: str) -> DataFrame:
@@ -66,12 +102,25 @@ def read_sequences(spark: SparkSession, path: str) -> DataFrame:
     return read_json(spark, path, schemas.SEQUENCE)
 
 
-def read_stage(spark: SparkSession, path: str) -> DataFrame:
-    """The conversations of a stage folder, one JSON file or line each, with the file's path."""
+def stage_files(spark: SparkSession, path: str) -> DataFrame:
+    """Every conversations/<id>.json of a stage folder, a document each and indented or not: the conversation's columns, path and error (null where the metadata holds)."""
     where = f"{path.rstrip('/')}/conversations"
     if not exists(spark, where):
-        return spark.createDataFrame([], T.StructType([*schemas.CONVERSATION.fields, T.StructField("path", T.StringType())]))
-    return spark.read.schema(schemas.CONVERSATION).option("mode", "FAILFAST").json(where).select("*", F.regexp_replace("_metadata.file_path", "^file:/+", "/").alias("path"))
+        return spark.createDataFrame([], T.StructType([*schemas.CONVERSATION.fields, T.StructField("path", T.StringType()), T.StructField("error", T.StringType())]))
+    raw = spark.read.text(where, wholetext=True, pathGlobFilter="*.json").select("value", F.regexp_replace("_metadata.file_path", "^file:/+", "/").alias("path"))
+    parsed = raw.withColumn("r", _parsed(F.col("value"), schemas.CONVERSATION))
+    given = {"language": F.coalesce("r.language", F.lit("en")), "overlaps": F.coalesce("r.overlaps", F.array().cast(schemas.CONVERSATION["overlaps"].dataType))}
+    fields = [given.get(c, F.col(f"r.{c}")).alias(c) for c in schemas.CONVERSATION.names]
+    out = parsed.select(*fields, "path", lacking(F.col("r"), ("conversation_id", "category", "duration_sec", "turns")).alias("error"))
+    # readers pass over empty files
+    empty = inventory(spark, where).where("length = 0 AND path LIKE '%.json'").select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.CONVERSATION), "path", F.lit("empty file").alias("error"))
+    return out.unionAll(empty)
+
+
+def read_stage(spark: SparkSession, path: str) -> DataFrame:
+    """The conversations of a stage folder, with the file's path; a file that holds none stops the read and is named. See stage_files() for those as rows."""
+    wrong = F.raise_error(F.concat(F.lit("invalid metadata in "), "path", F.lit(": "), "error")).cast("string")
+    return stage_files(spark, path).withColumn("conversation_id", F.when(F.col("error").isNotNull(), wrong).otherwise(F.col("conversation_id"))).drop("error")
 
 
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
@@ -88,13 +137,32 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length")
 
 
-def stage_audio(spark: SparkSession, path: str) -> DataFrame | None:
-    """path (below the stage's folder, as in the records) and seconds of the WAV files in the stage's audio folder; None without such a folder."""
+def stage_audio(spark: SparkSession, path: str) -> DataFrame:
+    """path (below the stage's folder, as in the records) and seconds (null where the file is no WAV) of the WAV files in the stage's audio folder; no rows without such a folder. Files are listed
+    without their contents; a task then reads the chunk headers of each, not its samples."""
+    kind = "path string, seconds double"
     if not exists(spark, where := f"{path.rstrip('/')}/audio"):
-        return None
-    root = re.sub("^file:/+", "/", qualified(spark, path))
+        return spark.createDataFrame([], kind)
+    place = qualified(spark, path)
+    root = re.sub("^file:/+", "/", place)
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.wav").load(where)
-    return found.select(F.expr(f"substring(regexp_replace(path, '^file:/+', '/'), {len(root) + 2})").alias("path"), wav_header(F.col("content"))["seconds"].alias("seconds"))
+    listed = found.select(F.expr(f"substring(regexp_replace(path, '^file:/+', '/'), {len(root) + 2})").alias("path"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = fs.FileSystem.from_uri(place)
+        for pdf in batches:
+            yield pdf.assign(seconds=[_seconds(store, f"{base}/{p}") for p in pdf["path"]])
+
+    return listed.mapInPandas(run, kind)
+
+
+def _seconds(store: fs.FileSystem, path: str) -> float | None:
+    with store.open_input_file(path) as f:
+        try:
+            head = wav_layout(f)
+        except ValueError:
+            return None
+        return head.frames / head.rate
 
 
 def read_splits(spark: SparkSession, path: str, splits: list[str] | str = "all") -> DataFrame:
@@ -120,7 +188,34 @@ def write_by_bucket(scripts: DataFrame, buckets: list[str], path: str) -> None:
 
 
 def write_stage(conversations: DataFrame, path: str) -> None:
-    conversations.write.mode("overwrite").json(f"{path.rstrip('/')}/conversations")
+    """conversations/<id>.json for each, indented; files of a run before are deleted first. Tasks write their own conversations' files, and one that runs again writes the same."""
+    spark = conversations.sparkSession
+    removed(spark, f"{path.rstrip('/')}/conversations")
+    place = qualified(spark, path)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for i, text in zip(pdf["conversation_id"], pdf["text"]):
+                if not i or "/" in i or i in (".", ".."):
+                    raise ValueError(f"conversation_id {i!r} is no file name")
+                put(place, f"conversations/{i}.json", json.dumps(json.loads(text), indent=2, ensure_ascii=False).encode())
+            yield pdf[["conversation_id"]].iloc[:0]
+
+    whole = F.to_json(F.struct(*conversations.columns), {"ignoreNullFields": "false"})
+    conversations.select("conversation_id", whole.alias("text")).mapInPandas(run, "conversation_id string").write.format("noop").mode("overwrite").save()
+
+
+def write_audio(rows: DataFrame, path: str, name: str = "name") -> DataFrame:
+    """Writes ``audio`` (WAV bytes) of each row to a file of its name below the path; gives name and bytes. Evaluating it writes the files."""
+    place = qualified(rows.sparkSession, path)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for n, content in zip(pdf["name"], pdf["audio"]):
+                put(place, n, bytes(content))
+            yield pd.DataFrame({"name": pdf["name"], "bytes": [len(c) for c in pdf["audio"]]})
+
+    return rows.select(F.col(name).alias("name"), "audio").where("audio IS NOT NULL").mapInPandas(run, "name string, bytes bigint")
 
 
 def write_tsv(df: DataFrame, path: str) -> None:

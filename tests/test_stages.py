@@ -329,7 +329,7 @@ def test_cli(spark, tmp_path, capsys):
     assert call("synth-stage3", "--scripts", scripts, "-o", p("3")) == 0
     assert call("inject-overlap", "--stage3", p("3"), "-o", p("4")) == 0
     assert call("validate", "--subset", "stage4", "--path", p("4")) == 0 and call("validate", "--subset", "stage3", "--path", p("none")) == 1
-    assert call("tokenize", "--stage", p("3"), "-o", p("t")) == 0
+    assert call("tokenize", "--stage", p("3"), "-o", p("t"), "--mock") == 0
     assert call("assemble-shards", "--tokens", p("t"), "--stage", p("3"), "-o", p("sh")) == 0
     assert call("validate", "--subset", "shards", "--path", p("sh")) == 0
     assert '"written": 3' in capsys.readouterr().out
