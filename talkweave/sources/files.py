@@ -113,7 +113,7 @@ def stage_files(spark: SparkSession, path: str) -> DataFrame:
     fields = [given.get(c, F.col(f"r.{c}")).alias(c) for c in schemas.CONVERSATION.names]
     out = parsed.select(*fields, "path", lacking(F.col("r"), ("conversation_id", "category", "duration_sec", "turns")).alias("error"))
     # readers pass over empty files
-    empty = inventory(spark, where).where("length = 0 AND path LIKE '%.json'").select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.CONVERSATION), "path", F.lit("empty file").alias("error"))
+    empty = _empty_files(spark, where).where("path LIKE '%.json'").select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.CONVERSATION), "path", F.lit("empty file").alias("error"))
     return out.unionAll(empty)
 
 
@@ -130,11 +130,26 @@ def read_prompts(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.regexp_replace(at, "^file:/+", "/").alias("path"), "s1_prompt_transcription", "s2_prompt_transcription", *(beside(at, F.col(c)).alias(c) for c in ("s1_prompt_wav", "s2_prompt_wav")))
 
 
+def _empty_files(spark: SparkSession, path: str) -> DataFrame:
+    """path and length of the files below a folder that have no bytes, which Spark's readers pass over: a listing by one task."""
+    place = qualified(spark, path)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = fs.FileSystem.from_uri(place)
+        for _ in batches:
+            info = store.get_file_info(fs.FileSelector(base, recursive=True)) if store.get_file_info(base).type == fs.FileType.Directory else [store.get_file_info(base)]
+            names = [x.path for x in info if x.type == fs.FileType.File and not x.size and not x.base_name.startswith((".", "_"))]
+            yield pd.DataFrame({"path": pd.Series(names, dtype=str), "length": 0})
+
+    return spark.range(0, 1, 1, 1).mapInPandas(run, "path string, length bigint")
+
+
 def inventory(spark: SparkSession, path: str) -> DataFrame:
     """path and length of all files below a folder; contents aren't read."""
     if not exists(spark, path):
         return spark.createDataFrame([], "path string, length bigint")
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length")
+    return found.unionAll(_empty_files(spark, path))
 
 
 def stage_audio(spark: SparkSession, path: str) -> DataFrame:
