@@ -119,8 +119,9 @@ def stage_files(spark: SparkSession, path: str) -> DataFrame:
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
     """The conversations of a stage folder, with the file's path; a file that holds none stops the read and is named. See stage_files() for those as rows."""
-    wrong = F.raise_error(F.concat(F.lit("invalid metadata in "), "path", F.lit(": "), "error")).cast("string")
-    return stage_files(spark, path).withColumn("conversation_id", F.when(F.col("error").isNotNull(), wrong).otherwise(F.col("conversation_id"))).drop("error")
+    wrong = F.raise_error(F.concat(F.lit("invalid metadata in "), "path", F.lit(": "), "error")).cast("boolean")
+    # a condition, so that it is looked at before all others
+    return stage_files(spark, path).where(F.when(F.col("error").isNull(), F.lit(True)).otherwise(wrong)).drop("error")
 
 
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
