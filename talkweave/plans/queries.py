@@ -17,6 +17,7 @@ from talkweave.functions import tokens as tk
 from talkweave.operators import corpus, dialogue, duplex, generation, quantiles, rules, validate
 from talkweave.operators.ordinal import ordinal, ordinal_within
 from talkweave.operators.rules import judged_turns
+from talkweave.streaming import endpoints
 
 #: Buckets that conversations of the given tables do meet.
 WIDE = tuple(Bucket(b.name, b.count, b.turn_min, b.turn_max, 1, 600, b.duration_avg_sec, 1, 2000, "") for b in DEFAULT_BUCKETS[:3])
@@ -585,3 +586,13 @@ rs AS (SELECT cb, count(*) AS n_runs, max(length) AS longest, CAST(sum(CASE WHEN
 SELECT cb, n, distinct_codes, top, n_runs, longest, in_repeats, round(log2(n) - s / n, 6) AS entropy FROM su JOIN rs USING (cb)""")
 def collapse_report(spark, d):
     return corpus.collapse_report(coarse(spark, d)).withColumns({"cb": F.col("cb").cast("long"), "entropy": F.round("entropy", 6)})
+
+
+@query(f"""WITH {SHIFTED_SQL}, fr AS (SELECT DISTINCT conv_id, unnest(range(start_ms // 80, (end_ms - 1) // 80 + 1)) * 80 AS t FROM st WHERE end_ms > start_ms AND NOT (conv_id % 2 = 0 AND start_ms // 80 % 3 = 0)),
+fi AS (SELECT *, sum(b) OVER (PARTITION BY conv_id ORDER BY t) AS k FROM (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY conv_id ORDER BY t) <= 240 THEN 0 ELSE 1 END AS b FROM fr))
+SELECT conv_id, min(t) AS start_ms, max(t) AS last_ms, max(t) + 240 AS endpoint_ms FROM fi GROUP BY conv_id, k""")
+def endpoint_guard(spark, d):
+    """Speech of both sides as frames, some turns unheard."""
+    t = _shifted(spark, d).where("end_ms > start_ms AND NOT (conv_id % 2 = 0 AND floor(start_ms / 80) % 3 = 0)")
+    frames = t.select("conv_id", F.explode(F.sequence(F.floor(F.col("start_ms") / 80), F.floor((F.col("end_ms") - 1) / 80))).alias("frame")).select("conv_id", (F.col("frame") * 80).alias("at_ms"), F.lit(True).alias("active"))
+    return endpoints.endpoints(frames.distinct())

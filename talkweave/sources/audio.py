@@ -22,6 +22,11 @@ def decode(content: bytes) -> tuple[np.ndarray, int]:
         return mono(x.astype(np.float32) / 32768), w.getframerate()
 
 
+def wav_head(frames: int, rate: int) -> bytes:
+    """The header that so many mono frames need."""
+    return struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", 36 + 2 * frames, b"WAVE", b"fmt ", 16, 1, 1, rate, 2 * rate, 2, 16, b"data", 2 * frames)
+
+
 def encode(x: np.ndarray, rate: int) -> bytes:
     out = io.BytesIO()
     with wave.open(out, "wb") as w:

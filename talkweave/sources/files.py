@@ -41,6 +41,24 @@ def put(root: str, path: str, content: bytes) -> None:
     store.move(draft, f"{folder}/{name}")
 
 
+class Draft:
+    """One file below a qualified folder, written bit by bit; it gets its name when finished."""
+
+    def __init__(self, root: str, path: str):
+        self.store, base = fs.FileSystem.from_uri(root)
+        folder, name = f"{base}/{path}".rsplit("/", 1)
+        self.store.create_dir(folder, recursive=True)
+        self.draft, self.path = f"{folder}/.{name}.{uuid.uuid4().hex}", f"{folder}/{name}"
+        self.out = self.store.open_output_stream(self.draft)
+
+    def write(self, content: bytes) -> None:
+        self.out.write(content)
+
+    def finish(self) -> None:
+        self.out.close()
+        self.store.move(self.draft, self.path)
+
+
 def get(root: str, path: str) -> bytes:
     store, base = fs.FileSystem.from_uri(root)
     with store.open_input_stream(f"{base}/{path}") as f:
