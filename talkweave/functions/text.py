@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Patterns and words of the script format.
 SPACE = r"[\s\x1c-\x1f]"
 LINE = r"^\[(S0|S1|S2)\]\s*(.+)$"
+LINE_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+RULE = r"(?m)^\s*---\s*$"
 PARENTHETICAL = r"\([^)]*\)"
 BRACKETED = r"\[(?!S[012]\])[^]]+\]"
 LEADING = r"^[\s\x1c-\x1f:：\-–—]+"
@@ -39,13 +41,13 @@ def sanitize(text: Column) -> Column:
 
 def blocks(response: Column) -> Column:
     """Blocks between lines of ---; the whole text if all are empty."""
-    parts = F.filter(F.transform(F.split(response, r"(?m)^\s*---\s*$"), strip), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(response, RULE), strip), lambda x: x != "")
     return F.when(F.size(parts) > 0, parts).otherwise(F.array(strip(response)))
 
 
 def parse_turns(block: Column) -> Column:
     """array<struct<speaker, text>> of the tagged lines; other lines are passed over. S0 and S1 are the first speaker."""
-    lines = F.transform(F.split(block, r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"), strip)
+    lines = F.transform(F.split(block, LINE_ENDS), strip)
     tagged = F.filter(lines, lambda x: x.rlike(LINE))
     speaker = lambda x: F.when(F.regexp_extract(x, LINE, 1) == "S2", "S1").otherwise("S0")
     return F.transform(tagged, lambda x: F.struct(speaker(x).alias("speaker"), sanitize(F.regexp_extract(x, LINE, 2)).alias("text")))
