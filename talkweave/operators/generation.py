@@ -8,6 +8,7 @@ from __future__ import annotations
 import sys
 import time
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from talkweave.config import Bucket, Config, bucket_table
 from talkweave.functions import text as tx
 from talkweave.operators.ordinal import ordinal_within
 from talkweave.operators.rules import judged_scripts
-from talkweave.storage import stored
+from talkweave.storage import removed, stored
 
 EMPTY_BATCHES = 5
 
@@ -53,7 +54,7 @@ def sampled_topics(requests: DataFrame, topics: list[str] | tuple[str, ...], per
     return requests.withColumn("topics", F.transform(places, lambda i: F.get(listed, F.pmod(h(i), F.lit(len(topics))).cast("int"))))
 
 
-def completions(requests: DataFrame, complete: Callable[[str], str], per_minute: int, partitions: int, retries: int = 5, backoff: float = 5.0) -> DataFrame:
+def completions(requests: DataFrame, complete: Callable[[str], str], per_minute: float, partitions: int, retries: int = 5, backoff: float = 5.0) -> DataFrame:
     """request_id, prompt to request_id, response through any client. Each of ``partitions`` keeps its share of the rate, and
     tries again after a linearly growing pause."""
 
@@ -83,17 +84,19 @@ def client_source(config: Config, complete: Callable[[str], str]) -> Callable[[S
     g = config.generation
     round_no = 0
 
-    def source(spark: SparkSession, bucket: Bucket, count: int) -> DataFrame:
+    def source(spark: SparkSession, bucket: Bucket, count: int, share: int = 1) -> DataFrame:
+        """``share``: how many buckets are asked at once, and share rate and partitions."""
         nonlocal round_no
         round_no += 1
         each = max(1, min(g.conversations_per_request, count))
         requests = sampled_topics(spark.range(-(-count // each)).withColumnRenamed("id", "request_id"), g.topics or tx.TOPICS, each, round_no)
         asked = request_prompts(bucket, requests.select("request_id", F.explode("topics").alias("topic")), each)
-        got = completions(asked, complete, g.requests_per_minute, max(1, g.concurrency), g.api_retries, g.api_retry_backoff_sec)
+        got = completions(asked, complete, g.requests_per_minute / share, max(1, g.concurrency // share), g.api_retries, g.api_retry_backoff_sec)
         # The prompt numbers its topics in hash order, and so does the list here.
         shown = F.transform(F.array_sort(F.transform("topics", lambda t: F.struct(F.xxhash64(t).alias("h"), t.alias("topic")))), lambda x: x["topic"])
         return got.join(requests.select("request_id", shown.alias("topics")), "request_id").select(F.lit(bucket.name).alias("category"), F.col("request_id").alias("response_id"), "response", "topics")
 
+    source.shares_rate = True
     return source
 
 
@@ -131,45 +134,68 @@ def rejections(judged: DataFrame) -> str:
     return reasons.agg(F.collect_list(F.struct("reason", "n")).alias("r")).select(tx.reason_list(F.col("r")).alias("r")).first()["r"]
 
 
-def generate(spark: SparkSession, config: Config, path: str, limit: int | None = None, source: Callable[[SparkSession, Bucket, int], DataFrame] | None = None) -> dict[str, int]:
-    """Appends accepted scripts to JSON files in ``path`` until each bucket has its share; running it again adds what is missing
-    only. A round asks for all that a bucket lacks and keeps what is accepted of it. Five rounds in a row without an accepted script end it with
-    an error; each such round is tried ``max_retries`` times first. Progress and rejected scripts are told on stderr, and ``path``.manifest
-    has a row: target, completed, failed (rounds without a script). What exists is counted once, then kept by bucket."""
+def reservations(wanted: dict[str, int], done: dict[str, int], most: int | None = None) -> dict[str, int]:
+    """What a round asks of each bucket that lacks any: all it lacks, or ``most`` of it. It is reserved: a round keeps no more of a bucket, however much comes back, so buckets never exceed
+    their targets."""
+    lack = {b: n - done.get(b, 0) for b, n in wanted.items()}
+    return {b: min(n, most or n) for b, n in lack.items() if n > 0}
+
+
+def generate(spark: SparkSession, config: Config, path: str, limit: int | None = None, source: Callable[[SparkSession, Bucket, int], DataFrame] | None = None, most: int | None = None) -> dict[str, int]:
+    """Adds accepted scripts below ``path`` until each bucket has its share; running it again adds what is missing only.
+
+    A round asks for all buckets at once what each lacks (at most ``most``), reserves it, and keeps what is accepted of it. A round's scripts are staged beside ``path`` together with the
+    manifest (target, completed, failed: rounds of a bucket without a script) and published as one folder by one rename: a run that is killed leaves a whole round or nothing, and the next
+    one goes on from what is there. One run at a time may write a path. Five rounds in a row without an accepted script of a bucket end it with an error; each such round is tried
+    ``max_retries`` times first. Progress and rejected scripts are told on stderr, and ``path``.manifest has the last manifest. What exists is counted once, then kept by bucket."""
     from talkweave.sources import files
 
     source = source or dry_run
     wanted = targets(config, limit)
+    by_name = {b.name: b for b in config.buckets}
     buckets = bucket_table(spark, config.buckets)
     found = {r["category"]: r["n"] for r in files.read_scripts(spark, path).groupBy("category").agg(F.count("*").alias("n")).join(F.broadcast(buckets), F.col("category") == F.col("name"), "left_semi").collect()}
     done = {b.name: found.get(b.name, 0) for b in config.buckets}
     failed, every = 0, config.generation.progress_every
     told = sum(done.values())
+    root = path.rstrip("/")
+    removed(spark, f"{root}.staging")
+    number = max(files.rounds(spark, root), default=0)
+    empty, tries = dict.fromkeys(wanted, 0), dict.fromkeys(wanted, 0)
 
-    def manifest() -> None:
+    def manifest(where: str) -> None:
         row = [(sum(wanted.values()), sum(done.values()), failed)]
-        spark.createDataFrame(row, "target long, completed long, failed long").coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}.manifest")
-
-    for b in config.buckets:
-        empty = tries = 0
-        while (lack := wanted[b.name] - done[b.name]) > 0:
-            asked = stored(judged_scripts(parsed(source(spark, b, lack)).withColumn("conversation_id", F.lit("new")), buckets))
-            good = numbered(asked.where("reason IS NULL").drop("conversation_id"), files.read_scripts(spark, path).where(F.col("category") == b.name))
-            good = stored(good.orderBy("conversation_id").limit(lack).select("conversation_id", "category", "topic", "turns", "estimated_duration_sec"))
-            n = good.count()
-            if n < lack:
-                print(f"bucket {b.name}: accepted {n} of {lack}; rejected {rejections(asked)}", file=sys.stderr)
-            if n:
-                files.append_json(good, path)
-                done[b.name] += n
-                empty = tries = 0
-                if every > 0 and sum(done.values()) // every > told // every:
-                    told = sum(done.values())
-                    print(f"completed {told} of {sum(wanted.values())}, {done[b.name]} in bucket {b.name}", file=sys.stderr)
-            elif (tries := tries + 1) > config.generation.max_retries:
-                empty, tries, failed = empty + 1, 0, failed + 1
-            manifest()
-            if empty >= EMPTY_BATCHES:
-                raise RuntimeError(f"bucket {b.name}: {EMPTY_BATCHES} batches in a row without an accepted script")
-    manifest()
+        spark.createDataFrame(row, "target long, completed long, failed long").coalesce(1).write.mode("overwrite").json(where)
+
+    while reserved := reservations(wanted, done, most):
+        share = {"share": len(reserved)} if getattr(source, "shares_rate", False) else {}
+        asked = reduce(DataFrame.unionByName, (parsed(source(spark, by_name[b], n, **share)) for b, n in reserved.items()))
+        asked = stored(judged_scripts(asked.withColumn("conversation_id", F.lit("new")), buckets))
+        room = F.create_map(*(F.lit(x) for item in reserved.items() for x in item))[F.col("category")]
+        good = asked.where("reason IS NULL").drop("conversation_id").withColumn("room", room).where("room IS NOT NULL")
+        good = ordinal_within(good, "category", "response_id", "block", name="place").where("place < room").drop("place", "room")
+        good = numbered(good, files.read_scripts(spark, path)).select("conversation_id", "category", "topic", "turns", "estimated_duration_sec")
+        number += 1
+        staged = f"{root}.staging/round={number}"
+        good.write.mode("overwrite").json(staged)
+        new = {r["category"]: r["n"] for r in spark.read.schema(good.schema).json(staged).groupBy("category").agg(F.count("*").alias("n")).collect()}
+        for b, n in reserved.items():
+            if (got := new.get(b, 0)) < n:
+                print(f"bucket {b}: accepted {got} of {n}; rejected {rejections(asked.where(F.col('category') == b))}", file=sys.stderr)
+            if got:
+                empty[b] = tries[b] = 0
+                done[b] += got
+            elif (tries[b] + 1) > config.generation.max_retries:
+                empty[b], tries[b], failed = empty[b] + 1, 0, failed + 1
+            else:
+                tries[b] += 1
+        manifest(f"{staged}/_manifest")
+        files.publish(spark, staged, f"{root}/round={number}")
+        manifest(f"{root}.manifest")
+        if every > 0 and sum(done.values()) // every > told // every:
+            told = sum(done.values())
+            print(f"completed {told} of {sum(wanted.values())}, " + ", ".join(f"{done[b]} in bucket {b}" for b in reserved), file=sys.stderr)
+        if stuck := [b for b in wanted if empty[b] >= EMPTY_BATCHES]:
+            raise RuntimeError(f"bucket {stuck[0]}: {EMPTY_BATCHES} batches in a row without an accepted script")
+    manifest(f"{root}.manifest")
     return done

@@ -71,7 +71,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     Files are read in byte ranges, which know where they start but not at which line. Row numbers within a task count a range's lines in place; the ranges' line counts, a row
     each, are summed up in their order within the file and give each range its first line. Lines themselves aren't sorted, nor shuffled where the ranges are few."""
     at = F.col("_metadata")
-    raw = spark.read.text(path).select(at["file_path"].alias("path"), at["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("n"), "value")
+    raw = spark.read.text(path, recursiveFileLookup=True).select(at["file_path"].alias("path"), at["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("n"), "value")
     ranges = raw.groupBy("path", "start").agg(F.min("n").alias("first"), F.count("*").alias("lines"))
     before = F.sum("lines").over(Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
     offsets = ranges.select("path", "start", (F.coalesce(before, F.lit(0)) - F.col("first") + 1).alias("shift"))
@@ -83,7 +83,7 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType, whole: bool
     record stops the read; see bad_records() for where."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", whole).json(path)
+    return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", whole).option("recursiveFileLookup", True).json(path)
 
 
 def _parsed(text: Column, schema: T.StructType) -> Column:
@@ -209,6 +209,24 @@ def read_splits(spark: SparkSession, path: str, splits: list[str] | str = "all")
     return spark.read.schema(schemas.CODEC_ROW).parquet(path).where(F.col("source_split").isin(*splits))
 
 
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Gives a finished folder its name, in one step; an error where the name is taken."""
+    a, b = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
+    store = b.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(b.getParent())
+    if store.exists(b) or not store.rename(a, b):
+        raise FileExistsError(f"can't publish {staged} as {path}")
+
+
+def rounds(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the rounds published below a path."""
+    if not exists(spark, path):
+        return []
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
+    return sorted(int(n[6:]) for n in names if n.startswith("round=") and n[6:].isdigit())
+
+
 def append_json(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
