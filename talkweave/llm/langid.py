@@ -5,9 +5,8 @@ giving smoothed log probabilities. Prediction: a document's trigrams are a mixtu
 estimates its proportions from the trigrams' likelihoods; then, adding languages by proportion, the set is chosen whose
 likelihood, less a penalty for each language, is greatest. The predicted language is the largest of the set.
 
-The sample is about ``sample_docs`` documents of each language, a documented bound: whole texts, chosen by a hash of the text, so copies of a text are
-in it all or not at all. The ``LANGUAGES`` most frequent values of the language column are learned, which bounds what the model takes;
-every document is predicted from its whole text.
+The sample is about ``sample_docs`` documents of each language, a documented bound: whole texts, chosen by a hash of id and text. All values of the language column are learned. The model
+keeps only the counts that a language has, by bucket, so it takes what the sample's different trigrams take; every document is predicted from its whole text.
 
 Results for edge cases: a null text, or one without letters, is ``und`` with score 0; so are all where no labelled document
 exists. Words of fewer letters than three count with their borders. Languages are tried in alphabetical order on
@@ -30,8 +29,8 @@ from talkweave.llm.common import bounded_batches, free_names, table, with_column
 BUCKETS = 1 << 15
 #: Documents of each language that are learned from, about.
 SAMPLE_DOCS = 2000
-#: Values of the language column that are learned, the most frequent first.
-LANGUAGES = 256
+#: Languages that a task counts at once before it sends its counts on.
+AT_ONCE = 64
 #: Steps of expectation-maximisation, and the change in proportions at which it ends.
 STEPS, CLOSE = 15, 1e-3
 #: What each further language must add to the log likelihood, times the log of the number of trigrams.
@@ -60,34 +59,56 @@ def trigrams(text: str | None) -> np.ndarray:
     return ((h * np.uint32(0x2C1B3C6D)) >> np.uint32(17)).astype(np.int64)
 
 
-def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> tuple[list[str], np.ndarray]:
-    """Languages, and the log probability of each bucket in each. The counts that reach the driver are bounded by
-    languages times buckets."""
+class Model:
+    """Languages, and how often each bucket occurs in each, by bucket; the probability of a bucket is its count and a little more, over the language's sum of such."""
+
+    def __init__(self, langs: list[str], lang: np.ndarray, bucket: np.ndarray, n: np.ndarray):
+        self.langs = langs
+        order = np.argsort(bucket, kind="stable")
+        self.lang, self.n = lang[order].astype(np.int32), n[order].astype(np.float64)
+        self.starts = np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
+        self.extra = 0.5 * (np.diff(self.starts) > 0) + 0.01
+        self.total = np.bincount(lang, n, len(langs)) + self.extra.sum()
+
+    def logp(self, buckets: np.ndarray) -> np.ndarray:
+        """Languages by buckets."""
+        first, size = self.starts[buckets], self.starts[buckets + 1] - self.starts[buckets]
+        at = np.repeat(first - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
+        p = np.repeat(self.extra[buckets][None, :], len(self.langs), axis=0)
+        p[self.lang[at], np.repeat(np.arange(len(buckets)), size)] += self.n[at]
+        return np.log(p / self.total[:, None])
+
+
+def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, id_col: str | None = None) -> Model:
+    """The counts that reach the driver are those of the sample's different trigrams in each language. ``id_col`` tells copies of a text apart in the sample."""
     spark = df.sparkSession
     bounded_batches(spark)
-    known = df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
-    if not counts:
-        return [], np.zeros((0, BUCKETS))
-    share = F.element_at(F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample_docs / n)))), F.col("lang"))
-    sample = known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
+    own = F.col(id_col).cast("string") if id_col else F.lit(None).cast("string")
+    known = df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), own.alias("own")).where("lang IS NOT NULL AND text IS NOT NULL")
+    shares = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample_docs)) / F.count("*")).alias("share"))
+    sample = known.join(shares, "lang").where(F.pmod(F.xxhash64("own", "text"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for lang, n in total.items():
+                at = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at])], ["lang", "bucket", "n"])
+            total.clear()
+
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 total[lang] = total.get(lang, 0) + np.bincount(trigrams(text), minlength=BUCKETS)
-        for lang, n in total.items():
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at])], ["lang", "bucket", "n"])
+                if len(total) > AT_ONCE:
+                    yield from counted()
+        yield from counted()
 
     found = sample.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    langs = sorted(counts)
-    n = np.zeros((len(langs), BUCKETS))
+    langs = sorted(set(found["lang"].to_pylist()))
     row = {k: i for i, k in enumerate(langs)}
-    np.add.at(n, ([row[k] for k in found["lang"].to_pylist()], found["bucket"].to_numpy()), found["n"].to_numpy())
-    n += 0.5 * (n.sum(0) > 0) + 0.01
-    return langs, np.log(n / n.sum(1, keepdims=True))
+    lang = np.fromiter((row[k] for k in found["lang"].to_pylist()), np.int64, found.num_rows)
+    return Model(langs, lang, found["bucket"].to_numpy(), found["n"].to_numpy())
 
 
 def mixture(n: np.ndarray, logp: np.ndarray) -> np.ndarray:
@@ -124,26 +145,32 @@ def mixture(n: np.ndarray, logp: np.ndarray) -> np.ndarray:
     return out
 
 
-def predict(df: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def told(model: Model, text: str | None) -> np.ndarray | None:
+    """The proportions of the languages in a text; None if it can't be told."""
+    grams = trigrams(text)
+    if not len(grams) or not model.langs:
+        return None
+    n = np.bincount(grams, minlength=BUCKETS)
+    at = np.flatnonzero(n)
+    return mixture(n[at].astype(np.float64), model.logp(at))
+
+
+def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score, languages array<struct<lang, share>>) for every row."""
     spark = df.sparkSession
     bounded_batches(spark)
-    sent = spark.sparkContext.broadcast((model[0], model[1].astype(np.float32)))
+    sent = spark.sparkContext.broadcast(model)
     part = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, logp = sent.value
-        by_bucket = np.ascontiguousarray(logp.T)
+        langs = sent.value.langs
         for b in batches:
             best, score, mixed = [], [], []
             for text in b.column(1).to_pylist():
-                grams = trigrams(text)
-                if not len(grams) or not langs:
+                share = told(sent.value, text)
+                if share is None:
                     best.append(UNKNOWN), score.append(0.0), mixed.append([])
                     continue
-                n = np.bincount(grams, minlength=BUCKETS)
-                at = np.flatnonzero(n)
-                share = mixture(n[at].astype(np.float64), by_bucket[at].T.astype(np.float64))
                 top = int(share.argmax())
                 best.append(langs[top]), score.append(float(min(1.0, share[top])))
                 mixed.append([{"lang": langs[i], "share": float(share[i])} for i in np.argsort(-share, kind="stable") if share[i] > 0])
@@ -157,27 +184,19 @@ def keep_identified(df: DataFrame, text_col: str = "text", lang_col: str = "lang
     """The rows whose language can be told, with all columns; a missing language is filled in. The model is trained on the
     rows that have one. Where no row has one, nothing can be told, and rows stay if their text has letters."""
     model = train(df, text_col, lang_col)
-    langs, logp = model
-    sent = df.sparkSession.sparkContext.broadcast((langs, logp.astype(np.float32)))
+    sent = df.sparkSession.sparkContext.broadcast(model)
 
-    def best(texts: list[str | None]) -> list[str]:
-        names, table_ = sent.value
-        by_bucket = np.ascontiguousarray(table_.T)
-        out = []
+    def best(texts: list[str | None]) -> list[str | None]:
+        out: list[str | None] = []
         for text in texts:
-            n = np.bincount(trigrams(text), minlength=BUCKETS)
-            at = np.flatnonzero(n)
-            if not len(at):
-                out.append(UNKNOWN)
-            elif names:
-                out.append(names[int(mixture(n[at].astype(np.float64), by_bucket[at].T.astype(np.float64)).argmax())])
-            else:
-                out.append(None)
+            share = told(sent.value, text)
+            nothing = UNKNOWN if sent.value.langs or not len(trigrams(text)) else None
+            out.append(nothing if share is None else sent.value.langs[int(share.argmax())])
         return out
 
     (name,) = free_names(df, "lang")
-    told = with_column(df, name, "string", pa.string(), (text_col,), best).where(F.coalesce(F.col(name), F.lit("")) != UNKNOWN)
-    return told.withColumn(lang_col, F.coalesce(F.col(lang_col), name)).select(*df.columns)
+    known = with_column(df, name, "string", pa.string(), (text_col,), best).where(F.coalesce(F.col(name), F.lit("")) != UNKNOWN)
+    return known.withColumn(lang_col, F.coalesce(F.col(lang_col), name)).select(*df.columns)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -186,5 +205,5 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = train(docs.where(~held_out()))
+    model = train(docs.where(~held_out()), id_col="doc_id")
     return predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

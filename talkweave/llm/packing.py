@@ -6,12 +6,13 @@ the sum of the squared numbers of windows at each level. A level array holds the
 vectorised minimum over the levels. At the end of a shard, the few windows that are still open are closed by
 cutting the emptiest ones' pieces into the gaps of the fullest, so a shard ends with one padded window at most.
 
-Shards are partitions by hash of the id, of about ``shard_bytes`` of text, so their number follows the input and a hot
-source is spread. A sequence id holds the shard's number and the window's number in it. Rows of a shard are
+Shards are partitions of about ``shard_bytes`` of text, so their number follows the input. Rows are dealt to them in turn, so a hot source, or a row that repeats a million times,
+is spread. A sequence id holds the shard's number and the window's number in it. Rows of a shard are
 sorted, so a task that runs again gives the same pieces.
 
-Results for edge cases: a null text counts as empty and is one end id; a null or repeated id is a row like any other;
-an empty table gives no rows.
+Results for edge cases: a null text counts as empty and is one end id; a null or repeated id is a row like any other, and rows that repeat are packed each, which of them where being
+without meaning; a text of any length is read whole and cut into windows, which one task does; of levels that are as good as each other (ties) the fullest
+is taken; columns beyond id and text, whatever their names, are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -158,7 +159,7 @@ def pack_documents(
 
     kind = to_arrow_type(field)
     n = shards(docs, "words", shard_bytes)
-    placed = docs.repartition(n, F.xxhash64("key", "words")).sortWithinPartitions("key", "words")
+    placed = docs.repartition(n).sortWithinPartitions("key", "words")
     return placed.mapInArrow(run, f"id {field.simpleString()}, {PIECES}").withColumnRenamed("id", id_col)
 
 

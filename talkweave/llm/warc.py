@@ -179,12 +179,14 @@ def read_archives(spark: SparkSession, path: str, id_type: str = "long", with_pa
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: page_id, response, request, metadata."""
-    part = F.struct(*(c for c in records.columns if c not in ("concurrent_to",)))
+    """One nested row per capture: page_id, response, requests, metadata. Of requests and metadata all records that name the capture are kept, by record id; page_id is that of the first
+    metadata record that has one. Records of other kinds are left out, and so are captures without a response; of two responses of one id, which the format forbids, one stays."""
+    part = F.struct("record_id", *(c for c in records.columns if c not in ("concurrent_to", "record_id")))
     kind = F.col("record_type")
-    of = lambda *k: F.max(F.when(kind.isin(*k), part))  # noqa: E731  one record of each kind
-    whole = records.withColumn("capture", F.coalesce("concurrent_to", "record_id")).groupBy("capture").agg(of("response", "revisit").alias("response"), of("request").alias("request"), of("metadata").alias("metadata"))
-    return whole.where("response IS NOT NULL").select(F.col("metadata.page_id").alias("page_id"), "response", "request", "metadata")
+    of = lambda k: F.array_sort(F.collect_list(F.when(kind == k, part)))
+    whole = records.withColumn("capture", F.coalesce("concurrent_to", "record_id")).groupBy("capture").agg(F.max(F.when(kind.isin("response", "revisit"), part)).alias("response"), of("request").alias("requests"), of("metadata").alias("metadata"))
+    page = F.get(F.filter(F.transform("metadata", lambda m: m["page_id"]), lambda p: p.isNotNull()), F.lit(0))
+    return whole.where("response IS NOT NULL").select(page.alias("page_id"), "response", "requests", "metadata")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -437,6 +437,14 @@ def test_packing(docs):
     assert [p.place(n) for n in (6, 4, 3, 10, 7)] == [(0, 0), (0, 6), (1, 0), (2, 0), (1, 3)]
 
 
+def test_packing_spreads_repeated_rows(spark):
+    """Equal rows are dealt over all shards."""
+    df = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("").alias("text")).unionAll(spark.createDataFrame([(1, "x" * 4000)], "doc_id long, text string"))
+    out = packing.pack_documents(df.repartition(3), shard_bytes=500).withColumn("shard", F.shiftright("sequence_id", 32))
+    sizes = [r["count"] for r in out.groupBy("shard").count().collect()]
+    assert sum(sizes) >= 20_001 and len(sizes) == 8 and max(sizes) < 1.2 * 20_001 / 8
+
+
 def test_bpe(docs, texts):
     from tokenizers import Tokenizer
 
@@ -507,7 +515,7 @@ def test_pii_secret_over_a_failing_card(spark):
 
 
 def test_langid(spark, docs):
-    assert {r["lang_pred"] for r in langid.predict(docs, ([], np.zeros((0, langid.BUCKETS)))).collect()} == {"und"}
+    assert {r["lang_pred"] for r in langid.predict(docs, langid.Model([], *np.zeros((3, 0), np.int64))).collect()} == {"und"}
     kinds = {"aa": "alpha beta gamma delta".split(), "bb": "uno dos tres cuatro cinco".split()}
     rng = random.Random(4)
     rows = [(i, " ".join(rng.choices(kinds[k], k=40)), k, None, None) for i, k in enumerate(["aa", "bb"] * 40)]
@@ -522,6 +530,23 @@ def test_langid(spark, docs):
     assert langid.keep_identified(docs.limit(0)).count() == 0
 
 
+def test_langid_learns_every_label(spark):
+    """Three hundred languages, most of them rare; copies of a frequent text don't decide the sample."""
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüßéèñçåøšžłđ"
+    words = {f"l{k:03d}": ["".join(rng.choices(letters, k=rng.randint(4, 8))) for _ in range(25)] for k in range(300)}
+    rows = [(len(words) * j + i, " ".join(rng.choices(w, k=40)), lang, None, None) for j in range(3) for i, (lang, w) in enumerate(words.items())]
+    rows += [(10_000 + i, "ever the same words of a template", "l000", None, None) for i in range(2000)]
+    model = langid.train(spark.createDataFrame(rows, DOCS), sample_docs=500, id_col="doc_id")
+    assert model.langs == sorted(words) and model.logp(np.arange(100)).shape == (300, 100)
+    assert np.allclose(np.exp(model.logp(np.arange(langid.BUCKETS))).sum(axis=1), 1)
+    ask = [(i, " ".join(rng.choices(w, k=30)), None, None, None) for i, w in enumerate(words.values())]
+    out = {r["doc_id"]: r["lang_pred"] for r in langid.predict(spark.createDataFrame(ask, DOCS), model).collect()}
+    assert [out[i] for i in range(300)] == list(words)
+    known = model.n[model.lang == 0].sum()
+    assert 500 < known / 30 < 2500  # about a quarter of the copies
+
+
 def test_pii_reliabilities():
     """On simulated votes expectation-maximisation finds the labelers' reliabilities, and its posteriors tell the truth better than any labeler."""
     rng = np.random.default_rng(6)
@@ -692,7 +717,12 @@ def test_warc(spark):
         first = len(b) < 1000 or k == newest
         want.append((k, len(b), hashlib.sha1(b).hexdigest(), "response" if first else "revisit", None if first else newest))
     same([tuple(r) for r in out], want)
-    assert captures.where("request IS NULL OR metadata IS NULL").count() == 0
+    assert captures.where("size(requests) <> 1 OR size(metadata) <> 1").count() == 0
+    # further records of a capture stay, in order, and so does a capture whose first metadata has no page
+    more = records.where("record_type = 'metadata'").withColumn("record_id", F.concat(F.lit(" "), "record_id")).withColumn("page_id", F.lit(None).cast("long"))
+    twice = warc.assemble(records.unionAll(more)).collect()
+    assert sorted((r["page_id"] is None, r["page_id"]) for r in twice) == sorted((r["page_id"] is None, r["page_id"]) for r in captures.collect())
+    assert all(len(r["metadata"]) == 2 and r["metadata"][0]["record_id"] < r["metadata"][1]["record_id"] for r in twice)
     assert warc.assemble(warc.read_archives(spark, warc.write_pages(df.limit(0)))).count() == 0
     # every record is a gzip member of its own
     import gzip
