@@ -8,20 +8,19 @@ unlike ones hardly any. Paths depend on a node's sketch only, so all trees go do
 
 Nodes that meet at a path are compared: first with one member of the path's group, the hub, and the likeliest such link
 of each is confirmed on full sets. That already joins large groups of near copies, by a link per member. Then groups whose
-members are not yet all connected are compared exhaustively: small ones in one task, where likely pairs between components
-are kept for confirmation, larger ones in pairs of blocks on full sets, leaving out blocks of one component. Groups of more than LARGE
-are branched further instead, as long as that splits them into few parts of their size; sets that stay together are compared in blocks. Only links come out, so no group is ever expanded into all its pairs.
+members are not yet all connected are compared exhaustively where they are small: likely pairs between components
+are kept for confirmation. Groups of more than LARGE are branched further, as long as that splits them into few parts of their size. The nodes of groups that stay together, as pages of one
+template do, go into one index by the prefixes of their sets, rare tokens first: the smaller set of a pair is met by a short prefix, the other by a longer one, which
+misses no pair as similar as wanted, and brings pages together only if they share what is rare. Only links come out, so no group is ever expanded into all its pairs.
 
-A path may be shared by very many nodes: its rows are dealt over SALTS tasks wherever they meet what is known of the path. Blocks are
-bounded by members and by bytes.
+A path may be shared by very many nodes, and a token by very many sets: their rows are dealt over SALTS tasks wherever they meet what is known of the path or token.
 
 Sets hold 64-bit hashes of shingles. Confirmed links make a graph; its components come from repeated
 minimum labels with pointer jumping. Recall of a pair at the wanted similarity: about 0.9999 with 12 trees.
 
 Results for edge cases: without words or text (null too) the set is empty, and the document is linked with nothing; fewer
 words than a shingle make one shingle. Rows that repeat an id are rows of their own, told apart by a 128-bit hash of id and text; component_id is the
-least id of a component's rows (null ids are not compared and have no component of their own). A text of any length is one row of its task; its set
-is a block of its own where it is large. An empty table gives an empty one. Other columns are ignored by near_duplicates(), and kept by
+least id of a component's rows (null ids are not compared and have no component of their own). A text of any length is one row of its task. An empty table gives an empty one. Other columns are ignored by near_duplicates(), and kept by
 keep_one(), whatever their names.
 """
 
@@ -46,13 +45,12 @@ HUB_TREES = 4
 LEVELS, MORE_LEVELS = 6, 4
 #: Independent trees below a very large group, so that branching it further loses hardly any pair.
 AGAIN = 3
-#: Groups up to SMALL are compared by sketches first; up to LARGE in blocks on full sets; larger ones are branched further.
-SMALL, LARGE, BLOCK = 32, 8192, 256
-#: Bytes of sets in a block, about.
-BLOCK_BYTES = 4 << 20
-#: A round of branching makes about six rows of one (AGAIN trees, 1 / similarity at each level), so it saves comparisons only where a branch holds less than this
-#: share of the group above; a larger branch is compared in blocks.
+#: Groups up to SMALL are compared by sketches; larger ones are branched further as long as they hold more than LARGE and split. Neither matters for what is found: what is left goes to the index.
+SMALL, LARGE = 32, 8192
+#: A round of branching makes about six rows of one (AGAIN trees, 1 / similarity at each level), so it saves work only where a branch holds less than this share of the group above.
 WHOLE = 0.15
+#: Buckets in which tokens are counted, to know the rare ones.
+RARITY = 1 << 20
 #: Tasks over which the rows of one path are dealt.
 SALTS = 8
 #: How far an estimate from sketches may lie below the wanted similarity, in standard deviations.
@@ -214,74 +212,69 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return left.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
-def _exact_links(left: list[dict], right: list[dict] | None, percent: int) -> list[tuple[bytes, bytes]]:
-    """Links between members of different components, as many as connect them. right None: within left."""
-    both = left + (right or [])
-    sets = [np.frombuffer(m["items"], np.uint64) for m in both]
-    size = np.array([len(x) for x in sets], np.int64)
-    flat = np.concatenate(sets)
-    of = np.repeat(np.arange(len(sets)), size)
-    values, at, n = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = n[at] > 1  # others are in no intersection
-    number = np.cumsum(n > 1) - 1
-    of, item = of[shared], number[at[shared]]
-    k = len(left)
-    common = np.zeros((k, len(both) - k if right else k), np.float64)
-    order = np.argsort(item, kind="stable")
-    of, item = of[order], item[order]
-    step = max(1024, (1 << 24) // len(both))
-    for low in range(0, int(item[-1]) + 1 if len(item) else 0, step):
-        i, j = np.searchsorted(item, [low, low + step])
-        m = np.zeros((len(both), step), np.float32)
-        m[of[i:j], item[i:j] - low] = 1
-        common += m[:k] @ (m[k:] if right else m).T
-    a_size, b_size = size[:k], size[k:] if right else size
-    linked = 100 * common >= percent * (a_size[:, None] + b_size[None, :] - common)
-    root: dict[bytes, bytes] = {}
-
-    def find(x: bytes) -> bytes:
-        while (y := root.get(x, x)) != x:
-            root[x] = root.get(y, y)
-            x = y
-        return x
-
-    out = []
-    for i, j in zip(*np.nonzero(linked)):
-        a, b = left[i], (right or left)[j]
-        x, y = find(a["comp"]), find(b["comp"])
-        if x != y:
-            root[x] = y
-            out.append((a["node"], b["node"]))
+def _token_counts(sets: DataFrame) -> np.ndarray:
+    """How often tokens occur in all sets, by RARITY buckets of their hash: a guide to which are rare."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(RARITY, np.int64)
+        for b in batches:
+            for x in b.column(0).to_pylist():
+                np.add.at(total, (np.frombuffer(x, np.uint64) % np.uint64(RARITY)).astype(np.int64), 1)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bucket", "k"])
+
+    found = sets.select("items").mapInArrow(run, "bucket long, k long").groupBy("bucket").agg(F.sum("k").alias("k")).toArrow()
+    out = np.zeros(RARITY, np.int64)
+    out[found["bucket"].to_numpy()] = found["k"].to_numpy()
     return out
 
 
-def _block_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """groups: path, node, comp, n of larger groups. Members are dealt to blocks of about BLOCK (or BLOCK_BYTES), those of one large component to
-    blocks of their own; pairs of blocks are compared on full sets, but for two blocks of one component."""
-    weight = F.greatest(F.lit(1 / BLOCK), F.col("n") * 8 / BLOCK_BYTES)  # in blocks
-    w = groups.groupBy("path", "comp").agg(F.sum(weight).alias("w"))
-    small = F.col("w") < 1
-    rest = w.groupBy("path").agg(F.sum(F.when(small, F.col("w"))).alias("rest"))
-    dealt = _spread(groups.select("path", "node", "comp").join(w, ["path", "comp"]), rest, "path")
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.when(small, F.col("rest")).otherwise(F.col("w"))))
-    dealt = stored(dealt.select("path", "node", "comp", F.when(~small, F.col("comp")).alias("own"), part.alias("part")))
-    blocks = stored(dealt.join(sets, "node").groupBy("path", "own", "part").agg(F.collect_list(F.struct("node", "comp", "items")).alias("members")).withColumn("block", F.xxhash64("own", "part")))
-    ids = blocks.select("path", "block", "own")
-    other = ids.select("path", F.col("block").alias("block_b"), F.col("own").alias("own_b"))
-    pairs = ids.join(other, "path").where((F.col("block") <= F.col("block_b")) & (F.col("own").isNull() | ~F.col("own").eqNullSafe(F.col("own_b")))).select("path", "block", "block_b")
-    met = pairs.join(blocks.select("path", "block", F.col("members").alias("x")), ["path", "block"])
-    met = met.join(blocks.select("path", F.col("block").alias("block_b"), F.col("members").alias("y")), ["path", "block_b"])
+def _prefixes(members: DataFrame, percent: int) -> DataFrame:
+    """members: node, comp, n, items. A row for each token of a set's prefix, rare tokens first: token, node, comp, n and whether it is in the short prefix, which is enough for the smaller
+    set of a pair: of two sets as similar as wanted the first token in common is in the short prefix of the smaller and in the prefix of the other."""
+    sent = members.sparkSession.sparkContext.broadcast(_token_counts(members))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                x, y = batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
-                links = _exact_links(x, y if not batch.column(0)[i].as_py() else None, percent)
-                if links:
-                    a, b = zip(*links)
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-
-    return met.select((F.col("block") == F.col("block_b")).alias("same"), "x", "y").mapInArrow(run, "a binary, b binary")
+        count = sent.value
+        for b in batches:
+            if not b.num_rows:
+                continue
+            tokens, rows, short = [], [], []
+            for k, x in enumerate(b.column(3).to_pylist()):
+                x = np.frombuffer(x, np.uint64)
+                n = len(x)
+                long_ = n + percent * -n // 100 + 1  # n - ceil(percent * n / 100) + 1
+                few = n + 2 * percent * -n // (100 + percent) + 1
+                first = x[np.lexsort((x, count[(x % np.uint64(RARITY)).astype(np.int64)]))[:long_]]
+                tokens.append(first)
+                rows.append(np.full(len(first), k))
+                short.append(np.arange(len(first)) < few)
+            at = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), b.column(0).take(at), b.column(1).take(at), b.column(2).take(at), pa.array(np.concatenate(short))], ["token", "node", "comp", "n", "short"])
+
+    return members.select("node", "comp", "n", "items").mapInArrow(run, "token long, node binary, comp binary, n long, short boolean")
+
+
+def _index_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of different components that an index of prefixes brings together: every pair as similar as wanted is among them. Tokens of one component only are left out; of others, the
+    largest component's rows meet only those of other components, so near copies of one text that are linked already are not met with each other. Rows of a token are dealt over SALTS tasks."""
+    rows = stored(_prefixes(members, percent))
+    by_comp = rows.groupBy("token", "comp").agg(F.count("*").alias("k"))
+    mixed = by_comp.groupBy("token").agg(F.count("*").alias("comps"), F.max_by("comp", F.struct("k", "comp")).alias("big")).where("comps > 1").select("token", "big")
+    met = stored(_spread(rows, mixed, "token").withColumn("other", F.col("comp") != F.col("big")).drop("big"))
+    salt = F.pmod(F.hash("node"), F.lit(SALTS)).alias("salt")
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    name = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("node", "comp", "n")]
+
+    def joined(small: DataFrame, large: DataFrame) -> DataFrame:
+        order = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("node_x") < F.col("node_y")))
+        close = (F.col("comp_x") != F.col("comp_y")) & order & (100 * F.col("n_x") >= percent * F.col("n_y"))
+        return small.join(large, ["token", "salt"]).where(close).select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+
+    # the smaller set by its short prefix; whoever isn't of the largest component is sent to all tasks of the token
+    first = joined(met.where("short AND other").select("token", every, *name("x")), met.select("token", salt, *name("y")))
+    second = joined(met.where("short AND NOT other").select("token", salt, *name("x")), met.where("other").select("token", every, *name("y")))
+    return first.unionAll(second).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -329,7 +322,7 @@ def linked_sets(docs: DataFrame, size: int, percent: int, trees: int = TREES) ->
     comp = components(links)
 
     # groups that are not one component yet
-    found, direct = [], []
+    found, rest = [], []
     here = met.select("path", F.lit(None).cast("long").alias("up"), "node")
     while True:
         label = here.join(comp, "node", "left").select("path", "up", "node", F.coalesce("comp", "node").alias("comp"))
@@ -338,15 +331,19 @@ def linked_sets(docs: DataFrame, size: int, percent: int, trees: int = TREES) ->
         whole = open_.where(F.col("size") <= SMALL).join(sk, "node").groupBy("path").agg(F.collect_list(F.struct("node", "comp", "sketch")).alias("members"))
         found.append(_crossing(whole, least))
         large = (F.col("size") > LARGE) & F.coalesce(F.col("size") <= F.col("up") * WHOLE, F.lit(True))
-        direct.append(_block_links(open_.where((F.col("size") > SMALL) & ~large), sets, percent))
+        rest.append(open_.where((F.col("size") > SMALL) & ~large).select("node"))
         more = open_.where(large)
         if not more.head(1):
             break
         deeper = _more_paths(more.join(sk, "node"), similarity)
         again = deeper.groupBy("path").agg(F.count("*").alias("size")).where("size > 1").select("path")
         here = stored(_spread(deeper, again, "path"))
-    likely = stored(reduce(DataFrame.unionAll, found).distinct())
-    more = stored(_confirmed(likely, sets, percent).unionAll(reduce(DataFrame.unionAll, direct)))
+    unsplit = reduce(DataFrame.unionAll, rest).distinct()
+    members = unsplit.join(nodes.select("node", "n"), "node").join(comp, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), "n").join(sets, "node")
+    pairs = _index_pairs(members, percent)
+    pairs = pairs.join(sk.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").join(sk.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
+    likely = stored(reduce(DataFrame.unionAll, [*found, _likely(pairs, least).select("a", "b")]).distinct())
+    more = stored(_confirmed(likely, sets, percent))
     if more.head(1):
         comp = components(links.unionAll(more))
     return rows.select("key", "r1", "r2", "n", "node"), comp

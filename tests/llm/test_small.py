@@ -296,9 +296,9 @@ def brute_components(rows, size, percent):
     return [(k, len(sets[i]), min((x for x in least[find(i)] if x is not None), default=None) if sets[i] else k) for i, (k, _) in enumerate(rows)]
 
 
-@pytest.mark.parametrize("sizes", [(32, 8192, 256), (2, 3, 2)])
+@pytest.mark.parametrize("sizes", [(32, 8192), (2, 3), (1, 10**9)])
 def test_near(spark, docs, sizes, monkeypatch):
-    for name, v in zip(("SMALL", "LARGE", "BLOCK"), sizes):
+    for name, v in zip(("SMALL", "LARGE"), sizes):
         monkeypatch.setattr(near_dedup, name, v)
     rng = random.Random(8)
     base = prose(rng, 400).split()
@@ -313,7 +313,7 @@ def test_near(spark, docs, sizes, monkeypatch):
     want = brute_components(all_rows(more), 3, 85)
     same([(r["doc_id"], r["n_shingles"], r["component_id"]) for r in out], want)
     assert all(r["kept"] == (r["doc_id"] is not None and r["doc_id"] == r["component_id"]) for r in out)
-    if sizes[0] == 2:
+    if sizes[0] < 32:
         return
     clashing = more.withColumn("th", F.lit("th")).withColumn("__r1", F.lit("own")).withColumn("comp", F.lit(0))
     kept = near_dedup.keep_one(clashing, 5, 80)
@@ -323,6 +323,41 @@ def test_near(spark, docs, sizes, monkeypatch):
     assert near_dedup.near_duplicates(more.limit(0), 3, 85).count() == 0
 
 
+def test_near_index_is_exact(spark):
+    """The index brings together every pair as similar as wanted, of sets of any size, whatever components are known; and hardly any other."""
+    rng = random.Random(41)
+    rows, sets = [], {}
+    for i in range(260):
+        if i % 3 and sets:
+            items = set(sets[rng.choice(list(sets))])
+            for _ in range(rng.randint(0, max(1, len(items) // 6))):
+                items.discard(rng.choice(sorted(items)) if items else 0) if rng.random() < 0.5 else items.add(rng.randrange(1 << 62))
+        else:
+            items = {rng.randrange(40) for _ in range(rng.randint(0, 30))} | {rng.randrange(1 << 62) for _ in range(rng.choice((1, 3, 40, 120)))}
+        items = items or {7}
+        node, comp = i.to_bytes(16, "big"), rng.choice((i, 1000, 1001)).to_bytes(16, "big")
+        sets[i] = items
+        rows.append((bytearray(node), bytearray(comp), len(items), bytearray(np.array(sorted(items), np.uint64).tobytes())))
+    df = spark.createDataFrame(rows, "node binary, comp binary, n long, items binary").repartition(4)
+    for percent in (80, 85, 100):
+        got = {(int.from_bytes(r["a"], "big"), int.from_bytes(r["b"], "big")) for r in near_dedup._index_pairs(df, percent).collect()}
+        comp = {i: bytes(r[1]) for i, r in enumerate(rows)}
+        want = {(i, j) for i in sets for j in sets if i < j and comp[i] != comp[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])}
+        assert want <= got and len(want) > 10 and all(comp[i] != comp[j] and i < j for i, j in got)
+
+
+def test_near_template_pages(spark):
+    """Documents of one template, too unlike to link: the index brings no two of them together."""
+    rng = random.Random(3)
+    rows, template = [], [rng.randrange(1 << 62) for _ in range(300)]
+    for i in range(3000):
+        items = np.array(sorted({*template, *(rng.randrange(1 << 62) for _ in range(40))}), np.uint64)
+        rows.append((bytearray(i.to_bytes(16, "big")), bytearray(i.to_bytes(16, "big")), len(items), bytearray(items.tobytes())))
+    df = spark.createDataFrame(rows, "node binary, comp binary, n long, items binary").repartition(4)
+    assert near_dedup._index_pairs(df, 85).count() == 0
+    assert near_dedup._index_pairs(df.limit(200), 75).count() == 200 * 199 // 2
+
+
 def test_near_recall(spark):
     """Pairs just above the threshold (182 of 214 shingles, 0.8505) are found, and pairs just below (0.8419) are not linked."""
     rng = random.Random(14)
