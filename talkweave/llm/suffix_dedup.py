@@ -42,6 +42,8 @@ LENGTH = 200
 GRAM = 64
 #: Bytes of pieces that one suffix array takes; the pieces of an anchor that has more are dealt out by window.
 SHARD_BYTES = 2 << 20
+#: An anchor with more than one in so many of the recurring cores is hot.
+HOT_SHARE, HOT_LEAST = 1000, 10_000
 #: Runs of cores are cut at multiples of so many bytes.
 RUN_BYTES = 1 << 16
 SEPARATOR = 0xFF  # no byte of UTF-8
@@ -392,8 +394,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     long = docs.where(F.octet_length("text") >= length).select("r1", "r2", "text")
     scratch = shared_dir(spark)
     all_cores = stored(_cores(long, length), scratch)
-    recurring = all_cores.groupBy("f").agg(F.count("*").alias("cores")).where("cores > 1").select("f")
-    shared = stored(all_cores.join(recurring, "f"))
+    recurring = stored(all_cores.groupBy("f").agg(F.count("*").alias("cores")).where("cores > 1"))
+    total = recurring.agg(F.sum("cores").alias("n")).first()["n"] or 0
+    hot = F.col("cores") > max(HOT_LEAST, total // HOT_SHARE)
+    few = F.broadcast(recurring.where(hot).select("f"))  # at most HOT_SHARE anchors; others meet by a shuffle, in which none has more than that share
+    shared = stored(all_cores.join(few, "f").unionByName(all_cores.join(few, "f", "left_anti").join(recurring.where(~hot).select("f"), "f")))
     removed(spark, scratch)
     place = F.struct("r1", "r2", "at")
     cores = stored(shared.groupBy("f", "c", "g").agg(F.first("n").alias("n"), F.count("*").alias("copies"), F.min(place).alias("a"), F.max(place).alias("z")))
