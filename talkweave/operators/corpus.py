@@ -79,10 +79,19 @@ def collapse_report(codes: DataFrame, id_col: str = "conv_id") -> DataFrame:
     return sums.join(runs, "cb").select("cb", "n", "distinct_codes", "top", "n_runs", "longest", "in_repeats", entropy.alias("entropy"))
 
 
-def weighted_loss(losses: DataFrame, first_weight: float = 8.0) -> DataFrame:
-    """losses: cb, loss. The mean over codebooks, the first weighing more."""
+def weighted_loss(losses: DataFrame, *by: str, first_weight: float = 8.0) -> DataFrame:
+    """losses: cb, loss. The mean over codebooks, the first weighing more, and how many there are; of each group ``by``."""
     w = F.when(F.col("cb") == 0, F.lit(first_weight)).otherwise(F.lit(1.0))
-    return losses.agg((F.sum(w * F.col("loss")) / F.sum(w)).alias("loss"))
+    return losses.groupBy(*by).agg((F.sum(w * F.col("loss")) / F.sum(w)).alias("loss"), F.count("*").alias("codebooks"))
+
+
+def real_time(log: DataFrame, *by: str) -> DataFrame:
+    """log: audio_sec and us (microseconds that it took) of each item. Of each group ``by``: items, wall_us, audio_sec, frames, and speed, seconds of audio a second of wall time."""
+    seconds = F.sum("us") / F.lit(1e6)
+    return log.groupBy(*by).agg(
+        F.count("*").alias("items"), F.sum("us").alias("wall_us"), F.sum("audio_sec").alias("audio_sec"), F.sum(F.greatest(F.lit(1), F.floor(F.col("audio_sec") * tk.FRAMES_PER_SECOND))).alias("frames"),
+        (F.sum("audio_sec") / F.greatest(seconds, F.lit(1e-6))).alias("speed"),
+    )
 
 
 def sharded(rows: DataFrame, split: str, *order: str, size: int = SHARD_ROWS, offset: int = 0) -> DataFrame:
@@ -106,9 +115,9 @@ def first_of_each(rows: DataFrame, split: str, n: int, *order: str) -> DataFrame
     return rows.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")
 
 
-def mean_loss(losses: DataFrame) -> DataFrame:
-    """losses: loss of each batch. Their mean; 0 without any batch."""
-    return losses.agg((F.coalesce(F.sum("loss"), F.lit(0.0)) / F.greatest(F.count("loss"), F.lit(1))).alias("loss"), F.count("loss").alias("batches"))
+def mean_loss(losses: DataFrame, *by: str) -> DataFrame:
+    """losses: loss of each batch. Their mean; 0 without any batch; of each group ``by``."""
+    return losses.groupBy(*by).agg((F.coalesce(F.sum("loss"), F.lit(0.0)) / F.greatest(F.count("loss"), F.lit(1))).alias("loss"), F.count("loss").alias("batches"))
 
 
 def wall_hours(mean_sec: Column, rows: Column, speed: float) -> Column:

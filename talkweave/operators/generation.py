@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from talkweave.config import Bucket, Config, bucket_table
@@ -128,6 +128,12 @@ def targets(config: Config, limit: int | None) -> dict[str, int]:
     return out
 
 
+def filled(buckets: DataFrame, order: str, count: str, limit: Column) -> DataFrame:
+    """Adds target: a limit filled in the order of buckets, each up to its count. Buckets are few."""
+    before = F.coalesce(F.sum(count).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return buckets.withColumn("__limit", limit).withColumn("target", F.greatest(F.lit(0), F.least(F.col(count), F.col("__limit") - before))).drop("__limit")
+
+
 def rejections(judged: DataFrame) -> str:
     """Short reasons of rejected scripts and how often each was met."""
     reasons = judged.where("reason IS NOT NULL").groupBy(tx.short_reason(F.col("reason")).alias("reason")).agg(F.count("*").alias("n"))

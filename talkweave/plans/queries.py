@@ -192,13 +192,11 @@ def resume_antijoin(spark, d):
     return t.select("conv_id").distinct().join(done, "conv_id", "left_anti")
 
 
-@query(f"WITH {RAW_SQL}, n AS (SELECT count(DISTINCT conv_id) * 4 AS total FROM rt), {bucket_sql('b', tuple(Bucket(b.name, b.count // 100, *[0] * 7) for b in DEFAULT_BUCKETS))}, s AS (SELECT name, count, total, coalesce(sum(count) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM b, n) SELECT name AS category, CAST(greatest(0, least(count, total - before)) AS BIGINT) AS target FROM s")
+@query(f"WITH {RAW_SQL}, n AS (SELECT category AS bucket, count(DISTINCT conv_id) AS have FROM rt GROUP BY category), l AS (SELECT sum(have) * 3 // 5 AS lim FROM n), s AS (SELECT bucket, have, lim, coalesce(sum(have) OVER (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM n, l) SELECT bucket AS category, have, CAST(greatest(0, least(have, lim - before)) AS BIGINT) AS target FROM s")
 def bucket_fill_limit(spark, d):
-    small = [Bucket(b.name, b.count // 100, *[0] * 7) for b in DEFAULT_BUCKETS]
-    b = spark.createDataFrame([(i, x.name, x.count) for i, x in enumerate(small)], "pos int, name string, count long")
-    total = raw_turns(spark, d).agg((F.countDistinct("conv_id") * 4).alias("total")).first()["total"]
-    before = F.coalesce(F.sum("count").over(Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return b.select(F.col("name").alias("category"), F.greatest(F.lit(0), F.least(F.col("count"), F.lit(total) - before)).alias("target"))
+    """A limit of three fifths of all conversations, filled in the order of their buckets; buckets are a handful of counts."""
+    have = raw_turns(spark, d).groupBy(F.col("category").alias("bucket")).agg(F.countDistinct("conv_id").alias("have"))
+    return generation.filled(have, "bucket", "have", F.floor(F.sum("have").over(Window.partitionBy()) * 3 / 5)).select(F.col("bucket").alias("category"), "have", "target")
 
 
 @query(f"WITH {RAW_SQL}, x AS (SELECT conv_id, turn FROM rt UNION ALL SELECT conv_id, turn + 100 FROM rt WHERE turn = 1 AND conv_id % 7 = 0), o AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS occurrence FROM x) SELECT conv_id, turn, occurrence FROM o WHERE occurrence > 1")
@@ -309,12 +307,16 @@ def expected_hours(spark, d):
     return b.join(n, b["name"] == n["category"], "left").select(F.col("name").alias("category"), F.coalesce("n", F.lit(0)).alias("found"), hours(F.coalesce("n", F.lit(0))).alias("found_hours"), hours(F.col("count")).alias("planned_hours"))
 
 
-@query(f"WITH {TIMED_SQL} SELECT CAST(sum(samples) AS BIGINT) AS samples, count(*) AS turns, round(sum(samples) / 24000::DOUBLE, 6) AS audio_sec, CAST(sum(greatest(1, CAST(floor(samples / 24000::DOUBLE * 12.5) AS BIGINT))) AS BIGINT) AS frames, round(sum(samples) / 24000::DOUBLE / greatest(count(*) * 0.01::DOUBLE, 0.000001), 6) AS speed FROM ti")
+@query("""WITH e AS (SELECT user_id, event_type, value, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS us FROM events WHERE ts IS NOT NULL)
+SELECT event_type, count(*) AS items, CAST(sum(us) AS BIGINT) AS wall_us, round(sum(value), 6) AS audio_sec, CAST(sum(greatest(1, CAST(floor(value * 12.5::DOUBLE) AS BIGINT))) AS BIGINT) AS frames,
+  round(sum(value) / greatest(sum(us) / 1000000::DOUBLE, 0.000001), 6) AS speed FROM e WHERE us IS NOT NULL GROUP BY event_type""")
 def rtf_estimate(spark, d):
-    t = raw_turns(spark, d).withColumn("samples", dialogue.tl.turn_samples(tx.space_words(F.col("text")), 24_000))
-    a = t.agg(F.sum("samples").alias("samples"), F.count("*").alias("turns"), F.sum(tk.frame_count(F.col("samples"), 24_000)).alias("frames"))
-    sec = F.col("samples") / 24000
-    return a.select("samples", "turns", F.round(sec, 6).alias("audio_sec"), "frames", F.round(sec / F.greatest(F.col("turns") * F.lit(0.01).cast("double"), F.lit(1e-6)), 6).alias("speed"))
+    """Of a log of work, which events are: an item took from its user's event before to its own time, for as many seconds as its value."""
+    e = spark.read.parquet(f"{d}/events.parquet").where("ts IS NOT NULL")
+    at = F.unix_micros(F.to_timestamp(F.concat(F.col("ts").cast("string"), F.lit("Z"))))  # no session's zone or summer time plays a part
+    us = at - F.lag(at).over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    log = e.select("event_type", "value", us.alias("us")).where("us IS NOT NULL")
+    return corpus.real_time(log.withColumnRenamed("value", "audio_sec"), "event_type").withColumns({"audio_sec": F.round("audio_sec", 6), "speed": F.round("speed", 6)})
 
 
 # --- codes and sequences, of embeddings (conv_id is vec_id): the component x at codebook * 17 + frame * 7 (around the vector) gives floor(1024 * x) modulo 2048, and 0 where it is
@@ -404,10 +406,25 @@ def unique_codes(spark, d):
     return corpus.codebook_report(corpus.long_codes(coded(spark, d))).withColumn("cb", F.col("cb").cast("long"))
 
 
-@query(f"WITH {CODES_SQL}, l AS (SELECT cb, avg(code) / 2048 AS loss FROM cd WHERE cb < 8 GROUP BY cb) SELECT round(sum(CASE WHEN cb = 0 THEN 8.0 ELSE 1.0 END * loss) / sum(CASE WHEN cb = 0 THEN 8.0 ELSE 1.0 END), 6) AS loss FROM l")
+@query("""WITH k AS (SELECT event_type, row_number() OVER (ORDER BY event_type) - 1 AS cb FROM (SELECT DISTINCT event_type FROM events)),
+m AS (SELECT user_id, cb, avg(value) AS loss FROM events JOIN k USING (event_type) WHERE value IS NOT NULL GROUP BY ALL)
+SELECT user_id, floor(sum(CASE WHEN cb = 0 THEN 8.0 ELSE 1.0 END * loss) / sum(CASE WHEN cb = 0 THEN 8.0 ELSE 1.0 END) * 1000 + 0.000001) / 1000 AS loss, count(*) AS codebooks FROM m GROUP BY user_id""")
 def weighted_loss(spark, d):
-    l = corpus.long_codes(coded(spark, d)).where("cb < 8").groupBy("cb").agg((F.avg("code") / 2048).alias("loss"))
-    return corpus.weighted_loss(l).select(F.round("loss", 6).alias("loss"))
+    """Measured values, by user and kind of event, which takes the place of a codebook; the kinds are few."""
+    per = _losses(spark, d).groupBy("user_id", "cb").agg(F.avg("value").alias("loss"))
+    return corpus.weighted_loss(per, "user_id").withColumn("loss", thousandths("loss"))
+
+
+def thousandths(c: str) -> Column:
+    """Cut to thousandths; what sums in another order change stays below the small number."""
+    return F.floor(F.col(c) * 1000 + F.lit(1e-6)) / 1000
+
+
+def _losses(spark, d) -> DataFrame:
+    """user_id, cb, value: events with the number of their kind in the order of names."""
+    e = spark.read.parquet(f"{d}/events.parquet").where("value IS NOT NULL")
+    kinds = spark.read.parquet(f"{d}/events.parquet").select("event_type").distinct()
+    return e.join(kinds.withColumn("cb", F.row_number().over(Window.orderBy("event_type")) - 1), "event_type").select("user_id", "cb", "value", "event_id")
 
 
 @query("SELECT doc_id, lang, CAST((row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) // 50 + 2 AS BIGINT) AS shard FROM documents")
@@ -478,10 +495,13 @@ def encode_hours(spark, d):
     return s.select("category", "n", F.round(corpus.wall_hours(F.col("mean"), F.col("n"), 20.0), 6).alias("hours"))
 
 
-@query(f"WITH {CODES_SQL}, l AS (SELECT conv_id // 8 AS batch, avg(code) / 2048 AS loss FROM cd WHERE cb < 8 GROUP BY ALL) SELECT round(sum(loss) / greatest(count(*), 1), 6) AS loss, count(*) AS batches FROM l")
+@query("""WITH l AS (SELECT event_type, event_id // 8 AS batch, avg(value) AS loss FROM events WHERE value IS NOT NULL GROUP BY ALL)
+SELECT event_type, floor(sum(loss) / greatest(count(*), 1) * 1000 + 0.000001) / 1000 AS loss, count(*) AS batches FROM l GROUP BY event_type""")
 def eval_loss(spark, d):
-    per = corpus.long_codes(coded(spark, d)).where("cb < 8").groupBy(F.floor(F.col("conv_id") / 8).alias("batch")).agg((F.avg("code") / 2048).alias("loss"))
-    return corpus.mean_loss(per).select(F.round("loss", 6).alias("loss"), "batches")
+    """Measured values in batches of eight events, their means averaged by kind of event."""
+    e = spark.read.parquet(f"{d}/events.parquet").where("value IS NOT NULL")
+    per = e.groupBy("event_type", F.floor(F.col("event_id") / 8).alias("batch")).agg(F.avg("value").alias("loss"))
+    return corpus.mean_loss(per, "event_type").withColumn("loss", thousandths("loss"))
 
 
 @query("WITH o AS (SELECT page_id, url, row_number() OVER (ORDER BY page_id) - 1 AS idx FROM pages) SELECT page_id, translate(url, '/.-', '___') AS name, (idx // 500 + 1) * 500 AS mark FROM o")
