@@ -42,7 +42,7 @@ def parser() -> argparse.ArgumentParser:
     command("generate-dialog-scripts", (("--output-dir", "-o"), {"default": "data/scripts/dialog"}), limit, (("--dry-run",), {"action": "store_true"}))
     command("export-dialog-tsv", (("--scripts",), {"required": True}), (("--voice-prompts",), {"default": "voice_prompts"}), out("data/dialog/test.tsv"), (("--bucket",), {}))
     silent = (("--metadata-only",), {"action": "store_true", "help": "times and paths, no audio files"})
-    command("synth-stage3", (("--scripts",), {"required": True}), out("data/stage3"), limit, mock, silent)
+    command("synth-stage3", (("--scripts",), {"required": True}), out("data/stage3"), limit, mock, silent, (("--voice",), {"help": "module:factory of a function from speaker, text and attempt to samples"}))
     command("inject-overlap", (("--stage3",), {"default": "data/stage3"}), out("data/stage4"), limit, (("--seed",), {"type": int, "default": 13}))
     command("tokenize", (("--stage",), {"default": "data/stage3"}), out("data/tokens/stage3"), limit, (("--mock",), {"action": "store_true", "help": "stand-in codes, no audio is read"}), (("--codec",), {"help": "module:factory of a function from samples and rate to codes"}))
     command("assemble-shards", (("--tokens",), {"required": True}), (("--stage",), {"default": "data/stage3"}), out("data/shards/stage3_train"))
@@ -84,7 +84,9 @@ def run(spark: SparkSession, a: argparse.Namespace) -> Any:
         return {"written": rows.count(), "output": a.output}
     if a.command == "synth-stage3":
         scripts = files.read_scripts(spark, a.scripts)
-        done = stages.synthesize(scripts, config, a.limit) if a.metadata_only else stored(stage_audio.render(scripts, config, a.output, limit=a.limit))
+        if a.voice and (a.mock or a.metadata_only):
+            raise RuntimeError("--voice can't go with --mock or --metadata-only")
+        done = stages.synthesize(scripts, config, a.limit) if a.metadata_only else stored(stage_audio.render(scripts, config, a.output, a.voice and plugged(a.voice), a.limit))
         files.write_stage(done.where("accepted").drop("accepted"), a.output)
         n = done.agg(F.sum(F.col("accepted").cast("long")).alias("written"), F.sum((~F.col("accepted")).cast("long")).alias("skipped")).first()
         return {k: n[k] or 0 for k in ("written", "skipped")}

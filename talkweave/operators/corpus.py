@@ -109,6 +109,13 @@ def codec_rows(rows: DataFrame, dataset: str, rate: int) -> DataFrame:
     )
 
 
+def token_rows(rows: DataFrame, *order: str, at: int | None = None) -> DataFrame:
+    """What training reads of codec rows, in order, with idx from 0; only the row of that number with ``at``."""
+    kept = rows.select("id", "text", "speaker_id", "codes", "n_frames", "k_codebooks")
+    numbered = ordinal(kept, *order)
+    return numbered if at is None else numbered.where(F.col("idx") == at)
+
+
 def first_of_each(rows: DataFrame, split: str, n: int, *order: str) -> DataFrame:
     """The first n rows of each split, in order; tasks keep their own first n before the shuffle."""
     rank = F.row_number().over(Window.partitionBy(split).orderBy(*order))

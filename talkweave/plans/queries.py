@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from talkweave.config import DEFAULT_BUCKETS, Bucket, bucket_table
 from talkweave.functions import text as tx
 from talkweave.functions import tokens as tk
-from talkweave.operators import corpus, dialogue, duplex, generation, quantiles, rules, validate
+from talkweave.operators import corpus, dialogue, duplex, generation, quantiles, rules, training, validate
 from talkweave.operators.ordinal import ordinal, ordinal_within
 from talkweave.operators.rules import judged_turns
 from talkweave.streaming import endpoints
@@ -616,3 +616,27 @@ def endpoint_guard(spark, d):
     t = _shifted(spark, d).where("end_ms > start_ms AND NOT (conv_id % 2 = 0 AND floor(start_ms / 80) % 3 = 0)")
     frames = t.select("conv_id", F.explode(F.sequence(F.floor(F.col("start_ms") / 80), F.floor((F.col("end_ms") - 1) / 80))).alias("frame")).select("conv_id", (F.col("frame") * 80).alias("at_ms"), F.lit(True).alias("active"))
     return endpoints.endpoints(frames.distinct())
+
+
+# --- checks of training data
+
+
+@query(f"WITH {TIMED_SQL}, x AS (SELECT category, ms AS e, CAST(greatest(1, floor(samples / 24000::DOUBLE * 12.5)) AS BIGINT) * 80 AS m FROM ti) SELECT category, count(*) AS n, CAST(sum(e) AS BIGINT) AS expected_ms, CAST(sum(m) AS BIGINT) AS measured_ms, CAST(sum(m - e) AS BIGINT) AS drift_ms, max(abs(m - e)) AS worst_ms FROM x GROUP BY category")
+def duration_drift(spark, d):
+    return training.duration_drift(timed(spark, d).withColumn("frames", tk.frame_count(F.col("samples"), 24_000)), "category")
+
+
+@query(f"WITH {RAW_SQL}, x AS (SELECT conv_id, turn, (speaker = 'S0') <> ({DRAW_SQL.format('role')} < 0.5::DOUBLE) AS u FROM rt) SELECT conv_id, turn, CASE WHEN u THEN 'user' ELSE 'assistant' END AS role FROM x")
+def role_draws(spark, d):
+    return training.roles(raw_turns(spark, d)).select("conv_id", "turn", "role")
+
+
+@query(f"""WITH {codes_sql(32)}, n AS (SELECT conv_id, min(k) AS frames FROM (SELECT conv_id, cb, count(*) AS k FROM cd GROUP BY ALL) GROUP BY conv_id),
+x AS (SELECT CASE WHEN conv_id % 7 = 0 THEN 'failed' WHEN conv_id % 5 = 0 THEN 'empty' WHEN frames > 12 THEN 'too long' ELSE 'kept' END AS verdict, frames FROM n)
+SELECT verdict, count(*) AS n, CAST(sum(frames) AS BIGINT) AS frames FROM x GROUP BY verdict""")
+def extraction_rejects(spark, d):
+    """Every seventh row has lost its codes, every fifth its text."""
+    rows = coded(spark, d, 32).withColumn("frames", tk.shortest(F.col("codes")).cast("long"))
+    text, codes = F.when(F.col("conv_id") % 5 == 0, " ").otherwise("x"), F.when(F.col("conv_id") % 7 != 0, F.col("codes"))
+    verdict = F.coalesce(training.rejected(text, codes, 12), F.lit("kept"))
+    return rows.groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n"), F.sum("frames").alias("frames"))

@@ -209,6 +209,12 @@ def read_splits(spark: SparkSession, path: str, splits: list[str] | str = "all")
     return spark.read.schema(schemas.CODEC_ROW).parquet(path).where(F.col("source_split").isin(*splits))
 
 
+def write_json(spark: SparkSession, path: str, payload: dict) -> None:
+    """One small document, indented, other letters as they are: a report or a plan."""
+    folder, name = path.rsplit("/", 1)
+    put(qualified(spark, folder), name, json.dumps(payload, indent=2, ensure_ascii=False).encode())
+
+
 def publish(spark: SparkSession, staged: str, path: str) -> None:
     """Gives a finished folder its name, in one step; an error where the name is taken."""
     a, b = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
