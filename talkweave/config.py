@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import tomllib
-from dataclasses import asdict, dataclass, field, fields
+from collections.abc import Callable
+from dataclasses import asdict, dataclass, field, fields, replace
+from functools import partial
 from pathlib import Path
 from typing import Any
 
@@ -123,31 +125,30 @@ def _filled(kind: type, raw: dict[str, Any], where: str) -> Any:
     return kind(**named)
 
 
+#: What reads settings, by a file's ending.
+PARSERS = {".json": json.loads, ".toml": tomllib.loads, ".tml": tomllib.loads}
+
+
+def from_settings(raw: dict[str, Any]) -> Config:
+    """A configuration from parsed settings: a reader for each part, by each of its names; what is absent stays as it is by default."""
+    plain = Config()
+    readers: dict[str, tuple[str, Callable[[Any], Any]]] = {"output_dir": ("output_dir", str), "buckets": ("buckets", lambda rows: [_filled(Bucket, b, "buckets") for b in rows])}
+    for name, published in SECTIONS.items():
+        for key in (name, published):
+            readers[key] = name, partial(_filled, type(getattr(plain, name)), where=key)
+    if unknown := sorted(raw.keys() - readers.keys()):
+        raise ValueError(f"unknown sections: {', '.join(unknown)}")
+    return replace(plain, **{name: read(raw[key]) for key, (name, read) in readers.items() if key in raw})
+
+
 def load_config(path: str | Path | None = None) -> Config:
-    """Settings from .json, .toml or .tml; defaults for None and for absent sections and settings. Unknown names raise."""
+    """Settings from a file of one of the endings in PARSERS, in any case; defaults without one. Unknown names raise."""
     if path is None:
         return Config()
-    path = Path(path)
-    suffix = path.suffix.lower()
-    if suffix == ".json":
-        raw = json.loads(path.read_text(encoding="utf-8"))
-    elif suffix in (".toml", ".tml"):
-        raw = tomllib.loads(path.read_text(encoding="utf-8"))
-    else:
-        raise ValueError(f"Unsupported config format: {path}")
-    out = Config()
-    by_key = {key: name for name, published in SECTIONS.items() for key in (name, published)}
-    for key, value in raw.items():
-        if key == "output_dir":
-            out.output_dir = str(value)
-        elif key == "buckets":
-            out.buckets = [_filled(Bucket, b, "buckets") for b in value]
-        elif key in by_key:
-            name = by_key[key]
-            setattr(out, name, _filled(type(getattr(out, name)), value, key))
-        else:
-            raise ValueError(f"unknown section {key}")
-    return out
+    parse = PARSERS.get(Path(path).suffix.lower())
+    if parse is None:
+        raise ValueError(f"{path}: settings are read from {', '.join(PARSERS)}")
+    return from_settings(parse(Path(path).read_text(encoding="utf-8")))
 
 
 def bucket_table(spark: SparkSession, buckets: list[Bucket] | tuple[Bucket, ...] = DEFAULT_BUCKETS) -> DataFrame:

@@ -60,6 +60,14 @@ def judged_scripts(scripts: DataFrame, buckets: DataFrame) -> DataFrame:
     return joined.withColumn("reason", F.coalesce(shape, first)).select(*scripts.columns, "reason")
 
 
+def judged_for(scripts: DataFrame, buckets: DataFrame, bucket: str) -> DataFrame:
+    """Scripts that are meant for one bucket, with ``reason``: another category comes before all other rules."""
+    fits = F.col("category") == bucket
+    told = F.concat(F.lit("script category "), F.coalesce("category", F.lit("")), F.lit(f" does not match bucket {bucket}"))
+    judged = judged_scripts(scripts, buckets)
+    return judged.withColumn("reason", F.when(~F.coalesce(fits, F.lit(False)), told).otherwise(F.col("reason")))
+
+
 def judged_turns(turns: DataFrame, buckets: DataFrame) -> DataFrame:
     """The same verdicts from turn rows: conv_id, category, turn, text. One row per conversation."""
     fault = turn_fault(F.col("text"))

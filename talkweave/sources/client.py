@@ -17,22 +17,16 @@ class ChatClient:
     """Called with a prompt, gives the response's text. A full or failing server (429, 5xx) and a broken or slow connection raise ConnectionError or
     TimeoutError, which callers may try again; any other refusal raises RuntimeError, which they shouldn't."""
 
-    base_url: str
-    api_key: str
-    model: str
-    temperature: float = 0.9
-    top_p: float = 1.0
-    max_tokens: int | None = 4096
-    timeout: float = 240.0
+    settings: Generation
+    key: str
 
     def __call__(self, prompt: str) -> str:
-        body = {"model": self.model, "messages": [{"role": "user", "content": prompt}], "temperature": self.temperature, "top_p": self.top_p}
-        if self.max_tokens is not None:
-            body["max_tokens"] = self.max_tokens
-        headers = {"Authorization": f"Bearer {self.api_key}", "Content-Type": "application/json"}
-        request = urllib.request.Request(f"{self.base_url.rstrip('/')}/chat/completions", json.dumps(body).encode(), headers)
+        g = self.settings
+        sampling = {k: v for k in ("model", "temperature", "top_p", "max_tokens") if (v := getattr(g, k)) is not None}
+        body = json.dumps(sampling | {"messages": [{"role": "user", "content": prompt}]}).encode()
+        request = urllib.request.Request(f"{g.base_url.rstrip('/')}/chat/completions", body, {"Authorization": f"Bearer {self.key}", "Content-Type": "application/json"})
         try:
-            with urllib.request.urlopen(request, timeout=self.timeout) as response:
+            with urllib.request.urlopen(request, timeout=g.api_timeout_sec) as response:
                 return json.load(response)["choices"][0]["message"]["content"]
         except urllib.error.HTTPError as e:
             if e.code == 429 or e.code >= 500:
@@ -49,4 +43,4 @@ def from_settings(g: Generation) -> ChatClient | None:
     key = os.environ.get(g.api_key_env)
     if not (g.base_url and g.model and key):
         return None
-    return ChatClient(g.base_url, key, g.model, g.temperature, g.top_p, g.max_tokens, g.api_timeout_sec)
+    return ChatClient(g, key)

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from talkweave import cli, schemas
-from talkweave.operators import corpus, training
+from talkweave.config import bucket_table
+from talkweave.operators import corpus, rules, training
 from talkweave.sources import files
 from tests.test_text import bad
 
@@ -45,6 +46,12 @@ def test_rows_by_number(spark):
     assert r["id"] == "i5" and r["codes"] == [[5]] and "other" not in r.asDict() and corpus.token_rows(rows, "id").count() == 9
 
 
+def test_scripts_for_a_bucket(spark):
+    rows = spark.createDataFrame([bad(name="a"), bad(name="b", category="medium"), bad(name="c", category=None)], schemas.SCRIPT)
+    got = {r["conversation_id"]: r["reason"] for r in rules.judged_for(rows, bucket_table(spark), "short").collect()}
+    assert got == {"a": None, "b": "script category medium does not match bucket short", "c": "script category  does not match bucket short"}
+
+
 def test_small_documents(spark, tmp_path):
     files.write_json(spark, f"{tmp_path}/a/b.json", {"é": [1, 2]})
     text = (tmp_path / "a/b.json").read_text(encoding="utf-8")
