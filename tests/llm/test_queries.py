@@ -1,14 +1,23 @@
 """The queries as they are registered, on the smallest of the given tables."""
 
+import hashlib
+import io
 import os
+import re
+import wave
+import zlib
+from collections import defaultdict
 
 import duckdb
+import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__
+from talkweave.llm import bpe
 from talkweave.llm import queries as llm
 from tests.llm.test_lines_and_samples import brute_sample
-from tests.llm.test_small import brute_components, brute_removed
+from tests.llm.test_small import PATTERNS, brute_components, brute_removed, passes
 from tests.test_queries import DATA, TABLES, rows
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the given tables")
@@ -57,3 +66,39 @@ def test_queries_against_brute_force(spark, duck):
     assert sorted(tuple(r) for r in got) == sorted(brute_removed(docs, 200))
     got = llm.queries()["op11_resample"](spark, DATA).collect()
     assert sorted(map(repr, (tuple(r) for r in got))) == sorted(map(repr, brute_sample(docs, [t for (t,) in duck.execute("SELECT text FROM benchmark").fetchall()])))
+
+
+def test_values_of_whole_tables(spark, duck):
+    """op1, op6, op7 and op10 value by value on the whole table, by the wave module, the tokenizers library and plain patterns."""
+    docs = dict(duck.execute("SELECT doc_id, coalesce(text, '') FROM documents").fetchall())
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    for r in llm.queries()["op1_media"](spark, DATA).collect():
+        raw = docs[r["doc_id"]].encode()
+        p = raw + bytes(max(64, -(-len(raw) // 64) * 64) - len(raw))
+        out = io.BytesIO()
+        with wave.open(out, "wb") as w:
+            w.setnchannels(1)
+            w.setsampwidth(1)
+            w.setframerate(int(re.search(r"rate=(\d+)", r["feature"])[1]))
+            w.writeframes(p)
+        whole = out.getvalue()
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"], r["media_bytes"], r["media_sha256"]) == (len(raw), len(p), sha(p), zlib.crc32(p[-64:]), len(whole), sha(whole))
+    t = Tokenizer.from_file(bpe.tokenizer_path())
+    ids = {k: t.encode(x, add_special_tokens=False).ids for k, x in docs.items()}
+    got = {r["doc_id"]: tuple(r)[1:] for r in llm.queries()["op10_bpe"](spark, DATA).collect()}
+    assert got == {k: (len(e), sha(" ".join(map(str, e)).encode()), sha(t.decode(e, skip_special_tokens=False).encode())) for k, e in ids.items()}
+    cover, windows = defaultdict(list), defaultdict(list)
+    for r in llm.queries()["op6_packing"](spark, DATA).collect():
+        whole = np.array([*ids[r["doc_id"]], 2], "<u4")
+        assert r["doc_tokens"] == len(whole) and r["ids_crc32"] == zlib.crc32(whole[r["start"] : r["start"] + r["length"]].tobytes())
+        cover[r["doc_id"]].append((r["start"], r["length"]))
+        windows[r["sequence_id"]].append((r["offset"], r["length"]))
+    gapless = lambda parts: [a for a, _ in sorted(parts)] == [0, *np.cumsum([n for _, n in sorted(parts)])[:-1].tolist()]
+    assert all(gapless(p) and sum(n for _, n in p) == len(ids[k]) + 1 for k, p in cover.items()) and set(cover) == set(docs)
+    assert all(gapless(p) and sum(n for _, n in p) <= 4096 for p in windows.values())
+    total = sum(len(x) + 1 for x in ids.values())
+    assert len(windows) * 4096 < total + 2 * 4096 * max(1, sum(map(len, docs.values())) // (16 << 20) + 1)
+    for r in llm.queries()["op7_pii"](spark, DATA).collect():
+        found = sorted((m.start(), i, f"{kind}:{m.start()}:{m.end()}") for i, (kind, p) in enumerate(PATTERNS.items()) for m in re.finditer(p, docs[r["doc_id"]]) if passes(kind, m[0]))
+        assert r["base_sha256"] == sha(",".join(x[2] for x in found).encode()) and {x[2] for x in found} <= set(r["spans"].split(","))
+        assert tuple(r)[1:5] == tuple(sum(x[1] == i for x in found) for i in range(4))
