@@ -561,10 +561,10 @@ an AS (SELECT conv_id, sum(starts) AS assistant_turns, sum(early) AS false_inter
 uc AS (SELECT conv_id, count(*) FILTER (WHERE speaker = 'S0') AS user_turns FROM said GROUP BY conv_id),
 ut AS (SELECT conv_id, sum(end_ms - start_ms) AS user_ms, sum(CASE WHEN assistant THEN 0 ELSE end_ms - start_ms END) AS silent_ms FROM sg WHERE user GROUP BY conv_id)
 SELECT conv_id, user_turns, CAST(coalesce(assistant_turns, 0) AS BIGINT) AS assistant_turns, CAST(coalesce(false_interruptions, 0) AS BIGINT) AS false_interruptions, coalesce(answered, 0) AS answered,
-  CAST(coalesce(latency_ms, 0) AS BIGINT) AS latency_ms, least_ms, most_ms, CAST(coalesce(user_ms, 0) AS BIGINT) AS user_ms, CAST(coalesce(silent_ms, 0) AS BIGINT) AS silent_ms
+  CAST(coalesce(latency_ms, 0) AS BIGINT) AS latency_ms, coalesce(least_ms, -1) AS least_ms, coalesce(most_ms, -1) AS most_ms, CAST(coalesce(user_ms, 0) AS BIGINT) AS user_ms, CAST(coalesce(silent_ms, 0) AS BIGINT) AS silent_ms
 FROM uc LEFT JOIN an USING (conv_id) LEFT JOIN ut USING (conv_id)""")
 def turn_taking(spark, d):
-    return duplex.turn_taking(_shifted(spark, d))
+    return duplex.turn_taking(_shifted(spark, d)).fillna(-1, ["least_ms", "most_ms"])  # without any answer
 
 
 def _least_sql(x: str) -> str:
