@@ -24,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm.common import bounded_batches, free_names, table, with_column
+from talkweave.llm.common import bounded_batches, free_names, stored, table, with_column
 
 BUCKETS = 1 << 15
 #: Documents of each language that are learned from, about.
 SAMPLE_DOCS = 2000
+#: Up to so many labels, a few megabytes, are sent to all tasks with the share of each; of more, texts are dealt to SALTS tasks a label.
+FEW_LABELS, SALTS = 50_000, 64
 #: Languages that a task counts at once before it sends its counts on.
 AT_ONCE = 64
 #: Steps of expectation-maximisation, and the change in proportions at which it ends.
@@ -85,8 +87,14 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_
     bounded_batches(spark)
     own = F.col(id_col).cast("string") if id_col else F.lit(None).cast("string")
     known = df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), own.alias("own")).where("lang IS NOT NULL AND text IS NOT NULL")
-    shares = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample_docs)) / F.count("*")).alias("share"))
-    sample = known.join(shares, "lang").where(F.pmod(F.xxhash64("own", "text"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("lang", "text")
+    shares = stored(known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample_docs)) / F.count("*")).alias("share")))
+    h = F.xxhash64("own", "text")
+    if shares.count() <= FEW_LABELS:
+        told_share = known.join(F.broadcast(shares), "lang")
+    else:  # texts are shuffled then, those of one label to SALTS tasks
+        salted = shares.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        told_share = known.withColumn("salt", F.pmod(h, F.lit(SALTS)).cast("int")).join(salted, ["lang", "salt"])
+    sample = told_share.where(F.pmod(h, F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}

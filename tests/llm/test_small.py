@@ -566,8 +566,10 @@ def test_langid(spark, docs):
     assert langid.keep_identified(docs.limit(0)).count() == 0
 
 
-def test_langid_learns_every_label(spark):
+@pytest.mark.parametrize("few", [50_000, 10])
+def test_langid_learns_every_label(spark, few, monkeypatch):
     """Three hundred languages, most of them rare; copies of a frequent text don't decide the sample."""
+    monkeypatch.setattr(langid, "FEW_LABELS", few)
     rng = random.Random(12)
     letters = "abcdefghijklmnopqrstuvwxyzäöüßéèñçåøšžłđ"
     words = {f"l{k:03d}": ["".join(rng.choices(letters, k=rng.randint(4, 8))) for _ in range(25)] for k in range(300)}
