@@ -9,9 +9,10 @@ unlike ones hardly any. Paths depend on a node's sketch only, so all trees go do
 Nodes that meet at a path are compared: first with one member of the path's group, the hub, and the likeliest such link
 of each is confirmed on full sets. That already joins large groups of near copies, by a link per member. Then groups whose
 members are not yet all connected are compared exhaustively where they are small: likely pairs between components
-are kept for confirmation. Groups of more than LARGE are branched further, as long as that splits them into few parts of their size. The nodes of groups that stay together, as pages of one
+are kept for confirmation; groups of up to LARGE in pairs of blocks on full sets, leaving out blocks of one component, which a task each does without rows for its pairs. Groups of more than LARGE are branched further, as long as that splits
+them into few parts of their size. The nodes of groups of more than LARGE that stay together, as pages of one
 template do, go into one index by the prefixes of their sets, rare tokens first: the smaller set of a pair is met by a short prefix, the other by a longer one, which
-misses no pair as similar as wanted, and brings pages together only if they share what is rare. Only links come out, so no group is ever expanded into all its pairs.
+misses no pair as similar as wanted, and brings pages together only if they share what is rare. So work per node is bounded, and both ways are exact. Only links come out, so no group is ever expanded into all its pairs.
 
 A path may be shared by very many nodes, and a token by very many sets: their rows are dealt over SALTS tasks wherever they meet what is known of the path or token.
 
@@ -45,8 +46,10 @@ HUB_TREES = 4
 LEVELS, MORE_LEVELS = 6, 4
 #: Independent trees below a very large group, so that branching it further loses hardly any pair.
 AGAIN = 3
-#: Groups up to SMALL are compared by sketches; larger ones are branched further as long as they hold more than LARGE and split. Neither matters for what is found: what is left goes to the index.
-SMALL, LARGE = 32, 8192
+#: Groups up to SMALL are compared by sketches; up to LARGE in blocks on full sets; larger ones are branched further as long as they split, and what doesn't split goes to the index.
+SMALL, LARGE, BLOCK = 32, 8192, 256
+#: Bytes of sets in a block, about.
+BLOCK_BYTES = 4 << 20
 #: A round of branching makes about six rows of one (AGAIN trees, 1 / similarity at each level), so it saves work only where a branch holds less than this share of the group above.
 WHOLE = 0.15
 #: Buckets in which tokens are counted, to know the rare ones.
@@ -212,6 +215,76 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return left.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
+def _exact_links(left: list[dict], right: list[dict] | None, percent: int) -> list[tuple[bytes, bytes]]:
+    """Links between members of different components, as many as connect them. right None: within left."""
+    both = left + (right or [])
+    sets = [np.frombuffer(m["items"], np.uint64) for m in both]
+    size = np.array([len(x) for x in sets], np.int64)
+    flat = np.concatenate(sets)
+    of = np.repeat(np.arange(len(sets)), size)
+    values, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = n[at] > 1  # others are in no intersection
+    number = np.cumsum(n > 1) - 1
+    of, item = of[shared], number[at[shared]]
+    k = len(left)
+    common = np.zeros((k, len(both) - k if right else k), np.float64)
+    order = np.argsort(item, kind="stable")
+    of, item = of[order], item[order]
+    step = max(1024, (1 << 24) // len(both))
+    for low in range(0, int(item[-1]) + 1 if len(item) else 0, step):
+        i, j = np.searchsorted(item, [low, low + step])
+        m = np.zeros((len(both), step), np.float32)
+        m[of[i:j], item[i:j] - low] = 1
+        common += m[:k] @ (m[k:] if right else m).T
+    a_size, b_size = size[:k], size[k:] if right else size
+    linked = 100 * common >= percent * (a_size[:, None] + b_size[None, :] - common)
+    root: dict[bytes, bytes] = {}
+
+    def find(x: bytes) -> bytes:
+        while (y := root.get(x, x)) != x:
+            root[x] = root.get(y, y)
+            x = y
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(linked)):
+        a, b = left[i], (right or left)[j]
+        x, y = find(a["comp"]), find(b["comp"])
+        if x != y:
+            root[x] = y
+            out.append((a["node"], b["node"]))
+    return out
+
+
+def _block_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """groups: path, node, comp, n of larger groups. Members are dealt to blocks of about BLOCK (or BLOCK_BYTES), those of one large component to
+    blocks of their own; pairs of blocks are compared on full sets, but for two blocks of one component."""
+    weight = F.greatest(F.lit(1 / BLOCK), F.col("n") * 8 / BLOCK_BYTES)  # in blocks
+    w = groups.groupBy("path", "comp").agg(F.sum(weight).alias("w"))
+    small = F.col("w") < 1
+    rest = w.groupBy("path").agg(F.sum(F.when(small, F.col("w"))).alias("rest"))
+    dealt = _spread(groups.select("path", "node", "comp").join(w, ["path", "comp"]), rest, "path")
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.when(small, F.col("rest")).otherwise(F.col("w"))))
+    dealt = stored(dealt.select("path", "node", "comp", F.when(~small, F.col("comp")).alias("own"), part.alias("part")))
+    blocks = stored(dealt.join(sets, "node").groupBy("path", "own", "part").agg(F.collect_list(F.struct("node", "comp", "items")).alias("members")).withColumn("block", F.xxhash64("own", "part")))
+    ids = blocks.select("path", "block", "own")
+    other = ids.select("path", F.col("block").alias("block_b"), F.col("own").alias("own_b"))
+    pairs = ids.join(other, "path").where((F.col("block") <= F.col("block_b")) & (F.col("own").isNull() | ~F.col("own").eqNullSafe(F.col("own_b")))).select("path", "block", "block_b")
+    met = pairs.join(blocks.select("path", "block", F.col("members").alias("x")), ["path", "block"])
+    met = met.join(blocks.select("path", F.col("block").alias("block_b"), F.col("members").alias("y")), ["path", "block_b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                x, y = batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
+                links = _exact_links(x, y if not batch.column(0)[i].as_py() else None, percent)
+                if links:
+                    a, b = zip(*links)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return met.select((F.col("block") == F.col("block_b")).alias("same"), "x", "y").mapInArrow(run, "a binary, b binary")
+
+
 def _token_counts(sets: DataFrame) -> np.ndarray:
     """How often tokens occur in all sets, by RARITY buckets of their hash: a guide to which are rare."""
 
@@ -322,7 +395,7 @@ def linked_sets(docs: DataFrame, size: int, percent: int, trees: int = TREES) ->
     comp = components(links)
 
     # groups that are not one component yet
-    found, rest = [], []
+    found, direct, rest = [], [], []
     here = met.select("path", F.lit(None).cast("long").alias("up"), "node")
     while True:
         label = here.join(comp, "node", "left").select("path", "up", "node", F.coalesce("comp", "node").alias("comp"))
@@ -330,8 +403,10 @@ def linked_sets(docs: DataFrame, size: int, percent: int, trees: int = TREES) ->
         open_ = stored(_spread(label, mixed, "path").join(nodes.select("node", "n"), "node"))
         whole = open_.where(F.col("size") <= SMALL).join(sk, "node").groupBy("path").agg(F.collect_list(F.struct("node", "comp", "sketch")).alias("members"))
         found.append(_crossing(whole, least))
-        large = (F.col("size") > LARGE) & F.coalesce(F.col("size") <= F.col("up") * WHOLE, F.lit(True))
-        rest.append(open_.where((F.col("size") > SMALL) & ~large).select("node"))
+        splits = F.coalesce(F.col("size") <= F.col("up") * WHOLE, F.lit(True))
+        large = (F.col("size") > LARGE) & splits
+        direct.append(_block_links(open_.where((F.col("size") > SMALL) & (F.col("size") <= LARGE)), sets, percent))
+        rest.append(open_.where((F.col("size") > LARGE) & ~splits).select("node"))
         more = open_.where(large)
         if not more.head(1):
             break
@@ -343,7 +418,7 @@ def linked_sets(docs: DataFrame, size: int, percent: int, trees: int = TREES) ->
     pairs = _index_pairs(members, percent)
     pairs = pairs.join(sk.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").join(sk.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
     likely = stored(reduce(DataFrame.unionAll, [*found, _likely(pairs, least).select("a", "b")]).distinct())
-    more = stored(_confirmed(likely, sets, percent))
+    more = stored(_confirmed(likely, sets, percent).unionAll(reduce(DataFrame.unionAll, direct)))
     if more.head(1):
         comp = components(links.unionAll(more))
     return rows.select("key", "r1", "r2", "n", "node"), comp

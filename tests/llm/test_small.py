@@ -296,9 +296,9 @@ def brute_components(rows, size, percent):
     return [(k, len(sets[i]), min((x for x in least[find(i)] if x is not None), default=None) if sets[i] else k) for i, (k, _) in enumerate(rows)]
 
 
-@pytest.mark.parametrize("sizes", [(32, 8192), (2, 3), (1, 10**9)])
+@pytest.mark.parametrize("sizes", [(32, 8192, 256), (2, 3, 2), (1, 10**9, 3)])
 def test_near(spark, docs, sizes, monkeypatch):
-    for name, v in zip(("SMALL", "LARGE"), sizes):
+    for name, v in zip(("SMALL", "LARGE", "BLOCK"), sizes):
         monkeypatch.setattr(near_dedup, name, v)
     rng = random.Random(8)
     base = prose(rng, 400).split()
