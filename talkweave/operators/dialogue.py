@@ -83,14 +83,25 @@ def linear_texts(turns: DataFrame) -> DataFrame:
     return turns.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda x: x["s"]), " ").alias("text"))
 
 
+def frame_runs(timed: DataFrame, frame_ms: int = 80) -> DataFrame:
+    """Runs of frames in which the same speakers are active, none in two: conv_id, first, last, s0, s1. They come from a sweep over the turns' first and last frames, so a
+    conversation costs no more than its turns. Turns without a frame (the last before the first) are left out."""
+    first, last = F.floor(F.col("start_ms") / frame_ms), F.floor((F.col("end_ms") - 1) / frame_ms)
+    ends = F.inline(F.array(F.struct(first.alias("at"), F.lit(1).alias("n")), F.struct((last + 1).alias("at"), F.lit(-1).alias("n"))))
+    of = lambda s: F.sum(F.when(F.col("speaker") == s, F.col("n")).otherwise(0))
+    moments = timed.where(last >= first).select("conv_id", "speaker", ends).groupBy("conv_id", "at").agg(F.sum("n").alias("n"), of("S0").alias("s0"), of("S1").alias("s1"))
+    order = Window.partitionBy("conv_id").orderBy("at")
+    so_far = lambda c: F.sum(c).over(order.rowsBetween(Window.unboundedPreceding, 0)) > 0
+    runs = moments.select("conv_id", F.col("at").alias("first"), (F.lead("at").over(order) - 1).alias("last"), so_far("n").alias("some"), *(so_far(c).cast("int").alias(c) for c in ("s0", "s1")))
+    return runs.where("some").drop("some")
+
+
 def frame_streams(timed: DataFrame, frame_ms: int = 80) -> DataFrame:
     """Frames of 80 ms in which each speaker is active: conv_id, frame, s0, s1."""
-    frames = timed.select("conv_id", "speaker", F.explode(F.sequence(F.floor(F.col("start_ms") / frame_ms), F.floor((F.col("end_ms") - 1) / frame_ms))).alias("frame"))
-    active = lambda s: F.max(F.when(F.col("speaker") == s, 1).otherwise(0))
-    return frames.groupBy("conv_id", "frame").agg(active("S0").alias("s0"), active("S1").alias("s1"))
+    return frame_runs(timed, frame_ms).select("conv_id", F.explode(F.sequence("first", "last")).alias("frame"), "s0", "s1")
 
 
 def speech_report(timed: DataFrame) -> DataFrame:
     """Per conversation: frames spoken, frames both speak, span of frames."""
-    f = frame_streams(timed)
-    return f.groupBy("conv_id").agg(F.count("*").alias("spoken"), F.sum(F.col("s0") * F.col("s1")).alias("both"), (F.max("frame") + 1).alias("span"))
+    n = F.col("last") - F.col("first") + 1
+    return frame_runs(timed).groupBy("conv_id").agg(F.sum(n).alias("spoken"), F.sum(n * F.col("s0") * F.col("s1")).alias("both"), (F.max("last") + 1).alias("span"))

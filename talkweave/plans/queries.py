@@ -612,10 +612,10 @@ def collapse_report(spark, d):
 fi AS (SELECT *, sum(b) OVER (PARTITION BY conv_id ORDER BY t) AS k FROM (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY conv_id ORDER BY t) <= 240 THEN 0 ELSE 1 END AS b FROM fr))
 SELECT conv_id, min(t) AS start_ms, max(t) AS last_ms, max(t) + 240 AS endpoint_ms FROM fi GROUP BY conv_id, k""")
 def endpoint_guard(spark, d):
-    """Speech of both sides as frames, some turns unheard."""
+    """Speech of both sides as frames of 80 ms, some turns unheard; a turn's frames are one run."""
     t = _shifted(spark, d).where("end_ms > start_ms AND NOT (conv_id % 2 = 0 AND floor(start_ms / 80) % 3 = 0)")
-    frames = t.select("conv_id", F.explode(F.sequence(F.floor(F.col("start_ms") / 80), F.floor((F.col("end_ms") - 1) / 80))).alias("frame")).select("conv_id", (F.col("frame") * 80).alias("at_ms"), F.lit(True).alias("active"))
-    return endpoints.endpoints(frames.distinct())
+    runs = t.select("conv_id", (F.floor(F.col("start_ms") / 80) * 80).alias("at_ms"), (F.floor((F.col("end_ms") - 1) / 80) * 80).alias("last_ms"), F.lit(True).alias("active"))
+    return endpoints.endpoints(runs, last_col="last_ms")
 
 
 # --- checks of training data

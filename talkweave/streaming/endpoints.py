@@ -23,13 +23,16 @@ HANG_MS = 240
 STATE = T.StructType([T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("lasts", T.ArrayType(T.LongType()))])
 
 
-def endpoints(frames: DataFrame, time_col: str = "at_ms", hang_ms: int = HANG_MS) -> DataFrame:
-    """The batch form; times are whole milliseconds."""
-    heard = frames.where(F.col("active") & F.col("conv_id").isNotNull() & F.col(time_col).isNotNull()).select("conv_id", F.col(time_col).cast("long").alias("at"))
+def endpoints(frames: DataFrame, time_col: str = "at_ms", hang_ms: int = HANG_MS, last_col: str | None = None) -> DataFrame:
+    """The batch form; times are whole milliseconds. With ``last_col``, a row is a run of frames from time_col to last_col that follow each other within ``hang_ms``, so
+    speech that is known by its turns costs no more than these; runs may overlap, and those that end before they begin, or have no end, are left out."""
+    at, last = F.col(time_col).cast("long"), F.col(last_col or time_col).cast("long")
+    heard = frames.where(F.col("active") & F.col("conv_id").isNotNull()).select("conv_id", at.alias("at"), last.alias("last")).where("last >= at")
     by = Window.partitionBy("conv_id").orderBy("at")
-    begins = F.coalesce(F.col("at") - F.lag("at").over(by) > hang_ms, F.lit(True)).cast("int")
+    reach = F.max("last").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.coalesce(F.col("at") - reach > hang_ms, F.lit(True)).cast("int")
     numbered = heard.withColumn("begins", begins).withColumn("stretch", F.sum("begins").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    out = numbered.groupBy("conv_id", "stretch").agg(F.min("at").alias("start_ms"), F.max("at").alias("last_ms"))
+    out = numbered.groupBy("conv_id", "stretch").agg(F.min("at").alias("start_ms"), F.max("last").alias("last_ms"))
     return out.select("conv_id", "start_ms", "last_ms", (F.col("last_ms") + hang_ms).alias("endpoint_ms"))
 
 

@@ -1,13 +1,16 @@
 """Endpointing as a stream against the batch form: frames out of order and late, over a restart."""
 
+import os
 import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
+from talkweave.plans.queries import QUERIES
 from talkweave.streaming.endpoints import endpoint_stream, endpoints, stretches
 
+DATA = "/root/testdata/sf0.001"
 KIND = "conv_id long, ts timestamp, active boolean"
 ZERO = datetime(2024, 1, 1, tzinfo=timezone.utc)
 STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -72,3 +75,33 @@ def test_stream_is_the_batch(spark, rocks, tmp_path):
     base = int(ZERO.timestamp() * 1000)
     brute = [(c, base + a, base + b, base + b + 240) for c in (0, 1, 2, 3, 9) for a, b in slow([int((t - ZERO).total_seconds() * 1000) for k, t, on in (f for p in parts for f in p) if k == c and on], 240)]
     assert want == sorted(brute)
+
+
+def test_runs_are_their_frames(spark):
+    """Runs of frames, overlapping, repeated, broken and unheard ones among them, give what their frames give; 80 ms or less between frames of a run."""
+    rng = random.Random(3)
+    runs = [(conv, rng.choice((-1, 1, 1, 1)) * 80 * rng.randint(0, 400), rng.choice((-1, 0, 1, 5, 30)), rng.choice((True, True, True, False, None))) for conv in (1, 2, 3, None) for _ in range(60)]
+    runs = [(c, a, a + 80 * n, on) for c, a, n, on in runs] + [(1, None, 80, True), (2, 0, None, True)]
+    runs += rng.sample(runs, 20)
+    table = spark.createDataFrame(runs, "conv_id long, at_ms long, last_ms long, active boolean")
+    frames = spark.createDataFrame([(c, t, on) for c, a, b, on in runs if a is not None and b is not None for t in range(a, b + 1, 80)], "conv_id long, at_ms long, active boolean")
+    for hang in (80, 240, 250):
+        heard = {c: [t for k, t, on in map(tuple, frames.collect()) if k == c and on] for c in (1, 2, 3)}
+        brute = sorted((c, a, b, b + hang) for c, times in heard.items() for a, b in slow(times, hang))
+        assert sorted(tuple(r) for r in endpoints(table, hang_ms=hang, last_col="last_ms").collect()) == brute and len(brute) > 8
+        assert sorted(tuple(r) for r in endpoints(frames, hang_ms=hang).collect()) == brute
+    single = frames.select("conv_id", (F.col("at_ms") / 80).cast("long").alias("at_ms"), "active")
+    for hang in (0, 1, 2):
+        brute = sorted((c, a, b, b + hang) for c, times in heard.items() for a, b in slow([t // 80 for t in times], hang))
+        assert sorted(tuple(r) for r in endpoints(single, hang_ms=hang).collect()) == brute
+
+
+def test_long_runs_cost_no_frames(spark):
+    """Ten thousand million frames in one run."""
+    table = spark.createDataFrame([(1, 0, 800_000_000_000, True), (1, 800_000_000_240, 800_000_000_240, True), (1, 900_000_000_000, 900_000_000_000, True)], "conv_id long, at_ms long, last_ms long, active boolean")
+    assert sorted(tuple(r) for r in endpoints(table, last_col="last_ms").collect()) == [(1, 0, 800_000_000_240, 800_000_000_480), (1, 900_000_000_000, 900_000_000_000, 900_000_000_240)]
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the given tables")
+def test_query_makes_no_row_per_frame(spark):
+    assert "Generate" not in QUERIES["endpoint_guard"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
